@@ -258,4 +258,62 @@ FROM scored WHERE likely_party IS NOT NULL GROUP BY likely_party""")
     out["r21_activity_weighted"] = W(S, """SELECT state,
   round((n_dem * 0.31) / nullif(n_dem * 0.31 + n_rep * 0.69, 0), 9) AS democratic_proportion,
   round((n_rep * 0.69) / nullif(n_dem * 0.31 + n_rep * 0.69, 0), 9) AS republican_proportion FROM shares""")
+    votes_ctes = f"""precinct AS (
+  SELECT 'N' || CAST(c.c_nationkey AS VARCHAR) AS state_po, o.o_orderstatus AS candidate,
+         CAST(floor(o.o_totalprice) AS BIGINT) AS votes
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+sv AS (
+  SELECT state_po, coalesce(sum(votes) FILTER (WHERE candidate = {q(B.CANDIDATE_A)}), 0) AS votes_a,
+         coalesce(sum(votes) FILTER (WHERE candidate = {q(B.CANDIDATE_B)}), 0) AS votes_b,
+         coalesce(sum(votes), 0) AS total_votes
+  FROM precinct WHERE state_po IS NOT NULL AND candidate IS NOT NULL GROUP BY state_po),
+actual AS (
+  SELECT *, CAST(votes_a AS DOUBLE) / nullif(CAST(total_votes AS DOUBLE), 0) * 100.0 AS biden_pct,
+         CAST(votes_a AS DOUBLE) / nullif(CAST(total_votes AS DOUBLE), 0) AS democratic_proportion,
+         CAST(votes_a - votes_b AS DOUBLE) / nullif(CAST(total_votes AS DOUBLE), 0) * 100.0 AS lead_size
+  FROM sv)"""
+    hist_ctes = f"""history AS (
+  SELECT year(o.o_orderdate) AS year, upper(n.n_name) AS state,
+         'N' || CAST(c.c_nationkey AS VARCHAR) AS state_po, o.o_orderpriority AS office,
+         CASE o.o_orderstatus {' '.join(f"WHEN {q(k)} THEN {q(v)}" for k, v in B.PARTY_OF_STATUS.items())} END AS party_detailed,
+         CAST(floor(o.o_totalprice) AS BIGINT) AS candidatevotes
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey),
+hf AS (SELECT * FROM history WHERE party_detailed IN ('DEMOCRAT', 'REPUBLICAN')
+       AND office = {q(B.PRESIDENT_OFFICE)} AND year <> {B.HELD_OUT_YEAR}),
+hr AS (SELECT *, CAST(candidatevotes AS DOUBLE) / sum(candidatevotes) OVER (PARTITION BY year, state) AS r FROM hf),
+prior AS (SELECT state, state_po, party_detailed, avg(r) AS ratio FROM hr GROUP BY state, state_po, party_detailed)"""
+    out["v4_state_votes"] = W(votes_ctes, """SELECT state_po, votes_a, votes_b, total_votes, round(biden_pct, 9) AS biden_pct,
+  round(democratic_proportion, 9) AS democratic_proportion, round(lead_size, 9) AS lead_size FROM actual""")
+    out["v5_national_margin"] = W(votes_ctes, """SELECT sum(votes_a) AS votes_a, sum(votes_b) AS votes_b,
+  round(abs(sum(votes_b) - sum(votes_a)) / CAST(sum(votes_b) + sum(votes_a) AS DOUBLE) * 100.0, 9) AS national_margin FROM actual""")
+    cmp = S + ",\n" + votes_ctes + """,
+pred AS (SELECT state_code, round(dem_pct - 50.0, 9) AS predicted_lead FROM lead),
+cmp AS (SELECT a.state_po, a.lead_size AS actual_lead, p.predicted_lead, a.lead_size - p.predicted_lead AS diff
+        FROM actual a LEFT JOIN pred p ON a.state_po = p.state_code)"""
+    out["c_lead_difference"] = W(cmp, """SELECT state_po, round(actual_lead, 9) AS actual_lead, round(predicted_lead, 9) AS predicted_lead,
+  round(diff, 9) AS lead_size_diff FROM cmp""")
+    out["v7_markers"] = W(cmp + f""",
+centers AS (SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS state_code, CAST(n_nationkey * 1.5 + 20.0 AS DOUBLE) AS lat,
+                   CAST(n_regionkey * -10.0 - 70.0 AS DOUBLE) AS lon FROM nation WHERE n_regionkey IN ({regions})),
+cl AS (SELECT c.state_po, ce.lat, ce.lon,
+         CASE WHEN diff < 1 AND diff >= 0 THEN 1.0 WHEN diff > -1 AND diff <= 0 THEN -1.0 ELSE diff END AS d
+       FROM cmp c JOIN centers ce ON c.state_po = ce.state_code WHERE c.diff IS NOT NULL)""",
+      """SELECT state_po, lat, lon, round(d, 9) AS diff, CASE WHEN d > 0 THEN 'blue' ELSE 'red' END AS color,
+  CASE WHEN d > 0 THEN '▲' ELSE '▼' END AS glyph, printf('%s: %.1f%%', state_po, d) AS label,
+  round(least(abs(d) * 0.5, 10.0), 9) AS size, round(least(abs(d) * 0.5, 10.0) * 2, 9) AS font FROM cl""")
+    out["v8_history_filter"] = W(hist_ctes, "SELECT year, state_po, party_detailed, candidatevotes FROM hf")
+    out["v9_year_shares"] = W(hist_ctes, """SELECT year, state, party_detailed, votes,
+  round(CAST(votes AS DOUBLE) / sum(votes) OVER (PARTITION BY year, state), 9) AS share FROM (
+  SELECT year, state, party_detailed, sum(candidatevotes) AS votes FROM hf GROUP BY year, state, state_po, party_detailed)""")
+    out["v10_prior"] = W(hist_ctes, "SELECT state, state_po, party_detailed, round(ratio, 9) AS ratio FROM prior")
+    pw = S + ",\n" + hist_ctes + """,
+pp AS (SELECT state, max(ratio) FILTER (WHERE party_detailed = 'DEMOCRAT') AS pa,
+              max(ratio) FILTER (WHERE party_detailed = 'REPUBLICAN') AS pb FROM prior GROUP BY state),
+pw AS (SELECT s.state, (pa * democratic_proportion) / nullif(pa * democratic_proportion + pb * republican_proportion, 0) AS dp,
+              (pb * republican_proportion) / nullif(pa * democratic_proportion + pb * republican_proportion, 0) AS rp
+       FROM shares s JOIN pp ON upper(s.state) = pp.state)"""
+    out["v11_prior_weighted"] = W(pw, "SELECT state, round(dp, 9) AS democratic_proportion, round(rp, 9) AS republican_proportion FROM pw")
+    out["v12_drill_down"] = W(pw, """SELECT state, round(democratic_proportion, 9) AS democratic_proportion, 'before' AS stage
+FROM shares WHERE state = 'NATION_3'
+UNION ALL SELECT state, round(dp, 9), 'after' FROM pw WHERE state = 'NATION_3'""")
     return out

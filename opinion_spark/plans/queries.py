@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinion_spark.operators import cleaning, mentions, regional, sentiment
-from opinion_spark.plans import predicted
+from opinion_spark.operators import cleaning, mentions, regional, sentiment, votes
+from opinion_spark.plans import actual, predicted
 from opinion_spark.sources import bindings as B
 
 LABELS = list(B.MENTION_NAMES)  # ["trump", "biden"]
@@ -253,6 +253,70 @@ def r21_activity_weighted(spark, sf):
     return out.select("state", r9("democratic_proportion"), r9("republican_proportion"))
 
 
+# ------------------------------------------------------------------ votes ---
+
+def _actual(spark, sf):
+    return actual.actual_lead(B.precinct_votes(spark, sf), B.CANDIDATE_A, B.CANDIDATE_B)
+
+
+def _history(spark, sf):
+    return votes.history_filter(B.vote_history(spark, sf), office=B.PRESIDENT_OFFICE,
+                                held_out_year=B.HELD_OUT_YEAR)
+
+
+def v4_state_votes(spark, sf):
+    """V1-V4: per-region votes of two candidates, total, pct, proportion, lead."""
+    return _actual(spark, sf).select("state_po", "votes_a", "votes_b", "total_votes", r9("biden_pct"),
+                                     r9("democratic_proportion"), r9("lead_size"))
+
+
+def v5_national_margin(spark, sf):
+    return votes.national_margin(_actual(spark, sf)).select("votes_a", "votes_b", r9("national_margin"))
+
+
+def c_lead_difference(spark, sf):
+    """Entry C: J2 + V6, actual lead minus predicted lead per region."""
+    pred = a_predicted_lead(spark, sf)
+    out = actual.compare(B.precinct_votes(spark, sf), pred, B.CANDIDATE_A, B.CANDIDATE_B)
+    return out.select("state_po", r9("actual_lead"), r9("predicted_lead"), r9("lead_size_diff"))
+
+
+def v7_markers(spark, sf):
+    """J4 + V7: marker table for regions with a centre."""
+    pred = a_predicted_lead(spark, sf)
+    diffs = actual.compare(B.precinct_votes(spark, sf), pred, B.CANDIDATE_A, B.CANDIDATE_B)
+    m = votes.markers(diffs, B.state_centers(spark, sf))
+    return m.select("state_po", "lat", "lon", r9("diff"), "color", "glyph", "label", r9("size"), r9("font"))
+
+
+def v8_history_filter(spark, sf):
+    return _history(spark, sf).select("year", "state_po", "party_detailed", "candidatevotes")
+
+
+def v9_year_shares(spark, sf):
+    return votes.year_shares(_history(spark, sf)).select("year", "state", "party_detailed", "votes", r9("share"))
+
+
+def v10_prior(spark, sf):
+    return votes.two_party_prior(_history(spark, sf)).select("state", "state_po", "party_detailed", r9("ratio"))
+
+
+def v11_prior_weighted(spark, sf):
+    """J3 + V11 on the un-rebalanced shares."""
+    out = actual.prior_reweighted(_shares(spark, sf), B.vote_history(spark, sf), B.PRESIDENT_OFFICE,
+                                  B.HELD_OUT_YEAR)
+    return out.select("state", r9("democratic_proportion"), r9("republican_proportion"))
+
+
+def v12_drill_down(spark, sf):
+    """One region before and after the prior reweighting."""
+    before = votes.drill_down(_shares(spark, sf), "NATION_3").select(
+        "state", r9("democratic_proportion"), F.lit("before").alias("stage"))
+    after = votes.drill_down(v11_prior_weighted(spark, sf), "NATION_3").select(
+        "state", "democratic_proportion", F.lit("after").alias("stage"))
+    return before.unionByName(after)
+
+
 REGISTRY = {
     "a_predicted_lead": a_predicted_lead,
     "c3_distinct_rows": c3_distinct_rows,
@@ -286,4 +350,13 @@ REGISTRY = {
     "r19_relative_frequency": r19_relative_frequency,
     "r20_second_largest": r20_second_largest,
     "r21_activity_weighted": r21_activity_weighted,
+    "v4_state_votes": v4_state_votes,
+    "v5_national_margin": v5_national_margin,
+    "c_lead_difference": c_lead_difference,
+    "v7_markers": v7_markers,
+    "v8_history_filter": v8_history_filter,
+    "v9_year_shares": v9_year_shares,
+    "v10_prior": v10_prior,
+    "v11_prior_weighted": v11_prior_weighted,
+    "v12_drill_down": v12_drill_down,
 }

@@ -82,7 +82,7 @@ def precinct_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (o.join(c, o.o_custkey == c.c_custkey, "inner")
             .select(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("state_po"),
                     F.col("o_orderstatus").alias("candidate"),
-                    F.col("o_totalprice").cast("long").alias("votes")))
+                    F.floor("o_totalprice").cast("long").alias("votes")))
 
 
 def vote_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +99,7 @@ def vote_history(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("state_po"),
                     F.col("o_orderpriority").alias("office"),
                     F.try_element_at(party, F.col("o_orderstatus")).alias("party_detailed"),
-                    F.col("o_totalprice").cast("long").alias("candidatevotes")))
+                    F.floor("o_totalprice").cast("long").alias("candidatevotes")))
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
