@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from opinion_spark.functions.exprs import word_alternation
 from opinion_spark.operators.sentiment import NEGATIONS, NEG_FACTORS, TOKEN_PATTERN
+from opinion_spark.operators.similarity import PRIME, permutations
 from opinion_spark.sources import bindings as B
 
 NS = r"[^ \t\n\r\f\x0b]"
@@ -316,4 +317,87 @@ pw AS (SELECT s.state, (pa * democratic_proportion) / nullif(pa * democratic_pro
     out["v12_drill_down"] = W(pw, """SELECT state, round(democratic_proportion, 9) AS democratic_proportion, 'before' AS stage
 FROM shares WHERE state = 'NATION_3'
 UNION ALL SELECT state, round(dp, 9), 'after' FROM pw WHERE state = 'NATION_3'""")
+    out.update(similarity_sql())
+    return out
+
+
+def _base_hash(x: str) -> str:
+    return f"(('0x' || substr(md5({x}), 1, 8))::BIGINT % {PRIME})"
+
+
+def sig_ctes(k: int, q: int, char_xor: bool = False, name: str = "sig") -> str:
+    a, b = permutations(k)
+    sh = f"""{name}_sh AS (SELECT d.doc_id, substr(d.text, g.i, {q}) AS sh
+  FROM documents d, generate_series(1, length(d.text) - {q - 1}) AS g(i))"""
+    if not char_xor:
+        hh = f"{name}_h AS (SELECT doc_id, {_base_hash('sh')} AS h FROM {name}_sh)"
+        mins = ", ".join(f"min(({a[i]} * h + {b[i]}) % {PRIME})" for i in range(k))
+    else:
+        hs = ", ".join(f"{_base_hash(f'substr(sh, {j + 1}, 1)')} AS c{j}" for j in range(q))
+        hh = f"{name}_h AS (SELECT doc_id, {hs} FROM {name}_sh)"
+
+        def x(i):
+            parts = [f"(({a[i]} * c{j} + {b[i]}) % {PRIME})" for j in range(q)]
+            e = parts[0]
+            for p_ in parts[1:]:
+                e = f"xor({e}, {p_})"
+            return f"min({e})"
+        mins = ", ".join(x(i) for i in range(k))
+    return f"""{sh},
+{hh},
+{name} AS (SELECT doc_id, [{mins}] AS sig FROM {name}_h GROUP BY doc_id)"""
+
+
+def pairs_ctes(bands: int, rows: int, lo: float, hi: float, index_block: int | None = None) -> str:
+    blk = f"[CAST(floor(doc_id / {index_block}) AS INTEGER)] || " if index_block else ""
+    return f"""bands AS (SELECT doc_id, b.band, {blk}sig[b.band * {rows} + 1 : b.band * {rows} + {rows}] AS bkey
+  FROM sig, range(0, {bands}) AS b(band)),
+cand AS (SELECT DISTINCT x.doc_id AS src, y.doc_id AS dst FROM bands x JOIN bands y
+  ON x.band = y.band AND x.bkey = y.bkey AND x.doc_id < y.doc_id),
+ver AS (SELECT c.src, c.dst, CAST(list_sum(list_transform(range(1, len(a.sig) + 1),
+    lambda i: CASE WHEN a.sig[i] = b.sig[i] THEN 1 ELSE 0 END)) AS DOUBLE) / len(a.sig) AS similarity
+  FROM cand c JOIN sig a ON a.doc_id = c.src JOIN sig b ON b.doc_id = c.dst),
+edges AS (SELECT src, dst, similarity FROM ver WHERE similarity >= {lo} AND similarity < {hi})"""
+
+
+def similarity_sql() -> dict[str, str]:
+    from opinion_spark.plans.queries import OWN_LSH, TOPIC_LSH
+
+    t, o = TOPIC_LSH, OWN_LSH
+    out = {}
+    out["l1_shingles"] = f"""SELECT doc_id, len(sh) AS n_shingles, md5(array_to_string(list_sort(sh), chr(1))) AS shingles_md5
+FROM (SELECT doc_id, list_distinct(list_transform(generate_series(1, length(text) - {t['q'] - 1}),
+      lambda i: substr(text, i, {t['q']}))) AS sh FROM documents)"""
+    S = sig_ctes(t["k"], t["q"])
+    out["l2_minhash"] = W(S, "SELECT doc_id, sig FROM sig")
+    out["l3_char_xor_minhash"] = W(sig_ctes(o["k"], o["q"], char_xor=True), "SELECT doc_id, sig FROM sig")
+    out["l4_bands"] = W(S, "SELECT doc_id, b.band, sig[b.band * 2 + 1 : b.band * 2 + 2] AS bkey FROM sig, range(0, 28) AS b(band)")
+    P = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"])
+    out["l7_similar_pairs"] = W(P, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
+    PB = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"], index_block=10000)
+    out["l6_blocked_pairs"] = W(PB, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
+    own = sig_ctes(o["k"], o["q"], char_xor=True) + f""",
+bands AS (SELECT doc_id, b.band, sig[b.band * {o['rows']} + 1 : b.band * {o['rows']} + {o['rows']}] AS bkey
+  FROM sig, range(0, {o['bands']}) AS b(band)),
+bp AS (SELECT x.band, x.doc_id AS src, y.doc_id AS dst FROM bands x JOIN bands y
+  ON x.band = y.band AND x.bkey = y.bkey AND x.doc_id < y.doc_id),
+bs AS (SELECT bp.band, bp.src, bp.dst,
+         CAST(len(list_intersect(list_distinct(a.sig), list_distinct(b.sig))) AS DOUBLE)
+         / len(list_distinct(a.sig || b.sig)) AS similarity
+       FROM bp JOIN sig a ON a.doc_id = bp.src JOIN sig b ON b.doc_id = bp.dst)"""
+    out["l10_own_lsh"] = W(own, f"""SELECT band, src, dst, round(similarity, 9) AS similarity FROM bs
+WHERE similarity >= {o['lo']} AND similarity < {o['hi']}""")
+    deg = P + """,
+ends AS (SELECT src AS id, similarity FROM edges UNION ALL SELECT dst, similarity FROM edges),
+deg AS (SELECT id, count(*) AS degree, sum(similarity) AS strength FROM ends GROUP BY id)"""
+    out["l12_similarity_graph"] = W(deg, """SELECT d.doc_id AS id, coalesce(g.degree, 0) AS degree,
+  round(coalesce(g.strength, 0.0), 6) AS strength FROM documents d LEFT JOIN deg g ON g.id = d.doc_id""")
+    out["l14_modularity_by_lang"] = W(deg + """,
+part AS (SELECT doc_id AS id, lang AS community FROM documents),
+m AS (SELECT sum(similarity) AS m FROM edges),
+intra AS (SELECT p1.community, sum(e.similarity) AS w FROM edges e JOIN part p1 ON p1.id = e.src
+          JOIN part p2 ON p2.id = e.dst WHERE p1.community = p2.community GROUP BY p1.community),
+tot AS (SELECT p.community, sum(g.strength) AS d FROM deg g JOIN part p ON p.id = g.id GROUP BY p.community)""",
+      """SELECT round(sum(coalesce(i.w, 0.0) / m.m - (t.d / (2 * m.m)) * (t.d / (2 * m.m))), 6) AS modularity
+FROM tot t LEFT JOIN intra i USING (community), m""")
     return out

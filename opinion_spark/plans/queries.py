@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinion_spark.operators import cleaning, mentions, regional, sentiment, votes
+from opinion_spark.operators import cleaning, mentions, regional, sentiment, similarity, votes
 from opinion_spark.plans import actual, predicted
 from opinion_spark.sources import bindings as B
 
@@ -317,6 +317,85 @@ def v12_drill_down(spark, sf):
     return before.unionByName(after)
 
 
+# ------------------------------------------------------------- similarity ---
+
+# --- fixed values: the topic run's LSH parameters and the own-LSH run's ---
+TOPIC_LSH = dict(k=120, q=4, bands=28, rows=2, lo=0.2, hi=0.4)
+OWN_LSH = dict(k=120, q=5, bands=12, rows=10, lo=0.05, hi=0.5)
+
+
+def _sigs(spark, sf):
+    return similarity.minhash(B.docs(spark, sf), TOPIC_LSH["k"], TOPIC_LSH["q"])
+
+
+def _edges(spark, sf):
+    t = TOPIC_LSH
+    return similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], t["hi"])
+
+
+def l1_shingles(spark, sf):
+    """L1: distinct 4-character shingles per whole document."""
+    sh = similarity.shingles(F.col("text"), TOPIC_LSH["q"])
+    return B.docs(spark, sf).select("doc_id", F.size(sh).alias("n_shingles"),
+                                    F.md5(F.array_join(F.array_sort(sh), "\u0001")).alias("shingles_md5"))
+
+
+def l2_minhash(spark, sf):
+    """L2: 120-permutation MinHash signature per document."""
+    return _sigs(spark, sf)
+
+
+def l3_char_xor_minhash(spark, sf):
+    """L3: the hand-written variant's character-XOR shingle hash, q = 5."""
+    return similarity.minhash(B.docs(spark, sf), OWN_LSH["k"], OWN_LSH["q"], shingle_hash="char_xor")
+
+
+def l4_bands(spark, sf):
+    """L4: 28 bands x 2 rows of each signature."""
+    s = _sigs(spark, sf)
+    b = s.select("doc_id", F.posexplode(similarity.band_keys(F.col("sig"), 28, 2)).alias("band", "bkey"))
+    return b
+
+
+def l7_similar_pairs(spark, sf):
+    """Pairs sharing a band bucket with estimated Jaccard in [0.2, 0.4)."""
+    return _edges(spark, sf).select("src", "dst", r9("similarity"))
+
+
+def l6_blocked_pairs(spark, sf):
+    """L6 with a fresh index per 10 000 ids (quirk Q7 parity)."""
+    t = TOPIC_LSH
+    out = similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], t["hi"],
+                                   index_block=10000)
+    return out.select("src", "dst", r9("similarity"))
+
+
+def l10_own_lsh(spark, sf):
+    """L3 + L8 + L10: char-XOR MinHash, 12 x 10 bands, value-set Jaccard in [0.05, 0.5), per bucket."""
+    o = OWN_LSH
+    similarity.check_bands(o["k"], o["bands"], o["rows"])
+    sig = similarity.minhash(B.docs(spark, sf), o["k"], o["q"], shingle_hash="char_xor")
+    out = similarity.bucket_pairs(sig, o["bands"], o["rows"], o["lo"], o["hi"])
+    return out.select("band", "src", "dst", r9("similarity"))
+
+
+def l12_similarity_graph(spark, sf):
+    """Every document is a vertex; degree and weight over the edges."""
+    from opinion_spark.operators import graph
+
+    v = B.docs(spark, sf).select(F.col("doc_id").alias("id"))
+    return graph.vertex_degrees(v, _edges(spark, sf)).select(
+        "id", "degree", F.round("strength", 6).alias("strength"))
+
+
+def l14_modularity_by_lang(spark, sf):
+    """Modularity of the language partition on the similarity graph."""
+    from opinion_spark.operators import graph
+
+    part = B.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("community"))
+    return graph.modularity(part, _edges(spark, sf)).select(F.round("modularity", 6).alias("modularity"))
+
+
 REGISTRY = {
     "a_predicted_lead": a_predicted_lead,
     "c3_distinct_rows": c3_distinct_rows,
@@ -359,4 +438,13 @@ REGISTRY = {
     "v10_prior": v10_prior,
     "v11_prior_weighted": v11_prior_weighted,
     "v12_drill_down": v12_drill_down,
+    "l1_shingles": l1_shingles,
+    "l2_minhash": l2_minhash,
+    "l3_char_xor_minhash": l3_char_xor_minhash,
+    "l4_bands": l4_bands,
+    "l6_blocked_pairs": l6_blocked_pairs,
+    "l7_similar_pairs": l7_similar_pairs,
+    "l10_own_lsh": l10_own_lsh,
+    "l12_similarity_graph": l12_similarity_graph,
+    "l14_modularity_by_lang": l14_modularity_by_lang,
 }
