@@ -318,6 +318,80 @@ pw AS (SELECT s.state, (pa * democratic_proportion) / nullif(pa * democratic_pro
 FROM shares WHERE state = 'NATION_3'
 UNION ALL SELECT state, round(dp, 9), 'after' FROM pw WHERE state = 'NATION_3'""")
     out.update(similarity_sql())
+    out.update(topics_sql())
+    return out
+
+
+def topics_sql() -> dict[str, str]:
+    from opinion_spark.plans.queries import MAX_DF, MAX_FEATURES, MIN_DF
+    from opinion_spark.sources.dims import topic_stop_words
+
+    stops = ", ".join(f"({q(w)})" for w in topic_stop_words())
+    tok = r"[\p{L}\p{N}_]{2,}"
+    base = f"""stops AS (SELECT * FROM (VALUES {stops}) AS s(term)),
+dtok AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(text), {q(tok)}) AS toks FROM documents),
+toks AS (SELECT doc_id, unnest(toks) AS term FROM dtok),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term NOT IN (SELECT term FROM stops) GROUP BY doc_id, term),
+nd AS (SELECT count(*) AS n FROM documents),
+stats AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf GROUP BY term),
+vocab AS (SELECT term, df FROM stats, nd WHERE df >= {MIN_DF} AND df <= {MAX_DF} * n
+          ORDER BY cf DESC, term LIMIT {MAX_FEATURES}),
+x AS (SELECT tf.doc_id, tf.term, tf.tf * (ln((1.0 + n) / (v.df + 1.0)) + 1.0) AS x
+      FROM tf JOIN vocab v USING (term), nd),
+w AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS tfidf FROM x),
+langs AS (SELECT doc_id, lang AS cluster FROM documents),
+lsize AS (SELECT cluster, count(*) AS size FROM langs GROUP BY cluster),
+lscore AS (SELECT l.cluster, w.term, sum(w.tfidf) / max(s.size) AS score
+           FROM w JOIN langs l USING (doc_id) JOIN lsize s USING (cluster) GROUP BY l.cluster, w.term),
+ltop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, term) AS rank
+         FROM lscore) WHERE rank <= 6)"""
+    out = {}
+    out["t1_term_counts"] = W(base, "SELECT doc_id, term, tf FROM tf")
+    out["t2_vocabulary"] = W(base, "SELECT term, df FROM vocab")
+    out["t3_tfidf"] = W(base, "SELECT doc_id, term, round(tfidf, 9) AS tfidf FROM w")
+    out["t5_top_terms_by_lang"] = W(base, "SELECT cluster, rank, term, round(score, 9) AS score FROM ltop WHERE rank <= 5")
+    out["t11_term_weights"] = W(base, """SELECT t.cluster, t.rank, t.term, round(50.0 * pow(0.85, t.rank - 1), 9) AS size,
+  round(1.0 - (t.rank - 1) * 0.5 / c.n, 9) AS opacity
+FROM ltop t JOIN (SELECT cluster, count(*) AS n FROM ltop GROUP BY cluster) c USING (cluster)""")
+    out["t12_cluster_labels"] = W(base, """SELECT cluster, row_number() OVER (ORDER BY cluster) AS ordinal, size,
+  printf('Cluster %d (%d elements)', row_number() OVER (ORDER BY cluster), size) AS label FROM lsize""")
+    out["t10_report"] = """SELECT cluster, pos, doc_id, substr(text, 1, 100) AS snippet FROM (
+  SELECT lang AS cluster, doc_id, text, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS pos FROM documents)
+WHERE pos <= 3"""
+    grp = f"""stops AS (SELECT * FROM (VALUES {stops}) AS s(term)),
+dtok AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(text), {q(tok)}) AS toks FROM documents),
+toks AS (SELECT doc_id, unnest(toks) AS term FROM dtok),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term NOT IN (SELECT term FROM stops) GROUP BY doc_id, term),
+g AS (SELECT doc_id, source AS cluster FROM documents),
+gtf AS (SELECT g.cluster, tf.* FROM tf JOIN g USING (doc_id)),
+gn AS (SELECT cluster, count(*) AS n_docs FROM g GROUP BY cluster),
+gs AS (SELECT cluster, term, count(*) AS df, sum(tf) AS cf FROM gtf GROUP BY cluster, term),
+gv AS (SELECT * FROM (SELECT gs.*, gn.n_docs, row_number() OVER (PARTITION BY cluster ORDER BY cf DESC, term) AS r
+       FROM gs JOIN gn USING (cluster) WHERE df >= {MIN_DF} AND df <= {MAX_DF} * n_docs) WHERE r <= {MAX_FEATURES}),
+gx AS (SELECT gtf.cluster, gtf.doc_id, gtf.term, gv.n_docs, gtf.tf * (ln((gv.n_docs + 1.0) / (gv.df + 1.0)) + 1.0) AS x
+       FROM gtf JOIN gv USING (cluster, term)),
+gw AS (SELECT cluster, term, n_docs, x / sqrt(sum(x * x) OVER (PARTITION BY cluster, doc_id)) AS v FROM gx),
+gsc AS (SELECT cluster, term, sum(v) / max(n_docs) AS score FROM gw GROUP BY cluster, term)"""
+    out["t6_group_terms"] = W(grp, """SELECT cluster, rank, term, round(score, 9) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, term) AS rank FROM gsc) WHERE rank <= 5""")
+
+    def cos(groups: str) -> str:
+        return f"""stops AS (SELECT * FROM (VALUES {stops}) AS s(term)),
+dtok AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(text), {q(tok)}) AS toks FROM documents),
+toks AS (SELECT doc_id, unnest(toks) AS term FROM dtok),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term NOT IN (SELECT term FROM stops) GROUP BY doc_id, term),
+g AS ({groups}),
+ct AS (SELECT g.cluster, tf.term, sum(tf.tf) AS tf FROM tf JOIN g USING (doc_id) GROUP BY g.cluster, tf.term),
+nc AS (SELECT count(DISTINCT cluster) AS n FROM ct),
+cdf AS (SELECT term, count(*) AS df FROM ct GROUP BY term),
+cx AS (SELECT ct.cluster, ct.term, ct.tf * (ln((1.0 + n) / (cdf.df + 1.0)) + 1.0) AS x FROM ct JOIN cdf USING (term), nc),
+cv AS (SELECT cluster, term, x / sqrt(sum(x * x) OVER (PARTITION BY cluster)) AS v FROM cx),
+cc AS (SELECT a.cluster AS c1, b.cluster AS c2, sum(a.v * b.v) AS cosine FROM cv a JOIN cv b
+       ON a.term = b.term AND a.cluster < b.cluster GROUP BY a.cluster, b.cluster)"""
+    out["t7_cluster_cosine"] = W(cos("SELECT doc_id, lang AS cluster FROM documents"),
+                                 "SELECT c1, c2, round(cosine, 9) AS cosine FROM cc")
+    out["t8_merge_pair"] = W(cos("SELECT doc_id, source AS cluster FROM documents"),
+                             "SELECT c1, c2, round(cosine, 9) AS cosine FROM cc ORDER BY cosine DESC, c1, c2 LIMIT 1")
     return out
 
 

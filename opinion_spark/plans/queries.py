@@ -396,6 +396,149 @@ def l14_modularity_by_lang(spark, sf):
     return graph.modularity(part, _edges(spark, sf)).select(F.round("modularity", 6).alias("modularity"))
 
 
+# ----------------------------------------------------------------- topics ---
+
+# --- fixed values: vectorizer limits and the topic run's sizes ---
+MIN_DF, MAX_DF, MAX_FEATURES = 7, 0.7, 3000
+TOPIC_RUN = dict(min_cluster_size=40, n_terms=6, n_clusters=6)
+
+
+def _stops():
+    from opinion_spark.sources.dims import topic_stop_words
+
+    return topic_stop_words()
+
+
+def _tf(spark, sf):
+    from opinion_spark.operators import topics
+
+    return topics.term_counts(B.docs(spark, sf), _stops())
+
+
+def _n_docs(spark, sf):
+    return B.table(spark, sf, "documents").agg(F.count(F.lit(1))).scalar()
+
+
+def _lang_groups(spark, sf):
+    return B.table(spark, sf, "documents").select("doc_id", F.col("lang").alias("cluster"))
+
+
+def t1_term_counts(spark, sf):
+    """T1 + J7: per-document term counts, stop words removed."""
+    return _tf(spark, sf)
+
+
+def t2_vocabulary(spark, sf):
+    from opinion_spark.operators import topics
+
+    return topics.vocabulary(_tf(spark, sf), _n_docs(spark, sf), MIN_DF, MAX_DF, MAX_FEATURES)
+
+
+def t3_tfidf(spark, sf):
+    from opinion_spark.operators import topics
+
+    n = _n_docs(spark, sf)
+    v = topics.vocabulary(_tf(spark, sf), n, MIN_DF, MAX_DF, MAX_FEATURES)
+    return topics.tfidf(_tf(spark, sf), v, n).select("doc_id", "term", r9("tfidf"))
+
+
+def _lang_top(spark, sf, n_terms=5):
+    from opinion_spark.operators import topics
+
+    n = _n_docs(spark, sf)
+    tf = _tf(spark, sf)
+    v = topics.vocabulary(tf, n, MIN_DF, MAX_DF, MAX_FEATURES)
+    groups = _lang_groups(spark, sf)
+    sizes = groups.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    sc = topics.cluster_term_scores(topics.tfidf(tf, v, n), groups, sizes)
+    return topics.top_terms(sc, n_terms)
+
+
+def t5_top_terms_by_lang(spark, sf):
+    """T4 + T5: mean TF-IDF per language group, top 5 terms."""
+    return _lang_top(spark, sf).select("cluster", "rank", "term", r9("score"))
+
+
+def t6_group_terms(spark, sf):
+    """Each source's own vocabulary fit, top 5 terms."""
+    from opinion_spark.operators import topics
+
+    groups = B.table(spark, sf, "documents").select("doc_id", F.col("source").alias("cluster"))
+    out = topics.top_terms_per_group(B.docs(spark, sf), groups, 5, _stops(), MIN_DF, MAX_DF, MAX_FEATURES)
+    return out.select("cluster", "rank", "term", r9("score"))
+
+
+def t7_cluster_cosine(spark, sf):
+    """T7 + J6: cosine of language-level TF-IDF vectors."""
+    from opinion_spark.operators import topics
+
+    counts = _tf(spark, sf).join(_lang_groups(spark, sf), "doc_id").groupBy("cluster", "term") \
+        .agg(F.sum("tf").alias("tf"))
+    return topics.cluster_cosine(counts).select("c1", "c2", r9("cosine"))
+
+
+def t8_merge_pair(spark, sf):
+    """T8, one round: the most similar pair of source clusters."""
+    from opinion_spark.operators import topics
+
+    groups = B.table(spark, sf, "documents").select("doc_id", F.col("source").alias("cluster"))
+    counts = _tf(spark, sf).join(groups, "doc_id").groupBy("cluster", "term").agg(F.sum("tf").alias("tf"))
+    return topics.cluster_cosine(counts).orderBy(F.col("cosine").desc(), "c1", "c2").limit(1) \
+        .select("c1", "c2", r9("cosine"))
+
+
+def t8_merge_sources(spark, sf):
+    """T8 loop: merge the 20 source clusters down to 5 (rows-only)."""
+    from opinion_spark.operators import topics
+
+    groups = B.table(spark, sf, "documents").select("doc_id", (F.regexp_extract("source", r"(\d+)$", 1)
+                                                               .cast("long")).alias("cluster"))
+    final, _ = topics.merge_clusters(spark, groups, _tf(spark, sf), 5)
+    return final
+
+
+def t10_report(spark, sf):
+    """First three documents of each language group, cut to 100 chars."""
+    from opinion_spark.operators import topics
+
+    return topics.cluster_report(_lang_groups(spark, sf), B.docs(spark, sf))
+
+
+def t11_term_weights(spark, sf):
+    from opinion_spark.operators import topics
+
+    w = topics.term_weights(_lang_top(spark, sf, 6), 6)
+    return w.select("cluster", "rank", "term", r9("size"), r9("opacity"))
+
+
+def t12_cluster_labels(spark, sf):
+    from opinion_spark.operators import topics
+
+    sizes = _lang_groups(spark, sf).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    return topics.cluster_labels(sizes)
+
+
+def l13_louvain(spark, sf):
+    """Communities of the similarity graph (rows-only check)."""
+    from opinion_spark.operators import graph
+
+    v = B.docs(spark, sf).select(F.col("doc_id").alias("id"))
+    return graph.louvain(v, _edges(spark, sf))
+
+
+def b_topic_clusters(spark, sf):
+    """Entry B (T9): topics end to end with the topic run's parameters."""
+    from opinion_spark.plans import topics as tplan
+
+    t = TOPIC_LSH
+    mem, top, _ = tplan.topic_clusters(B.docs(spark, sf), _stops(), threshold=t["lo"], num_perm=t["k"], q=t["q"],
+                                       bands=t["bands"], rows=t["rows"], hi=t["hi"], **TOPIC_RUN)
+    sizes = mem.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    terms = top.groupBy("cluster").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))),
+                                                                lambda x: x["term"]), ", ").alias("top_terms"))
+    return sizes.join(terms, "cluster", "left")
+
+
 REGISTRY = {
     "a_predicted_lead": a_predicted_lead,
     "c3_distinct_rows": c3_distinct_rows,
@@ -447,4 +590,17 @@ REGISTRY = {
     "l10_own_lsh": l10_own_lsh,
     "l12_similarity_graph": l12_similarity_graph,
     "l14_modularity_by_lang": l14_modularity_by_lang,
+    "l13_louvain": l13_louvain,
+    "t1_term_counts": t1_term_counts,
+    "t2_vocabulary": t2_vocabulary,
+    "t3_tfidf": t3_tfidf,
+    "t5_top_terms_by_lang": t5_top_terms_by_lang,
+    "t6_group_terms": t6_group_terms,
+    "t7_cluster_cosine": t7_cluster_cosine,
+    "t8_merge_pair": t8_merge_pair,
+    "t8_merge_sources": t8_merge_sources,
+    "t10_report": t10_report,
+    "t11_term_weights": t11_term_weights,
+    "t12_cluster_labels": t12_cluster_labels,
+    "b_topic_clusters": b_topic_clusters,
 }
