@@ -53,32 +53,33 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _level_modularity(comm: DataFrame, edges: DataFrame, k: DataFrame, m: float) -> float:
-    """Modularity of ``comm (node, c)`` on a level graph with self-loops."""
+def _modularity_parts(comm: DataFrame, edges: DataFrame, k: DataFrame) -> DataFrame:
+    """One-row ``(intra, d2)``: intra-community weight and sum of squared
+    community degrees for ``comm (node, c)`` on a level graph."""
     e = (edges.join(comm.select(F.col("node").alias("src"), F.col("c").alias("c1")), "src")
          .join(comm.select(F.col("node").alias("dst"), F.col("c").alias("c2")), "dst"))
-    intra = e.where(F.col("c1") == F.col("c2")).agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
+    intra = e.where(F.col("c1") == F.col("c2")).agg(F.coalesce(F.sum("w"), F.lit(0.0)).alias("intra"))
     d2 = (k.join(comm, "node").groupBy("c").agg(F.sum("k").alias("d"))
-          .agg(F.coalesce(F.sum(F.col("d") * F.col("d")), F.lit(0.0))).first()[0])
-    return intra / m - d2 / (4.0 * m * m)
+          .agg(F.coalesce(F.sum(F.col("d") * F.col("d")), F.lit(0.0)).alias("d2")))
+    return intra.withColumn("d2", d2.scalar())
 
 
 def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", max_levels: int = 10,
-            max_sweeps: int = 20, tol: float = 1e-9) -> DataFrame:
+            max_sweeps: int = 30, tol: float = 1e-9) -> DataFrame:
     """``(id, community)`` maximising modularity (Blondel et al. 2008).
 
     Local moves are synchronous and deterministic: in each sweep half of the
-    nodes (by a hash of node and sweep) may move, each to the neighbouring
-    community with the best gain ``w(v,c)/m - tot(c\\\\v) k(v) / (2 m^2)``
-    (ties to the smallest id; the alternating halves keep neighbours from
-    swapping into each other's communities); a sweep is kept only if
-    modularity rises. A
-    level ends when no sweep helps; the graph is then contracted by a grouped
-    sum of edge weights per community pair (self-loops kept). Only a few
-    scalars per sweep reach the driver; tables are checkpointed reliably.
-    Isolated vertices stay singletons.
+    nodes (by a hash of node, level and sweep) may move, each to the
+    neighbouring community with the best gain
+    ``w(v,c)/m - tot(c without v) k(v) / (2 m^2)`` (ties to the smallest id; the
+    alternating halves keep neighbours from swapping into each other's
+    communities). A sweep costs one action, which returns the proposal's
+    modularity and how many nodes moved; it is kept (and checkpointed) only
+    if modularity rises. A level ends after two sweeps without gain; the graph
+    is then contracted by a grouped sum of edge weights per community pair
+    (self-loops kept). Only scalars reach the driver; tables are checkpointed
+    reliably. Isolated vertices stay singletons.
     """
-    spark = vertices.sparkSession
     base = edges.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"),
                         F.col(weight).cast("double").alias("w")).where(F.col("src") != F.col("dst"))
     lvl_edges = _checkpoint(base.groupBy("src", "dst").agg(F.sum("w").alias("w")))
@@ -87,49 +88,44 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
     if m <= 0:
         return member.withColumnRenamed("c", "community")
     for level in range(max_levels):
-        nodes = lvl_edges.select(F.col("src").alias("node")).union(lvl_edges.select(F.col("dst").alias("node"))).distinct()
         ends = lvl_edges.select(F.col("src").alias("node"), F.col("dst").alias("other"), "w").unionByName(
             lvl_edges.select(F.col("dst").alias("node"), F.col("src").alias("other"), "w"))
         k = _checkpoint(ends.groupBy("node").agg(F.sum("w").alias("k")))  # self-loop counts twice
-        comm = _checkpoint(nodes.select("node", F.col("node").alias("c")))
-        q = _level_modularity(comm, lvl_edges, k, m)
-        moved_any = False
+        comm = k.select("node", F.col("node").alias("c"))
+        parts = _modularity_parts(comm, lvl_edges, k).first()
+        q = parts["intra"] / m - parts["d2"] / (4.0 * m * m)
+        moved_any, misses = False, 0
+        links = ends.where(F.col("node") != F.col("other"))
         for sweep in range(max_sweeps):
             tot = k.join(comm, "node").groupBy("c").agg(F.sum("k").alias("tot"))
-            nbr = (ends.where(F.col("node") != F.col("other"))
-                   .join(comm.select(F.col("node").alias("other"), F.col("c").alias("cand")), "other")
+            nbr = (links.join(comm.select(F.col("node").alias("other"), F.col("c").alias("cand")), "other")
                    .groupBy("node", "cand").agg(F.sum("w").alias("w_nc")))
             cur = comm.join(k, "node")
-            # candidates: every neighbouring community plus staying put
             stay = cur.select("node", F.col("c").alias("cand"), F.lit(0.0).alias("w_nc"))
             cands = nbr.unionByName(stay).groupBy("node", "cand").agg(F.sum("w_nc").alias("w_nc"))
             g = cands.join(cur, "node").join(tot.withColumnRenamed("c", "cand"), "cand")
             tot_ex = F.col("tot") - F.when(F.col("cand") == F.col("c"), F.col("k")).otherwise(F.lit(0.0))
             g = g.withColumn("gain", F.col("w_nc") / m - tot_ex * F.col("k") / (2.0 * m * m))
+            key = F.struct("gain", (-F.col("cand")).alias("neg"))
             best = (g.groupBy("node")
-                    .agg(F.max_by(F.struct("gain", (-F.col("cand")).alias("neg")), F.struct("gain", (-F.col("cand")).alias("neg"))).alias("b"),
-                         F.first("c").alias("c"),
+                    .agg(F.max_by(key, key).alias("b"), F.first("c").alias("c"),
                          F.max(F.when(F.col("cand") == F.col("c"), F.col("gain"))).alias("stay_gain")))
             target = -F.col("b.neg")
             allowed = F.pmod(F.xxhash64("node", F.lit(level), F.lit(sweep)), F.lit(2)) == 0
             improves = F.col("b.gain") > F.col("stay_gain") + tol
-            new_c = F.when(allowed & improves, target).otherwise(F.col("c"))
-            proposal = best.select("node", new_c.alias("c"))
-            cand_comm = _checkpoint(proposal)
-            changed = cand_comm.join(comm.withColumnRenamed("c", "old"), "node").where(
-                F.col("c") != F.col("old")).limit(1).count()
-            if not changed:
-                if sweep > 0 and (sweep % 2 == 1):
+            proposal = best.select("node", F.when(allowed & improves, target).otherwise(F.col("c")).alias("c"),
+                                   F.col("c").alias("old"))
+            mods = _modularity_parts(proposal.select("node", "c"), lvl_edges, k).withColumn(
+                "moved", proposal.agg(F.count_if(F.col("c") != F.col("old"))).scalar()).first()
+            q_new = mods["intra"] / m - mods["d2"] / (4.0 * m * m)
+            if mods["moved"] > 0 and q_new > q + tol:
+                comm, q, moved_any, misses = _checkpoint(proposal.select("node", "c")), q_new, True, 0
+            else:
+                misses += 1
+                if misses >= 2:
                     break
-                continue
-            q_new = _level_modularity(cand_comm, lvl_edges, k, m)
-            if q_new > q + tol:
-                comm, q, moved_any = cand_comm, q_new, True
-            elif sweep > 1:
-                break
         if not moved_any:
             break
-        # contract: members follow their node's community; edges re-summed
         member = _checkpoint(member.join(comm.select(F.col("node").alias("c"), F.col("c").alias("nc")), "c", "left")
                              .select("id", F.coalesce("nc", "c").alias("c")))
         mapped = (lvl_edges.join(comm.select(F.col("node").alias("src"), F.col("c").alias("a")), "src")

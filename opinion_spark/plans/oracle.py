@@ -319,6 +319,12 @@ FROM shares WHERE state = 'NATION_3'
 UNION ALL SELECT state, round(dp, 9), 'after' FROM pw WHERE state = 'NATION_3'""")
     out.update(similarity_sql())
     out.update(topics_sql())
+    out["c16_word_costs"] = """WITH dtok AS MATERIALIZED (
+  SELECT regexp_extract_all(lower(text), '[\\p{L}\\p{N}'']+') AS toks FROM documents),
+wc AS (SELECT unnest(toks) AS word FROM dtok),
+cnt AS (SELECT word, count(*) AS c FROM wc GROUP BY word),
+rk AS (SELECT word, row_number() OVER (ORDER BY c DESC, word) - 1 AS r, count(*) OVER () AS n FROM cnt)
+SELECT word, round(ln((r + 1.0) * ln(CAST(n AS DOUBLE))), 9) AS cost FROM rk"""
     return out
 
 

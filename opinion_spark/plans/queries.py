@@ -539,6 +539,49 @@ def b_topic_clusters(spark, sf):
     return sizes.join(terms, "cluster", "left")
 
 
+# --------------------------------------------------------------- hashtags ---
+
+def _tagged_docs(spark, sf):
+    """Documents with a derived hashtag appended: '#' + its first three
+    3+-letter words, capitalised and run together (the driver's texts carry
+    almost no hashtags of their own)."""
+    d = B.docs(spark, sf)
+    words = F.slice(F.regexp_extract_all("text", F.lit(r"\p{L}{3,}"), 0), 1, 3)
+    tag = F.array_join(F.transform(words, lambda w: F.initcap(w)), "")
+    return d.withColumn("text", F.concat(F.col("text"), F.lit(" #"), tag))
+
+
+def _word_costs(spark, sf):
+    from opinion_spark.operators import hashtags
+
+    return hashtags.word_costs(hashtags.corpus_word_counts(B.docs(spark, sf)))
+
+
+def c16_word_costs(spark, sf):
+    """Unigram costs from the corpus' word frequencies."""
+    return _word_costs(spark, sf).select("word", r9("cost"))
+
+
+def c17_segment_tags(spark, sf):
+    """C17: minimum-cost segmentation of every distinct derived tag (rows-only)."""
+    from opinion_spark.operators import hashtags
+
+    d = _tagged_docs(spark, sf)
+    tags = d.select(F.explode(F.regexp_extract_all("text", F.lit(hashtags.TAG), 0)).alias("t")) \
+        .select(F.substring("t", 2, 1 << 20).alias("tag"))
+    return hashtags.segment_tags(tags, _word_costs(spark, sf)).select(
+        "tag", F.array_join("words", " ").alias("words"), r9("cost"))
+
+
+def c14_process_posts(spark, sf):
+    """C13 + C14 + C18: URLs stripped, hashtags replaced by their words (rows-only)."""
+    from opinion_spark.operators import hashtags
+
+    d = _tagged_docs(spark, sf).withColumn("text", cleaning.strip_urls(F.col("text")))
+    out = hashtags.replace_hashtags(d, _word_costs(spark, sf))
+    return out.select("doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 REGISTRY = {
     "a_predicted_lead": a_predicted_lead,
     "c3_distinct_rows": c3_distinct_rows,
@@ -603,4 +646,7 @@ REGISTRY = {
     "t11_term_weights": t11_term_weights,
     "t12_cluster_labels": t12_cluster_labels,
     "b_topic_clusters": b_topic_clusters,
+    "c14_process_posts": c14_process_posts,
+    "c16_word_costs": c16_word_costs,
+    "c17_segment_tags": c17_segment_tags,
 }
