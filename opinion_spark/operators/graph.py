@@ -45,12 +45,33 @@ def modularity(partition: DataFrame, edges: DataFrame, weight: str = "similarity
     return per.agg(F.sum("q").alias("modularity"))
 
 
+def _debug(msg: str) -> None:
+    import os
+    import sys
+    import time
+
+    if os.environ.get("OPINION_DEBUG"):
+        print(f"[{time.strftime('%H:%M:%S')}] {msg}", file=sys.stderr, flush=True)
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
+    """Cut lineage: write the table as Parquet under the shared checkpoint
+    folder (``spark.checkpoint.dir``) and read it back.
+
+    A lost executor then costs a re-read of finished files, never a replay of
+    earlier sweeps. (``Dataset.checkpoint`` is not used here: its relation
+    keeps the size estimate of the plan it replaced, and an iterative job that
+    joins such relations again and again multiplies those estimates until the
+    planner's arithmetic dominates the run.)
+    """
+    import uuid
+
     from opinion_spark.session import checkpoint_dir
 
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = checkpoint_dir(spark).rstrip("/") + "/tables/" + uuid.uuid4().hex
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _modularity_parts(comm: DataFrame, edges: DataFrame, k: DataFrame) -> DataFrame:
@@ -65,7 +86,7 @@ def _modularity_parts(comm: DataFrame, edges: DataFrame, k: DataFrame) -> DataFr
 
 
 def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", max_levels: int = 10,
-            max_sweeps: int = 30, tol: float = 1e-9) -> DataFrame:
+            max_sweeps: int = 30, tol: float = 1e-9, min_gain: float = 1e-4) -> DataFrame:
     """``(id, community)`` maximising modularity (Blondel et al. 2008).
 
     Local moves are synchronous and deterministic: in each sweep half of the
@@ -105,7 +126,8 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
             cands = nbr.unionByName(stay).groupBy("node", "cand").agg(F.sum("w_nc").alias("w_nc"))
             g = cands.join(cur, "node").join(tot.withColumnRenamed("c", "cand"), "cand")
             tot_ex = F.col("tot") - F.when(F.col("cand") == F.col("c"), F.col("k")).otherwise(F.lit(0.0))
-            g = g.withColumn("gain", F.col("w_nc") / m - tot_ex * F.col("k") / (2.0 * m * m))
+            # rounded so that float summation order cannot flip near-ties between runs
+            g = g.withColumn("gain", F.round(F.col("w_nc") / m - tot_ex * F.col("k") / (2.0 * m * m), 12))
             key = F.struct("gain", (-F.col("cand")).alias("neg"))
             best = (g.groupBy("node")
                     .agg(F.max_by(key, key).alias("b"), F.first("c").alias("c"),
@@ -118,8 +140,12 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
             mods = _modularity_parts(proposal.select("node", "c"), lvl_edges, k).withColumn(
                 "moved", proposal.agg(F.count_if(F.col("c") != F.col("old"))).scalar()).first()
             q_new = mods["intra"] / m - mods["d2"] / (4.0 * m * m)
+            _debug(f"level {level} sweep {sweep} moved {mods['moved']} q {q:.6f} -> {q_new:.6f}")
             if mods["moved"] > 0 and q_new > q + tol:
-                comm, q, moved_any, misses = _checkpoint(proposal.select("node", "c")), q_new, True, 0
+                comm, gain = _checkpoint(proposal.select("node", "c")), q_new - q
+                q, moved_any, misses = q_new, True, 0
+                if gain < min_gain:
+                    break
             else:
                 misses += 1
                 if misses >= 2:
