@@ -330,7 +330,7 @@ def _sigs(spark, sf):
 
 def _edges(spark, sf):
     t = TOPIC_LSH
-    return similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], t["hi"])
+    return similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], t["hi"], k=t["k"])
 
 
 def l1_shingles(spark, sf):
@@ -366,7 +366,7 @@ def l6_blocked_pairs(spark, sf):
     """L6 with a fresh index per 10 000 ids (quirk Q7 parity)."""
     t = TOPIC_LSH
     out = similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], t["hi"],
-                                   index_block=10000)
+                                   index_block=10000, k=t["k"])
     return out.select("src", "dst", r9("similarity"))
 
 

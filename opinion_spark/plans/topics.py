@@ -24,7 +24,7 @@ def topic_clusters(docs: DataFrame, stop_words: list[str], threshold: float = 0.
         bands, rows = similarity.optimal_bands(threshold, num_perm)
     d = docs.select(key, text)
     sigs = similarity.minhash(d, num_perm, q, text=text, key=key)
-    edges = similarity.similar_pairs(sigs, bands, rows, threshold, hi, key=key)
+    edges = similarity.similar_pairs(sigs, bands, rows, threshold, hi, key=key, k=num_perm)
     part = graph.louvain(d.select(F.col(key).alias("id")), edges)
     sizes = graph.clusters_of(part, min_cluster_size).withColumnRenamed("community", "cluster")
     membership = (part.join(sizes, part.community == sizes.cluster, "inner")

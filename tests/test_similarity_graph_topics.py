@@ -38,7 +38,7 @@ def test_similar_pairs_match_brute_force(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     sig = similarity.minhash(df, 40, 3)
     sigs = {r["doc_id"]: r["sig"] for r in sig.collect()}
-    got = {(r["src"], r["dst"]): r["similarity"] for r in similarity.similar_pairs(sig, 20, 2, 0.0, None, block=2).collect()}
+    got = {(r["src"], r["dst"]): r["similarity"] for r in similarity.similar_pairs(sig, 20, 2, 0.0, None, block=2, k=40).collect()}
     want = {}
     for i in sigs:
         for j in sigs:
