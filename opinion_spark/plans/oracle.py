@@ -32,7 +32,8 @@ def posts_cte() -> str:
     return """posts AS (
   SELECT d.doc_id, d.text AS tweet, d.source, n.n_name AS state,
          CAST(regexp_extract(d.source, '(\\d+)$', 1) AS BIGINT) AS src_no
-  FROM documents d LEFT JOIN nation n ON n.n_nationkey = CAST(((d.doc_id % 25) + 25) % 25 AS INTEGER))"""
+  FROM documents d LEFT JOIN customer c ON c.c_custkey = d.doc_id
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey)"""
 
 
 def cleaned_ctes() -> str:

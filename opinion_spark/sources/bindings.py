@@ -5,7 +5,7 @@ the given tables by Spark, over whole tables and whole texts:
 
 * post  = ``documents`` row: ``tweet`` = full ``text``, ``source`` = its
   ``source`` tag, input order = (source number, ``doc_id``);
-* state = ``nation.n_name`` of nation ``pmod(doc_id, 25)``;
+* state = the nation of the post's author (customer ``c_custkey = doc_id``);
   the region filter keeps nations of regions 0-3;
 * state code = ``'N' || n_nationkey``;
 * precinct votes = ``orders`` x ``customer`` x ``nation``: state_po = code,
@@ -39,17 +39,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def state_col(key: str) -> F.Column:
-    return F.pmod(F.col(key), F.lit(25)).cast("int")
-
-
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Post table: ``doc_id, tweet, source, state, _ord``."""
+    """Post table: ``doc_id, tweet, source, state, _ord``.
+
+    A post's author is the customer with ``c_custkey = doc_id``; its state is
+    the author's nation (posts without an author have no state, like posts
+    without a location, and are dropped by the region filter).
+    """
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     src_no = F.regexp_extract("source", r"(\d+)$", 1).cast("long")
-    out = (docs.withColumn("_nk", state_col("doc_id"))
-           .join(nation, F.col("_nk") == F.col("n_nationkey"), "left")
+    out = (docs.join(cust, docs.doc_id == cust.c_custkey, "left")
+           .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
            .select("doc_id", F.col("text").alias("tweet"), "source", F.col("n_name").alias("state")))
     return with_ordinal(out, src_no, F.col("doc_id"))
 
