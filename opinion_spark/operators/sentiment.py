@@ -32,7 +32,7 @@ NEGATIONS = [
 ]
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_']+"
-MAX_INLINE_LEXICON = 200_000  # entries; beyond this the lexicon is joined, not inlined
+MAX_INLINE_LEXICON = 20_000  # entries inlined as a map literal
 
 _VAL = "decimal(12,4)"
 # (-0.74)^k for k = 0..3 negations in the look-back window, exact decimals.
@@ -49,15 +49,33 @@ def _negated(tok: Column) -> Column:
     return F.array_contains(F.lit(NEGATIONS), tok) | tok.endswith("n't")
 
 
+# Exact scaled-integer arithmetic: valences in 1e-4 units, negation factors in
+# 1e-6 units, so a token score is a LONG in 1e-10 units; the "but" factors
+# (0.5 / 1 / 1.5 = 5 / 10 / 15 tenths) bring sums to 1e-11 units. Every sum
+# stays far below 2^53, so the final division by 1e11 gives the correctly
+# rounded double of the exact decimal result, with no BigDecimal in the loop.
+_VAL_SCALE = 10_000
+_NEG_UNITS = (1_000_000, -740_000, 547_600, -405_224)
+_UNIT = 100_000_000_000  # 1e11
+_EXCL_UNITS = 29_200_000_000  # 0.292
+_Q_UNITS = 18_000_000_000  # 0.18
+_QMAX_UNITS = 96_000_000_000  # 0.96
+
+
 def lexicon_map(lexicon: dict[str, float] | DataFrame) -> Column:
-    """Lexicon as a map literal; a DataFrame lexicon is size-checked first."""
+    """Lexicon as a map literal of valences in 1e-4 units.
+
+    A DataFrame lexicon is size-checked before it is collected and inlined
+    (map lookups in a literal are linear scans, so the literal stays small).
+    """
     if not isinstance(lexicon, dict):
         n = lexicon.count()
         if n > MAX_INLINE_LEXICON:
-            raise ValueError(f"lexicon has {n} entries; above {MAX_INLINE_LEXICON} use lexicon_sentiment_joined")
+            raise ValueError(f"lexicon has {n} entries; at most {MAX_INLINE_LEXICON} can be inlined")
         lexicon = {r[0]: float(r[1]) for r in lexicon.collect()}
     words = sorted(lexicon)
-    return F.map_from_arrays(F.lit(words), F.lit([str(lexicon[w]) for w in words]).cast(f"array<{_VAL}>"))
+    units = [int(round(lexicon[w] * _VAL_SCALE)) for w in words]
+    return F.map_from_arrays(F.lit(words), F.lit(units).cast("array<long>"))
 
 
 def lexicon_sentiment(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str = "text",
@@ -71,65 +89,64 @@ def lexicon_sentiment(df: DataFrame, lexicon: dict[str, float] | DataFrame, text
     the score below a dedup window), the tokenizer still runs once per row.
     """
     lex = lexicon_map(lexicon)
-    z = F.lit(0).cast(_ACC)
+    zl = F.lit(0).cast("long")
+    segs = "bma"  # before the first "but", the "but" itself, after it
     init = F.struct(
-        F.lit(0).alias("p1"), F.lit(0).alias("p2"), F.lit(0).alias("p3"),  # negation flags, t-1..t-3
-        F.lit(0).alias("seg"),  # 0 before the first "but", 1 on it, 2 after
-        F.lit(0).alias("n"), F.lit(0).alias("neu"),
-        *[z.alias(f"{k}{g}") for g in "bma" for k in ("ps", "ns")],
-        *[F.lit(0).alias(f"{k}{g}") for g in "bma" for k in ("pc", "nc")],
-        *[z.alias(f"s{g}") for g in "bma"],
+        F.lit(0).alias("p1"), F.lit(0).alias("p2"), F.lit(0).alias("p3"),
+        F.lit(0).alias("seg"), F.lit(0).alias("n"),
+        *[zl.alias(f"{k}{g}") for g in segs for k in ("s", "ps")],
+        *[F.lit(0).alias(f"{k}{g}") for g in segs for k in ("pc", "nc")],
     )
+    names = ["p1", "p2", "p3", "seg", "n",
+             *[f"{k}{g}" for g in segs for k in ("s", "ps")],
+             *[f"{k}{g}" for g in segs for k in ("pc", "nc")]]
+    factors = F.array(*[F.lit(v).cast("long") for v in _NEG_UNITS])
 
     def step(acc, tok):
         n_neg = acc["p1"] + acc["p2"] + acc["p3"]
-        factor = F.element_at(F.array(*[F.lit(v).cast("decimal(12,6)") for v in NEG_FACTORS]), n_neg + 1)
-        v = (F.coalesce(F.try_element_at(lex, tok), F.lit(0).cast(_VAL)) * factor).cast(_ACC)
+        v = F.coalesce(F.try_element_at(lex, tok), zl) * F.element_at(factors, n_neg + 1)
         seg = F.when((acc["seg"] == 0) & (tok == "but"), F.lit(1)) \
                .when(acc["seg"] == 1, F.lit(2)).otherwise(acc["seg"])
-        fields = {"p1": _negated(tok).cast("int"), "p2": acc["p1"], "p3": acc["p2"], "seg": seg,
-                  "n": acc["n"] + 1, "neu": acc["neu"] + F.when(v == 0, 1).otherwise(0)}
-        for i, g in enumerate("bma"):
+        f = {"p1": _negated(tok).cast("int"), "p2": acc["p1"], "p3": acc["p2"], "seg": seg, "n": acc["n"] + 1}
+        for i, g in enumerate(segs):
             here = seg == i
-            fields[f"ps{g}"] = (acc[f"ps{g}"] + F.when(here & (v > 0), v).otherwise(z)).cast(_ACC)
-            fields[f"ns{g}"] = (acc[f"ns{g}"] + F.when(here & (v < 0), v).otherwise(z)).cast(_ACC)
-            fields[f"pc{g}"] = acc[f"pc{g}"] + F.when(here & (v > 0), 1).otherwise(0)
-            fields[f"nc{g}"] = acc[f"nc{g}"] + F.when(here & (v < 0), 1).otherwise(0)
-            fields[f"s{g}"] = (acc[f"s{g}"] + F.when(here, v).otherwise(z)).cast(_ACC)
-        return F.struct(*[fields[f].alias(f) for f in init_names])
-
-    init_names = ["p1", "p2", "p3", "seg", "n", "neu",
-                  *[f"{k}{g}" for g in "bma" for k in ("ps", "ns")],
-                  *[f"{k}{g}" for g in "bma" for k in ("pc", "nc")],
-                  *[f"s{g}" for g in "bma"]]
+            f[f"s{g}"] = acc[f"s{g}"] + F.when(here, v).otherwise(zl)
+            f[f"ps{g}"] = acc[f"ps{g}"] + F.when(here & (v > 0), v).otherwise(zl)
+            f[f"pc{g}"] = acc[f"pc{g}"] + F.when(here & (v > 0), 1).otherwise(0)
+            f[f"nc{g}"] = acc[f"nc{g}"] + F.when(here & (v < 0), 1).otherwise(0)
+        return F.struct(*[f[x].alias(x) for x in names])
+
     n_excl = F.least(F.length(text) - F.length(F.regexp_replace(text, "!", "")), F.lit(EXCLAMATION_MAX))
     n_q = F.length(text) - F.length(F.regexp_replace(text, r"\?", ""))
-    q_amp = (F.when(n_q <= 1, z)
-             .when(n_q <= 3, (n_q.cast("decimal(10,0)") * F.lit(QUESTION_STEP).cast("decimal(3,2)")).cast(_ACC))
-             .otherwise(F.lit(QUESTION_MAX).cast(_ACC)))
-    amp = ((n_excl.cast("decimal(10,0)") * F.lit(EXCLAMATION_STEP).cast("decimal(4,3)")).cast(_ACC) + q_amp).cast(_ACC)
+    q_amp = (F.when(n_q <= 1, zl).when(n_q <= 3, n_q.cast("long") * _Q_UNITS).otherwise(F.lit(_QMAX_UNITS)))
+    amp = n_excl.cast("long") * _EXCL_UNITS + q_amp  # 1e-11 units
 
     def finish(f):
         # Runs once per row on the final accumulator; every output is built
         # here, so downstream references never duplicate the fold.
-        fb = F.when(f["seg"] > 0, F.lit(BUT_BEFORE).cast("decimal(2,1)")).otherwise(F.lit(1).cast("decimal(2,1)"))
-        fa = F.lit(BUT_AFTER).cast("decimal(2,1)")
+        fb = F.when(f["seg"] > 0, F.lit(5)).otherwise(F.lit(10)).cast("long")  # tenths
 
-        def scaled(k: str) -> Column:
-            return (f[f"{k}b"] * fb + f[f"{k}m"] + f[f"{k}a"] * fa).cast(_ACC)
+        def scaled(k: str) -> Column:  # 1e-11 units
+            return f[f"{k}b"] * fb + f[f"{k}m"] * 10 + f[f"{k}a"] * 15
 
         s_sum = scaled("s")
-        pos = (scaled("ps") + (f["pcb"] + f["pcm"] + f["pca"]).cast(_ACC)).cast(_ACC)
-        negabs = F.abs((scaled("ns") - (f["ncb"] + f["ncm"] + f["nca"]).cast(_ACC)).cast(_ACC))
-        adj = F.when(s_sum > 0, s_sum + amp).when(s_sum < 0, s_sum - amp).otherwise(s_sum).cast("double")
+        ps = scaled("ps")
+        ns = s_sum - ps
+        pcount = f["pcb"] + f["pcm"] + f["pca"]
+        ncount = f["ncb"] + f["ncm"] + f["nca"]
+        pos = ps + pcount.cast("long") * _UNIT
+        negabs = -(ns - ncount.cast("long") * _UNIT)
+        neu = (f["n"] - pcount - ncount).cast("double")
+        adj = (F.when(s_sum > 0, s_sum + amp).when(s_sum < 0, s_sum - amp).otherwise(s_sum)
+               .cast("double") / float(_UNIT))
         compound = F.least(F.greatest(adj / F.sqrt(adj * adj + F.lit(ALPHA)), F.lit(-1.0)), F.lit(1.0))
-        pos_adj = F.when(pos > negabs, pos + amp).otherwise(pos).cast("double")
-        neg_adj = F.when(pos < negabs, negabs + amp).otherwise(negabs).cast("double")
-        total = pos_adj + neg_adj + f["neu"].cast("double")
+        pos_adj = F.when(pos > negabs, pos + amp).otherwise(pos).cast("double") / float(_UNIT)
+        neg_adj = F.when(pos < negabs, negabs + amp).otherwise(negabs).cast("double") / float(_UNIT)
+        total = pos_adj + neg_adj + neu
         empty = f["n"] == 0
         return F.struct(
             F.when(empty, 0.0).otherwise(F.round(F.abs(pos_adj / total), 3)).alias("positive"),
-            F.when(empty, 0.0).otherwise(F.round(F.abs(f["neu"] / total), 3)).alias("neutral"),
+            F.when(empty, 0.0).otherwise(F.round(F.abs(neu / total), 3)).alias("neutral"),
             F.when(empty, 0.0).otherwise(F.round(F.abs(neg_adj / total), 3)).alias("negative"),
             F.when(empty, 0.0).otherwise(F.round(compound, 4)).alias("compound"))
 
