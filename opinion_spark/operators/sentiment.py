@@ -32,7 +32,7 @@ NEGATIONS = [
 ]
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_']+"
-MAX_INLINE_LEXICON = 20_000  # entries inlined as a map literal
+MAX_INLINE_LEXICON = 64  # entries inlined as a map literal; larger lexicons are joined
 
 _VAL = "decimal(12,4)"
 # (-0.74)^k for k = 0..3 negations in the look-back window, exact decimals.
@@ -78,9 +78,9 @@ def lexicon_map(lexicon: dict[str, float] | DataFrame) -> Column:
     return F.map_from_arrays(F.lit(words), F.lit(units).cast("array<long>"))
 
 
-def lexicon_sentiment(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str = "text",
-                      prefix: str = "") -> DataFrame:
-    """``positive, neutral, negative, compound`` for every row.
+def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str = "text",
+                            prefix: str = "") -> DataFrame:
+    """N2 for small lexicons: ``positive, neutral, negative, compound`` for every row.
 
     One left fold over the token array carries the last three negation flags
     and the running sums, split at the first "but" (before x0.5, after x1.5).
@@ -156,6 +156,80 @@ def lexicon_sentiment(df: DataFrame, lexicon: dict[str, float] | DataFrame, text
     return out.drop("_score")
 
 
+def lexicon_sentiment(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str = "text",
+                      prefix: str = "", key: str = "doc_id", method: str = "auto") -> DataFrame:
+    """``positive, neutral, negative, compound`` for every row.
+
+    ``method='fold'`` scores each row with one array fold and a map-literal
+    lexicon (no shuffle; for small lexicons, since map-literal lookups scan
+    linearly). ``'join'`` explodes tokens and joins the lexicon as a table
+    (any size; AQE broadcasts it when its measured size allows), keyed by
+    ``key``. ``'auto'`` picks by lexicon size. Both give identical results.
+    """
+    if method == "auto":
+        n = len(lexicon) if isinstance(lexicon, dict) else lexicon.count()
+        method = "fold" if n <= MAX_INLINE_LEXICON else "join"
+    if method == "fold":
+        return _lexicon_sentiment_fold(df, lexicon, text, prefix)
+    return _lexicon_sentiment_join(df, lexicon, text, prefix, key)
+
+
+def _lexicon_sentiment_join(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str,
+                            prefix: str, key: str) -> DataFrame:
+    spark = df.sparkSession
+    if isinstance(lexicon, dict):
+        lex = spark.createDataFrame([(w, float(v)) for w, v in lexicon.items()], "word string, valence double")
+    else:
+        lex = lexicon.toDF("word", "valence")
+    lex = lex.select("word", F.round(F.col("valence") * _VAL_SCALE).cast("long").alias("vu"))
+    t = tokens(F.col(text))
+    n = F.size(t)
+
+    def shifted(k: int) -> Column:  # token k places earlier, "" before the start
+        return F.concat(F.array_repeat(F.lit(""), k), F.slice(t, 1, F.greatest(n - k, F.lit(0))))
+
+    base = df.select(key, n.alias("_n"), F.array_position(t, "but").alias("_but"),
+                     F.arrays_zip(t.alias("tok"), shifted(1).alias("q1"), shifted(2).alias("q2"),
+                                  shifted(3).alias("q3")).alias("_z"))
+    toks = base.select(key, "_but", F.posexplode("_z").alias("_i", "z")).select(
+        key, "_but", (F.col("_i") + 1).alias("p"), "z.tok", "z.q1", "z.q2", "z.q3")
+    hits = toks.join(lex, toks.tok == lex.word, "inner")
+    n_neg = sum(_negated(F.col(c)).cast("int") for c in ("q1", "q2", "q3"))
+    factors = F.array(*[F.lit(v).cast("long") for v in _NEG_UNITS])
+    v = F.col("vu") * F.element_at(factors, n_neg + 1)
+    tenths = (F.when((F.col("_but") > 0) & (F.col("p") < F.col("_but")), F.lit(5))
+              .when((F.col("_but") > 0) & (F.col("p") > F.col("_but")), F.lit(15)).otherwise(F.lit(10))).cast("long")
+    hv = hits.select(key, (v * tenths).alias("s"), (v != 0).alias("nz"))
+    sums = hv.groupBy(key).agg(
+        F.sum("s").alias("_s"),
+        F.sum(F.when(F.col("s") > 0, F.col("s")).otherwise(F.lit(0).cast("long"))).alias("_ps"),
+        F.count_if(F.col("s") > 0).alias("_pc"), F.count_if(F.col("s") < 0).alias("_nc"))
+    per = df.join(base.select(key, "_n"), key, "left").join(sums, key, "left")
+    zl = F.lit(0).cast("long")
+    s_sum, ps = F.coalesce("_s", zl), F.coalesce("_ps", zl)
+    pcount, ncount = F.coalesce("_pc", zl), F.coalesce("_nc", zl)
+    n_excl = F.least(F.length(text) - F.length(F.regexp_replace(text, "!", "")), F.lit(EXCLAMATION_MAX))
+    n_q = F.length(text) - F.length(F.regexp_replace(text, r"\?", ""))
+    q_amp = (F.when(n_q <= 1, zl).when(n_q <= 3, n_q.cast("long") * _Q_UNITS).otherwise(F.lit(_QMAX_UNITS)))
+    amp = n_excl.cast("long") * _EXCL_UNITS + q_amp
+    pos = ps + pcount * _UNIT
+    negabs = -((s_sum - ps) - ncount * _UNIT)
+    neu = (F.coalesce("_n", F.lit(0)) - pcount - ncount).cast("double")
+    adj = (F.when(s_sum > 0, s_sum + amp).when(s_sum < 0, s_sum - amp).otherwise(s_sum).cast("double") / float(_UNIT))
+    compound = F.least(F.greatest(adj / F.sqrt(adj * adj + F.lit(ALPHA)), F.lit(-1.0)), F.lit(1.0))
+    pos_adj = F.when(pos > negabs, pos + amp).otherwise(pos).cast("double") / float(_UNIT)
+    neg_adj = F.when(pos < negabs, negabs + amp).otherwise(negabs).cast("double") / float(_UNIT)
+    total = pos_adj + neg_adj + neu
+    empty = F.coalesce("_n", F.lit(0)) == 0
+    out = per.withColumns({
+        prefix + "positive": F.when(empty, 0.0).otherwise(F.round(F.abs(pos_adj / total), 3)),
+        prefix + "neutral": F.when(empty, 0.0).otherwise(F.round(F.abs(neu / total), 3)),
+        prefix + "negative": F.when(empty, 0.0).otherwise(F.round(F.abs(neg_adj / total), 3)),
+        prefix + "compound": F.when(empty, 0.0).otherwise(F.round(compound, 4)),
+    })
+    return out.drop("_n", "_s", "_ps", "_pc", "_nc")
+
+
 def context_filter(tokens_df: DataFrame, keep: tuple[str, ...] = ("nsubj", "dobj", "pobj", "ROOT"),
                    docs: DataFrame | None = None, doc_col: str = "doc_id") -> DataFrame:
     """Keep tokens whose dependency label is in ``keep``, rejoined in order.

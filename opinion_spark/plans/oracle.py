@@ -178,6 +178,7 @@ UNION ALL SELECT 'exactly_one', count(*) FROM labelled WHERE tweet_about IN ('tr
   0.0::DOUBLE AS negative, 0.0::DOUBLE AS compound, 0 AS likely_party FROM labelled WHERE tweet_about IN ('trump', 'biden')""")
     out["n2_lexicon_sentiment"] = W(sentiment_ctes("documents", "text"),
                                     "SELECT doc_id, positive, neutral, negative, compound FROM sent")
+    out["n2_lexicon_sentiment_joined"] = out["n2_lexicon_sentiment"]
     out["n3_party_label"] = W(S, "SELECT doc_id, tweet_about, compound, likely_party FROM scored")
     ctx = f"""ctoks AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(text, {q(TOKEN_PATTERN)}) AS toks FROM documents),

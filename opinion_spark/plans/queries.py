@@ -110,6 +110,13 @@ def n2_lexicon_sentiment(spark, sf):
         "doc_id", "positive", "neutral", "negative", "compound")
 
 
+def n2_lexicon_sentiment_joined(spark, sf):
+    """N2 through the large-lexicon path (tokens exploded, lexicon joined)."""
+    d = B.docs(spark, sf)
+    return sentiment.lexicon_sentiment(d, B.LEXICON, "text", method="join").select(
+        "doc_id", "positive", "neutral", "negative", "compound")
+
+
 def n3_party_label(spark, sf):
     return _scored(spark, sf).select("doc_id", "tweet_about", "compound", "likely_party")
 
@@ -593,6 +600,7 @@ REGISTRY = {
     "c19_score_columns": c19_score_columns,
     "n1_context_filter": n1_context_filter,
     "n2_lexicon_sentiment": n2_lexicon_sentiment,
+    "n2_lexicon_sentiment_joined": n2_lexicon_sentiment_joined,
     "n3_party_label": n3_party_label,
     "n4_party_fallback": n4_party_fallback,
     "n5_class_summary": n5_class_summary,

@@ -78,3 +78,14 @@ def test_melt_inverts_pivot(spark):
     p = regional.class_pivot(df)
     m = regional.melt(p.select("state", "n_unsure", "n_dem", "n_rep"), ["state"], ["n_unsure", "n_dem", "n_rep"])
     assert m.agg(F.sum("count")).first()[0] == 3
+
+
+def test_fold_and_join_paths_agree(spark):
+    lex = {"good": 2.0, "bad": -2.0, "nice": 1.1, "awful": -2.5}
+    texts = ["not good", "good but bad!", "never not nice at all?? really??", "", "plain words",
+             "awful awful good but not bad", "don't like awful things!!!!!"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    cols = ["doc_id", "positive", "neutral", "negative", "compound"]
+    a = sorted(tuple(r) for r in sentiment.lexicon_sentiment(df, lex, method="fold").select(cols).collect())
+    b = sorted(tuple(r) for r in sentiment.lexicon_sentiment(df, lex, method="join").select(cols).collect())
+    assert a == b
