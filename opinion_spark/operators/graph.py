@@ -94,9 +94,9 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
     neighbouring community with the best gain
     ``w(v,c)/m - tot(c without v) k(v) / (2 m^2)`` (ties to the smallest id; the
     alternating halves keep neighbours from swapping into each other's
-    communities). A sweep costs one action, which returns the proposal's
-    modularity and how many nodes moved; it is kept (and checkpointed) only
-    if modularity rises. A level ends after two sweeps without gain; the graph
+    communities). A sweep writes its proposal once and reads back its
+    modularity and how many nodes moved; it is kept only if modularity
+    rises. A level ends after two sweeps without gain; the graph
     is then contracted by a grouped sum of edge weights per community pair
     (self-loops kept). Only scalars reach the driver; tables are checkpointed
     reliably. Isolated vertices stay singletons.
@@ -135,14 +135,16 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
             target = -F.col("b.neg")
             allowed = F.pmod(F.xxhash64("node", F.lit(level), F.lit(sweep)), F.lit(2)) == 0
             improves = F.col("b.gain") > F.col("stay_gain") + tol
-            proposal = best.select("node", F.when(allowed & improves, target).otherwise(F.col("c")).alias("c"),
-                                   F.col("c").alias("old"))
+            # the proposal is computed once and written; modularity and the move
+            # count are then read from the written table
+            proposal = _checkpoint(best.select("node", F.when(allowed & improves, target).otherwise(F.col("c"))
+                                               .alias("c"), F.col("c").alias("old")))
             mods = _modularity_parts(proposal.select("node", "c"), lvl_edges, k).withColumn(
                 "moved", proposal.agg(F.count_if(F.col("c") != F.col("old"))).scalar()).first()
             q_new = mods["intra"] / m - mods["d2"] / (4.0 * m * m)
             _debug(f"level {level} sweep {sweep} moved {mods['moved']} q {q:.6f} -> {q_new:.6f}")
             if mods["moved"] > 0 and q_new > q + tol:
-                comm, gain = _checkpoint(proposal.select("node", "c")), q_new - q
+                comm, gain = proposal.select("node", "c"), q_new - q
                 q, moved_any, misses = q_new, True, 0
                 if gain < min_gain:
                     break
