@@ -430,7 +430,7 @@ def sig_ctes(k: int, q: int, char_xor: bool = False, name: str = "sig") -> str:
 {name} AS (SELECT doc_id, [{mins}] AS sig FROM {name}_h GROUP BY doc_id)"""
 
 
-def pairs_ctes(bands: int, rows: int, lo: float, hi: float, index_block: int | None = None) -> str:
+def pairs_ctes(bands: int, rows: int, lo: float, hi: float | None, index_block: int | None = None) -> str:
     blk = f"[CAST(floor(doc_id / {index_block}) AS INTEGER)] || " if index_block else ""
     return f"""bands AS (SELECT doc_id, b.band, {blk}sig[b.band * {rows} + 1 : b.band * {rows} + {rows}] AS bkey
   FROM sig, range(0, {bands}) AS b(band)),
@@ -439,7 +439,7 @@ cand AS (SELECT DISTINCT x.doc_id AS src, y.doc_id AS dst FROM bands x JOIN band
 ver AS (SELECT c.src, c.dst, CAST(list_sum(list_transform(range(1, len(a.sig) + 1),
     lambda i: CASE WHEN a.sig[i] = b.sig[i] THEN 1 ELSE 0 END)) AS DOUBLE) / len(a.sig) AS similarity
   FROM cand c JOIN sig a ON a.doc_id = c.src JOIN sig b ON b.doc_id = c.dst),
-edges AS (SELECT src, dst, similarity FROM ver WHERE similarity >= {lo} AND similarity < {hi})"""
+edges AS (SELECT src, dst, similarity FROM ver WHERE similarity >= {lo}{'' if hi is None else f' AND similarity < {hi}'})"""
 
 
 def similarity_sql() -> dict[str, str]:
@@ -457,6 +457,10 @@ FROM (SELECT doc_id, list_distinct(list_transform(generate_series(1, length(text
     P = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"])
     out["l7_similar_pairs"] = W(P, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
     PB = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"], index_block=10000)
+    PA = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], None)
+    out["l11_pairs_above"] = W(PA, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
+    out["l15_groups_by_lang"] = """SELECT lang AS community, count(*) AS size FROM documents
+GROUP BY lang HAVING count(*) >= 5"""
     out["l6_blocked_pairs"] = W(PB, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
     own = sig_ctes(o["k"], o["q"], char_xor=True) + f""",
 bands AS (SELECT doc_id, b.band, sig[b.band * {o['rows']} + 1 : b.band * {o['rows']} + {o['rows']}] AS bkey

@@ -377,6 +377,21 @@ def l6_blocked_pairs(spark, sf):
     return out.select("src", "dst", r9("similarity"))
 
 
+def l11_pairs_above(spark, sf):
+    """Every bucket-sharing pair with estimated Jaccard >= 0.2 (no upper cut)."""
+    t = TOPIC_LSH
+    out = similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], None, k=t["k"])
+    return out.select("src", "dst", r9("similarity"))
+
+
+def l15_groups_by_lang(spark, sf):
+    """Groups of a partition (here the language) with at least 5 members."""
+    from opinion_spark.operators import graph
+
+    part = B.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("community"))
+    return graph.clusters_of(part, 5)
+
+
 def l10_own_lsh(spark, sf):
     """L3 + L8 + L10: char-XOR MinHash, 12 x 10 bands, value-set Jaccard in [0.05, 0.5), per bucket."""
     o = OWN_LSH
@@ -639,6 +654,8 @@ REGISTRY = {
     "l6_blocked_pairs": l6_blocked_pairs,
     "l7_similar_pairs": l7_similar_pairs,
     "l10_own_lsh": l10_own_lsh,
+    "l11_pairs_above": l11_pairs_above,
+    "l15_groups_by_lang": l15_groups_by_lang,
     "l12_similarity_graph": l12_similarity_graph,
     "l14_modularity_by_lang": l14_modularity_by_lang,
     "l13_louvain": l13_louvain,
