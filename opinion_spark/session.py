@@ -47,18 +47,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for reliable checkpoints and materialised tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is
-    unset (local tests) a private scratch folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session,
+    whose driver and executors are one process, may go without: it gets a
+    scratch folder of its own, once. Any other session without the setting
+    is an error, because a machine-local folder would lose files.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    local = tempfile.mkdtemp(prefix="opinion-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not conf_dir:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="opinion-ckpt-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(conf_dir)
+    return conf_dir
