@@ -5,17 +5,21 @@
    ``MANTISSA`` further bits of its smallest hash, 16 bits in all. Documents with equal
    sets (a 128-bit digest of the set) become one node.
 2. ``ROWS`` neighbouring registers form a band; equal bands make a candidate group. At
-   similarity 0.85 a pair misses all 20 bands with a probability of 4e-7;
+   similarity 0.85 a pair misses all 40 bands with a probability of 3e-6;
    a difference of d shingles spoils at most d bands, so short texts never miss.
 3. A group is compared with one leader, not pair by pair: what the leader links
-   is one component already. A second round with other leaders follows. Only
-   then, in groups that still hold several components, are the members outside
-   the largest component compared with the members of other components, all of them.
-4. Each candidate pair is first estimated from its registers, corrected for
+   is one component already. A second round with more central leaders follows.
+4. Documents of groups that still hold several components meet exactly: texts
+   of similarity t share one of the 1 + (1 - t) n rarest shingles of each (n: the set's
+   size), so a document whose own wording fills that prefix has no partner
+   and is done, and the others meet on the rest of their prefixes, once a
+   pair, if they are of different components and of fitting sizes, and if
+   two-bit digests of their registers do not already tell them apart.
+5. Each candidate pair is first estimated from its registers, corrected for
    accidental register matches, and dropped only far below the threshold (an estimate
-   under ``DOUBT``, more than eight standard errors away); the rest is verified
-   on the full sets of the texts.
-5. Connected components by repeated smallest labels with pointer jumping.
+   under ``DOUBT``, 4.5 standard errors away, or five for the digests); the rest is
+   verified on the full sets of the texts.
+6. Connected components by repeated smallest labels with pointer jumping.
 
 Nothing is capped: a group of copies costs its size for each leader. Lineage is
 cut by tables in the shared folder.
@@ -29,13 +33,15 @@ empty table. Texts are read whole; a text under five words is one shingle.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinion_spark.llm.common import table, written
 
-REGISTERS, ROWS, MANTISSA, DOUBT = 80, 4, 10, 0.5
+REGISTERS, ROWS, MANTISSA, DOUBT, DIGEST_DOUBT = 320, 8, 10, 0.76, 0.72
 EMPTY = 0xFFFF
 
 
@@ -91,6 +97,25 @@ def registers(hashes):
     return out
 
 
+def digest(regs) -> list[int]:
+    """Two bits a register, 32 registers a long: 0 for empty, else 1 to 3."""
+    import numpy as np
+
+    two = np.where(regs == EMPTY, 0, 1 + regs.astype("uint64") % 3).astype("uint64")
+    shifted = two.reshape(-1, 32) << np.arange(0, 64, 2, dtype="uint64")
+    return np.bitwise_or.reduce(shifted, axis=1).astype("int64").tolist()
+
+
+def digests_agree(x: Column, y: Column) -> Column:
+    """Whether the digests leave a similarity of DIGEST_DOUBT possible (a register differs with 2/3 of 1 - similarity)."""
+    pairs = F.lit(0x5555555555555555)
+    count = lambda v: F.bit_count(v.bitwiseOR(F.shiftrightunsigned(v, 1)).bitwiseAND(pairs))
+    at = range(REGISTERS // 32)
+    differ = reduce(add, [count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in at])
+    used = reduce(add, [count(F.get(x, F.lit(i)).bitwiseOR(F.get(y, F.lit(i)))) for i in at])
+    return differ * 3.0 <= used * (2.0 * (1 - DIGEST_DOUBT))
+
+
 def estimate(a, b) -> float:
     """Jaccard estimate of two register arrays, less the matches that occur by accident."""
     import numpy as np
@@ -121,8 +146,8 @@ def _sketch(batches: Iterator) -> Iterator:
                     bands.append(signed(xxhash.xxh3_64_intdigest(part.tobytes(), seed=k + 1)))
             with np.errstate(over="ignore"):
                 set0, set1 = (signed(mixed(h ^ np.uint64(s)).sum(dtype="uint64")) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
-            rows.append((None if pd.isna(key) else int(key), len(h), set0, set1, regs.astype("<u2").tobytes(), bands))
-        out = pd.DataFrame(rows, columns=["id", "n", "set0", "set1", "regs", "bands"])
+            rows.append((None if pd.isna(key) else int(key), len(h), set0, set1, regs.astype("<u2").tobytes(), bands, digest(regs)))
+        out = pd.DataFrame(rows, columns=["id", "n", "set0", "set1", "regs", "bands", "code"])
         out["id"] = out["id"].astype("Int64")
         yield out
 
@@ -156,6 +181,40 @@ def _verify(percent: int):
     return run
 
 
+def _shingles(batches: Iterator) -> Iterator:
+    import pandas as pd
+
+    for b in batches:
+        sets = [shingle_set(x).astype("int64") for x in b.text]
+        yield pd.DataFrame({"id": b.id, "comp": b.comp, "n": [len(x) for x in sets], "set": sets})
+
+
+def meeting(docs: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a < b`` of different components that may reach the similarity, from ``id, comp, text``.
+
+    Exact: the order of the shingles is by frequency, then hash, for all alike.
+    """
+    sets = written(docs.mapInPandas(_shingles, "id long, comp long, n int, set array<long>"), "near-sets")
+    each = sets.select("id", "comp", "n", F.explode("set").alias("s"))
+    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("df > 1")
+    # shingles of one document come first in its order; they are counted, not carried
+    size = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
+    prefix = (each.join(common, "s").groupBy("id", "comp", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("df", "s", (F.col("lo") < F.col("hi")).alias("across")))).alias("c"))
+              .withColumn("own", F.col("n") - F.size("c")).where(size > F.col("own"))
+              .select("id", "comp", "n", F.slice("c", F.lit(1), size - F.col("own")).alias("c"))
+              .select("id", "comp", "n", F.col("c.s").alias("prefix"), F.explode(F.filter("c", lambda x: x["across"])).alias("x"))
+              .select("id", "comp", "n", "prefix", F.col("x.s").alias("s")))
+    prefix = written(prefix.join(codes, "id"), "near-prefix")
+    x, y = prefix.alias("x"), prefix.alias("y")
+    fits = (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") < F.col("y.id"))
+    fits &= (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+    fits &= digests_agree(F.col("x.code"), F.col("y.code"))
+    # both prefixes are in the same order, so the first common shingle of x is the pair's meeting place
+    fits &= F.get(F.array_intersect("x.prefix", "y.prefix"), F.lit(0)) == F.col("x.s")
+    return x.join(y, (F.col("x.s") == F.col("y.s")) & fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``id, comp`` (smallest id reachable) of every id in ``edges`` (``a, b``)."""
     both = written(edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
@@ -176,12 +235,12 @@ def connected(edges: DataFrame) -> DataFrame:
 def components(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    base = written(rows.mapInPandas(_sketch, "id long, n long, set0 long, set1 long, regs binary, bands array<long>"), "near-sketch")
+    base = written(rows.mapInPandas(_sketch, "id long, n long, set0 long, set1 long, regs binary, bands array<long>, code array<long>"), "near-sketch")
     known = base.where("id is not null and n > 0")
     classes = known.groupBy("set0", "set1", "n").agg(F.min("id").alias("rep"))
     member = written(known.select("id", "set0", "set1", "n").join(classes, ["set0", "set1", "n"]).select("id", "n", "set0", "set1", "rep"), "near-class")
     reps = written(known.join(member.where("id = rep").select("id", "set0", "set1").distinct(), ["id", "set0", "set1"])
-                   .dropDuplicates(["id", "set0", "set1"]).select("id", "n", "regs", "bands"), "near-reps")
+                   .dropDuplicates(["id", "set0", "set1"]).select("id", "n", "regs", "bands", "code"), "near-reps")
     bands = reps.select("id", F.explode("bands").alias("band"))
     groups = bands.groupBy("band").agg(F.min("id").alias("lead"), F.max("id").alias("other")).where("lead < other")
     hits = written(bands.join(groups, "band").select("band", "id", "lead"), "near-hits")
@@ -209,16 +268,13 @@ def components(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: st
         left = written(at.join(open_bands, "band"), "near-open")
         if left.isEmpty():
             break
-        if not last:  # another leader for each group: the member with the smallest salted hash
-            lead = left.groupBy("band").agg(F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(11))).alias("l"))
-            pairs = left.join(lead, "band").where("comp <> l.comp").select("id", F.col("l.id").alias("lead"))
-            pairs = ordered(pairs, "lead", "id")
-        else:  # everything outside a group's largest component against the other components
-            size = left.groupBy("band", "comp").count()
-            main = size.groupBy("band").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
-            few = left.join(main, "band").where("comp <> main").select("band", F.col("id").alias("x"), F.col("comp").alias("cx"), "main")
-            cross = few.join(left, "band").where((F.col("comp") != F.col("cx")) & ((F.col("comp") == F.col("main")) | (F.col("x") < F.col("id"))))
-            pairs = ordered(cross, "x", "id")
+        if not last:  # another leader for each group: the member that shares most with other members
+            size = left.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
+            shared = left.join(size, "band").groupBy("id").agg(F.sum("size").alias("shared"))
+            lead = left.join(shared, "id").groupBy("band").agg(F.max(F.struct("shared", "id", "comp")).alias("l"))
+            pairs = ordered(left.join(lead, "band").where("comp <> l.comp").select("id", F.col("l.id").alias("lead")), "lead", "id")
+        else:
+            pairs = meeting(left.select("id", "comp").distinct().join(texts, "id"), reps.select("id", "code"), percent)
         edges = written(edges.unionByName(links(pairs)), "near-links")
         if last:
             comp = connected(edges)
