@@ -18,6 +18,7 @@ null page_id never is the one referred to unless no other row has the payload
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -29,6 +30,8 @@ INDEX = ("file string, offset long, length long, url string, payload_digest stri
 RECORD = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 #: A file is closed at this size; ranges closer than GAP are read together, up to SPAN bytes at once.
 FILE_BYTES, GAP, SPAN = 1 << 30, 1 << 16, 8 << 20
+#: A reading task takes about so many bytes of archive.
+TASK_BYTES = 64 << 20
 
 
 def classify(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
@@ -160,9 +163,13 @@ def _reader(folder: str, gap: int, span: int):
 
 
 def read_warc(index: DataFrame, folder: str, gap: int = GAP, span: int = SPAN) -> DataFrame:
-    """The records that ``index`` selects, by coalesced reads in file order."""
+    """The records that ``index`` selects, by coalesced reads in file order.
+
+    The number of tasks follows from the bytes to read, not from the index rows' size.
+    """
+    tasks = max(2, math.ceil((index.agg(F.sum("length")).first()[0] or 0) / (TASK_BYTES)))
     ranges = (index.select("file", "offset", "length", F.floor(F.col("offset") / F.lit(4 * span)).alias("_span"))
-              .repartition("file", "_span").sortWithinPartitions("file", "offset").drop("_span"))
+              .repartition(tasks, "file", "_span").sortWithinPartitions("file", "offset").drop("_span"))
     return ranges.mapInPandas(_reader(folder, gap, span), RECORD)
 
 
