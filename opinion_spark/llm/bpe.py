@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import heapq
 import json
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinion_spark.llm.common import map_text, table
+
 #: Fixed value: the published byte-level pre-tokenisation pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Encoded words that a task remembers at once; then it starts afresh.
@@ -141,35 +142,31 @@ def decoder(vocab: Vocabulary):
     return decode
 
 
-def _worker(shared, keep_ids: bool):
-    def run(batches: Iterator) -> Iterator:
+def _codec(shared, keep_ids: bool):
+    def make():
         import hashlib
 
         import numpy as np
-        import pandas as pd
 
         vocab = Vocabulary(**shared.value)
         encode, decode = encoder(vocab), decoder(vocab)
-        for b in batches:
-            rows = []
-            for text in b.pop("_text"):
-                packed = encode(text)
-                back = decode(packed)
-                row = (len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest())
-                rows.append((*row, np.frombuffer(packed, "<u4").astype("int32"), back) if keep_ids else row)
-            names = ["n_tokens", "ids_sha256", "decoded_sha256", *["ids", "decoded"] * keep_ids]
-            yield pd.concat([b.reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
 
-    return run
+        def of(text):
+            packed = encode(text)
+            back = decode(packed)
+            row = (len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest())
+            return (*row, np.frombuffer(packed, "<u4").astype("int32"), back) if keep_ids else row
+
+        return of
+
+    return make
 
 
 def encode_decode(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """``key, n_tokens, ids_sha256, decoded_sha256`` of every row and, on request, ``ids`` and ``decoded`` themselves."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vars(load(vocabulary_path)))
-    rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    schema = f"`{key}` {rows.schema[key].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return rows.mapInPandas(_worker(shared, keep_ids), schema + ", ids array<int>, decoded string" * keep_ids)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(load(vocabulary_path)))
+    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
+    return map_text(docs, [key], F.coalesce(F.col(text), F.lit("")), _codec(shared, keep_ids), schema)
 
 
 def vocabulary() -> str:
@@ -181,6 +178,4 @@ def vocabulary() -> str:
 
 def query(spark, sf_dir):
     """op2: every document encoded and decoded."""
-    from opinion_spark.llm.common import table
-
     return encode_decode(table(spark, sf_dir, "documents"), vocabulary())

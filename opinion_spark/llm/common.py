@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from opinion_spark.session import checkpoint_dir
 
@@ -34,5 +37,23 @@ def crc_mod(key: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def string_schema(**types: str) -> str:
-    return ", ".join(f"{name} {kind}" for name, kind in types.items())
+def map_text(rows: DataFrame, keep: list[str], text: Column, make, schema: str) -> DataFrame:
+    """Columns ``keep`` of every row, unchanged, and what a function of its text returns.
+
+    ``make()`` runs once a task and gives that function, which returns a tuple in
+    the order of ``schema``. Kept columns pass through as Arrow data of any type.
+    """
+    packed = rows.select(*keep, text.alias("_text"))
+    new = StructType.fromDDL(schema)
+    types = [(f.name, f.type) for f in to_arrow_schema(new)]
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        of = make()
+        for b in batches:
+            got = [of(x) for x in b.column(b.num_columns - 1).to_pylist()]
+            made = [pa.array([g[k] for g in got], kind) for k, (_, kind) in enumerate(types)]
+            yield pa.RecordBatch.from_arrays(b.columns[:-1] + made, names=b.schema.names[:-1] + [n for n, _ in types])
+
+    return packed.mapInArrow(run, StructType(packed.schema.fields[:-1] + new.fields))

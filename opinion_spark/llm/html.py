@@ -17,12 +17,13 @@ empty text; repeated rows give equal texts.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from html import unescape
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinion_spark.llm.common import map_text, table
+
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+[^>]*+)(?:>|\Z)""", re.S)
@@ -205,21 +206,15 @@ def main_text(html: str | None) -> str:
     return "\n\n".join(_kept(Page(html)) or _kept(Page(html, by_name=False)))
 
 
-def _worker(batches: Iterator) -> Iterator:
-    for b in batches:
-        b["text"] = [main_text(x) for x in b.pop("_html")]
-        yield b
+def _extractor():
+    return lambda html: (main_text(html),)
 
 
 def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """Columns ``keep`` of every page with its main ``text`` and ``n_chars``."""
-    rows = pages.select(*keep, F.coalesce(F.col(html), F.lit("")).alias("_html"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInPandas(_worker, schema + ", text string").withColumn("n_chars", F.length("text").cast("long"))
+    return map_text(pages, keep, F.col(html), _extractor, "text string").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def query(spark, sf_dir):
     """op7: the main text of every page."""
-    from opinion_spark.llm.common import table
-
     return extract(table(spark, sf_dir, "pages"), ["page_id", "url"])

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinion_spark.llm.common import crc_mod, table
+from opinion_spark.llm.common import crc_mod, map_text, table
 
 BUCKETS, SAMPLE = 1 << 16, 1000
 UNKNOWN = "und"
@@ -107,34 +107,30 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     return langs, prob.astype("float32")
 
 
-def _predict(shared, key_type: str):
-    def run(batches: Iterator) -> Iterator:
+def _predictor(shared):
+    def make():
         import numpy as np
-        import pandas as pd
 
         langs, prob = shared.value
-        for b in batches:
-            rows = []
-            for text in b.pop("_text"):
-                g = trigrams(text) if langs else None
-                if g is None:
-                    rows.append((UNKNOWN, 0.0, [], []))
-                    continue
-                at, c = np.unique(g, return_counts=True)
-                chosen, share = proportions(c.astype("float64"), prob[at].astype("float64"))
-                order = np.argsort(-share, kind="stable")
-                rows.append((langs[chosen[order[0]]], float(min(1.0, share[order[0]])), [langs[chosen[i]] for i in order], share[order].tolist()))
-            yield pd.concat([b.reset_index(drop=True), pd.DataFrame(rows, columns=["lang_pred", "score", "langs", "shares"])], axis=1)
-
-    return run
+
+        def of(text):
+            g = trigrams(text) if langs else None
+            if g is None:
+                return UNKNOWN, 0.0, [], []
+            at, c = np.unique(g, return_counts=True)
+            chosen, share = proportions(c.astype("float64"), prob[at].astype("float64"))
+            order = np.argsort(-share, kind="stable")
+            return langs[chosen[order[0]]], float(min(1.0, share[order[0]])), [langs[chosen[i]] for i in order], share[order].tolist()
+
+        return of
+
+    return make
 
 
 def identify(docs: DataFrame, model: tuple, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep`` of every row with ``lang_pred, score, langs, shares`` (by falling share)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInPandas(_predict(shared, schema), schema + ", lang_pred string, score double, langs array<string>, shares array<double>")
+    return map_text(docs, keep, F.col(text), _predictor(shared), "lang_pred string, score double, langs array<string>, shares array<double>")
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -90,7 +90,7 @@ def _deal(block: int, ceiling: int):
     return run
 
 
-def mix(docs: DataFrame, seed: int = 7, block: int = 16, share: float = 1.5, weights: tuple = (3, 1, 2),
+def mix(docs: DataFrame, seed: int = 7, block: int = 4, share: float = 1.5, weights: tuple = (3, 1, 2),
         ceiling: int = 2, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``key, source, size, source_size, target, taken`` of every document."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")

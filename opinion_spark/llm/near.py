@@ -146,10 +146,10 @@ def _sketch(batches: Iterator) -> Iterator:
                     bands.append(signed(xxhash.xxh3_64_intdigest(part.tobytes(), seed=k + 1)))
             with np.errstate(over="ignore"):
                 set0, set1 = (signed(mixed(h ^ np.uint64(s)).sum(dtype="uint64")) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
-            rows.append((None if pd.isna(key) else int(key), len(h), set0, set1, regs.astype("<u2").tobytes(), bands, digest(regs)))
-        out = pd.DataFrame(rows, columns=["id", "n", "set0", "set1", "regs", "bands", "code"])
-        out["id"] = out["id"].astype("Int64")
-        yield out
+            rows.append((None if key is None else int(key), len(h), set0, set1, regs.astype("<u2").tobytes(), bands, digest(regs)))
+        out = pd.DataFrame(rows, columns=["id", "n", "set0", "set1", "regs", "bands", "code"], dtype=object)
+        out["id"] = pd.array(out["id"].tolist(), dtype="Int64")
+        yield out.astype({"n": "int64", "set0": "int64", "set1": "int64"})
 
 
 def _likely(batches: Iterator) -> Iterator:
@@ -235,7 +235,7 @@ def connected(edges: DataFrame) -> DataFrame:
 def components(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    base = written(rows.mapInPandas(_sketch, "id long, n long, set0 long, set1 long, regs binary, bands array<long>, code array<long>"), "near-sketch")
+    base = written(rows.withColumn("key", F.col("key").cast("string")).mapInPandas(_sketch, "id long, n long, set0 long, set1 long, regs binary, bands array<long>, code array<long>"), "near-sketch")
     known = base.where("id is not null and n > 0")
     classes = known.groupBy("set0", "set1", "n").agg(F.min("id").alias("rep"))
     member = written(known.select("id", "set0", "set1", "n").join(classes, ["set0", "set1", "n"]).select("id", "n", "set0", "set1", "rep"), "near-class")

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinion_spark.llm.common import crc_mod, table
+from opinion_spark.llm.common import crc_mod, map_text, table
 from opinion_spark.llm.near import shingle_set
 
 SAMPLE = 3000
@@ -39,6 +39,8 @@ SAMPLE = 3000
 PRIOR, ERRORS, DRIFT, DOUBLED, LEAST_Z = 0.1, 1.0, 0.1, math.log(2), 4.0
 #: A beginning counts if no single word makes up this share of it.
 ONE_WORD = 0.8
+#: Highest score of a text without a significant segment: it is never predicted toxic.
+NO_EVIDENCE = 0.49
 #: Lengths of the word beginnings that stand in for rare words; least documents to judge a word or beginning.
 BEGINNINGS, LEAST = (6, 5, 4), 5
 WORDS = re.compile(r"[^\W\d_]+")
@@ -237,33 +239,30 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return m
 
 
-def _score(shared):
-    def run(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+def _scorer(shared):
+    def make():
         m, memo = Model(**shared.value), {}
-        for b in batches:
-            rows = []
-            for text in b.pop("_text"):
-                s = _scored_words(text, m.scores, memo)
-                total, kept = evidence(len(s), maximal_segments(s), m)
-                spans = []
-                if kept:
-                    at = [x.span() for x in WORDS.finditer(text.lower())]
-                    spans = [{"start": at[i][0], "end": at[j - 1][1], "surprise": v} for i, j, v in kept]
-                p = 1 / (1 + math.exp(-max(-30.0, min(30.0, m.a + m.b * math.log1p(total))))) if math.isfinite(m.a) else 0.0
-                rows.append((p, int(p >= 0.5), spans))
-            yield pd.concat([b.reset_index(drop=True), pd.DataFrame(rows, columns=["score", "predicted", "passages"])], axis=1)
 
-    return run
+        def of(text):
+            s = _scored_words(text, m.scores, memo)
+            total, kept = evidence(len(s), maximal_segments(s), m)
+            spans = []
+            if kept:
+                at = [x.span() for x in WORDS.finditer(text.lower())]
+                spans = [{"start": at[i][0], "end": at[j - 1][1], "surprise": v} for i, j, v in kept]
+            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, m.a + m.b * math.log1p(total))))) if math.isfinite(m.a) else 0.0
+            p = p if total else min(p, NO_EVIDENCE)
+            return p, int(p >= 0.5), spans
+
+        return of
+
+    return make
 
 
 def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep`` of every row with ``score, predicted`` and the toxic ``passages`` (character spans of the lower-cased text)."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
-    rows = docs.select(*keep, F.col(text).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInPandas(_score(shared), schema + ", score double, predicted int, passages array<struct<start: int, end: int, surprise: double>>")
+    return map_text(docs, keep, F.col(text), _scorer(shared), "score double, predicted int, passages array<struct<start: int, end: int, surprise: double>>")
 
 
 def held_out(key: str = "doc_id") -> Column:

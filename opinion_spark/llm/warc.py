@@ -80,7 +80,7 @@ def _writer(folder: str, date: str, file_bytes: int):
         fs, root = pafs.FileSystem.from_uri(folder)
         out = name = None
         at = 0
-        none = lambda x: None if pd.isna(x) else int(x)
+        none = lambda x: None if x is None else int(x)  # noqa: E731  (ids come as text: exact with nulls)
         for b in batches:
             rows = []
             for pid, url, html, digest, kind, first, n in zip(b.page_id, b.url, b.html, b.payload_digest, b.record_type, b.refers_to, b.payload_bytes):
@@ -94,7 +94,8 @@ def _writer(folder: str, date: str, file_bytes: int):
                 out.write(m)
                 rows.append((name, at, len(m), url, digest, none(pid), kind))
                 at += len(m)
-            yield pd.DataFrame(rows, columns=["file", "offset", "length", "url", "payload_digest", "page_id", "record_type"]).astype({"page_id": "Int64"})
+            out_rows = pd.DataFrame(rows, columns=["file", "offset", "length", "url", "payload_digest", "page_id", "record_type"], dtype=object)
+            yield out_rows.astype({"offset": "int64", "length": "int64", "page_id": "Int64"})
         if out is not None:
             out.close()
 
@@ -104,7 +105,8 @@ def _writer(folder: str, date: str, file_bytes: int):
 def write_warc(typed: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> DataFrame:
     """Archive ``classify``'s rows under ``folder``; returns the index, written as a table."""
     cols = ["page_id", "url", "html", "payload_digest", "record_type", "refers_to", "payload_bytes"]
-    return written(typed.select(*cols).mapInPandas(_writer(folder, date, file_bytes), INDEX), "warc-index")
+    rows = typed.select(*cols).withColumns({c: F.col(c).cast("string") for c in ("page_id", "refers_to")})
+    return written(rows.mapInPandas(_writer(folder, date, file_bytes), INDEX), "warc-index")
 
 
 def _parse(data: bytes) -> tuple:
@@ -154,8 +156,8 @@ def _reader(folder: str, gap: int, span: int):
                 group.append(x)
             if group:
                 fetch()
-            out = pd.DataFrame(rows, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-            yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+            out = pd.DataFrame(rows, columns=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"], dtype=object)
+            yield out.astype({"page_id": "Int64", "payload_bytes": "int64", "refers_to": "Int64"})
         if src is not None:
             src.close()
 
