@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 # ``\s`` are ASCII-only, Python's are Unicode; these spell the Python meaning
 # so results agree across engines.
 WORD_CLASS = r"[\p{L}\p{N}_]"
-WS_CLASS = r"[ \t\n\r\f\x0b]"
-NONSPACE_CLASS = r"[^ \t\n\r\f\x0b]"
+_SPACES = (r" \t\n\r\f\x0b\x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+           r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+WS_CLASS = f"[{_SPACES}]"
+NONSPACE_CLASS = f"[^{_SPACES}]"
 
 
 def safe_div(num: Column, den: Column) -> Column:

@@ -88,7 +88,7 @@ def clean_posts(df: DataFrame, text: str = "tweet", *, regions: DataFrame | None
     out = df.withColumn(text, replace_urls(F.col(text)))
     if normalize_case:
         out = out.withColumn(text, normalize_text(F.col(text)))
-    out = keep_first(out.where(F.col(text).isNotNull()), [text], order)
+    out = keep_first(out, [text], order)  # NULL texts are equal: the first stays
     if regions is not None:
         out = keep_regions(out, regions, state_col)
     return out

@@ -137,13 +137,13 @@ def first_per_group(df: DataFrame, key: str, value: str, order: str) -> DataFram
 
 
 def joint_frequency(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Counts of (a, b) pairs."""
-    return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
+    """Counts of (a, b) pairs; rows with a NULL in either are not counted."""
+    return df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
 
 
 def relative_frequency(df: DataFrame, key: str) -> DataFrame:
-    """Share of rows per value; the total is a scalar subquery."""
-    total = df.agg(F.count(F.lit(1))).scalar()
+    """Share of the non-NULL rows per value; the total is a scalar subquery."""
+    total = df.agg(F.count(key)).scalar()
     return (df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
             .select(key, F.round(F.col("n") / total, 9).alias("proportion")))
 

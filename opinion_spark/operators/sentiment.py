@@ -163,8 +163,8 @@ def lexicon_sentiment(df: DataFrame, lexicon: dict[str, float] | DataFrame, text
     ``method='fold'`` scores each row with one array fold and a map-literal
     lexicon (no shuffle; for small lexicons, since map-literal lookups scan
     linearly). ``'join'`` explodes tokens and joins the lexicon as a table
-    (any size; AQE broadcasts it when its measured size allows), keyed by
-    ``key``. ``'auto'`` picks by lexicon size. Both give identical results.
+    (any size; AQE broadcasts it when its measured size allows), once for
+    each distinct text; ``key`` is not used. ``'auto'`` picks by lexicon size. Both give identical results.
     """
     if method == "auto":
         n = len(lexicon) if isinstance(lexicon, dict) else lexicon.count()
@@ -188,23 +188,26 @@ def _lexicon_sentiment_join(df: DataFrame, lexicon: dict[str, float] | DataFrame
     def shifted(k: int) -> Column:  # token k places earlier, "" before the start
         return F.concat(F.array_repeat(F.lit(""), k), F.slice(t, 1, F.greatest(n - k, F.lit(0))))
 
-    base = df.select(key, n.alias("_n"), F.array_position(t, "but").alias("_but"),
+    # a score depends on the text alone: equal texts are scored once, whatever their keys
+    df = df.withColumn("_k", F.sha2(F.col(text), 256))
+    once = df.where(F.col("_k").isNotNull()).select("_k", text).dropDuplicates(["_k"])
+    base = once.select("_k", n.alias("_n"), F.array_position(t, "but").alias("_but"),
                      F.arrays_zip(t.alias("tok"), shifted(1).alias("q1"), shifted(2).alias("q2"),
                                   shifted(3).alias("q3")).alias("_z"))
-    toks = base.select(key, "_but", F.posexplode("_z").alias("_i", "z")).select(
-        key, "_but", (F.col("_i") + 1).alias("p"), "z.tok", "z.q1", "z.q2", "z.q3")
+    toks = base.select("_k", "_but", F.posexplode("_z").alias("_i", "z")).select(
+        "_k", "_but", (F.col("_i") + 1).alias("p"), "z.tok", "z.q1", "z.q2", "z.q3")
     hits = toks.join(lex, toks.tok == lex.word, "inner")
     n_neg = sum(_negated(F.col(c)).cast("int") for c in ("q1", "q2", "q3"))
     factors = F.array(*[F.lit(v).cast("long") for v in _NEG_UNITS])
     v = F.col("vu") * F.element_at(factors, n_neg + 1)
     tenths = (F.when((F.col("_but") > 0) & (F.col("p") < F.col("_but")), F.lit(5))
               .when((F.col("_but") > 0) & (F.col("p") > F.col("_but")), F.lit(15)).otherwise(F.lit(10))).cast("long")
-    hv = hits.select(key, (v * tenths).alias("s"), (v != 0).alias("nz"))
-    sums = hv.groupBy(key).agg(
+    hv = hits.select("_k", (v * tenths).alias("s"), (v != 0).alias("nz"))
+    sums = hv.groupBy("_k").agg(
         F.sum("s").alias("_s"),
         F.sum(F.when(F.col("s") > 0, F.col("s")).otherwise(F.lit(0).cast("long"))).alias("_ps"),
         F.count_if(F.col("s") > 0).alias("_pc"), F.count_if(F.col("s") < 0).alias("_nc"))
-    per = df.join(base.select(key, "_n"), key, "left").join(sums, key, "left")
+    per = df.join(base.select("_k", "_n"), "_k", "left").join(sums, "_k", "left")
     zl = F.lit(0).cast("long")
     s_sum, ps = F.coalesce("_s", zl), F.coalesce("_ps", zl)
     pcount, ncount = F.coalesce("_pc", zl), F.coalesce("_nc", zl)
@@ -220,14 +223,15 @@ def _lexicon_sentiment_join(df: DataFrame, lexicon: dict[str, float] | DataFrame
     pos_adj = F.when(pos > negabs, pos + amp).otherwise(pos).cast("double") / float(_UNIT)
     neg_adj = F.when(pos < negabs, negabs + amp).otherwise(negabs).cast("double") / float(_UNIT)
     total = pos_adj + neg_adj + neu
-    empty = F.coalesce("_n", F.lit(0)) == 0
+    empty = F.col("_n") == 0  # NULL for a NULL text, whose scores are NULL
+    known = F.col("_n").isNotNull()
     out = per.withColumns({
-        prefix + "positive": F.when(empty, 0.0).otherwise(F.round(F.abs(pos_adj / total), 3)),
-        prefix + "neutral": F.when(empty, 0.0).otherwise(F.round(F.abs(neu / total), 3)),
-        prefix + "negative": F.when(empty, 0.0).otherwise(F.round(F.abs(neg_adj / total), 3)),
-        prefix + "compound": F.when(empty, 0.0).otherwise(F.round(compound, 4)),
+        prefix + "positive": F.when(empty, 0.0).when(known, F.round(F.abs(pos_adj / total), 3)),
+        prefix + "neutral": F.when(empty, 0.0).when(known, F.round(F.abs(neu / total), 3)),
+        prefix + "negative": F.when(empty, 0.0).when(known, F.round(F.abs(neg_adj / total), 3)),
+        prefix + "compound": F.when(empty, 0.0).when(known, F.round(compound, 4)),
     })
-    return out.drop("_n", "_s", "_ps", "_pc", "_nc")
+    return out.drop("_k", "_n", "_s", "_ps", "_pc", "_nc")
 
 
 def context_filter(tokens_df: DataFrame, keep: tuple[str, ...] = ("nsubj", "dobj", "pobj", "ROOT"),

@@ -119,34 +119,31 @@ def merge_clusters(spark, membership: DataFrame, tf: DataFrame, target: int, key
     over stop-word-filtered tokens. Counts are additive, so each round only
     relabels clusters and re-sums the small cluster-term table (never
     re-tokenises); idf is refitted every round. The pair with the highest
-    cosine wins, ties to the smallest (c1, c2); c2 is folded into c1. Only the
-    winning pair (one row) reaches the driver per round. Returns the final
+    cosine wins, ties to the smallest (c1, c2); c2 is folded into c1. Without
+    a common term the first two clusters merge. The cluster mapping is a table;
+    only the winning pair (one row) reaches the driver per round. Returns the final
     ``(doc_id, cluster)`` membership and the merge log.
     """
     from opinion_spark.operators.graph import _checkpoint
 
     base = _checkpoint(tf.join(membership, key).groupBy("cluster", "term").agg(F.sum("tf").alias("tf")))
-    ids = [r[0] for r in membership.select("cluster").distinct().orderBy("cluster").collect()]
-    if len(ids) > 100_000:
-        raise ValueError("too many clusters for greedy merging; raise min_cluster_size")
-    owner = {c: c for c in ids}  # base cluster -> current cluster (driver-side, one entry per cluster)
+    owner = _checkpoint(membership.select("cluster", F.col("cluster").alias("cur")).distinct())  # base -> current cluster
+    left = owner.count()
     log = []
-    rounds = 0
-    while len(set(owner.values())) > target and (max_rounds is None or rounds < max_rounds):
-        mp = spark.createDataFrame(list(owner.items()), "cluster long, cur long")
-        cur = (base.join(F.broadcast(mp), "cluster").groupBy("cur", "term").agg(F.sum("tf").alias("tf"))
+    while left > target and (max_rounds is None or len(log) < max_rounds):
+        cur = (base.join(owner, "cluster").groupBy("cur", "term").agg(F.sum("tf").alias("tf"))
                .withColumnRenamed("cur", "cluster"))
-        best = cluster_cosine(cur).orderBy(F.col("cosine").desc(), "c1", "c2").limit(1).collect()
-        if not best:
-            break
-        c1, c2, cos = best[0]
-        for b, c in owner.items():
-            if c == c2:
-                owner[b] = c1
-        log.append((rounds, c1, c2, float(cos)))
-        rounds += 1
-    mp = spark.createDataFrame(list(owner.items()), "cluster long, cur long")
-    final = membership.join(F.broadcast(mp), "cluster").select(key, F.col("cur").alias("cluster"))
+        # rounded, so that the order of summation cannot decide a tie
+        best = cluster_cosine(cur).orderBy(F.round("cosine", 12).desc(), "c1", "c2").limit(1).collect()
+        if best:
+            c1, c2, cos = best[0]
+        else:  # no two clusters share a term: all similarities are 0, the first pair wins
+            (c1,), (c2,) = owner.select("cur").distinct().orderBy("cur").limit(2).collect()
+            cos = 0.0
+        owner = _checkpoint(owner.select("cluster", F.when(F.col("cur") == c2, F.lit(c1).cast("long")).otherwise(F.col("cur")).alias("cur")))
+        log.append((len(log), c1, c2, float(cos)))
+        left -= 1
+    final = membership.join(owner, "cluster").select(key, F.col("cur").alias("cluster"))
     return final, log
 
 

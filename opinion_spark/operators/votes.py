@@ -39,7 +39,7 @@ def national_margin(votes_df: DataFrame) -> DataFrame:
     y = F.sum("votes_a")
     return votes_df.agg(x.alias("votes_b"), y.alias("votes_a")).select(
         "votes_a", "votes_b",
-        (F.abs(F.col("votes_b") - F.col("votes_a")) / (F.col("votes_b") + F.col("votes_a")) * 100.0)
+        (safe_div(F.abs(F.col("votes_b") - F.col("votes_a")), F.col("votes_b") + F.col("votes_a")) * 100.0)
         .alias("national_margin"))
 
 
@@ -93,10 +93,11 @@ def two_party_prior(history: DataFrame) -> DataFrame:
     table instead of over every vote record.
     """
     g = (history.groupBy("year", "state", "state_po", "party_detailed")
-         .agg(F.sum("candidatevotes").alias("_v"), F.count(F.lit(1)).alias("_n")))
+         .agg(F.sum("candidatevotes").alias("_v"), F.count("candidatevotes").alias("_n")))
     t = g.withColumn("_t", F.sum("_v").over(Window.partitionBy("year", "state")))
+    share = safe_div(F.col("_v"), F.col("_t"))  # rows without a share do not enter the mean
     return (t.groupBy("state", "state_po", "party_detailed")
-            .agg((F.sum(safe_div(F.col("_v"), F.col("_t"))) / F.sum("_n")).alias("ratio")))
+            .agg(safe_div(F.sum(share), F.sum(F.when(share.isNotNull(), F.col("_n")))).alias("ratio")))
 
 
 def year_shares(history: DataFrame) -> DataFrame:
