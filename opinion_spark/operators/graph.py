@@ -8,14 +8,17 @@ come back as singletons at the end.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def _ends(edges: DataFrame, weight: str = "similarity") -> DataFrame:
     """Both endpoints of every edge: ``(id, other, w)``."""
-    e = edges.select(F.col("src").alias("id"), F.col("dst").alias("other"), F.col(weight).alias("w"))
-    return e.unionByName(e.select(F.col("other").alias("id"), F.col("id").alias("other"), "w"))
+    both = F.array(F.struct(F.col("src").alias("id"), F.col("dst").alias("other")),
+                   F.struct(F.col("dst").alias("id"), F.col("src").alias("other")))
+    return edges.select(F.explode(both).alias("e"), F.col(weight).alias("w")).select("e.id", "e.other", "w")
 
 
 def vertex_degrees(vertices: DataFrame, edges: DataFrame, weight: str = "similarity") -> DataFrame:
@@ -29,20 +32,22 @@ def vertex_degrees(vertices: DataFrame, edges: DataFrame, weight: str = "similar
 def modularity(partition: DataFrame, edges: DataFrame, weight: str = "similarity") -> DataFrame:
     """Q = sum_c [ L_c / m - (D_c / 2m)^2 ] as a one-row DataFrame.
 
-    ``partition`` is ``(id, community)``. Two grouped sums by community; the
-    total weight m is a scalar subquery.
+    ``partition`` is ``(id, community)``. The edges are read once: each gives
+    its weight to the communities of both ends, and one grouped sum by
+    community holds everything (the sum over all of them is 2m). An end
+    outside the partition counts in m only; NULL is a community of its own
+    without inner edges.
     """
-    e = edges.select("src", "dst", F.col(weight).alias("w"))
-    m = e.agg(F.sum("w")).scalar()
-    p1 = partition.select(F.col("id").alias("src"), F.col("community").alias("c1"))
-    p2 = partition.select(F.col("id").alias("dst"), F.col("community").alias("c2"))
-    intra = (e.join(p1, "src").join(p2, "dst").where(F.col("c1") == F.col("c2"))
-             .groupBy(F.col("c1").alias("community")).agg(F.sum("w").alias("l_c")))
-    deg = _ends(edges, weight).groupBy("id").agg(F.sum("w").alias("k"))
-    tot = deg.join(partition, "id").groupBy("community").agg(F.sum("k").alias("d_c"))
-    per = tot.join(intra, "community", "left").select(
-        (F.coalesce("l_c", F.lit(0.0)) / m - F.pow(F.col("d_c") / (m * 2.0), 2)).alias("q"))
-    return per.agg(F.sum("q").alias("modularity"))
+    one = partition.select(F.col("id").alias("src"), F.struct("community").alias("p1"))
+    two = partition.select(F.col("id").alias("dst"), F.struct("community").alias("p2"))
+    e = edges.select("src", "dst", F.col(weight).alias("w")).join(one, "src", "left").join(two, "dst", "left")
+    inner = F.when(F.col("p1.community") == F.col("p2.community"), F.col("w") / 2).otherwise(F.lit(0.0))
+    per = (e.select("w", inner.alias("inner"), F.explode(F.array("p1", "p2")).alias("p"))
+           .groupBy("p").agg(F.sum("w").alias("d"), F.sum("inner").alias("l")))
+    known = F.col("p").isNotNull()
+    m = F.sum("d") / 2
+    return per.agg((F.sum(F.when(known, F.col("l"))) / m
+                    - F.sum(F.when(known, F.col("d") * F.col("d"))) / (m * m * 4)).alias("modularity"))
 
 
 def _debug(msg: str) -> None:
@@ -85,8 +90,7 @@ def _modularity_parts(comm: DataFrame, edges: DataFrame, k: DataFrame) -> DataFr
     return intra.withColumn("d2", d2.scalar())
 
 
-def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", max_levels: int = 10,
-            max_sweeps: int = 30, tol: float = 1e-9, min_gain: float = 1e-4) -> DataFrame:
+def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", tol: float = 1e-4) -> DataFrame:
     """``(id, community)`` maximising modularity (Blondel et al. 2008).
 
     Local moves are synchronous and deterministic: in each sweep half of the
@@ -96,8 +100,10 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
     alternating halves keep neighbours from swapping into each other's
     communities). A sweep writes its proposal once and reads back its
     modularity and how many nodes moved; it is kept only if modularity
-    rises. A level ends after two sweeps without gain; the graph
-    is then contracted by a grouped sum of edge weights per community pair
+    rises by more than ``tol``. A level ends after two sweeps without such a gain
+    and the method after a level without one, so it always converges (modularity
+    is at most 1) and nothing else bounds it; between levels the graph
+    is contracted by a grouped sum of edge weights per community pair
     (self-loops kept). Only scalars reach the driver; tables are checkpointed
     reliably. Isolated vertices stay singletons.
     """
@@ -108,7 +114,7 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
     member = _checkpoint(vertices.select(F.col("id"), F.col("id").alias("c")))
     if m <= 0:
         return member.withColumnRenamed("c", "community")
-    for level in range(max_levels):
+    for level in itertools.count():
         ends = lvl_edges.select(F.col("src").alias("node"), F.col("dst").alias("other"), "w").unionByName(
             lvl_edges.select(F.col("dst").alias("node"), F.col("src").alias("other"), "w"))
         k = _checkpoint(ends.groupBy("node").agg(F.sum("w").alias("k")))  # self-loop counts twice
@@ -117,7 +123,7 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
         q = parts["intra"] / m - parts["d2"] / (4.0 * m * m)
         moved_any, misses = False, 0
         links = ends.where(F.col("node") != F.col("other"))
-        for sweep in range(max_sweeps):
+        for sweep in itertools.count():
             tot = k.join(comm, "node").groupBy("c").agg(F.sum("k").alias("tot"))
             nbr = (links.join(comm.select(F.col("node").alias("other"), F.col("c").alias("cand")), "other")
                    .groupBy("node", "cand").agg(F.sum("w").alias("w_nc")))
@@ -134,7 +140,7 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
                          F.max(F.when(F.col("cand") == F.col("c"), F.col("gain"))).alias("stay_gain")))
             target = -F.col("b.neg")
             allowed = F.pmod(F.xxhash64("node", F.lit(level), F.lit(sweep)), F.lit(2)) == 0
-            improves = F.col("b.gain") > F.col("stay_gain") + tol
+            improves = F.col("b.gain") > F.col("stay_gain") + 1e-9
             # the proposal is computed once and written; modularity and the move
             # count are then read from the written table
             proposal = _checkpoint(best.select("node", F.when(allowed & improves, target).otherwise(F.col("c"))
@@ -144,10 +150,7 @@ def louvain(vertices: DataFrame, edges: DataFrame, weight: str = "similarity", m
             q_new = mods["intra"] / m - mods["d2"] / (4.0 * m * m)
             _debug(f"level {level} sweep {sweep} moved {mods['moved']} q {q:.6f} -> {q_new:.6f}")
             if mods["moved"] > 0 and q_new > q + tol:
-                comm, gain = proposal.select("node", "c"), q_new - q
-                q, moved_any, misses = q_new, True, 0
-                if gain < min_gain:
-                    break
+                comm, q, moved_any, misses = proposal.select("node", "c"), q_new, True, 0
             else:
                 misses += 1
                 if misses >= 2:

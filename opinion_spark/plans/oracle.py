@@ -44,7 +44,7 @@ placeheld AS (SELECT doc_id, source, state, src_no,
 dedup AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY tweet ORDER BY src_no, doc_id) AS rn
-    FROM placeheld WHERE tweet IS NOT NULL) WHERE rn = 1),
+    FROM placeheld) WHERE rn = 1),
 regional AS (
   SELECT * FROM dedup
   WHERE state IN (SELECT n_name FROM nation WHERE n_regionkey IN ({in_list(B.KEPT_REGIONS)}))),
@@ -407,10 +407,13 @@ def _base_hash(x: str) -> str:
     return f"(('0x' || substr(md5({x}), 1, 8))::BIGINT % {PRIME})"
 
 
-def sig_ctes(k: int, q: int, char_xor: bool = False, name: str = "sig") -> str:
+SHORT = "(SELECT conv_id * 1000000 + turn AS doc_id, text FROM conversations)"
+
+
+def sig_ctes(k: int, q: int, char_xor: bool = False, name: str = "sig", texts: str = SHORT) -> str:
     a, b = permutations(k)
     sh = f"""{name}_sh AS (SELECT d.doc_id, substr(d.text, g.i, {q}) AS sh
-  FROM documents d, generate_series(1, length(d.text) - {q - 1}) AS g(i))"""
+  FROM {texts} d, generate_series(1, length(d.text) - {q - 1}) AS g(i))"""
     if not char_xor:
         hh = f"{name}_h AS (SELECT doc_id, {_base_hash('sh')} AS h FROM {name}_sh)"
         mins = ", ".join(f"min(({a[i]} * h + {b[i]}) % {PRIME})" for i in range(k))
@@ -449,20 +452,20 @@ def similarity_sql() -> dict[str, str]:
     out = {}
     out["l1_shingles"] = f"""SELECT doc_id, len(sh) AS n_shingles, md5(array_to_string(list_sort(sh), chr(1))) AS shingles_md5
 FROM (SELECT doc_id, list_distinct(list_transform(generate_series(1, length(text) - {t['q'] - 1}),
-      lambda i: substr(text, i, {t['q']}))) AS sh FROM documents)"""
+      lambda i: substr(text, i, {t['q']}))) AS sh FROM (SELECT conv_id * 1000000 + turn AS doc_id, text FROM conversations))"""
     S = sig_ctes(t["k"], t["q"])
     out["l2_minhash"] = W(S, "SELECT doc_id, sig FROM sig")
-    out["l3_char_xor_minhash"] = W(sig_ctes(o["k"], o["q"], char_xor=True), "SELECT doc_id, sig FROM sig")
+    out["l3_char_xor_minhash"] = W(sig_ctes(o["k"], o["q"], char_xor=True, texts="documents"), "SELECT doc_id, sig FROM sig")
     out["l4_bands"] = W(S, "SELECT doc_id, b.band, sig[b.band * 2 + 1 : b.band * 2 + 2] AS bkey FROM sig, range(0, 28) AS b(band)")
     P = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"])
     out["l7_similar_pairs"] = W(P, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
-    PB = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"], index_block=10000)
+    PB = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"], index_block=20000000)
     PA = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], None)
     out["l11_pairs_above"] = W(PA, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
     out["l15_groups_by_lang"] = """SELECT lang AS community, count(*) AS size FROM documents
 GROUP BY lang HAVING count(*) >= 5"""
     out["l6_blocked_pairs"] = W(PB, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
-    own = sig_ctes(o["k"], o["q"], char_xor=True) + f""",
+    own = sig_ctes(o["k"], o["q"], char_xor=True, texts="documents") + f""",
 bands AS (SELECT doc_id, b.band, sig[b.band * {o['rows']} + 1 : b.band * {o['rows']} + {o['rows']}] AS bkey
   FROM sig, range(0, {o['bands']}) AS b(band)),
 bp AS (SELECT x.band, x.doc_id AS src, y.doc_id AS dst FROM bands x JOIN bands y
@@ -477,9 +480,9 @@ WHERE similarity >= {o['lo']} AND similarity < {o['hi']}""")
 ends AS (SELECT src AS id, similarity FROM edges UNION ALL SELECT dst, similarity FROM edges),
 deg AS (SELECT id, count(*) AS degree, sum(similarity) AS strength FROM ends GROUP BY id)"""
     out["l12_similarity_graph"] = W(deg, """SELECT d.doc_id AS id, coalesce(g.degree, 0) AS degree,
-  round(coalesce(g.strength, 0.0), 6) AS strength FROM documents d LEFT JOIN deg g ON g.id = d.doc_id""")
+  round(coalesce(g.strength, 0.0), 6) AS strength FROM (SELECT conv_id * 1000000 + turn AS doc_id FROM conversations) d LEFT JOIN deg g ON g.id = d.doc_id""")
     out["l14_modularity_by_lang"] = W(deg + """,
-part AS (SELECT doc_id AS id, lang AS community FROM documents),
+part AS (SELECT c.conv_id * 1000000 + c.turn AS id, d.lang AS community FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id),
 m AS (SELECT sum(similarity) AS m FROM edges),
 intra AS (SELECT p1.community, sum(e.similarity) AS w FROM edges e JOIN part p1 ON p1.id = e.src
           JOIN part p2 ON p2.id = e.dst WHERE p1.community = p2.community GROUP BY p1.community),

@@ -328,22 +328,23 @@ def v12_drill_down(spark, sf):
 
 # --- fixed values: the topic run's LSH parameters and the own-LSH run's ---
 TOPIC_LSH = dict(k=120, q=4, bands=28, rows=2, lo=0.2, hi=0.4)
+INDEX_BLOCK = 20 * B.CONVERSATION_IDS
 OWN_LSH = dict(k=120, q=5, bands=12, rows=10, lo=0.05, hi=0.5)
 
 
 def _sigs(spark, sf):
-    return similarity.minhash(B.docs(spark, sf), TOPIC_LSH["k"], TOPIC_LSH["q"])
+    return similarity.minhash(B.short_docs(spark, sf), TOPIC_LSH["k"], TOPIC_LSH["q"])
 
 
 def _edges(spark, sf):
     t = TOPIC_LSH
-    return similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], t["hi"], k=t["k"])
+    return similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], t["hi"])
 
 
 def l1_shingles(spark, sf):
-    """L1: distinct 4-character shingles per whole document."""
+    """L1: distinct 4-character shingles per whole post."""
     sh = similarity.shingles(F.col("text"), TOPIC_LSH["q"])
-    return B.docs(spark, sf).select("doc_id", F.size(sh).alias("n_shingles"),
+    return B.short_docs(spark, sf).select("doc_id", F.size(sh).alias("n_shingles"),
                                     F.md5(F.array_join(F.array_sort(sh), "\u0001")).alias("shingles_md5"))
 
 
@@ -370,17 +371,17 @@ def l7_similar_pairs(spark, sf):
 
 
 def l6_blocked_pairs(spark, sf):
-    """L6 with a fresh index per 10 000 ids (quirk Q7 parity)."""
+    """L6 with a fresh index per 20 conversations (quirk Q7 parity)."""
     t = TOPIC_LSH
     out = similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], t["hi"],
-                                   index_block=10000, k=t["k"])
+                                   index_block=INDEX_BLOCK)
     return out.select("src", "dst", r9("similarity"))
 
 
 def l11_pairs_above(spark, sf):
     """Every bucket-sharing pair with estimated Jaccard >= 0.2 (no upper cut)."""
     t = TOPIC_LSH
-    out = similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], None, k=t["k"])
+    out = similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], None)
     return out.select("src", "dst", r9("similarity"))
 
 
@@ -402,10 +403,10 @@ def l10_own_lsh(spark, sf):
 
 
 def l12_similarity_graph(spark, sf):
-    """Every document is a vertex; degree and weight over the edges."""
+    """Every post is a vertex; degree and weight over the edges."""
     from opinion_spark.operators import graph
 
-    v = B.docs(spark, sf).select(F.col("doc_id").alias("id"))
+    v = B.short_docs(spark, sf).select(F.col("doc_id").alias("id"))
     return graph.vertex_degrees(v, _edges(spark, sf)).select(
         "id", "degree", F.round("strength", 6).alias("strength"))
 
@@ -414,7 +415,9 @@ def l14_modularity_by_lang(spark, sf):
     """Modularity of the language partition on the similarity graph."""
     from opinion_spark.operators import graph
 
-    part = B.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("community"))
+    langs = B.table(spark, sf, "documents").select(F.col("doc_id").alias("conv"), F.col("lang").alias("community"))
+    ids = B.short_docs(spark, sf).select(F.col("doc_id").alias("id"), F.floor(F.col("doc_id") / B.CONVERSATION_IDS).alias("conv"))
+    part = ids.join(langs, "conv", "left").select("id", "community")
     return graph.modularity(part, _edges(spark, sf)).select(F.round("modularity", 6).alias("modularity"))
 
 
@@ -544,7 +547,7 @@ def l13_louvain(spark, sf):
     """Communities of the similarity graph (rows-only check)."""
     from opinion_spark.operators import graph
 
-    v = B.docs(spark, sf).select(F.col("doc_id").alias("id"))
+    v = B.short_docs(spark, sf).select(F.col("doc_id").alias("id"))
     return graph.louvain(v, _edges(spark, sf))
 
 
@@ -553,7 +556,7 @@ def b_topic_clusters(spark, sf):
     from opinion_spark.plans import topics as tplan
 
     t = TOPIC_LSH
-    mem, top, _ = tplan.topic_clusters(B.docs(spark, sf), _stops(), threshold=t["lo"], num_perm=t["k"], q=t["q"],
+    mem, top, _ = tplan.topic_clusters(B.short_docs(spark, sf), _stops(), threshold=t["lo"], num_perm=t["k"], q=t["q"],
                                        bands=t["bands"], rows=t["rows"], hi=t["hi"], **TOPIC_RUN)
     sizes = mem.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     terms = top.groupBy("cluster").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))),

@@ -12,7 +12,9 @@ the given tables by Spark, over whole tables and whole texts:
   candidate = ``o_orderstatus``, votes = ``bigint(o_totalprice)``;
 * vote history = same join: year = ``year(o_orderdate)``, party =
   ``o_orderstatus`` (F = DEMOCRAT, O = REPUBLICAN, P = other), office =
-  ``o_orderpriority`` ('1-URGENT' = presidential).
+  ``o_orderpriority`` ('1-URGENT' = presidential);
+* short posts (similarity, topics end to end) = the turns of
+  ``conversations``; their language is that of the document ``conv_id``.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ CANDIDATE_B = "O"
 PARTY_OF_STATUS = {"F": "DEMOCRAT", "O": "REPUBLICAN", "P": "OTHER"}
 PRESIDENT_OFFICE = "1-URGENT"
 HELD_OUT_YEAR = 2001
+CONVERSATION_IDS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,6 +112,15 @@ def vote_history(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.floor("o_totalprice").cast("long").alias("candidatevotes")))
 
 
+def short_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short posts for similarity: every turn of every conversation, whole.
+
+    ``doc_id`` = ``conv_id * CONVERSATION_IDS + turn``.
+    """
+    t = table(spark, sf_dir, "conversations")
+    return t.select((F.col("conv_id") * CONVERSATION_IDS + F.col("turn")).alias("doc_id"), "text")
+
+
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents for similarity and topics: ``doc_id, text`` (whole texts)."""
     return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))

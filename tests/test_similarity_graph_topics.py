@@ -38,7 +38,7 @@ def test_similar_pairs_match_brute_force(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     sig = similarity.minhash(df, 40, 3)
     sigs = {r["doc_id"]: r["sig"] for r in sig.collect()}
-    got = {(r["src"], r["dst"]): r["similarity"] for r in similarity.similar_pairs(sig, 20, 2, 0.0, None, block=2, k=40).collect()}
+    got = {(r["src"], r["dst"]): r["similarity"] for r in similarity.similar_pairs(sig, 20, 2, 0.0, None, block=2).collect()}
     want = {}
     for i in sigs:
         for j in sigs:
@@ -49,9 +49,12 @@ def test_similar_pairs_match_brute_force(spark):
 
 
 def test_band_filter_bounds(spark):
-    df = spark.createDataFrame([(0.2,), (0.3999,), (0.4,)], "similarity double")
-    kept = [r[0] for r in df.where((F.col("similarity") >= 0.2) & (F.col("similarity") < 0.4)).collect()]
-    assert kept == [0.2, 0.3999]
+    # signatures of ten values that agree with the first one in 1, 2, 3 and 4 places
+    rows = [(0, list(range(10)))] + [(n, [i if i < n else 100 * n + i for i in range(10)]) for n in (1, 2, 3, 4)]
+    sigs = spark.createDataFrame(rows, "doc_id long, sig array<int>")
+    pairs = similarity.similar_pairs(sigs, 10, 1, 0.2, 0.4).where("src = 0").collect()
+    assert {r["dst"]: r["similarity"] for r in pairs} == {2: 0.2, 3: 0.3}
+    assert len(similarity.similar_pairs(sigs, 10, 1, 0.2, 0.4, index_block=3).where("src = 0").collect()) == 1
 
 
 def test_louvain_two_triangles(spark):
