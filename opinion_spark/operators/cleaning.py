@@ -1,7 +1,7 @@
 """Cleaning and de-duplication of posts.
 
 Input order matters for "keep first" semantics, so every source carries an
-ordinal ``_ord`` (source index in the high bits, row order below). Dedup is a
+ordinal ``_ord``, a struct of source index and row order. Dedup is a
 ``row_number() = 1`` window: Spark plans it with a map-side
 ``WindowGroupLimit`` so duplicates are dropped before the shuffle, and the
 survivor is the first row in input order rather than an arbitrary one.
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from opinion_spark.functions.exprs import NONSPACE_CLASS, WS_CLASS
 
 ORD = "_ord"
-_SRC_SHIFT = 1 << 48  # row ordinals stay below 2^48 (partition << 33 | row)
 
 
 def tag_source(df: DataFrame, name: str, col: str = "source") -> DataFrame:
@@ -25,15 +24,24 @@ def tag_source(df: DataFrame, name: str, col: str = "source") -> DataFrame:
     return df.withColumn(col, F.lit(name))
 
 
+def ordinal(source_index: Column, row_order: Column) -> Column:
+    """Input order: structs compare field by field, so no packing can overflow."""
+    return F.struct(source_index.cast("long").alias("source"), row_order.alias("row"))
+
+
 def with_ordinal(df: DataFrame, source_index: int | Column, row_order: Column | None = None) -> DataFrame:
-    """Attach ``_ord`` = source index * 2^48 + row order.
+    """Attach ``_ord`` = (source index, row order).
 
-    ``row_order`` defaults to ``monotonically_increasing_id()`` taken right at
-    the scan, which follows file and split order.
+    ``row_order`` defaults to (file, start of the split, row in it), taken right
+    at the scan: Spark packs files into partitions by size, so the row id alone
+    would not follow their order.
     """
-    row = F.monotonically_increasing_id() if row_order is None else row_order.cast("long")
+    row = row_order
+    if row is None:
+        row = F.struct(F.input_file_name().alias("file"), F.input_file_block_start().alias("start"),
+                       F.monotonically_increasing_id().alias("id"))
     src = source_index if isinstance(source_index, Column) else F.lit(source_index)
-    return df.withColumn(ORD, src.cast("long") * F.lit(_SRC_SHIFT) + row)
+    return df.withColumn(ORD, ordinal(src, row))
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
@@ -70,9 +78,9 @@ def normalize_text(col: Column) -> Column:
 
 def keep_regions(df: DataFrame, regions: DataFrame, col: str = "state",
                  region_col: str = "state") -> DataFrame:
-    """Membership filter as a left-semi join on a bounded dimension."""
+    """Membership filter as a left-semi join (broadcast when Spark finds the list small enough)."""
     dim = regions.select(F.col(region_col).alias("_region")).where(F.col("_region").isNotNull())
-    return df.join(F.broadcast(dim), df[col] == dim["_region"], "left_semi")
+    return df.join(dim, df[col] == dim["_region"], "left_semi")
 
 
 def clean_posts(df: DataFrame, text: str = "tweet", *, regions: DataFrame | None = None,
@@ -102,6 +110,12 @@ def add_score_columns(df: DataFrame) -> DataFrame:
     })
 
 
+def condition_counts(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """C15 for stages that are filters of one table: all counted in one pass."""
+    counts = df.agg(*[F.count_if(c).alias(name) for name, c in conditions.items()])
+    return counts.unpivot([], list(conditions), "stage", "n_rows")
+
+
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """One row per named stage with its row count, as one DataFrame.
 

@@ -4,10 +4,11 @@
 into the sequence of words with the least total cost under a unigram model
 where the word of frequency rank i (0-based) of N costs ln((i+1) ln N).
 
-Distinct tags are segmented once each: candidate words (every substring up to
-the longest word) are joined with the cost table, the dynamic programme runs
-as an ``aggregate()`` fold over the tag's positions, and the result is joined
-back into the texts, which are rebuilt from their ordered runs.
+Distinct letter runs of tags are segmented once each: their substrings up to the
+longest word are inner-joined with the cost table, the dynamic programme runs
+as an ``aggregate()`` fold over the run's positions (the candidates of each end
+beside it), and the result is joined back into the texts, which are rebuilt
+from their ordered runs. A tag without letters or digits stays as it is.
 """
 
 from __future__ import annotations
@@ -18,15 +19,25 @@ from pyspark.sql import functions as F
 WORD = r"[\p{L}\p{N}']+"
 TAG = r"#[\p{L}\p{N}_]+"
 RUNS = r"#[\p{L}\p{N}_]+|[^#]+|#"
-UNKNOWN = float("inf")  # cost of a substring that is not a word
+PART = r"\p{L}+|[^\p{L}_]+"  # letter and digit runs of a tag body
+UNITS = 1_000_000  # costs are summed as whole millionths
 
 
 def word_costs(words: DataFrame, word: str = "word", count: str = "count") -> DataFrame:
     """``(word, cost)`` from a frequency table (most frequent first)."""
-    n = words.agg(F.count(F.lit(1))).scalar()
-    w = Window.orderBy(F.col(count).desc(), F.col(word))
-    ranked = words.withColumn("_rank", F.row_number().over(w) - 1)
-    return ranked.select(word, F.log((F.col("_rank") + 1.0) * F.log(F.lit(n).cast("double"))).alias("cost"))
+    # words of one count and one beginning are ranked among themselves; what
+    # comes before them is a running sum over the far smaller table of such groups
+    words = words.withColumn("_start", F.substring(word, 1, 3))
+    group = [F.col(count).alias("_c"), "_start"]
+    before = (words.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_before", F.sum("_n").over(Window.orderBy(F.col("_c").desc(), "_start")) - F.col("_n"))
+              .withColumn("_all", F.sum("_n").over(Window.partitionBy(F.lit(0)))))
+    place = F.row_number().over(Window.partitionBy(count, "_start").orderBy(word)) - 1
+    ranked = (words.withColumn("_place", place)
+              .join(before.select("_c", F.col("_start").alias("_s"), "_before", "_all"),
+                    (F.col(count) == F.col("_c")) & (F.col("_start") == F.col("_s")))
+              .withColumn("_rank", F.col("_before") + F.col("_place")))
+    return ranked.select(word, F.log((F.col("_rank") + 1.0) * F.log(F.col("_all").cast("double"))).alias("cost"))
 
 
 def corpus_word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -43,44 +54,55 @@ def ranked_word_list(lines: DataFrame) -> DataFrame:
 
 
 def segment_tags(tags: DataFrame, costs: DataFrame, max_word: int | None = None, tag: str = "tag") -> DataFrame:
-    """C17: ``(tag, words, cost)`` for every distinct tag body.
+    """C17: ``(tag, words, unknown, cost)`` for every distinct tag body.
 
-    Ties prefer the shorter last word. Parts of a tag no word covers cost
-    ``UNKNOWN`` per character, so every tag still gets a segmentation.
+    A tag is cut at ``_`` and between letters and digits; a digit run is one
+    word and costs nothing. Each distinct letter run gets the words with the
+    fewest ``unknown`` characters, then the least cost (in millionths, so sums
+    are exact), then the shorter last word; an unknown character is a word of
+    its own. Only known words and single characters become candidates.
     """
     if max_word is None:
         max_word = costs.agg(F.max(F.length("word"))).first()[0] or 1  # one number
-    t = tags.select(F.col(tag).alias("tag")).where(F.length("tag") > 0).distinct()
-    t = t.withColumn("low", F.lower("tag")).withColumn("n", F.length("tag"))
-    cand = (t.select("tag", "low", "n", F.explode(F.sequence(F.lit(1), "n")).alias("end"))
-            .select("tag", "low", "n", "end",
-                    F.explode(F.sequence(F.lit(1), F.least(F.col("end"), F.lit(max_word)))).alias("len")))
-    cand = cand.withColumn("word", F.substring("low", F.col("end") - F.col("len") + 1, F.col("len")))
-    cand = cand.join(costs.select("word", "cost"), "word", "left").withColumn(
-        "cost", F.coalesce("cost", F.lit(UNKNOWN)))
-    # one candidate list per tag (bounded by tag length x max word length)
-    per = cand.groupBy("tag", "n").agg(F.collect_list(F.struct("end", "len", "cost")).alias("c"))
-    init = F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(0).alias("len")))
-
-    def step(acc, i):
-        ending = F.filter("c", lambda e: e["end"] == i)
-        scored = F.transform(ending, lambda e: F.struct((F.element_at(acc, i - e["len"] + 1)["cost"] + e["cost"])
-                                                        .alias("cost"), e["len"].alias("len")))
-        best = F.array_min(scored)  # struct order: cost, then shorter length
-        return F.concat(acc, F.array(best))
-
-    dp = per.withColumn("dp", F.aggregate(F.sequence(F.lit(1), "n"), init, step))
+    parts = (tags.select(F.col(tag).alias("tag")).where(F.length("tag") > 0).distinct()
+             .select("tag", F.posexplode(F.regexp_extract_all("tag", F.lit(PART), 0)).alias("i", "part"))
+             .withColumn("letters", F.col("part").rlike(r"^\p{L}")))
+    runs = parts.where("letters").select("part").distinct().withColumn("n", F.length("part"))
+    low = F.lower("part")  # of equal length but for a few characters, which then stay as they are
+    runs = runs.withColumn("low", F.when(F.length(low) == F.col("n"), low).otherwise(F.col("part")))
+    ends = runs.select("part", "low", F.explode(F.sequence(F.lit(1), "n")).alias("end"))
+    cand = ends.select("part", "low", "end", F.explode(F.sequence(F.lit(1), F.least("end", F.lit(max_word)))).alias("len"))
+    cand = cand.select("part", "end", "len", F.substring("low", F.col("end") - F.col("len") + 1, F.col("len")).alias("word"))
+    known = costs.select("word", F.round(F.col("cost") * UNITS).cast("long").alias("cost"))
+    cand = cand.join(known, "word", "left").where(F.col("cost").isNotNull() | (F.col("len") == 1))
+    option = F.struct(F.col("cost").isNull().cast("int").alias("unknown"), F.coalesce("cost", F.lit(0)).alias("cost"), "len")
+    steps = cand.groupBy("part", "end").agg(F.collect_list(option).alias("options"))
+    per = steps.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("end", "options"))).alias("steps"))
+
+    def step(best, now):
+        def total(o):
+            before = F.element_at(best, now["end"] - o["len"] + 1)
+            return F.struct((before["unknown"] + o["unknown"]).alias("unknown"),
+                            (before["cost"] + o["cost"]).alias("cost"), o["len"].alias("len"))
+        return F.concat(best, F.array(F.array_min(F.transform(now["options"], total))))
 
     def back(acc, _):
-        pos = acc["pos"]
-        ln = F.element_at("dp", pos + 1)["len"]
-        return F.when(pos > 0, F.struct((pos - ln).alias("pos"),
-                                        F.concat(F.array(F.substring("tag", pos - ln + 1, ln)), acc["words"]).alias("words"))
-                      ).otherwise(acc)
-
-    start = F.struct(F.col("n").alias("pos"), F.array().cast("array<string>").alias("words"))
-    out = dp.withColumn("bt", F.aggregate(F.sequence(F.lit(1), "n"), start, back))
-    return out.select("tag", F.col("bt.words").alias("words"), F.element_at("dp", F.col("n") + 1)["cost"].alias("cost"))
+        size = F.element_at("best", acc["pos"] + 1)["len"]
+        word = F.substring("part", acc["pos"] - size + 1, size)
+        return F.when(acc["pos"] > 0, F.struct((acc["pos"] - size).alias("pos"),
+                                               F.concat(F.array(word), acc["words"]).alias("words"))).otherwise(acc)
+
+    zero = F.array(F.struct(F.lit(0).alias("unknown"), F.lit(0).cast("long").alias("cost"), F.lit(0).alias("len")))
+    per = per.withColumn("best", F.aggregate("steps", zero, step))
+    start = F.struct(F.size("steps").alias("pos"), F.array().cast("array<string>").alias("words"))
+    last = F.element_at("best", -1)
+    found = per.select("part", F.aggregate("steps", start, back)["words"].alias("found"),
+                       last["unknown"].alias("unknown"), last["cost"].alias("cost"))
+    each = parts.join(found, "part", "left").select(
+        "tag", "unknown", "cost", F.struct("i", F.coalesce("found", F.array("part")).alias("words")).alias("p"))
+    words = F.flatten(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["words"]))
+    return each.groupBy("tag").agg(words.alias("words"), F.coalesce(F.sum("unknown"), F.lit(0)).alias("unknown"),
+                                   (F.coalesce(F.sum("cost"), F.lit(0)) / UNITS).alias("cost"))
 
 
 def replace_hashtags(docs: DataFrame, costs: DataFrame, text: str = "text", key: str = "doc_id",
@@ -97,9 +119,10 @@ def replace_hashtags(docs: DataFrame, costs: DataFrame, text: str = "text", key:
     runs = runs.withColumn("is_tag", F.col("run").rlike("^" + TAG + "$"))
     tags = runs.where("is_tag").select(F.substring("run", 2, 1 << 20).alias("tag"))
     seg = segment_tags(tags, costs, max_word)
+    body = F.concat(F.lit("#"), F.col("tag"))  # of a tag that holds only "_"
     j = (runs.withColumn("tag", F.when(F.col("is_tag"), F.substring("run", 2, 1 << 20)))
          .join(seg.select("tag", F.array_join("words", " ").alias("seg")), "tag", "left")
-         .select(key, "i", F.when(F.col("is_tag"), F.col("seg")).otherwise(F.col("run")).alias("piece")))
+         .select(key, "i", F.when(F.col("is_tag"), F.coalesce("seg", body)).otherwise(F.col("run")).alias("piece")))
     rebuilt = j.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "piece"))),
                                                           lambda s: s["piece"]), "").alias("_new"))
     out = has.join(rebuilt, key, "left").withColumn(text, F.coalesce("_new", F.col(text))).drop("_new")

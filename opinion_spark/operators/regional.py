@@ -9,7 +9,7 @@ it as a value, with no cross join and nothing collected by hand.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinion_spark.functions.exprs import safe_div
@@ -25,10 +25,10 @@ def frequency_table(df: DataFrame, key: str, count_name: str = "count") -> DataF
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
-    """R2: dictionary lookup; unmapped keys get NULL (left join on a bounded dim)."""
+    """R2: dictionary lookup; unmapped keys get NULL (left join; broadcast when Spark finds the dictionary small enough)."""
     dim_key = dim_key or key
     d = dim.withColumnRenamed(dim_key, "_lk") if dim_key != key else dim.withColumnRenamed(key, "_lk")
-    return df.join(F.broadcast(d), df[key] == d["_lk"], "left").drop("_lk")
+    return df.join(d, df[key] == d["_lk"], "left").drop("_lk")
 
 
 def class_pivot(df: DataFrame, region: str = "state", label: str = "likely_party",
@@ -68,8 +68,9 @@ def rebalance(df: DataFrame, a: str = "n_dem", b: str = "n_rep",
     With renormalisation both shares are re-divided by their sum and given in
     percent; without it only side B is scaled.
     """
-    ratio = class_totals(df, a, b).select("tweet_ratio").scalar()
-    out = df.withColumn("_ratio", ratio)  # one subquery, evaluated once
+    # a window over the region table (one row a region): the posts below it are processed once
+    every = Window.partitionBy(F.lit(0))
+    out = df.withColumn("_ratio", safe_div(F.sum(a).over(every), F.sum(b).over(every)))
     scaled_b = F.col(pb) * F.col("_ratio")
     if not renormalize:
         return out.withColumn(pb, scaled_b).drop("_ratio")

@@ -308,6 +308,12 @@ def negative_posts(df: DataFrame, compound: str = "compound") -> DataFrame:
     return df.where(F.col(compound) < 0)
 
 
+def score_kinds(df: DataFrame, compound: str = "compound", threshold: float = 0.05, out: str = "kind") -> DataFrame:
+    """N6, both filters in one pass: rows that meet one, marked ``positive`` or ``negative``."""
+    c = F.col(compound)
+    return df.withColumn(out, F.when(c > threshold, "positive").when(c < 0, "negative")).where(F.col(out).isNotNull())
+
+
 def random_sample(df: DataFrame, n: int, seed: int | None = None) -> DataFrame:
     """Exactly ``n`` random rows (top-k on a random key; no full sort)."""
     return df.orderBy(F.rand(seed)).limit(n)

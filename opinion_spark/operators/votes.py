@@ -64,7 +64,7 @@ def markers(diffs: DataFrame, centers: DataFrame, key: str = "state_po",
     min(|d|/2, 10); font = 2 * size; glyph up / down; label "{st}: {d:.1f}%".
     """
     c = centers.withColumnRenamed(center_key, "_ck")
-    j = diffs.where(F.col("lead_size_diff").isNotNull()).join(F.broadcast(c), F.col(key) == F.col("_ck"), "inner")
+    j = diffs.where(F.col("lead_size_diff").isNotNull()).join(c, F.col(key) == F.col("_ck"), "inner")
     d = F.col("lead_size_diff")
     clamped = F.when((d < 1) & (d >= 0), F.lit(1.0)).when((d > -1) & (d <= 0), F.lit(-1.0)).otherwise(d)
     j = j.withColumn("diff", clamped)

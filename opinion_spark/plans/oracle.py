@@ -251,7 +251,7 @@ UNION ALL SELECT state, 'n_rep', n_rep FROM shares""")
          coalesce(sum(abs(compound)) FILTER (WHERE likely_party = 2), 0.0) AS sb FROM scored)""")
     out["r17_first_per_group"] = W(C, """SELECT f.state, f.tweet_count, g.source FROM
   (SELECT state, count(*) AS tweet_count FROM regional WHERE state IS NOT NULL GROUP BY state) f
-LEFT JOIN (SELECT state, arg_min(source, src_no * 281474976710656 + doc_id) AS source FROM regional
+LEFT JOIN (SELECT state, arg_min(source, {'s': src_no, 'd': doc_id}) AS source FROM regional
            WHERE source IS NOT NULL GROUP BY state) g USING (state)""")
     out["r18_joint_frequency"] = W(S, "SELECT likely_party, state, count(*) AS count FROM scored GROUP BY likely_party, state")
     out["r19_relative_frequency"] = W(S, """SELECT likely_party, round(count(*) / (SELECT count(*) FROM scored), 9) AS proportion
@@ -327,6 +327,54 @@ wc AS (SELECT unnest(toks) AS word FROM dtok),
 cnt AS (SELECT word, count(*) AS c FROM wc GROUP BY word),
 rk AS (SELECT word, row_number() OVER (ORDER BY c DESC, word) - 1 AS r, count(*) OVER () AS n FROM cnt)
 SELECT word, round(ln((r + 1.0) * ln(CAST(n AS DOUBLE))), 9) AS cost FROM rk"""
+    out.update(hashtag_sql())
+    return out
+
+
+def hashtag_sql() -> dict[str, str]:
+    """C14 and C17: the segmentation as a recursive query over the ends of each letter run."""
+    seg = r"""dtok AS MATERIALIZED (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}'']+') AS toks FROM documents),
+wc AS (SELECT unnest(toks) AS word FROM dtok),
+cnt AS (SELECT word, count(*) AS c FROM wc GROUP BY word),
+rk AS (SELECT word, row_number() OVER (ORDER BY c DESC, word) - 1 AS r, count(*) OVER () AS n FROM cnt),
+costs AS MATERIALIZED (SELECT word, CAST(round(ln((r + 1.0) * ln(CAST(n AS DOUBLE))) * 1000000) AS BIGINT) AS cost FROM rk),
+longest AS (SELECT max(length(word)) AS longest FROM costs),
+tagged AS (SELECT doc_id, text || ' #' || list_aggregate(list_transform(regexp_extract_all(text, '\p{L}{3,}')[1:3],
+             lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || lower(substr(w, 2))), 'string_agg', '') AS text FROM documents),
+stripped AS (SELECT doc_id, regexp_replace(text, 'http[^ \t\n\r\f\x0b]+|www[^ \t\n\r\f\x0b]+', '', 'g') AS text FROM tagged),
+tags AS (SELECT DISTINCT substr(t, 2) AS tag FROM (SELECT unnest(regexp_extract_all(text, '#[\p{L}\p{N}_]+')) AS t FROM %s)),
+tparts AS MATERIALIZED (SELECT tag, p.i AS i, parts[p.i] AS part FROM (
+  SELECT tag, regexp_extract_all(tag, '\p{L}+|[^\p{L}_]+') AS parts FROM tags), generate_series(1, len(parts)) AS p(i)),
+runs AS (SELECT DISTINCT part, length(part) AS n FROM tparts WHERE regexp_matches(part, '^\p{L}')),
+cand AS (SELECT x.part, x.e, x.len, c.cost FROM (
+    SELECT r.part, e.e, l.len, substr(lower(r.part), e.e - l.len + 1, l.len) AS word
+    FROM runs r, longest, generate_series(1, r.n) AS e(e), generate_series(1, least(e.e, longest)) AS l(len)) x
+  LEFT JOIN costs c USING (word) WHERE c.cost IS NOT NULL OR x.len = 1),
+options AS MATERIALIZED (SELECT part, e, list({'u': CASE WHEN cost IS NULL THEN 1 ELSE 0 END, 'c': coalesce(cost, 0), 'l': len}) AS os
+  FROM cand GROUP BY part, e),
+dp AS (
+  SELECT part, n, 0::BIGINT AS e, [{'u': 0::BIGINT, 'c': 0::BIGINT, 'l': 0::BIGINT}] AS best FROM runs
+  UNION ALL
+  SELECT d.part, d.n, d.e + 1, list_append(d.best, list_sort(list_transform(o.os, lambda x:
+    {'u': d.best[d.e + 2 - x.l].u + x.u, 'c': d.best[d.e + 2 - x.l].c + x.c, 'l': x.l::BIGINT}))[1])
+  FROM dp d JOIN options o ON o.part = d.part AND o.e = d.e + 1),
+bk AS (
+  SELECT part, n AS pos, best, '' AS words, best[n + 1].u AS u, best[n + 1].c AS c FROM dp WHERE e = n
+  UNION ALL
+  SELECT part, pos - best[pos + 1].l, best, substr(part, CAST(pos - best[pos + 1].l + 1 AS BIGINT), best[pos + 1].l)
+         || CASE WHEN words = '' THEN '' ELSE ' ' || words END, u, c FROM bk WHERE pos > 0),
+found AS (SELECT part, words, u, c FROM bk WHERE pos = 0),
+segmented AS (SELECT t.tag, string_agg(coalesce(f.words, t.part), ' ' ORDER BY t.i) AS words,
+                CAST(coalesce(sum(f.u), 0) AS BIGINT) AS unknown, coalesce(sum(f.c), 0) / 1000000.0 AS cost
+              FROM tparts t LEFT JOIN found f USING (part) GROUP BY t.tag)"""
+    out = {"c17_segment_tags": "WITH RECURSIVE " + seg % "tagged" + """
+SELECT tag, words, unknown, round(CAST(cost AS DOUBLE), 6) AS cost FROM segmented"""}
+    out["c14_process_posts"] = "WITH RECURSIVE " + seg % "stripped" + """,
+pieces AS (SELECT doc_id, r.i, rs[r.i] AS run FROM (
+  SELECT doc_id, regexp_extract_all(text, '#[\\p{L}\\p{N}_]+|[^#]+|#') AS rs FROM stripped), generate_series(1, len(rs)) AS r(i)),
+done AS (SELECT p.doc_id, string_agg(coalesce(s.words, p.run), '' ORDER BY p.i) AS text
+         FROM pieces p LEFT JOIN segmented s ON p.run = '#' || s.tag GROUP BY p.doc_id)
+SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM done"""
     return out
 
 

@@ -52,7 +52,7 @@ def c3_distinct_rows(spark, sf):
     """C2 + C3: union of two tags of the same rows, full-row distinct."""
     base = B.posts(spark, sf).select("doc_id", "tweet", "state", "_ord")
     a = cleaning.tag_source(base, "A")
-    b = cleaning.tag_source(base, "B").withColumn("_ord", F.col("_ord") + F.lit(1 << 62))
+    b = cleaning.tag_source(base, "B").withColumn("_ord", cleaning.ordinal(F.col("_ord.source") + (1 << 32), F.col("_ord.row")))
     both = cleaning.union_sources([a, b])
     return cleaning.distinct_rows(both).select("doc_id", "source", "state")
 
@@ -87,13 +87,11 @@ def c15_stage_counts(spark, sf):
     posts = B.posts(spark, sf)
     cleaned = cleaning.clean_posts(posts, "tweet", regions=B.regions(spark, sf))
     lab = mentions.classify_mentions(cleaned, B.MENTION_NAMES, "tweet", whole_word=True)
-    return cleaning.stage_counts({
-        "initial": posts,
-        "regional": cleaned,
-        "only_trump": mentions.only_label(lab, "trump"),
-        "only_biden": mentions.only_label(lab, "biden"),
-        "exactly_one": mentions.exactly_one(lab, LABELS),
-    })
+    about = F.col("tweet_about")
+    later = cleaning.condition_counts(lab, {
+        "regional": F.lit(True), "only_trump": about == "trump", "only_biden": about == "biden",
+        "exactly_one": about.isin(LABELS)})
+    return cleaning.stage_counts({"initial": posts}).unionByName(later)
 
 
 def c19_score_columns(spark, sf):
@@ -156,10 +154,8 @@ def n5_class_summary(spark, sf):
 
 
 def n6_score_filters(spark, sf):
-    s = _scored(spark, sf)
-    pos = sentiment.positive_posts(s).select("doc_id", F.lit("positive").alias("kind"))
-    neg = sentiment.negative_posts(s).select("doc_id", F.lit("negative").alias("kind"))
-    return pos.unionByName(neg)
+    """Both filters in one pass; no score meets both."""
+    return sentiment.score_kinds(_scored(spark, sf)).select("doc_id", "kind")
 
 
 def n7_random_sample(spark, sf):
@@ -267,7 +263,7 @@ def _actual(spark, sf):
 
 
 def _history(spark, sf):
-    return votes.history_filter(B.vote_history(spark, sf), office=B.PRESIDENT_OFFICE,
+    return votes.history_filter(B.vote_history(spark, sf, parties=("DEMOCRAT", "REPUBLICAN")), office=B.PRESIDENT_OFFICE,
                                 held_out_year=B.HELD_OUT_YEAR)
 
 
@@ -310,7 +306,7 @@ def v10_prior(spark, sf):
 
 def v11_prior_weighted(spark, sf):
     """J3 + V11 on the un-rebalanced shares."""
-    out = actual.prior_reweighted(_shares(spark, sf), B.vote_history(spark, sf), B.PRESIDENT_OFFICE,
+    out = actual.prior_reweighted(_shares(spark, sf), B.vote_history(spark, sf, parties=("DEMOCRAT", "REPUBLICAN")), B.PRESIDENT_OFFICE,
                                   B.HELD_OUT_YEAR)
     return out.select("state", r9("democratic_proportion"), r9("republican_proportion"))
 
@@ -588,18 +584,18 @@ def c16_word_costs(spark, sf):
 
 
 def c17_segment_tags(spark, sf):
-    """C17: minimum-cost segmentation of every distinct derived tag (rows-only)."""
+    """C17: minimum-cost segmentation of every distinct derived tag."""
     from opinion_spark.operators import hashtags
 
     d = _tagged_docs(spark, sf)
     tags = d.select(F.explode(F.regexp_extract_all("text", F.lit(hashtags.TAG), 0)).alias("t")) \
         .select(F.substring("t", 2, 1 << 20).alias("tag"))
     return hashtags.segment_tags(tags, _word_costs(spark, sf)).select(
-        "tag", F.array_join("words", " ").alias("words"), r9("cost"))
+        "tag", F.array_join("words", " ").alias("words"), "unknown", F.round("cost", 6).alias("cost"))
 
 
 def c14_process_posts(spark, sf):
-    """C13 + C14 + C18: URLs stripped, hashtags replaced by their words (rows-only)."""
+    """C13 + C14 + C18: URLs stripped, hashtags replaced by their words."""
     from opinion_spark.operators import hashtags
 
     d = _tagged_docs(spark, sf).withColumn("text", cleaning.strip_urls(F.col("text")))

@@ -8,7 +8,7 @@ machine-local one, on a cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinion_spark.operators.cleaning import union_sources, with_ordinal
@@ -32,8 +32,7 @@ def read_tweets(spark: SparkSession, sources: dict[str, str], schema: str = TWEE
                 source_col: str = "source") -> DataFrame:
     """S1 + C1 + C2: one CSV per source, tagged, unioned with an input ordinal.
 
-    ``_ord`` = source index (dict order) in the high bits, then the row's
-    position in file/split order, so keep-first dedup (C5) prefers earlier
+    ``_ord`` = source index (dict order), then file, split and row in it, so keep-first dedup (C5) prefers earlier
     sources and earlier rows. Extra CSV columns pass through when named in
     ``schema``.
     """
@@ -102,14 +101,18 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
 def with_ordinal_id(df: DataFrame, col: str = "doc_id") -> DataFrame:
     """A dense 0-based ordinal in the DataFrame's current order.
 
-    ``zipWithIndex`` counts rows per partition in one pass and offsets them,
-    without moving data to a single partition.
+    The row id holds partition and place in it; rows are written once with it
+    (a later run could be cut into other partitions), counted per partition,
+    and the small table of counts gives each partition its offset.
     """
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    schema = StructType(list(df.schema.fields) + [StructField(col, LongType(), False)])
-    rdd = df.rdd.zipWithIndex().map(lambda ri: tuple(ri[0]) + (ri[1],))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    from opinion_spark.operators.graph import _checkpoint
+
+    rows = _checkpoint(df.withColumn("_row", F.monotonically_increasing_id()))
+    part = F.shiftright("_row", 33)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    start = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_start"))
+    place = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.join(F.broadcast(start), part == F.col("_part")).select(*df.columns, (F.col("_start") + place).alias(col))
 
 
 def first_n(df: DataFrame, n: int, order: str = "doc_id") -> DataFrame:

@@ -89,12 +89,37 @@ def test_term_weights(spark):
 
 
 def brute_segment(s, cost):
-    best = [(0.0, [])]
+    best = [(0, 0.0, 0, [])]
     for i in range(1, len(s) + 1):
-        opts = [(best[i - k][0] + cost.get(s[i - k:i].lower(), math.inf), k) for k in range(1, i + 1)]
-        c, k = min(opts)
-        best.append((c, best[i - k][1] + [s[i - k:i]]))
-    return best[-1]
+        opts = []
+        for k in range(1, i + 1):
+            w, (u, c, _, words) = s[i - k:i], best[i - k]
+            if w.lower() in cost:
+                opts.append((u, c + cost[w.lower()], k, words + [w]))
+            elif k == 1:
+                opts.append((u + 1, c, k, words + [w]))
+        best.append(min(opts, key=lambda o: o[:3]))
+    return best[-1][1], best[-1][3]
+
+
+def test_hashtags_cut_at_separators_and_digits(spark):
+    words = ["vote", "blue", "trump", "the"]
+    costs = hashtags.word_costs(spark.createDataFrame([(w, 4 - i) for i, w in enumerate(words)], "word string, count long"))
+    want = {"Vote_Blue": "Vote Blue", "Trump2020": "Trump 2020", "2020Trump": "2020 Trump", "ZqTheBlue": "Z q The Blue", "7": "7"}
+    tags = spark.createDataFrame([(t,) for t in [*want, "_", "Trump2020", None]], "tag string")
+    got = {r["tag"]: r for r in hashtags.segment_tags(tags, costs).collect()}
+    assert {t: " ".join(r["words"]) for t, r in got.items()} == want
+    assert got["ZqTheBlue"]["unknown"] == 2 and got["7"]["cost"] == 0
+    docs = spark.createDataFrame([(1, "a #_ b #Vote_Blue"), (2, None), (3, "# #")], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in hashtags.replace_hashtags(docs, costs).collect()} == {
+        1: "a #_ b Vote Blue", 2: None, 3: "# #"}
+
+
+def test_word_ranks_match_one_sort(spark):
+    rows = [("b", 3), ("abcd", 1), ("abce", 1), ("abc", 1), ("z", 1), ("a", 3), ("é", 1), ("ab", 2)]
+    costs = {r["word"]: r["cost"] for r in hashtags.word_costs(spark.createDataFrame(rows, "word string, count long")).collect()}
+    order = sorted(rows, key=lambda r: (-r[1], r[0].encode()))
+    assert costs == pytest.approx({w: math.log((i + 1) * math.log(len(rows))) for i, (w, _) in enumerate(order)})
 
 
 def test_hashtag_segmentation_vs_brute_force(spark):
