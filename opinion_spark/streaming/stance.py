@@ -20,7 +20,7 @@ def stance_stream(posts: DataFrame, names: dict[str, list[str]], lexicon: dict[s
                   regions: DataFrame | None = None, whole_word: bool = False,
                   event_time: str | None = None, watermark: str = "1 day") -> DataFrame:
     """Streaming (or batch) posts -> labelled, scored posts."""
-    out = posts.withColumn("tweet", cleaning.replace_urls(F.col("tweet"))).where(F.col("tweet").isNotNull())
+    out = posts.withColumn("tweet", cleaning.replace_urls(F.col("tweet")))  # NULL texts count as copies of one
     if event_time:
         out = out.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(["tweet"])
     else:
@@ -35,11 +35,13 @@ def stance_stream(posts: DataFrame, names: dict[str, list[str]], lexicon: dict[s
 
 
 def stance_counts_stream(posts: DataFrame, names, lexicon, regions: DataFrame | None = None,
-                         whole_word: bool = False) -> DataFrame:
+                         whole_word: bool = False, event_time: str | None = None,
+                         watermark: str = "1 day") -> DataFrame:
     """R3 + R4 + R5 on a stream: per-region class counts and proportions.
 
-    Run with ``outputMode("complete")`` or ``("update")``; state is one row per
-    region.
+    Run with ``outputMode("complete")`` or ``("update")``; the counts' state is one
+    row per region. Copies are remembered within the watermark of ``event_time``;
+    without that column every text seen stays in the state.
     """
-    scored = stance_stream(posts, names, lexicon, regions, whole_word)
+    scored = stance_stream(posts, names, lexicon, regions, whole_word, event_time, watermark)
     return regional.two_class_proportions(regional.class_pivot(scored))

@@ -46,3 +46,5 @@ def test_word_list_gzip_and_ordinals(spark, tmp_path):
     ids = readers.with_ordinal_id(df).collect()
     assert sorted(r["doc_id"] for r in ids) == [0, 1, 2]
     assert readers.first_n(readers.with_ordinal_id(df), 2).count() == 2
+    ordered = spark.range(0, 50, 1, 7)
+    assert all(r["id"] == r["doc_id"] for r in readers.with_ordinal_id(ordered).collect())
