@@ -221,6 +221,14 @@ samp AS (SELECT *, row_number() OVER (PARTITION BY likely_party ORDER BY md5('42
   md5(CAST(sample_rank AS VARCHAR) || '. ' || tweet || repeat(' ', greatest(0, 1000 - length(tweet)))) AS listing_md5,
   length(CAST(sample_rank AS VARCHAR) || '. ' || tweet || repeat(' ', greatest(0, 1000 - length(tweet)))) AS listing_len
 FROM samp WHERE sample_rank <= 10""")
+    out["n7_sample_summary"] = W(S, """SELECT least(count(*), 100) AS n_rows, least(count(*), 100) AS n_ids,
+  least(count(*), 100) AS n_known FROM scored""")
+    out["j1_attach_counts"] = W(S, """SELECT f.state, f.tweet_count, p.total,
+  round(CAST(p.n_dem AS DOUBLE) / nullif(p.n_dem + p.n_rep, 0), 9) AS democratic_proportion
+FROM (SELECT state, count(*) AS tweet_count FROM scored WHERE state IS NOT NULL GROUP BY state) f JOIN piv p USING (state)""")
+    ordinals = "SELECT doc_id, source, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal FROM documents"
+    out["s9_ordinals"] = ordinals
+    out["s10_first_rows"] = f"SELECT * FROM ({ordinals}) WHERE ordinal < 100"
     out["r1_frequency"] = W(S, """SELECT f.state, f.tweet_count, c.state_code FROM (
   SELECT state, count(*) AS tweet_count FROM scored WHERE state IS NOT NULL GROUP BY state) f
 LEFT JOIN codes c USING (state)""")

@@ -163,6 +163,15 @@ def n7_random_sample(spark, sf):
     return sentiment.random_sample(_scored(spark, sf), 100).select("doc_id", "likely_party")
 
 
+def n7_sample_summary(spark, sf):
+    """N7, what every draw must meet: its size, distinct ids, all from the input."""
+    s = _scored(spark, sf)
+    drawn = sentiment.random_sample(s, 100).select("doc_id")
+    known = s.select("doc_id", F.lit(1).alias("known"))
+    return drawn.join(known, "doc_id", "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("doc_id").alias("n_ids"), F.count("known").alias("n_known"))
+
+
 def n8_seeded_sample(spark, sf):
     s = sentiment.seeded_sample_per_class(_scored(spark, sf), 10, seed=42)
     return s.select("doc_id", "likely_party", "sample_rank")
@@ -256,6 +265,31 @@ def r21_activity_weighted(spark, sf):
     return out.select("state", r9("democratic_proportion"), r9("republican_proportion"))
 
 
+def j1_attach_counts(spark, sf):
+    """The frequency table with each region's shares."""
+    scored = _scored(spark, sf)
+    freq = regional.frequency_table(scored, "state", "tweet_count")
+    props = regional.two_class_proportions(regional.class_pivot(scored))
+    return regional.attach_counts(freq, props).select("state", "tweet_count", "total", r9("democratic_proportion"))
+
+
+# ---------------------------------------------------------------- sources ---
+
+def s9_ordinals(spark, sf):
+    """Dense ordinals of the documents in the order of their ids."""
+    from opinion_spark.sources import readers
+
+    d = B.table(spark, sf, "documents").select("doc_id", "source").orderBy("doc_id")
+    return readers.with_ordinal_id(d, "ordinal").select("doc_id", "source", "ordinal")
+
+
+def s10_first_rows(spark, sf):
+    """The first 100 of them."""
+    from opinion_spark.sources import readers
+
+    return readers.first_n(s9_ordinals(spark, sf), 100, "ordinal")
+
+
 # ------------------------------------------------------------------ votes ---
 
 def _actual(spark, sf):
@@ -620,6 +654,7 @@ REGISTRY = {
     "n5_class_summary": n5_class_summary,
     "n6_score_filters": n6_score_filters,
     "n7_random_sample": n7_random_sample,
+    "n7_sample_summary": n7_sample_summary,
     "n8_seeded_sample": n8_seeded_sample,
     "n9_sample_listing": n9_sample_listing,
     "r1_frequency": r1_frequency,
@@ -637,6 +672,9 @@ REGISTRY = {
     "r19_relative_frequency": r19_relative_frequency,
     "r20_second_largest": r20_second_largest,
     "r21_activity_weighted": r21_activity_weighted,
+    "j1_attach_counts": j1_attach_counts,
+    "s9_ordinals": s9_ordinals,
+    "s10_first_rows": s10_first_rows,
     "v4_state_votes": v4_state_votes,
     "v5_national_margin": v5_national_margin,
     "c_lead_difference": c_lead_difference,
