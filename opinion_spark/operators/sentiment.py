@@ -1,14 +1,16 @@
 """Lexicon sentiment and stance labels.
 
 ``lexicon_sentiment`` follows the published rule-based scoring of Hutto &
-Gilbert (2014): per-token valence from a lexicon, a three-token negation
-look-back, the contrastive "but" rule, exclamation / question emphasis, and
-the normalisation ``s / sqrt(s^2 + alpha)``. The lexicon is the caller's.
+Gilbert (2014): per-token valence from a lexicon, emphasis by capitals, booster
+words, negation ("never so", "without doubt" and "least" included) in the three
+tokens before, the contrastive "but" rule, exclamation / question emphasis, and
+the normalisation ``s / sqrt(s^2 + alpha)``. The lexicon is the caller's; the
+library's idioms and emoticons belong to its word list and are not built in.
 
 Scoring is a pure per-row expression over the token array (higher-order
 functions), so it needs no explode, no join and no shuffle: the lexicon is a
 map literal whose size is checked on the driver before it is inlined. Sums are
-taken in DECIMAL so they do not depend on evaluation order.
+taken in whole units so they do not depend on evaluation order.
 """
 
 from __future__ import annotations
@@ -17,221 +19,269 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # --- fixed values: constants of the published scoring rule ---
-NEGATION_SCALAR = "-0.74"
-BUT_BEFORE = "0.5"
-BUT_AFTER = "1.5"
-EXCLAMATION_STEP = "0.292"
 EXCLAMATION_MAX = 4
-QUESTION_STEP = "0.18"
-QUESTION_MAX = "0.96"
 ALPHA = 15.0
 NEGATIONS = [
-    "not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "nowhere", "cannot",
-    "without", "aint", "isnt", "arent", "wasnt", "werent", "dont", "doesnt", "didnt", "wont",
-    "wouldnt", "cant", "couldnt", "shouldnt", "hasnt", "havent", "hadnt",
+    "not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "nowhere", "nope", "cannot",
+    "without", "rarely", "seldom", "despite", "uhuh", "aint", "isnt", "arent", "wasnt", "werent", "dont",
+    "doesnt", "didnt", "wont", "wouldnt", "cant", "couldnt", "shouldnt", "hasnt", "havent", "hadnt",
+    "darent", "mightnt", "mustnt", "neednt", "oughtnt", "shant",
+]
+INCREASING = [
+    "absolutely", "amazingly", "awfully", "completely", "considerable", "considerably", "decidedly", "deeply",
+    "effing", "enormous", "enormously", "entirely", "especially", "exceptional", "exceptionally", "extreme",
+    "extremely", "fabulously", "flipping", "flippin", "frackin", "fracking", "fricking", "frickin", "frigging",
+    "friggin", "fully", "fuckin", "fucking", "fuggin", "fugging", "greatly", "hella", "highly", "hugely",
+    "incredible", "incredibly", "intensely", "major", "majorly", "more", "most", "particularly", "purely",
+    "quite", "really", "remarkably", "so", "substantially", "thoroughly", "total", "totally", "tremendous",
+    "tremendously", "uber", "unbelievably", "unusually", "utter", "utterly", "very",
+]
+DECREASING = [
+    "almost", "barely", "hardly", "kinda", "kindof", "less", "little", "marginal", "marginally", "occasional",
+    "occasionally", "partly", "scarce", "scarcely", "slight", "slightly", "somewhat", "sorta", "sortof",
 ]
 
 TOKEN_PATTERN = r"[\p{L}\p{N}_']+"
 MAX_INLINE_LEXICON = 64  # entries inlined as a map literal; larger lexicons are joined
 
-_VAL = "decimal(12,4)"
-# (-0.74)^k for k = 0..3 negations in the look-back window, exact decimals.
-NEG_FACTORS = ("1", "-0.74", "0.5476", "-0.405224")
-_ACC = "decimal(38,12)"
+# Exact whole-unit arithmetic. Lexicon valences (four decimals), boosters and
+# capitals are whole 1e-5 units; each of the four factors (1, -0.74, 1.25) is in
+# hundredths, so a token's valence is a whole number of 1e-13 units. It is
+# rounded to 1e-7, half away from zero, and the "but" factors (5, 10 or 15
+# tenths) bring sums to 1e-8 units. They stay far below 2^53, so the final
+# division gives the same double in any order of summation.
+_VAL_SCALE = 10_000
+_BOOST, _CAPS = (29_300, 27_835, 26_370), (73_300, 69_635, 65_970)  # 0.293 and 0.733, by distance 100, 95, 90 %
+_SAME, _NEGATED, _NEVER_SO = 100, -74, 125
+_ROUND = 1_000_000
+_UNIT = 100_000_000  # 1e8
+_EXCL_UNITS = 29_200_000  # 0.292
+_Q_UNITS = 18_000_000  # 0.18
+_QMAX_UNITS = 96_000_000  # 0.96
 
 
-def tokens(text: Column) -> Column:
-    """Lower-cased word tokens, apostrophes kept (``don't``)."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_PATTERN), 0)
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once (lambdas know no common subexpressions)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _negated(tok: Column) -> Column:
-    return F.array_contains(F.lit(NEGATIONS), tok) | tok.endswith("n't")
+def tokens(text: Column) -> Column:
+    """Word tokens, apostrophes kept (``don't``), as ``(w, cap)``: lower-cased, and whether written in capitals."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0), lambda t: F.struct(
+        F.lower(t).alias("w"), ((t == F.upper(t)) & (t != F.lower(t))).alias("cap")))
 
 
-# Exact scaled-integer arithmetic: valences in 1e-4 units, negation factors in
-# 1e-6 units, so a token score is a LONG in 1e-10 units; the "but" factors
-# (0.5 / 1 / 1.5 = 5 / 10 / 15 tenths) bring sums to 1e-11 units. Every sum
-# stays far below 2^53, so the final division by 1e11 gives the correctly
-# rounded double of the exact decimal result, with no BigDecimal in the loop.
-_VAL_SCALE = 10_000
-_NEG_UNITS = (1_000_000, -740_000, 547_600, -405_224)
-_UNIT = 100_000_000_000  # 1e11
-_EXCL_UNITS = 29_200_000_000  # 0.292
-_Q_UNITS = 18_000_000_000  # 0.18
-_QMAX_UNITS = 96_000_000_000  # 0.96
+def _mixed_case(toks: Column) -> Column:
+    """Whether some, but not all, tokens are capitals: only then do capitals stress."""
+    caps = F.size(F.filter(toks, lambda t: t["cap"]))
+    return (caps > 0) & (caps < F.size(toks))
 
 
-def lexicon_map(lexicon: dict[str, float] | DataFrame) -> Column:
-    """Lexicon as a map literal of valences in 1e-4 units.
+def _valence(units: Column, cap: Column, before: list[Column], mixed: Column, taken: list[str]) -> Column:
+    """A lexicon word's valence in 1e-7 units from its lexicon value (1e-4 units).
 
-    A DataFrame lexicon is size-checked before it is collected and inlined
-    (map lookups in a literal are linear scans, so the literal stays small).
+    ``before`` are the three tokens before it, nearest first, ``w`` empty
+    before the start. A word of the lexicon itself (``taken``: those that the rules
+    name) neither boosts nor negates.
     """
-    if not isinstance(lexicon, dict):
-        n = lexicon.count()
-        if n > MAX_INLINE_LEXICON:
-            raise ValueError(f"lexicon has {n} entries; at most {MAX_INLINE_LEXICON} can be inlined")
-        lexicon = {r[0]: float(r[1]) for r in lexicon.collect()}
+    rule = lambda words: [w for w in words if w not in taken]
+    w1, w2, w3 = (t["w"] for t in before)
+    so1, so2 = w1.isin("so", "this"), w2.isin("so", "this")
+
+    def free(w: Column) -> Column:
+        return ~w.isin(taken) if taken else F.lit(True)
+
+    def negated(w: Column) -> Column:
+        return F.when((w.isin(rule(NEGATIONS)) | w.endswith("n't")) & free(w), F.lit(_NEGATED)).otherwise(F.lit(_SAME))
+
+    factor = [
+        negated(w1),
+        F.when((w2 == "never") & free(w2) & so1, F.lit(_NEVER_SO))
+        .when((w2 == "without") & free(w2) & (w1 == "doubt"), F.lit(_SAME)).otherwise(negated(w2)),
+        F.when((w3 == "never") & free(w3) & (so2 | so1), F.lit(_NEVER_SO))
+        .when((w3 == "without") & free(w3) & ((w2 == "doubt") | (w1 == "doubt")), F.lit(_SAME)).otherwise(negated(w3)),
+    ]
+    least = F.when((w1 == "least") & free(w1) & ~w2.isin("at", "very"), F.lit(_NEGATED)).otherwise(F.lit(_SAME))
+
+    def at(k: int, v: Column) -> Column:
+        """The valence after the token ``k`` places before, 100 times finer than ``v``."""
+        t, fine = before[k], 100 ** k
+        way = F.when(t["w"].isin(rule(INCREASING)), F.lit(1)).when(t["w"].isin(rule(DECREASING)), F.lit(-1))
+        step = way * F.when(v < 0, F.lit(-_BOOST[k] * fine)).otherwise(F.lit(_BOOST[k] * fine)).cast("long")
+        loud = F.when(way.isNotNull() & t["cap"] & mixed,
+                      F.when(v > 0, F.lit(_CAPS[k] * fine)).otherwise(F.lit(-_CAPS[k] * fine)))
+        zero = F.lit(0).cast("long")
+        return (v + F.coalesce(step, zero) + F.coalesce(loud.cast("long"), zero)) * factor[k]
+
+    own = F.when(cap & mixed, F.when(units > 0, F.lit(_CAPS[0])).otherwise(F.lit(-_CAPS[0]))).otherwise(F.lit(0))
+    first = units * 10 + own
+    last = _let(first, lambda a: _let(at(0, a), lambda b: _let(at(1, b), lambda c: at(2, c) * least)))
+    return _let(last, lambda v: F.call_function("div", v + F.signum(v).cast("long") * (_ROUND // 2), F.lit(_ROUND)))
+
+
+def _named_by_rules(words) -> list[str]:
+    """The words that a rule would read as boosters or negations."""
+    named = {*NEGATIONS, *INCREASING, *DECREASING, "least"}
+    return sorted(w for w in words if w in named or w.endswith("n't"))
+
+
+def _emphasis(text: Column) -> Column:
+    """Punctuation emphasis of the whole text in sum units."""
+    n_excl = F.least(F.length(text) - F.length(F.regexp_replace(text, "!", "")), F.lit(EXCLAMATION_MAX))
+    n_q = F.length(text) - F.length(F.regexp_replace(text, r"\?", ""))
+    q_amp = (F.when(n_q <= 1, F.lit(0).cast("long")).when(n_q <= 3, n_q.cast("long") * _Q_UNITS)
+             .otherwise(F.lit(_QMAX_UNITS)))
+    return n_excl.cast("long") * _EXCL_UNITS + q_amp
+
+
+def _scores(n: Column, s_sum: Column, ps: Column, pcount: Column, ncount: Column, amp: Column) -> Column:
+    """The four scores from a text's token count, sum, sum of positives, their counts and the emphasis."""
+    pos = ps + pcount.cast("long") * _UNIT
+    negabs = -((s_sum - ps) - ncount.cast("long") * _UNIT)
+    neu = (n - pcount - ncount).cast("double")
+    adj = (F.when(s_sum > 0, s_sum + amp).when(s_sum < 0, s_sum - amp).otherwise(s_sum).cast("double") / float(_UNIT))
+    compound = F.least(F.greatest(adj / F.sqrt(adj * adj + F.lit(ALPHA)), F.lit(-1.0)), F.lit(1.0))
+    pos_adj = F.when(pos > negabs, pos + amp).otherwise(pos).cast("double") / float(_UNIT)
+    neg_adj = F.when(pos < negabs, negabs + amp).otherwise(negabs).cast("double") / float(_UNIT)
+    total = pos_adj + neg_adj + neu
+    empty = n == 0
+    share = lambda x: F.when(empty, 0.0).otherwise(F.round(F.abs(x / total), 3))
+    return F.struct(share(pos_adj).alias("positive"), share(neu).alias("neutral"), share(neg_adj).alias("negative"),
+                    F.when(empty, 0.0).otherwise(F.round(compound, 4)).alias("compound"))
+
+
+_KINDS = ("positive", "neutral", "negative", "compound")
+
+
+def lexicon_map(lexicon: dict[str, float]) -> Column:
+    """Lexicon as a map literal of valences in 1e-4 units (lookups scan it, so it stays small)."""
     words = sorted(lexicon)
     units = [int(round(lexicon[w] * _VAL_SCALE)) for w in words]
     return F.map_from_arrays(F.lit(words), F.lit(units).cast("array<long>"))
 
 
-def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str = "text",
-                            prefix: str = "") -> DataFrame:
+def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float], text: str, prefix: str) -> DataFrame:
     """N2 for small lexicons: ``positive, neutral, negative, compound`` for every row.
 
-    One left fold over the token array carries the last three negation flags
-    and the running sums, split at the first "but" (before x0.5, after x1.5).
-    The fold's lambda reads only its accumulator and the current token, so
-    however Catalyst inlines or pushes the expression (it may push a filter on
-    the score below a dedup window), the tokenizer still runs once per row.
+    One left fold over the token array carries the last three tokens and the
+    running sums, split at the first "but" (before x0.5, after x1.5). The token
+    array is bound once, so however Catalyst inlines or pushes the expression (it
+    may push a filter on the score below a dedup window), the tokenizer runs once.
     """
-    lex = lexicon_map(lexicon)
+    lex, taken = lexicon_map(lexicon), _named_by_rules(lexicon)
     zl = F.lit(0).cast("long")
     segs = "bma"  # before the first "but", the "but" itself, after it
-    init = F.struct(
-        F.lit(0).alias("p1"), F.lit(0).alias("p2"), F.lit(0).alias("p3"),
-        F.lit(0).alias("seg"), F.lit(0).alias("n"),
-        *[zl.alias(f"{k}{g}") for g in segs for k in ("s", "ps")],
-        *[F.lit(0).alias(f"{k}{g}") for g in segs for k in ("pc", "nc")],
-    )
-    names = ["p1", "p2", "p3", "seg", "n",
-             *[f"{k}{g}" for g in segs for k in ("s", "ps")],
-             *[f"{k}{g}" for g in segs for k in ("pc", "nc")]]
-    factors = F.array(*[F.lit(v).cast("long") for v in _NEG_UNITS])
+    none = F.struct(F.lit("").alias("w"), F.lit(False).alias("cap"))
+    sums, counts = [f"{k}{g}" for g in segs for k in ("s", "ps")], [f"{k}{g}" for g in segs for k in ("pc", "nc")]
+    names = ["q1", "q2", "q3", "mixed", "seg", "n", *sums, *counts]
 
     def step(acc, tok):
-        n_neg = acc["p1"] + acc["p2"] + acc["p3"]
-        v = F.coalesce(F.try_element_at(lex, tok), zl) * F.element_at(factors, n_neg + 1)
-        seg = F.when((acc["seg"] == 0) & (tok == "but"), F.lit(1)) \
+        seg = F.when((acc["seg"] == 0) & (tok["w"] == "but"), F.lit(1)) \
                .when(acc["seg"] == 1, F.lit(2)).otherwise(acc["seg"])
-        f = {"p1": _negated(tok).cast("int"), "p2": acc["p1"], "p3": acc["p2"], "seg": seg, "n": acc["n"] + 1}
-        for i, g in enumerate(segs):
-            here = seg == i
-            f[f"s{g}"] = acc[f"s{g}"] + F.when(here, v).otherwise(zl)
-            f[f"ps{g}"] = acc[f"ps{g}"] + F.when(here & (v > 0), v).otherwise(zl)
-            f[f"pc{g}"] = acc[f"pc{g}"] + F.when(here & (v > 0), 1).otherwise(0)
-            f[f"nc{g}"] = acc[f"nc{g}"] + F.when(here & (v < 0), 1).otherwise(0)
-        return F.struct(*[f[x].alias(x) for x in names])
-
-    n_excl = F.least(F.length(text) - F.length(F.regexp_replace(text, "!", "")), F.lit(EXCLAMATION_MAX))
-    n_q = F.length(text) - F.length(F.regexp_replace(text, r"\?", ""))
-    q_amp = (F.when(n_q <= 1, zl).when(n_q <= 3, n_q.cast("long") * _Q_UNITS).otherwise(F.lit(_QMAX_UNITS)))
-    amp = n_excl.cast("long") * _EXCL_UNITS + q_amp  # 1e-11 units
+        before = [acc["q1"], acc["q2"], acc["q3"]]
+
+        def added(v):
+            f = {"q1": tok, "q2": acc["q1"], "q3": acc["q2"], "mixed": acc["mixed"], "seg": seg, "n": acc["n"] + 1}
+            for i, g in enumerate(segs):
+                here = seg == i
+                f[f"s{g}"] = acc[f"s{g}"] + F.when(here, v).otherwise(zl)
+                f[f"ps{g}"] = acc[f"ps{g}"] + F.when(here & (v > 0), v).otherwise(zl)
+                f[f"pc{g}"] = acc[f"pc{g}"] + F.when(here & (v > 0), 1).otherwise(0)
+                f[f"nc{g}"] = acc[f"nc{g}"] + F.when(here & (v < 0), 1).otherwise(0)
+            return F.struct(*[f[x].alias(x) for x in names])
+
+        valence = _let(F.try_element_at(lex, tok["w"]), lambda u: F.when(u.isNull(), zl).otherwise(
+            _valence(u, tok["cap"], before, acc["mixed"], taken)))
+        return _let(valence, added)
 
     def finish(f):
         # Runs once per row on the final accumulator; every output is built
         # here, so downstream references never duplicate the fold.
         fb = F.when(f["seg"] > 0, F.lit(5)).otherwise(F.lit(10)).cast("long")  # tenths
 
-        def scaled(k: str) -> Column:  # 1e-11 units
+        def scaled(k: str) -> Column:
             return f[f"{k}b"] * fb + f[f"{k}m"] * 10 + f[f"{k}a"] * 15
 
-        s_sum = scaled("s")
-        ps = scaled("ps")
-        ns = s_sum - ps
-        pcount = f["pcb"] + f["pcm"] + f["pca"]
-        ncount = f["ncb"] + f["ncm"] + f["nca"]
-        pos = ps + pcount.cast("long") * _UNIT
-        negabs = -(ns - ncount.cast("long") * _UNIT)
-        neu = (f["n"] - pcount - ncount).cast("double")
-        adj = (F.when(s_sum > 0, s_sum + amp).when(s_sum < 0, s_sum - amp).otherwise(s_sum)
-               .cast("double") / float(_UNIT))
-        compound = F.least(F.greatest(adj / F.sqrt(adj * adj + F.lit(ALPHA)), F.lit(-1.0)), F.lit(1.0))
-        pos_adj = F.when(pos > negabs, pos + amp).otherwise(pos).cast("double") / float(_UNIT)
-        neg_adj = F.when(pos < negabs, negabs + amp).otherwise(negabs).cast("double") / float(_UNIT)
-        total = pos_adj + neg_adj + neu
-        empty = f["n"] == 0
-        return F.struct(
-            F.when(empty, 0.0).otherwise(F.round(F.abs(pos_adj / total), 3)).alias("positive"),
-            F.when(empty, 0.0).otherwise(F.round(F.abs(neu / total), 3)).alias("neutral"),
-            F.when(empty, 0.0).otherwise(F.round(F.abs(neg_adj / total), 3)).alias("negative"),
-            F.when(empty, 0.0).otherwise(F.round(compound, 4)).alias("compound"))
-
-    out = df.withColumn("_score", F.aggregate(tokens(F.col(text)), init, step, finish))
-    out = out.withColumns({prefix + k: F.col("_score")[k]
-                           for k in ("positive", "neutral", "negative", "compound")})
-    return out.drop("_score")
+        return _scores(f["n"], scaled("s"), scaled("ps"), f["pcb"] + f["pcm"] + f["pca"],
+                       f["ncb"] + f["ncm"] + f["nca"], _emphasis(F.col(text)))
+
+    def fold(toks):
+        init = F.struct(*[none.alias(q) for q in ("q1", "q2", "q3")], _mixed_case(toks).alias("mixed"),
+                        F.lit(0).alias("seg"), F.lit(0).alias("n"),
+                        *[zl.alias(x) for x in sums], *[F.lit(0).alias(x) for x in counts])
+        return F.aggregate(toks, init, step, finish)
+
+    out = df.withColumn("_score", _let(tokens(F.col(text)), fold))
+    return out.withColumns({prefix + k: F.col("_score")[k] for k in _KINDS}).drop("_score")
 
 
 def lexicon_sentiment(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str = "text",
-                      prefix: str = "", key: str = "doc_id", method: str = "auto") -> DataFrame:
-    """``positive, neutral, negative, compound`` for every row.
+                      prefix: str = "", method: str = "auto") -> DataFrame:
+    """``positive, neutral, negative, compound`` for every row; a NULL text has NULL scores.
 
     ``method='fold'`` scores each row with one array fold and a map-literal
     lexicon (no shuffle; for small lexicons, since map-literal lookups scan
     linearly). ``'join'`` explodes tokens and joins the lexicon as a table
     (any size; AQE broadcasts it when its measured size allows), once for
-    each distinct text; ``key`` is not used. ``'auto'`` picks by lexicon size. Both give identical results.
+    each distinct text. ``'auto'`` picks by lexicon size. Both give identical results.
     """
     if method == "auto":
         n = len(lexicon) if isinstance(lexicon, dict) else lexicon.count()
         method = "fold" if n <= MAX_INLINE_LEXICON else "join"
     if method == "fold":
+        if not isinstance(lexicon, dict):
+            rows = lexicon.limit(MAX_INLINE_LEXICON + 1).collect()
+            if len(rows) > MAX_INLINE_LEXICON:
+                raise ValueError(f"lexicon has over {MAX_INLINE_LEXICON} entries, the most that can be inlined")
+            lexicon = {r[0]: float(r[1]) for r in rows}
         return _lexicon_sentiment_fold(df, lexicon, text, prefix)
-    return _lexicon_sentiment_join(df, lexicon, text, prefix, key)
+    return _lexicon_sentiment_join(df, lexicon, text, prefix)
 
 
-def _lexicon_sentiment_join(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str,
-                            prefix: str, key: str) -> DataFrame:
+def _lexicon_sentiment_join(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str, prefix: str) -> DataFrame:
     spark = df.sparkSession
     if isinstance(lexicon, dict):
         lex = spark.createDataFrame([(w, float(v)) for w, v in lexicon.items()], "word string, valence double")
     else:
         lex = lexicon.toDF("word", "valence")
     lex = lex.select("word", F.round(F.col("valence") * _VAL_SCALE).cast("long").alias("vu"))
-    t = tokens(F.col(text))
-    n = F.size(t)
-
-    def shifted(k: int) -> Column:  # token k places earlier, "" before the start
-        return F.concat(F.array_repeat(F.lit(""), k), F.slice(t, 1, F.greatest(n - k, F.lit(0))))
+    # as many rows as the rules name words
+    named = lex.where(F.col("word").isin(NEGATIONS + INCREASING + DECREASING + ["least"]) | F.col("word").endswith("n't"))
+    taken = _named_by_rules(r[0] for r in named.select("word").distinct().collect())
 
     # a score depends on the text alone: equal texts are scored once, whatever their keys
     df = df.withColumn("_k", F.sha2(F.col(text), 256))
     once = df.where(F.col("_k").isNotNull()).select("_k", text).dropDuplicates(["_k"])
-    base = once.select("_k", n.alias("_n"), F.array_position(t, "but").alias("_but"),
-                     F.arrays_zip(t.alias("tok"), shifted(1).alias("q1"), shifted(2).alias("q2"),
-                                  shifted(3).alias("q3")).alias("_z"))
-    toks = base.select("_k", "_but", F.posexplode("_z").alias("_i", "z")).select(
-        "_k", "_but", (F.col("_i") + 1).alias("p"), "z.tok", "z.q1", "z.q2", "z.q3")
-    hits = toks.join(lex, toks.tok == lex.word, "inner")
-    n_neg = sum(_negated(F.col(c)).cast("int") for c in ("q1", "q2", "q3"))
-    factors = F.array(*[F.lit(v).cast("long") for v in _NEG_UNITS])
-    v = F.col("vu") * F.element_at(factors, n_neg + 1)
+    t, none = F.col("_t"), F.struct(F.lit("").alias("w"), F.lit(False).alias("cap"))
+    n = F.size(t)
+
+    def shifted(k: int) -> Column:  # the token k places earlier
+        return F.concat(F.array_repeat(none, k), F.slice(t, 1, F.greatest(n - k, F.lit(0))))
+
+    base = once.select("_k", tokens(F.col(text)).alias("_t")).select(
+        "_k", n.alias("_n"), _mixed_case(t).alias("_mixed"), F.array_position(F.transform(t, lambda x: x["w"]), "but").alias("_but"),
+        F.arrays_zip(t.alias("tok"), shifted(1).alias("q1"), shifted(2).alias("q2"), shifted(3).alias("q3")).alias("_z"))
+    toks = base.select("_k", "_but", "_mixed", F.posexplode("_z").alias("_i", "z")).select(
+        "_k", "_but", "_mixed", (F.col("_i") + 1).alias("p"), "z.tok", "z.q1", "z.q2", "z.q3")
+    hits = toks.join(lex, toks.tok.w == lex.word, "inner")
+    v = _valence(F.col("vu"), F.col("tok.cap"), [F.col(c) for c in ("q1", "q2", "q3")], F.col("_mixed"), taken)
     tenths = (F.when((F.col("_but") > 0) & (F.col("p") < F.col("_but")), F.lit(5))
               .when((F.col("_but") > 0) & (F.col("p") > F.col("_but")), F.lit(15)).otherwise(F.lit(10))).cast("long")
-    hv = hits.select("_k", (v * tenths).alias("s"), (v != 0).alias("nz"))
-    sums = hv.groupBy("_k").agg(
+    sums = hits.select("_k", (v * tenths).alias("s")).groupBy("_k").agg(
         F.sum("s").alias("_s"),
         F.sum(F.when(F.col("s") > 0, F.col("s")).otherwise(F.lit(0).cast("long"))).alias("_ps"),
         F.count_if(F.col("s") > 0).alias("_pc"), F.count_if(F.col("s") < 0).alias("_nc"))
     per = df.join(base.select("_k", "_n"), "_k", "left").join(sums, "_k", "left")
     zl = F.lit(0).cast("long")
-    s_sum, ps = F.coalesce("_s", zl), F.coalesce("_ps", zl)
-    pcount, ncount = F.coalesce("_pc", zl), F.coalesce("_nc", zl)
-    n_excl = F.least(F.length(text) - F.length(F.regexp_replace(text, "!", "")), F.lit(EXCLAMATION_MAX))
-    n_q = F.length(text) - F.length(F.regexp_replace(text, r"\?", ""))
-    q_amp = (F.when(n_q <= 1, zl).when(n_q <= 3, n_q.cast("long") * _Q_UNITS).otherwise(F.lit(_QMAX_UNITS)))
-    amp = n_excl.cast("long") * _EXCL_UNITS + q_amp
-    pos = ps + pcount * _UNIT
-    negabs = -((s_sum - ps) - ncount * _UNIT)
-    neu = (F.coalesce("_n", F.lit(0)) - pcount - ncount).cast("double")
-    adj = (F.when(s_sum > 0, s_sum + amp).when(s_sum < 0, s_sum - amp).otherwise(s_sum).cast("double") / float(_UNIT))
-    compound = F.least(F.greatest(adj / F.sqrt(adj * adj + F.lit(ALPHA)), F.lit(-1.0)), F.lit(1.0))
-    pos_adj = F.when(pos > negabs, pos + amp).otherwise(pos).cast("double") / float(_UNIT)
-    neg_adj = F.when(pos < negabs, negabs + amp).otherwise(negabs).cast("double") / float(_UNIT)
-    total = pos_adj + neg_adj + neu
-    empty = F.col("_n") == 0  # NULL for a NULL text, whose scores are NULL
-    known = F.col("_n").isNotNull()
-    out = per.withColumns({
-        prefix + "positive": F.when(empty, 0.0).when(known, F.round(F.abs(pos_adj / total), 3)),
-        prefix + "neutral": F.when(empty, 0.0).when(known, F.round(F.abs(neu / total), 3)),
-        prefix + "negative": F.when(empty, 0.0).when(known, F.round(F.abs(neg_adj / total), 3)),
-        prefix + "compound": F.when(empty, 0.0).when(known, F.round(compound, 4)),
-    })
-    return out.drop("_k", "_n", "_s", "_ps", "_pc", "_nc")
+    score = _scores(F.col("_n"), *[F.coalesce(c, zl) for c in ("_s", "_ps", "_pc", "_nc")], _emphasis(F.col(text)))
+    out = per.withColumn("_score", F.when(F.col("_n").isNotNull(), score))
+    out = out.withColumns({prefix + k: F.col("_score")[k] for k in _KINDS})
+    return out.drop("_k", "_n", "_s", "_ps", "_pc", "_nc", "_score")
+
+
+def context_of(parsed: Column, keep: tuple[str, ...] = ("nsubj", "dobj", "pobj", "ROOT")) -> Column:
+    """N1 for posts that carry their parse as an array of ``(token, dep)``: no shuffle; NULL gives NULL."""
+    return F.array_join(F.transform(F.filter(parsed, lambda t: t["dep"].isin(list(keep))), lambda t: t["token"]), " ")
 
 
 def context_filter(tokens_df: DataFrame, keep: tuple[str, ...] = ("nsubj", "dobj", "pobj", "ROOT"),

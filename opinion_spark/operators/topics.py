@@ -40,8 +40,9 @@ def tfidf(tf: DataFrame, vocab: DataFrame, n_docs, key: str = "doc_id") -> DataF
     """``(doc_id, term, tfidf)`` with smooth idf and L2-normalised rows."""
     idf = vocab.select("term", (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
     x = tf.join(idf, "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("x"))
-    norm = x.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("nrm"))
-    return x.join(norm, key).select(key, "term", (F.col("x") / F.col("nrm")).alias("tfidf"))
+    # a document's rows are its distinct terms; as a window, x is built once
+    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(key)))
+    return x.select(key, "term", (F.col("x") / norm).alias("tfidf"))
 
 
 def cluster_term_scores(weights: DataFrame, membership: DataFrame, sizes: DataFrame,
@@ -89,7 +90,8 @@ def cluster_cosine(counts: DataFrame, block: int = 512) -> DataFrame:
     fitted over the clusters (no df limits), rows are L2-normalised, and the
     dot products come from a self-join on term. A term shared by many
     clusters is split into blocks of clusters, joined block pair by block
-    pair, so no task builds more than block^2 products.
+    pair, so no task builds more than block^2 products. Pairs without a common
+    term have similarity 0 and no row.
     """
     n = counts.select(F.count_distinct("cluster")).scalar()
     df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -8,10 +8,22 @@ parameters come from the same binding constants.
 from __future__ import annotations
 
 from opinion_spark.functions.exprs import word_alternation
-from opinion_spark.operators.sentiment import NEGATIONS, NEG_FACTORS, TOKEN_PATTERN
 from opinion_spark.operators.similarity import PRIME, permutations
 from opinion_spark.sources import bindings as B
 
+# --- fixed values: the published scoring rule, spelt here once more so that errors in the engine's lists show ---
+TOKEN_PATTERN = r"[\p{L}\p{N}_']+"
+NEGATIONS = """not no never none nobody nothing neither nor nowhere nope cannot without rarely seldom despite uhuh
+aint isnt arent wasnt werent dont doesnt didnt wont wouldnt cant couldnt shouldnt hasnt havent hadnt darent mightnt
+mustnt neednt oughtnt shant""".split()
+INCREASING = """absolutely amazingly awfully completely considerable considerably decidedly deeply effing enormous
+enormously entirely especially exceptional exceptionally extreme extremely fabulously flipping flippin frackin fracking
+fricking frickin frigging friggin fully fuckin fucking fuggin fugging greatly hella highly hugely incredible incredibly
+intensely major majorly more most particularly purely quite really remarkably so substantially thoroughly total totally
+tremendous tremendously uber unbelievably unusually utter utterly very""".split()
+DECREASING = """almost barely hardly kinda kindof less little marginal marginally occasional occasionally partly scarce
+scarcely slight slightly somewhat sorta sortof""".split()
+
 NS = r"[^ \t\n\r\f\x0b]"
 WS = r"[ \t\n\r\f\x0b]"
 
@@ -61,32 +73,59 @@ labelled AS (
 def sentiment_ctes(src: str, text_col: str, prefix: str = "") -> str:
     """CTEs ``{prefix}sent`` with (doc_id, positive, neutral, negative, compound)."""
     p = prefix
-    f0, f1, f2, f3 = NEG_FACTORS
+
+    def before(k: int) -> str:
+        """Lower case, capitals and lexicon membership of the token k places before, and what the rules call it."""
+        return (f"lag(tok, {k}, '') OVER w AS w{k}, lag(cap, {k}, false) OVER w AS cap{k}, lag(l.w IS NOT NULL, {k}, false) OVER w AS in{k}")
+
+    def way(k: int) -> str:
+        return (f"(CASE WHEN in{k} THEN 0 WHEN w{k} IN ({in_list(INCREASING)}) THEN 1 "
+                f"WHEN w{k} IN ({in_list(DECREASING)}) THEN -1 ELSE 0 END)")
+
+    def boosted(v: str, k: int) -> str:
+        part = ("1.00", "0.95", "0.90")[k - 1]
+        return (f"({v} + (CAST({way(k)} * CASE WHEN {v} < 0 THEN -0.293 ELSE 0.293 END"
+                f" + CASE WHEN {way(k)} <> 0 AND cap{k} AND mixed THEN CASE WHEN {v} > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END AS DECIMAL(8,3))"
+                f" * CAST({part} AS DECIMAL(3,2))))")
+
+    def negation(k: int) -> str:
+        return f"WHEN NOT in{k} AND (w{k} IN ({in_list(NEGATIONS)}) OR suffix(w{k}, 'n''t')) THEN -0.74 ELSE 1 END AS DECIMAL(3,2))"
+
+    turned = [f"CAST(CASE {negation(1)}",
+              f"CAST(CASE WHEN NOT in2 AND w2 = 'never' AND w1 IN ('so', 'this') THEN 1.25 "
+              f"WHEN NOT in2 AND w2 = 'without' AND w1 = 'doubt' THEN 1 {negation(2)}",
+              f"CAST(CASE WHEN NOT in3 AND w3 = 'never' AND (w2 IN ('so', 'this') OR w1 IN ('so', 'this')) THEN 1.25 "
+              f"WHEN NOT in3 AND w3 = 'without' AND (w2 = 'doubt' OR w1 = 'doubt') THEN 1 {negation(3)}"]
+    least = "CAST(CASE WHEN NOT in1 AND w1 = 'least' AND w2 NOT IN ('at', 'very') THEN -0.74 ELSE 1 END AS DECIMAL(3,2))"
+    steps = "".join(f"""{p}v{k} AS (SELECT *, CAST({boosted(f'v{k - 1}', k)} * {turned[k - 1]} AS DECIMAL(28,{(7, 9, 11)[k - 1]})) AS v{k} FROM {p}v{k - 1}),
+""" for k in (1, 2, 3))
     return f"""{p}tok AS MATERIALIZED (
   SELECT doc_id, {text_col} AS txt,
-         regexp_extract_all(lower({text_col}), {q(TOKEN_PATTERN)}) AS toks FROM {src}),
+         regexp_extract_all({text_col}, {q(TOKEN_PATTERN)}) AS raw,
+         list_transform(raw, lambda x: lower(x)) AS toks,
+         list_transform(raw, lambda x: regexp_matches(x, '\\p{{Lu}}') AND NOT regexp_matches(x, '\\p{{Ll}}')) AS caps FROM {src}),
 {p}tp AS (
-  SELECT t.doc_id, g.p, t.toks[g.p] AS tok, coalesce(list_position(t.toks, 'but'), 0) AS but_at
+  SELECT t.doc_id, g.p, t.toks[g.p] AS tok, t.caps[g.p] AS cap, coalesce(list_position(t.toks, 'but'), 0) AS but_at,
+         list_contains(t.caps, true) AND list_contains(t.caps, false) AS mixed
   FROM {p}tok t, generate_series(1, len(t.toks)) AS g(p)),
-{p}tn AS (
-  SELECT *, CASE WHEN tok IN ({in_list(NEGATIONS)}) OR suffix(tok, 'n''t') THEN 1 ELSE 0 END AS isneg FROM {p}tp),
-{p}tw AS (
-  SELECT *, coalesce(sum(isneg) OVER (PARTITION BY doc_id ORDER BY p
-                                      ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), 0) AS n_neg FROM {p}tn),
 {p}lex AS (SELECT * FROM (VALUES {lexicon_values()}) AS l(w, v)),
-{p}ts AS (
-  SELECT tw.doc_id, CAST(coalesce(l.v, CAST(0 AS DECIMAL(12,4)))
-            * (CASE n_neg WHEN 0 THEN CAST({f0} AS DECIMAL(12,6)) WHEN 1 THEN CAST({f1} AS DECIMAL(12,6))
-                          WHEN 2 THEN CAST({f2} AS DECIMAL(12,6)) ELSE CAST({f3} AS DECIMAL(12,6)) END)
+{p}tw AS (
+  SELECT doc_id, p, tok, cap, mixed, but_at, l.v AS value, {before(1)}, {before(2)}, {before(3)}
+  FROM {p}tp LEFT JOIN {p}lex l ON l.w = tok WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+{p}v0 AS (
+  SELECT *, CAST(value + CASE WHEN cap AND mixed THEN CASE WHEN value > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END AS DECIMAL(18,5)) AS v0
+  FROM {p}tw WHERE value IS NOT NULL),
+{steps}{p}ts AS (
+  SELECT doc_id, CAST(round(CAST(v3 * {least} AS DECIMAL(34,13)), 7)
             * (CASE WHEN but_at > 0 AND p < but_at THEN CAST(0.5 AS DECIMAL(2,1))
                     WHEN but_at > 0 AND p > but_at THEN CAST(1.5 AS DECIMAL(2,1))
                     ELSE CAST(1.0 AS DECIMAL(2,1)) END) AS DECIMAL(38,12)) AS s
-  FROM {p}tw tw LEFT JOIN {p}lex l ON l.w = tw.tok),
+  FROM {p}v3),
 {p}agg AS (
   SELECT doc_id, CAST(sum(s) AS DECIMAL(38,12)) AS ssum,
          CAST(sum(CASE WHEN s > 0 THEN s + 1 ELSE 0 END) AS DECIMAL(38,12)) AS pos_sum,
          CAST(sum(CASE WHEN s < 0 THEN s - 1 ELSE 0 END) AS DECIMAL(38,12)) AS neg_sum,
-         count(*) FILTER (WHERE s = 0) AS neu, count(*) AS n
+         count(*) FILTER (WHERE s <> 0) AS scored
   FROM {p}ts GROUP BY doc_id),
 {p}amp AS (
   SELECT doc_id, CAST(least(length(txt) - length(replace(txt, '!', '')), 4) * CAST(0.292 AS DECIMAL(4,3))
@@ -95,12 +134,16 @@ def sentiment_ctes(src: str, text_col: str, prefix: str = "") -> str:
                        THEN (length(txt) - length(replace(txt, '?', ''))) * CAST(0.18 AS DECIMAL(3,2))
                   ELSE CAST(0.96 AS DECIMAL(3,2)) END AS DECIMAL(38,12)) AS amp
   FROM {p}tok),
+{p}each AS (
+  SELECT m.doc_id, m.amp, coalesce(a.ssum, 0) AS ssum, coalesce(a.pos_sum, 0) AS pos_sum, coalesce(a.neg_sum, 0) AS neg_sum,
+         len(t.toks) AS n, len(t.toks) - coalesce(a.scored, 0) AS neu
+  FROM {p}amp m JOIN {p}tok t USING (doc_id) LEFT JOIN {p}agg a USING (doc_id)),
 {p}adj AS (
-  SELECT m.doc_id, coalesce(a.n, 0) AS n, a.neu,
-         CAST(CASE WHEN a.ssum > 0 THEN a.ssum + m.amp WHEN a.ssum < 0 THEN a.ssum - m.amp ELSE a.ssum END AS DOUBLE) AS sadj,
-         CAST(CASE WHEN a.pos_sum > abs(a.neg_sum) THEN a.pos_sum + m.amp ELSE a.pos_sum END AS DOUBLE) AS pos_adj,
-         CAST(CASE WHEN a.pos_sum < abs(a.neg_sum) THEN abs(a.neg_sum) + m.amp ELSE abs(a.neg_sum) END AS DOUBLE) AS neg_adj
-  FROM {p}amp m LEFT JOIN {p}agg a USING (doc_id)),
+  SELECT doc_id, n, neu,
+         CAST(CASE WHEN ssum > 0 THEN ssum + amp WHEN ssum < 0 THEN ssum - amp ELSE ssum END AS DOUBLE) AS sadj,
+         CAST(CASE WHEN pos_sum > abs(neg_sum) THEN pos_sum + amp ELSE pos_sum END AS DOUBLE) AS pos_adj,
+         CAST(CASE WHEN pos_sum < abs(neg_sum) THEN abs(neg_sum) + amp ELSE abs(neg_sum) END AS DOUBLE) AS neg_adj
+  FROM {p}each),
 {p}sent AS (
   SELECT doc_id,
     CASE WHEN n = 0 THEN 0.0 ELSE round(abs(pos_adj / (pos_adj + neg_adj + neu)), 3) END AS {p}positive,

@@ -89,3 +89,37 @@ def test_fold_and_join_paths_agree(spark):
     a = sorted(tuple(r) for r in sentiment.lexicon_sentiment(df, lex, method="fold").select(cols).collect())
     b = sorted(tuple(r) for r in sentiment.lexicon_sentiment(df, lex, method="join").select(cols).collect())
     assert a == b
+
+
+def _compound(s):
+    return round(s / math.sqrt(s * s + 15), 4)
+
+
+@pytest.mark.parametrize("text,valence", [
+    ("very good", 2.293), ("hardly good", 1.707), ("very bad", -2.293), ("barely bad", -1.707),
+    ("very much good", 2 + 0.293 * 0.95), ("very much so good", (2 + 0.293) + 0.293 * 0.9),
+    ("a GOOD day", 2.733), ("GOOD DAY", 2.0), ("a BAD day", -2.733), ("VERY good", 2 + 0.293 + 0.733),
+    ("never so good", (2 + 0.293) * 1.25), ("never this good", 2.5), ("without doubt good", 2.0),
+    ("least good", -1.48), ("at least good", 2.0), ("very least good", 2 + 0.293 * 0.95),
+    ("not very good", (2 + 0.293) * -0.74), ("isn't really good", (2 + 0.293) * -0.74), ("never good", -1.48),
+])
+@pytest.mark.parametrize("method", ["fold", "join"])
+def test_boosters_capitals_and_least(spark, text, valence, method):
+    df = spark.createDataFrame([(text,)], "text string")
+    got = sentiment.lexicon_sentiment(df, {"good": 2.0, "bad": -2.0}, method=method).first()["compound"]
+    assert got == _compound(valence)
+
+
+def test_rule_words_in_the_lexicon_do_not_boost_or_negate(spark):
+    lex = {"good": 2.0, "very": 0.5, "not": -1.0}
+    texts = [("very good",), ("not good",), (None,), ("",)]
+    df = spark.createDataFrame(texts, "text string")
+    for method in ("fold", "join"):
+        got = {r["text"]: r["compound"] for r in sentiment.lexicon_sentiment(df, lex, method=method).collect()}
+        assert got == {"very good": _compound(2.5), "not good": _compound(1.0), None: None, "": 0.0}
+
+
+def test_context_of_a_parse(spark):
+    df = spark.createDataFrame([([("he", "nsubj"), ("really", "advmod"), ("runs", "ROOT")],), ([],), (None,)],
+                               "parse array<struct<token:string,dep:string>>")
+    assert [r[0] for r in df.select(sentiment.context_of(df.parse)).collect()] == ["he runs", "", None]
