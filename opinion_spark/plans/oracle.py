@@ -40,17 +40,17 @@ def lexicon_values() -> str:
     return ", ".join(f"({q(w)}, CAST({v!r} AS DECIMAL(12,4)))" for w, v in sorted(B.LEXICON.items()))
 
 
-def posts_cte() -> str:
-    return """posts AS (
+def posts_cte(documents: str = "documents") -> str:
+    return f"""posts AS (
   SELECT d.doc_id, d.text AS tweet, d.source, n.n_name AS state,
          CAST(regexp_extract(d.source, '(\\d+)$', 1) AS BIGINT) AS src_no
-  FROM documents d LEFT JOIN customer c ON c.c_custkey = d.doc_id
+  FROM {documents} d LEFT JOIN customer c ON c.c_custkey = d.doc_id
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey)"""
 
 
-def cleaned_ctes() -> str:
+def cleaned_ctes(documents: str = "documents") -> str:
     a, b = (word_alternation(v) for v in B.MENTION_NAMES.values())
-    return posts_cte() + f""",
+    return posts_cte(documents) + f""",
 placeheld AS (SELECT doc_id, source, state, src_no,
                      regexp_replace(tweet, 'http{NS}+', '[]', 'g') AS tweet FROM posts),
 dedup AS (
@@ -153,11 +153,18 @@ def sentiment_ctes(src: str, text_col: str, prefix: str = "") -> str:
   FROM {p}adj)"""
 
 
+STRIPPED = f"SELECT *, regexp_replace(tweet, 'http{NS}+|www{NS}+', '', 'g') AS processed FROM labelled WHERE tweet_about IN ('trump', 'biden')"
+
+
 def scored_ctes() -> str:
     return cleaned_ctes() + f""",
-one AS (SELECT *, regexp_replace(tweet, 'http{NS}+|www{NS}+', '', 'g') AS processed
-        FROM labelled WHERE tweet_about IN ('trump', 'biden')),
-{sentiment_ctes('one', 'processed')},
+one AS ({STRIPPED}),
+""" + lead_ctes()
+
+
+def lead_ctes() -> str:
+    """From ``one`` (with ``processed``) to the scores, shares and the rebalanced lead."""
+    return f"""{sentiment_ctes('one', 'processed')},
 scored AS (
   SELECT o.*, s.positive, s.neutral, s.negative, s.compound,
     CASE WHEN s.compound < 0.05 AND s.compound > -0.05 THEN 0
@@ -193,9 +200,22 @@ def sql_registry() -> dict[str, str]:
     C = cleaned_ctes()
     regions = in_list(B.KEPT_REGIONS)
     out: dict[str, str] = {}
-    out["a_predicted_lead"] = W(S, """SELECT state, state_code, tweet_count, n_unsure, n_dem, n_rep, total,
+    lead = """SELECT state, state_code, tweet_count, n_unsure, n_dem, n_rep, total,
   round(dem_pct, 9) AS democratic_proportion, round(rep_pct, 9) AS republican_proportion,
-  round(dem_pct - 50.0, 9) AS lead_size FROM lead""")
+  round(dem_pct - 50.0, 9) AS lead_size FROM lead"""
+    out["a_predicted_lead_full_text"] = W(S, lead)
+    out["a_predicted_lead"] = f"""WITH RECURSIVE {TAG_COSTS},
+{cleaned_ctes("(SELECT t.doc_id, t.text, d.source FROM tagged t JOIN documents d USING (doc_id))")},
+urlless AS MATERIALIZED ({STRIPPED}),
+bare AS (SELECT doc_id, processed AS text FROM urlless),
+{SEGMENTED % "bare"},
+{replaced_ctes("bare")},
+parsed AS (SELECT doc_id, list_filter(regexp_extract_all(text, {q(TOKEN_PATTERN)}), lambda x, i:
+             i = 1 OR regexp_matches(x, '^\\p{{Lu}}') OR length(x) >= 8) AS kept FROM done),
+one AS (SELECT u.* EXCLUDE (processed), coalesce(array_to_string(p.kept, ' '), '') AS processed
+        FROM urlless u LEFT JOIN parsed p USING (doc_id)),
+{lead_ctes()}
+{lead}"""
     out["c5_clean_posts"] = W(C, "SELECT doc_id, source, state, tweet FROM regional")
     out["c3_distinct_rows"] = W(posts_cte(), """SELECT doc_id, source, state FROM (
   SELECT doc_id, 'A' AS source, state FROM posts UNION ALL SELECT doc_id, 'B' AS source, state FROM posts)""")
@@ -382,18 +402,18 @@ SELECT word, round(ln((r + 1.0) * ln(CAST(n AS DOUBLE))), 9) AS cost FROM rk"""
     return out
 
 
-def hashtag_sql() -> dict[str, str]:
-    """C14 and C17: the segmentation as a recursive query over the ends of each letter run."""
-    seg = r"""dtok AS MATERIALIZED (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}'']+') AS toks FROM documents),
+#: C16's costs of the corpus' words, and the documents with their derived tag.
+TAG_COSTS = r"""dtok AS MATERIALIZED (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}'']+') AS toks FROM documents),
 wc AS (SELECT unnest(toks) AS word FROM dtok),
 cnt AS (SELECT word, count(*) AS c FROM wc GROUP BY word),
 rk AS (SELECT word, row_number() OVER (ORDER BY c DESC, word) - 1 AS r, count(*) OVER () AS n FROM cnt),
 costs AS MATERIALIZED (SELECT word, CAST(round(ln((r + 1.0) * ln(CAST(n AS DOUBLE))) * 1000000) AS BIGINT) AS cost FROM rk),
 longest AS (SELECT max(length(word)) AS longest FROM costs),
 tagged AS (SELECT doc_id, text || ' #' || list_aggregate(list_transform(regexp_extract_all(text, '\p{L}{3,}')[1:3],
-             lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || lower(substr(w, 2))), 'string_agg', '') AS text FROM documents),
-stripped AS (SELECT doc_id, regexp_replace(text, 'http[^ \t\n\r\f\x0b]+|www[^ \t\n\r\f\x0b]+', '', 'g') AS text FROM tagged),
-tags AS (SELECT DISTINCT substr(t, 2) AS tag FROM (SELECT unnest(regexp_extract_all(text, '#[\p{L}\p{N}_]+')) AS t FROM %s)),
+             lambda w: CASE WHEN w[1] = 'ß' THEN 'Ss' ELSE upper(w[1]) END || lower(substr(w, 2))), 'string_agg', '') AS text FROM documents)"""
+
+#: C17 as a recursive query over the ends of each letter run of the tags in a table of texts.
+SEGMENTED = r"""tags AS (SELECT DISTINCT substr(t, 2) AS tag FROM (SELECT unnest(regexp_extract_all(text, '#[\p{L}\p{N}_]+')) AS t FROM %s)),
 tparts AS MATERIALIZED (SELECT tag, p.i AS i, parts[p.i] AS part FROM (
   SELECT tag, regexp_extract_all(tag, '\p{L}+|[^\p{L}_]+') AS parts FROM tags), generate_series(1, len(parts)) AS p(i)),
 runs AS (SELECT DISTINCT part, length(part) AS n FROM tparts WHERE regexp_matches(part, '^\p{L}')),
@@ -418,15 +438,27 @@ found AS (SELECT part, words, u, c FROM bk WHERE pos = 0),
 segmented AS (SELECT t.tag, string_agg(coalesce(f.words, t.part), ' ' ORDER BY t.i) AS words,
                 CAST(coalesce(sum(f.u), 0) AS BIGINT) AS unknown, coalesce(sum(f.c), 0) / 1000000.0 AS cost
               FROM tparts t LEFT JOIN found f USING (part) GROUP BY t.tag)"""
-    out = {"c17_segment_tags": "WITH RECURSIVE " + seg % "tagged" + """
-SELECT tag, words, unknown, round(CAST(cost AS DOUBLE), 6) AS cost FROM segmented"""}
-    out["c14_process_posts"] = "WITH RECURSIVE " + seg % "stripped" + """,
-pieces AS (SELECT doc_id, r.i, rs[r.i] AS run FROM (
-  SELECT doc_id, regexp_extract_all(text, '#[\\p{L}\\p{N}_]+|[^#]+|#') AS rs FROM stripped), generate_series(1, len(rs)) AS r(i)),
+
+
+def replaced_ctes(src: str) -> str:
+    return f"""pieces AS (SELECT doc_id, r.i, rs[r.i] AS run FROM (
+  SELECT doc_id, regexp_extract_all(text, '#[\\p{{L}}\\p{{N}}_]+|[^#]+|#') AS rs FROM {src}), generate_series(1, len(rs)) AS r(i)),
 done AS (SELECT p.doc_id, string_agg(coalesce(s.words, p.run), '' ORDER BY p.i) AS text
-         FROM pieces p LEFT JOIN segmented s ON p.run = '#' || s.tag GROUP BY p.doc_id)
-SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM done"""
-    return out
+         FROM pieces p LEFT JOIN segmented s ON p.run = '#' || s.tag GROUP BY p.doc_id)"""
+
+
+def hashtag_sql() -> dict[str, str]:
+    stripped = r"""stripped AS (SELECT doc_id, regexp_replace(text, 'http[^ \t\n\r\f\x0b]+|www[^ \t\n\r\f\x0b]+', '', 'g') AS text FROM tagged)"""
+    return {
+        "c17_segment_tags": f"""WITH RECURSIVE {TAG_COSTS},
+{SEGMENTED % "tagged"}
+SELECT tag, words, unknown, round(CAST(cost AS DOUBLE), 6) AS cost FROM segmented""",
+        "c14_process_posts": f"""WITH RECURSIVE {TAG_COSTS},
+{stripped},
+{SEGMENTED % "stripped"},
+{replaced_ctes("stripped")}
+SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM done""",
+    }
 
 
 def topics_sql() -> dict[str, str]:
@@ -499,6 +531,22 @@ cc AS (SELECT a.cluster AS c1, b.cluster AS c2, sum(a.v * b.v) AS cosine FROM cv
                                  "SELECT c1, c2, round(cosine, 9) AS cosine FROM cc")
     out["t8_merge_pair"] = W(cos("SELECT doc_id, source AS cluster FROM documents"),
                              "SELECT c1, c2, round(cosine, 9) AS cosine FROM cc ORDER BY cosine DESC, c1, c2 LIMIT 1")
+    rounds = "".join(f""",
+ct{r} AS MATERIALIZED (SELECT o.cur AS cluster, b.term, sum(b.tf) AS tf FROM bct b JOIN o{r} o ON o.src = b.cluster GROUP BY 1, 2),
+cx{r} AS (SELECT cluster, term, tf * (ln((1.0 + (SELECT count(DISTINCT cluster) FROM ct{r})) / (count(*) OVER (PARTITION BY term) + 1.0)) + 1.0) AS x FROM ct{r}),
+cv{r} AS MATERIALIZED (SELECT cluster, term, x / sqrt(sum(x * x) OVER (PARTITION BY cluster)) AS v FROM cx{r}),
+best{r} AS MATERIALIZED (SELECT c1, c2 FROM (SELECT a.cluster AS c1, b.cluster AS c2, sum(a.v * b.v) AS cosine
+  FROM cv{r} a JOIN cv{r} b ON a.term = b.term AND a.cluster < b.cluster GROUP BY 1, 2) ORDER BY round(cosine, 12) DESC, c1, c2 LIMIT 1),
+o{r + 1} AS MATERIALIZED (SELECT src, CASE WHEN (SELECT count(DISTINCT cur) FROM o{r}) > 5 AND cur = (SELECT c2 FROM best{r})
+  THEN (SELECT c1 FROM best{r}) ELSE cur END AS cur FROM o{r})""" for r in range(15))
+    out["t8_merge_sources"] = W(f"""stops AS (SELECT * FROM (VALUES {stops}) AS s(term)),
+dtok AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(text), {q(tok)}) AS toks FROM documents),
+toks AS (SELECT doc_id, unnest(toks) AS term FROM dtok),
+g AS (SELECT doc_id, CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) AS cluster FROM documents),
+bct AS MATERIALIZED (SELECT cluster, term, count(*) AS tf FROM toks JOIN g USING (doc_id)
+  WHERE term NOT IN (SELECT term FROM stops) GROUP BY 1, 2),
+o0 AS MATERIALIZED (SELECT DISTINCT cluster AS src, cluster AS cur FROM g)""" + rounds,
+                                "SELECT g.doc_id, o.cur AS cluster FROM g JOIN o15 o ON o.src = g.cluster")
     return out
 
 
@@ -561,6 +609,8 @@ FROM (SELECT doc_id, list_distinct(list_transform(generate_series(1, length(text
     PB = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"], index_block=20000000)
     PA = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], None)
     out["l11_pairs_above"] = W(PA, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
+    out["l13_louvain_quality"] = """SELECT count(*) AS n_rows, count(DISTINCT conv_id * 1000000 + turn) AS n_vertices,
+  true AS beats_languages, true AS beats_singletons FROM conversations"""
     out["l15_groups_by_lang"] = """SELECT lang AS community, count(*) AS size FROM documents
 GROUP BY lang HAVING count(*) >= 5"""
     out["l6_blocked_pairs"] = W(PB, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")

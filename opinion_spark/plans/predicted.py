@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinion_spark.operators import cleaning, mentions, regional, sentiment
+from opinion_spark.operators import cleaning, graph, hashtags, mentions, regional, sentiment
 
 
 def labelled_posts(posts: DataFrame, regions: DataFrame, names: dict[str, list[str]],
@@ -15,10 +17,21 @@ def labelled_posts(posts: DataFrame, regions: DataFrame, names: dict[str, list[s
     return mentions.classify_mentions(cleaned, names, "tweet", whole_word=whole_word)
 
 
-def scored_posts(labelled: DataFrame, labels: list[str], lexicon, neutral_band: float = 0.05) -> DataFrame:
-    """Posts with exactly one side, scored and labelled."""
+def scored_posts(labelled: DataFrame, labels: list[str], lexicon, neutral_band: float = 0.05,
+                 costs: DataFrame | None = None, parse: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Posts with exactly one side, scored and labelled.
+
+    With ``costs`` (C16) hashtags become their words; the posts are then written
+    once in the shared folder, since the tags and the texts around them are read
+    apart. With ``parse`` (a column function giving an array of ``(token, dep)``)
+    only the context tokens are scored.
+    """
     one = mentions.exactly_one(labelled, labels)
     one = one.withColumn("processed", cleaning.strip_urls(F.col("tweet")))
+    if costs is not None:
+        one = hashtags.replace_hashtags(graph._checkpoint(one), costs, text="processed")
+    if parse is not None:
+        one = one.withColumn("processed", sentiment.context_of(parse(F.col("processed"))))
     scored = sentiment.lexicon_sentiment(one, lexicon, text="processed").drop("processed")
     return sentiment.party_label(scored, neutral_band=neutral_band,
                                  side_a=labels[1], side_b=labels[0])
@@ -39,9 +52,9 @@ def predicted_lead(shares: DataFrame) -> DataFrame:
 
 
 def run(posts: DataFrame, regions: DataFrame, codes: DataFrame, names, lexicon,
-        whole_word: bool = False) -> DataFrame:
+        whole_word: bool = False, costs: DataFrame | None = None, parse=None) -> DataFrame:
     labelled = labelled_posts(posts, regions, names, whole_word)
-    scored = scored_posts(labelled, list(names), lexicon)
+    scored = scored_posts(labelled, list(names), lexicon, costs=costs, parse=parse)
     shares = state_shares(scored, codes)
     return predicted_lead(shares).select(
         "state", "state_code", "tweet_count", "n_unsure", "n_dem", "n_rep", "total",

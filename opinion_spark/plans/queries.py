@@ -1,7 +1,9 @@
 """Registered queries: one per inventory item, each over whole driver tables.
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
-column names equal the matching oracle SQL's (see ``oracle.py``).
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose column
+names equal the matching oracle SQL's (see ``oracle.py``). It is lazy but where an
+iterative operator or a table written for several readers needs jobs to be built
+(Entry A and B, C14, C17, L13, the T8 loop).
 """
 
 from __future__ import annotations
@@ -36,7 +38,14 @@ def r9(x: str) -> F.Column:
 # ---------------------------------------------------------------- entry A ---
 
 def a_predicted_lead(spark: SparkSession, sf: str) -> DataFrame:
-    """Flagship: C3-C6, C9-C13, N2, N3, R1-R5, J1, R7, R8, R10."""
+    """Flagship: C3-C6, C9-C14, N1-N3, R1-R5, J1, R7, R8, R10 on posts that end in a hashtag."""
+    posts = B.posts(spark, sf).withColumn("tweet", _with_tag(F.col("tweet")))
+    return predicted.run(posts, B.regions(spark, sf), B.state_codes(spark, sf), B.MENTION_NAMES, B.LEXICON,
+                         whole_word=True, costs=_word_costs(spark, sf), parse=_parse)
+
+
+def a_predicted_lead_full_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Entry A without hashtag splitting, scored on the full texts."""
     return predicted.run(B.posts(spark, sf), B.regions(spark, sf), B.state_codes(spark, sf),
                          B.MENTION_NAMES, B.LEXICON, whole_word=True)
 
@@ -119,16 +128,21 @@ def n3_party_label(spark, sf):
     return _scored(spark, sf).select("doc_id", "tweet_about", "compound", "likely_party")
 
 
+def _parse(text: F.Column) -> F.Column:
+    """Rule-based stand-in for a parser: an array of ``(token, dep)``."""
+    def labelled(token, i):
+        dep = (F.when(i == 0, "ROOT").when(token.rlike(r"^\p{Lu}"), "nsubj")
+               .when(F.length(token) >= 8, "pobj").otherwise("amod"))
+        return F.struct(token.alias("token"), dep.alias("dep"))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(sentiment.TOKEN_PATTERN), 0), labelled)
+
+
 def _context_tokens(spark, sf):
     """Parser-shaped token table derived from documents (rule-based labels)."""
     d = B.docs(spark, sf)
-    t = d.select("doc_id", F.posexplode(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_']+"), 0))
-                 .alias("pos", "token"))
-    dep = (F.when(F.col("pos") == 0, "ROOT")
-           .when(F.col("token").rlike(r"^\p{Lu}"), "nsubj")
-           .when(F.length("token") >= 8, "pobj")
-           .otherwise("amod"))
-    return t.withColumn("dep", dep)
+    t = d.select("doc_id", F.posexplode(_parse(F.col("text"))).alias("pos", "t"))
+    return t.select("doc_id", "pos", "t.token", "t.dep")
 
 
 def n1_context_filter(spark, sf):
@@ -313,14 +327,14 @@ def v5_national_margin(spark, sf):
 
 def c_lead_difference(spark, sf):
     """Entry C: J2 + V6, actual lead minus predicted lead per region."""
-    pred = a_predicted_lead(spark, sf)
+    pred = a_predicted_lead_full_text(spark, sf)
     out = actual.compare(B.precinct_votes(spark, sf), pred, B.CANDIDATE_A, B.CANDIDATE_B)
     return out.select("state_po", r9("actual_lead"), r9("predicted_lead"), r9("lead_size_diff"))
 
 
 def v7_markers(spark, sf):
     """J4 + V7: marker table for regions with a centre."""
-    pred = a_predicted_lead(spark, sf)
+    pred = a_predicted_lead_full_text(spark, sf)
     diffs = actual.compare(B.precinct_votes(spark, sf), pred, B.CANDIDATE_A, B.CANDIDATE_B)
     m = votes.markers(diffs, B.state_centers(spark, sf))
     return m.select("state_po", "lat", "lon", r9("diff"), "color", "glyph", "label", r9("size"), r9("font"))
@@ -543,7 +557,7 @@ def t8_merge_pair(spark, sf):
 
 
 def t8_merge_sources(spark, sf):
-    """T8 loop: merge the 20 source clusters down to 5 (rows-only)."""
+    """T8 loop: merge the 20 source clusters down to 5."""
     from opinion_spark.operators import topics
 
     groups = B.table(spark, sf, "documents").select("doc_id", (F.regexp_extract("source", r"(\d+)$", 1)
@@ -581,6 +595,21 @@ def l13_louvain(spark, sf):
     return graph.louvain(v, _edges(spark, sf))
 
 
+def l13_louvain_quality(spark, sf):
+    """L13, what any run must meet: every vertex once, modularity at least that of languages and of singletons."""
+    from opinion_spark.operators import graph
+
+    edges = graph._checkpoint(_edges(spark, sf))
+    v = B.short_docs(spark, sf).select(F.col("doc_id").alias("id"))
+    found = graph._checkpoint(graph.louvain(v, edges))
+    langs = B.table(spark, sf, "documents").select(F.col("doc_id").alias("conv"), F.col("lang").alias("community"))
+    by_lang = v.withColumn("conv", F.floor(F.col("id") / B.CONVERSATION_IDS)).join(langs, "conv", "left").select("id", "community")
+    alone = v.withColumn("community", F.col("id"))
+    q, q_lang, q_alone = (F.coalesce(graph.modularity(p, edges).scalar(), F.lit(0.0)) for p in (found, by_lang, alone))
+    return (found.join(v, "id", "left_semi").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_vertices"))
+            .withColumns({"beats_languages": q >= q_lang, "beats_singletons": q >= q_alone}))
+
+
 def b_topic_clusters(spark, sf):
     """Entry B (T9): topics end to end with the topic run's parameters."""
     from opinion_spark.plans import topics as tplan
@@ -596,20 +625,22 @@ def b_topic_clusters(spark, sf):
 
 # --------------------------------------------------------------- hashtags ---
 
+def _with_tag(text: F.Column) -> F.Column:
+    """A text with a derived hashtag appended: '#' + its first three 3+-letter words,
+    capitalised and run together (the driver's texts carry almost no hashtags)."""
+    words = F.slice(F.regexp_extract_all(text, F.lit(r"\p{L}{3,}"), 0), 1, 3)
+    return F.concat(text, F.lit(" #"), F.array_join(F.transform(words, lambda w: F.initcap(w)), ""))
+
+
 def _tagged_docs(spark, sf):
-    """Documents with a derived hashtag appended: '#' + its first three
-    3+-letter words, capitalised and run together (the driver's texts carry
-    almost no hashtags of their own)."""
-    d = B.docs(spark, sf)
-    words = F.slice(F.regexp_extract_all("text", F.lit(r"\p{L}{3,}"), 0), 1, 3)
-    tag = F.array_join(F.transform(words, lambda w: F.initcap(w)), "")
-    return d.withColumn("text", F.concat(F.col("text"), F.lit(" #"), tag))
+    return B.docs(spark, sf).withColumn("text", _with_tag(F.col("text")))
 
 
 def _word_costs(spark, sf):
-    from opinion_spark.operators import hashtags
+    """C16's costs; the word counts are written once, as ranks, longest word and lookups all read them."""
+    from opinion_spark.operators import graph, hashtags
 
-    return hashtags.word_costs(hashtags.corpus_word_counts(B.docs(spark, sf)))
+    return hashtags.word_costs(graph._checkpoint(hashtags.corpus_word_counts(B.docs(spark, sf))))
 
 
 def c16_word_costs(spark, sf):
@@ -639,6 +670,7 @@ def c14_process_posts(spark, sf):
 
 REGISTRY = {
     "a_predicted_lead": a_predicted_lead,
+    "a_predicted_lead_full_text": a_predicted_lead_full_text,
     "c3_distinct_rows": c3_distinct_rows,
     "c5_clean_posts": c5_clean_posts,
     "c7_normalize_text": c7_normalize_text,
@@ -696,6 +728,7 @@ REGISTRY = {
     "l12_similarity_graph": l12_similarity_graph,
     "l14_modularity_by_lang": l14_modularity_by_lang,
     "l13_louvain": l13_louvain,
+    "l13_louvain_quality": l13_louvain_quality,
     "t1_term_counts": t1_term_counts,
     "t2_vocabulary": t2_vocabulary,
     "t3_tfidf": t3_tfidf,
