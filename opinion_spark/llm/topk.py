@@ -32,11 +32,14 @@ from opinion_spark.llm.common import written
 CANDIDATES, QUERIES = 8192, 1024
 
 
+def _largest(x) -> int:
+    """Largest absolute value, 1 at least (as Python's integer: -2**63 has no 64-bit opposite)."""
+    return max(1, int(x.max(initial=0)), -int(x.min(initial=0)))
+
+
 def _product(a, b):
     """Exact integer matrix product."""
-    import numpy as np
-
-    most = max(1, int(np.abs(a).max(initial=0))) * max(1, int(np.abs(b).max(initial=0))) * a.shape[1]
+    most = _largest(a) * _largest(b) * a.shape[1]
     if most < 1 << 53:
         return (a.astype("float64") @ b.astype("float64")).astype("int64")
     if most < 1 << 63:
@@ -52,8 +55,11 @@ def search_block(cand_ids, cand, query_ids, queries, k: int):
     import numpy as np
 
     n, d = cand.shape
-    order = np.argsort(cand, axis=0, kind="stable")  # a sorted list for each dimension
-    listed = np.take_along_axis(cand, order, axis=0)
+    order = np.argsort(cand.T, axis=1, kind="stable")  # a sorted list for each dimension
+    listed = np.take_along_axis(cand.T, order, axis=1)
+    # scores that fit a double exactly are products of floats, turned into them once a block
+    small = _largest(cand) * _largest(queries) * d < 1 << 53
+    floats = cand.astype("float64") if small else None
     out_q, out_c, out_s = [], [], []
     for row, (qid, q) in enumerate(zip(query_ids, queries)):
         dims = np.nonzero(q)[0]
@@ -63,30 +69,32 @@ def search_block(cand_ids, cand, query_ids, queries, k: int):
             score = np.zeros(len(best), "int64")
         else:
             down = q[dims] > 0
-            weight = q[dims]
+            weight, as_float = q[dims], q.astype("float64")
             seen = np.zeros(n, bool)
             seen[cand_ids == qid] = True  # not a candidate of its own
             best, score = np.empty(0, "int64"), np.empty(0, "int64")
             depth, step = 0, max(2 * k, 64)
             while depth < n:
                 to = min(n, depth + step)
-                for dim, from_top in zip(dims, down):  # sorted access
-                    new = order[n - to:n - depth, dim] if from_top else order[depth:to, dim]
-                    if depth == 0 and dim == dims[0]:
-                        met = np.zeros(n, bool)
-                    met[new] = True
+                # sorted access
+                met = np.zeros(n, bool)
+                met[order[dims[down], n - to:n - depth]] = True
+                met[order[dims[~down], depth:to]] = True
                 fresh = np.nonzero(met & ~seen)[0]
                 seen[fresh] = True
                 if len(fresh):  # random access
-                    best = np.concatenate([best, fresh])
-                    score = np.concatenate([score, _product(cand[fresh], q[:, None])[:, 0]])
+                    got = (floats[fresh] @ as_float).astype("int64") if small else _product(cand[fresh], q[:, None])[:, 0]
+                    best, score = np.concatenate([best, fresh]), np.concatenate([score, got])
+                    if len(score) > k:  # only what reaches the k-th score is sorted
+                        high = score >= np.partition(score, len(score) - k)[len(score) - k]
+                        best, score = best[high], score[high]
                     top = np.lexsort((cand_ids[best], -score))[:k]
                     best, score = best[top], score[top]
                 depth, step = to, 2 * step
                 if seen.all():
                     break
-                edge = listed[np.where(down, n - to, to - 1), dims]
-                bound = sum(int(w) * int(x) for w, x in zip(weight, edge))
+                edge = listed[dims, np.where(down, n - to, to - 1)]
+                bound = int(weight @ edge) if small else sum(int(w) * int(x) for w, x in zip(weight, edge))
                 # an unseen candidate may reach the bound itself and win a tie by its id
                 if len(best) == k and score[-1] > bound:
                     break
