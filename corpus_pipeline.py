@@ -8,7 +8,7 @@ folder and reads it again for the next. All but the last return the columns of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opinion_spark.llm import bpe, language, mixing, near, toxicity
@@ -47,12 +47,15 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, to the nearest whole number (0, 1 or 2 times)."""
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-    times = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size") + 0.5)).otherwise(0).cast("int")
-    plan = taken.select("_id", times.alias("_times")).where("_times > 0")
-    both = docs.join(plan, docs.doc_id.eqNullSafe(plan["_id"]))
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*[docs[c] for c in docs.columns])
+    """Each document as often as the mix's whole-document draw says; a source's words come to its target."""
+    # ids may repeat or be null, so rows go by a digest; equal rows are interchangeable and share their copies
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", F.col("source").isNull(), "source", "text"))
+    drawn = mixing.mix(rows, key="_row", whole=True).groupBy("_row").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_of"))
+    both = rows.join(drawn.where("_copies > 0"), "_row")
+    both = both.withColumn("_place", F.row_number().over(Window.partitionBy("_row").orderBy("_row")).cast("long"))
+    times = F.expr("div(_place * _copies, _of) - div((_place - 1) * _copies, _of)").cast("int")
+    each = both.withColumn("_times", times).where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return each.select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

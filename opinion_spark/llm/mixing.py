@@ -15,6 +15,11 @@
    all, evenly spread, each floor(Q/n) or ceil(Q/n) times. A document's words
    follow from the blocks at its two ends and the count between, so nothing is
    exploded.
+5. Whole documents, on request: the documents of a shard, largest first, are
+   drawn systematically at the rate of the shard's quota to its size, u again a
+   seeded start, so each gets floor or ceil of that rate copies, in expectation the
+   rate itself. In falling order of size the copies' words differ from the quota
+   by less than the shard's largest document.
 
 Defined results: null text has size 0 and takes 0; a source of size 0 has
 target 0; documents that repeat an id are separate documents; an empty table
@@ -91,8 +96,8 @@ def _deal(block: int, ceiling: int):
 
 
 def mix(docs: DataFrame, seed: int = 7, block: int = 4, share: float = 1.5, weights: tuple = (3, 1, 2),
-        ceiling: int = 2, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``key, source, size, source_size, target, taken`` of every document."""
+        ceiling: int = 2, key: str = "doc_id", text: str = "text", source: str = "source", whole: bool = False) -> DataFrame:
+    """``key, source, size, source_size, target, taken`` of every document and, with ``whole``, its number of ``copies``."""
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     base = written(docs.select(F.col(key).alias("_key"), F.col(source).cast("string").alias("source"), size.alias("size")), "mix-sizes")
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -126,7 +131,16 @@ def mix(docs: DataFrame, seed: int = 7, block: int = 4, share: float = 1.5, weig
 
     rows = rows.withColumns({"_n": F.greatest(n, F.lit(1)), "_u": start})
     taken = F.when(F.col("size") == 0, F.lit(0).cast("long")).otherwise(words(F.col("_end")) - words(F.col("_start")))
-    return rows.select(F.col("_key").alias(key), "source", "size", "source_size", "target", taken.alias("taken"))
+    out = [F.col("_key").alias(key), "source", "size", "source_size", "target", taken.alias("taken")]
+    if whole:
+        largest = Window.partitionBy("source", "shard").orderBy(F.desc("size"), "_tag", "_key")
+        rows = rows.withColumn("_place", F.row_number().over(largest).cast("long"))
+        ends = F.greatest(F.col("shard_size"), F.lit(1))
+        quota = F.least(F.col("shard_quota") * block, F.col("shard_size") * ceiling)  # the last block may be short
+        begin = F.pmod(F.xxhash64(F.lit(seed), F.lit("whole"), F.col("source"), F.col("shard")), ends)
+        drawn = lambda i: F.call_function("div", i * quota + begin, ends)
+        out.append(F.when(F.col("size") == 0, 0).otherwise(drawn(F.col("_place")) - drawn(F.col("_place") - 1)).cast("long").alias("copies"))
+    return rows.select(*out)
 
 
 def query(spark, sf_dir):

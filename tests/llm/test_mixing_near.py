@@ -1,10 +1,12 @@
 """Mixing, near-duplicates and top-k."""
 
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from opinion_spark.llm import mixing, near, topk
 from tests.llm import helpers as H
 
@@ -65,6 +67,39 @@ def test_mix_awkward_rows(spark):
     assert mixing.mix(H.docs(spark).limit(0)).count() == 0
 
 
+def test_pipeline_mix_comes_to_the_targets(spark, monkeypatch):
+    """Rates of 0.4 to 2, among them ones that a rounded rate would delete or double; repeated and null ids."""
+    rng = random.Random(11)
+    words = {"a": 4000, "b": 9000, "c": 4000, "d": 4000, "e": 300, "f": 4000, "g": 4000, "h": 300}
+    data = []
+    for source, n in words.items():
+        while n > 0:
+            size = min(n, rng.choice([1, 5, 20, 60]))
+            n -= size
+            data.append((rng.choice([None, 7, len(data), len(data), len(data)]), " ".join(f"w{len(data)}" for _ in range(size)), "en", source, 1))
+    data += [(5000, None, "en", "a", 1), (5001, "", "en", "b", 1)]
+    rng.shuffle(data)
+    goal = H.targets(words)
+    assert goal["b"] < 0.48 * words["b"]
+    for shard_words, shards in ((1 << 20, 1), (1500, 7)):
+        monkeypatch.setattr(mixing, "SHARD_WORDS", shard_words)
+        got = corpus_pipeline.mixed(spark, spark.createDataFrame(data, H.DOC_SCHEMA).repartition(3), "").collect()
+        out = H.by_source((r.source, len(H.words(r.text))) for r in got)
+        for source in words:
+            assert abs(out[source] - goal[source]) <= 60 * shards, source
+        assert abs(sum(out.values()) - 1.5 * sum(words.values())) <= 60 * shards * len(words)
+        long = sum(len(H.words(r.text)) == 60 for r in got if r.source == "b")  # no size is preferred
+        assert abs(long / sum(r[3] == "b" and len(H.words(r[1])) == 60 for r in data) - goal["b"] / words["b"]) < 0.05
+        times = Counter(r.text for r in got)
+        assert all(times[r[1]] <= 2 for r in data) and not times[None] and not times[""]
+
+
+def test_pipeline_mix_of_equal_rows(spark):
+    row = (3, "one two three four", "en", "a", 1)
+    got = corpus_pipeline.mixed(spark, spark.createDataFrame([row] * 40, H.DOC_SCHEMA), "").collect()
+    assert len(got) == 60 and {tuple(r) for r in got} == {row}
+
+
 def family(n, words, seed, rate):
     """A base text and copies in which each word is replaced with a chance of up to ``rate``."""
     rng = random.Random(seed)
