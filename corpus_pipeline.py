@@ -16,6 +16,8 @@ from opinion_spark.llm.common import table, written
 
 #: A document must be of one language by at least this share.
 LEAST_SHARE = 0.5
+#: Similarity of word shingles from which the pipeline's documents are copies (op5's own contract is 85).
+NEAR_PERCENT = 80
 
 
 def _where(docs: DataFrame, scored: DataFrame, condition) -> DataFrame:
@@ -41,7 +43,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies (and one row of each id); rows without an id stay."""
-    kept = near.components(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near.components(docs, NEAR_PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
     one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null"))
 

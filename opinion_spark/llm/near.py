@@ -1,12 +1,13 @@
-"""Near-duplicate classes by HyperMinHash: links of Jaccard similarity 85 % or more.
+"""Near-duplicate classes by HyperMinHash: links of Jaccard similarity ``percent`` or more (op5: 85 %).
 
 1. A document's set of 5-word shingles gives a sketch in one pass: the hash space
    is cut into ``REGISTERS`` buckets, and each keeps the leading-zero count and
    ``MANTISSA`` further bits of its smallest hash, 16 bits in all. Documents with equal
    sets (a 128-bit digest of the set) become one node.
-2. ``ROWS`` neighbouring registers form a band; equal bands make a candidate group. At
-   similarity 0.85 a pair misses all 40 bands with a probability of 3e-6;
-   a difference of d shingles spoils at most d bands, so short texts never miss.
+2. Neighbouring registers form a band, as many (8 at most) as let a pair at the threshold
+   miss all bands with a probability of ``MISS`` or less (``band_rows``: 8 in 40 bands at 85 %,
+   6 in 54 at 80 %); equal bands make a candidate group. A difference of d shingles
+   spoils at most d bands (one more where the last two overlap), so short texts hardly ever miss.
 3. A group is compared with one leader, not pair by pair: what the leader links
    is one component already. A second round with more central leaders follows.
 4. Documents of groups that still hold several components meet exactly: texts
@@ -14,11 +15,11 @@
    size), so a document whose own wording fills that prefix has no partner
    and is done, and the others meet on the rest of their prefixes, once a
    pair, if they are of different components and of fitting sizes, and if
-   two-bit digests of their registers do not already tell them apart.
+   two-bit digests of their registers do not already prove them apart.
 5. Each candidate pair is first estimated from its registers, corrected for
    accidental register matches, and dropped only far below the threshold (an estimate
-   under ``DOUBT``, 4.5 standard errors away, or five for the digests); the rest is
-   verified on the full sets of the texts.
+   ``ERRORS`` standard errors under it, ``least_estimate``); the rest is verified on the
+   full sets of the texts.
 6. Connected components by repeated smallest labels with pointer jumping.
 
 Nothing is capped: a group of copies costs its size for each leader. Lineage is
@@ -41,10 +42,23 @@ from pyspark.sql import functions as F
 
 from opinion_spark.llm.common import table, written
 
-REGISTERS, ROWS, MANTISSA, DOUBT, DIGEST_DOUBT = 320, 8, 10, 0.76, 0.72
+REGISTERS, MANTISSA = 320, 10
+MISS, ERRORS = 3e-6, 6.0
 EMPTY = 0xFFFF
 
 
+def band_rows(percent: int) -> int:
+    """The longest band, up to 8 registers, with which a pair at the threshold misses all bands with a probability of MISS or less."""
+    t = percent / 100
+    return next((k for k in range(8, 0, -1) if (1 - t ** k) ** (REGISTERS // k) <= MISS), 1)
+
+
+def least_estimate(percent: int) -> float:
+    """The estimate ERRORS standard errors (of all registers full) under the threshold."""
+    t = percent / 100
+    return t - ERRORS * (t * (1 - t) / REGISTERS) ** 0.5
+
+
 def shingle_set(text: str | None, words: int = 5):
     """Sorted distinct 64-bit hashes of a text's word shingles."""
     import numpy as np
@@ -106,14 +120,16 @@ def digest(regs) -> list[int]:
     return np.bitwise_or.reduce(shifted, axis=1).astype("int64").tolist()
 
 
-def digests_agree(x: Column, y: Column) -> Column:
-    """Whether the digests leave a similarity of DIGEST_DOUBT possible (a register differs with 2/3 of 1 - similarity)."""
+def digests_agree(x: Column, y: Column, n: Column, percent: int) -> Column:
+    """Whether the digests leave the similarity possible; ``n``: the sum of both set sizes.
+
+    No link is lost: registers that differ need a shingle each that only one set has, and
+    of those a pair of similarity t has at most n (1 - t) / (1 + t).
+    """
     pairs = F.lit(0x5555555555555555)
     count = lambda v: F.bit_count(v.bitwiseOR(F.shiftrightunsigned(v, 1)).bitwiseAND(pairs))
-    at = range(REGISTERS // 32)
-    differ = reduce(add, [count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in at])
-    used = reduce(add, [count(F.get(x, F.lit(i)).bitwiseOR(F.get(y, F.lit(i)))) for i in at])
-    return differ * 3.0 <= used * (2.0 * (1 - DIGEST_DOUBT))
+    differ = reduce(add, [count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(REGISTERS // 32)])
+    return differ * (100 + percent) <= n * (100 - percent)
 
 
 def estimate(a, b) -> float:
@@ -128,36 +144,47 @@ def estimate(a, b) -> float:
     return max(0.0, (int(((a == b) & used).sum()) / n - by_chance) / (1 - by_chance))
 
 
-def _sketch(batches: Iterator) -> Iterator:
-    import numpy as np
-    import pandas as pd
-    import xxhash
+def _sketch(percent: int):
+    rows_each = band_rows(percent)
+    starts = [min(k, REGISTERS - rows_each) for k in range(0, REGISTERS, rows_each)]
 
-    signed = lambda x: int(np.uint64(x).astype("int64"))
-    for b in batches:
-        rows = []
-        for key, text in zip(b.key, b.text):
-            h = shingle_set(text)
-            regs = registers(h)
-            bands = []
-            for k in range(0, REGISTERS, ROWS):
-                part = regs[k:k + ROWS]
-                if (part != EMPTY).any():
-                    bands.append(signed(xxhash.xxh3_64_intdigest(part.tobytes(), seed=k + 1)))
-            with np.errstate(over="ignore"):
-                set0, set1 = (signed(mixed(h ^ np.uint64(s)).sum(dtype="uint64")) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
-            rows.append((None if key is None else int(key), len(h), set0, set1, regs.astype("<u2").tobytes(), bands, digest(regs)))
-        out = pd.DataFrame(rows, columns=["id", "n", "set0", "set1", "regs", "bands", "code"], dtype=object)
-        out["id"] = pd.array(out["id"].tolist(), dtype="Int64")
-        yield out.astype({"n": "int64", "set0": "int64", "set1": "int64"})
-
-
-def _likely(batches: Iterator) -> Iterator:
-    import numpy as np
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+        import xxhash
+
+        signed = lambda x: int(np.uint64(x).astype("int64"))
+        for b in batches:
+            rows = []
+            for key, text in zip(b.key, b.text):
+                h = shingle_set(text)
+                regs = registers(h)
+                bands = []
+                for k in starts:
+                    part = regs[k:k + rows_each]
+                    if (part != EMPTY).any():
+                        bands.append(signed(xxhash.xxh3_64_intdigest(part.tobytes(), seed=k + 1)))
+                with np.errstate(over="ignore"):
+                    set0, set1 = (signed(mixed(h ^ np.uint64(s)).sum(dtype="uint64")) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
+                rows.append((None if key is None else int(key), len(h), set0, set1, regs.astype("<u2").tobytes(), bands, digest(regs)))
+            out = pd.DataFrame(rows, columns=["id", "n", "set0", "set1", "regs", "bands", "code"], dtype=object)
+            out["id"] = pd.array(out["id"].tolist(), dtype="Int64")
+            yield out.astype({"n": "int64", "set0": "int64", "set1": "int64"})
 
-    for b in batches:
-        ok = [estimate(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")) >= DOUBT for x, y in zip(b.regs_a, b.regs_b)]
-        yield b.loc[ok, ["a", "b"]]
+    return run
+
+
+def _likely(percent: int):
+    least = least_estimate(percent)
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        for b in batches:
+            ok = [estimate(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")) >= least for x, y in zip(b.regs_a, b.regs_b)]
+            yield b.loc[ok, ["a", "b"]]
+
+    return run
 
 
 def _verify(percent: int):
@@ -209,7 +236,7 @@ def meeting(docs: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
     x, y = prefix.alias("x"), prefix.alias("y")
     fits = (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") < F.col("y.id"))
     fits &= (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-    fits &= digests_agree(F.col("x.code"), F.col("y.code"))
+    fits &= digests_agree(F.col("x.code"), F.col("y.code"), F.col("x.n") + F.col("y.n"), percent)
     # both prefixes are in the same order, so the first common shingle of x is the pair's meeting place
     fits &= F.get(F.array_intersect("x.prefix", "y.prefix"), F.lit(0)) == F.col("x.s")
     return x.join(y, (F.col("x.s") == F.col("y.s")) & fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
@@ -235,7 +262,7 @@ def connected(edges: DataFrame) -> DataFrame:
 def components(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row."""
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    base = written(rows.withColumn("key", F.col("key").cast("string")).mapInPandas(_sketch, "id long, n long, set0 long, set1 long, regs binary, bands array<long>, code array<long>"), "near-sketch")
+    base = written(rows.withColumn("key", F.col("key").cast("string")).mapInPandas(_sketch(percent), "id long, n long, set0 long, set1 long, regs binary, bands array<long>, code array<long>"), "near-sketch")
     known = base.where("id is not null and n > 0")
     classes = known.groupBy("set0", "set1", "n").agg(F.min("id").alias("rep"))
     member = written(known.select("id", "set0", "set1", "n").join(classes, ["set0", "set1", "n"]).select("id", "n", "set0", "set1", "rep"), "near-class")
@@ -251,7 +278,7 @@ def components(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: st
     def links(pairs: DataFrame) -> DataFrame:
         """The verified ones of the pairs ``a < b``."""
         x, y = (regs.select(F.col("id").alias(s), F.col("regs").alias(f"regs_{s}")) for s in "ab")
-        likely = pairs.join(y, "b").join(x, "a").select("a", "b", "regs_a", "regs_b").mapInPandas(_likely, "a long, b long")
+        likely = pairs.join(y, "b").join(x, "a").select("a", "b", "regs_a", "regs_b").mapInPandas(_likely(percent), "a long, b long")
         likely = written(likely, "near-likely")
         p, q = (texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
         # the leader's side, which may be hot, comes last: its rows are split, not moved again

@@ -125,6 +125,47 @@ def test_near_against_all_pairs(spark):
     assert all(r.n_shingles == len(H.shingles(data[r.doc_id])) and r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_at_other_thresholds(spark):
+    """Copies from 0.5 to 0.95, found down to each threshold; the pipeline's stage finds those of 0.80 to 0.849."""
+    rng, texts = random.Random(3), []
+    for k in range(40):
+        base = [f"p{k}w{i}" for i in range(rng.choice([60, 300, 900]))]
+        cut = round(len(base) * rng.uniform(0.03, 0.35))
+        texts += [" ".join(base), " ".join(base[:-cut] + [f"q{k}w{i}" for i in range(cut)])]
+    data = dict(enumerate(texts, 1))
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in data.items()], H.DOC_SCHEMA)
+    counts = []
+    for percent in (85, 80, 60):
+        want = H.components(data, percent)
+        got = near.components(df, percent).collect()
+        assert {r.doc_id: r.component_id for r in got} == want, percent
+        counts.append(len(set(want.values())))
+    assert counts[0] > counts[1] > counts[2]
+    assert corpus_pipeline.distinct_documents(spark, df, "").count() == counts[1]
+
+
+def test_near_cuts_follow_from_the_threshold():
+    for percent in (50, 70, 80, 85, 95):
+        t, k = percent / 100, near.band_rows(percent)
+        assert (1 - t ** k) ** (near.REGISTERS // k) <= near.MISS
+        assert (t - near.least_estimate(percent)) / (t * (1 - t) / near.REGISTERS) ** 0.5 > 5.9
+    assert near.band_rows(85) == 8
+
+
+def test_digests_lose_no_link(spark):
+    """Pairs at the threshold exactly, of sizes at which most registers are empty on one side."""
+    rng, rows = np.random.default_rng(5), []
+    for n, pairs in ((20, 3000), (160, 1000), (400, 500)):
+        for _ in range(pairs):
+            pool = np.unique(rng.integers(0, 1 << 63, 2 * n, dtype="uint64") * np.uint64(2) + np.uint64(1))
+            rng.shuffle(pool)
+            both, apart = 17 * n // 20, 3 * n // 20
+            a, b = np.sort(pool[:both + apart // 2]), np.sort(np.concatenate([pool[:both], pool[both + apart // 2:both + apart]]))
+            rows.append((near.digest(near.registers(a)), near.digest(near.registers(b)), len(a) + len(b)))
+    df = spark.createDataFrame(rows, "x array<long>, y array<long>, n long")
+    assert df.where(~near.digests_agree(F.col("x"), F.col("y"), F.col("n"), 85)).count() == 0
+
+
 def test_near_awkward_rows(spark):
     got = near.components(H.docs(spark)).collect()
     assert len(got) == len(H.DOCS)
