@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from opinion_spark.llm import bpe, language, mixing, near, toxicity
 from opinion_spark.llm.common import table, written
 
-#: A document must be of one language by at least this share.
-LEAST_SHARE = 0.5
 #: Similarity of word shingles from which the pipeline's documents are copies (op5's own contract is 85).
 NEAR_PERCENT = 80
 
@@ -30,9 +28,9 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that have a language, which makes up at least half of them."""
+    """Keeps documents that have a language; texts in several languages stay, whatever their shares."""
     scored = language.identify(_packed(docs), language.learn_from(docs), ["_row"], text="_body")
-    return _where(docs, scored, (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
+    return _where(docs, scored, F.col("lang_pred") != language.UNKNOWN)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

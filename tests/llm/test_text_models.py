@@ -32,6 +32,19 @@ def test_language_proportions_of_a_mixture(spark):
     assert r.lang_pred == "en" and set(r.langs) >= {"en", "de"} and 0.5 < r.score < 0.85
 
 
+def test_pipeline_keeps_texts_in_several_languages(spark):
+    import corpus_pipeline
+
+    d = spark.read.parquet(f"{SF}/documents.parquet")
+    parts = d.where("n_chars > 600").groupBy("lang").agg(F.min("text").alias("t")).orderBy("lang").limit(3).collect()
+    rows = [(10 ** 9, " ".join(r.t[:600] for r in parts), None, "a", 1800), (10 ** 9 + 1, "123", None, "a", 3)]
+    docs = d.unionByName(spark.createDataFrame(rows, d.select("doc_id", "text", "lang", "source", "n_chars").schema))
+    r = language.identify(docs.where("doc_id >= 1000000000"), language.learn_from(docs), ["doc_id"]).where("score > 0").collect()
+    assert len(r) == 1 and len(r[0].langs) == 3 and r[0].score < 0.5
+    kept = corpus_pipeline.languages(spark, docs, SF).where("doc_id >= 1000000000").collect()
+    assert [x.doc_id for x in kept] == [10 ** 9]
+
+
 def test_language_awkward_rows(spark):
     d = H.docs(spark)
     got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(d, language.learn_from(d), ["doc_id"]).collect()}
