@@ -59,8 +59,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of every document: counts and digests, the ids themselves and the decoded text's digest."""
-    return bpe.encode_decode(docs, bpe.vocabulary())
+    """The tokens of every document: counts and digests, the ids themselves and the decoded text."""
+    return bpe.encode_decode(docs, bpe.vocabulary(), keep_ids=True)
 
 
 STAGES = [("language_id", languages), ("toxicity", clean), ("near_dedup", distinct_documents), ("mixing", mixed), ("bpe", encoded)]
@@ -69,8 +69,9 @@ STAGES = [("language_id", languages), ("toxicity", clean), ("near_dedup", distin
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, keep_ids: bool = False) -> DataFrame:
+    """The last stage's table, written in the shared folder; on request with its ``ids`` and ``decoded``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return docs if keep_ids else docs.drop("ids", "decoded")

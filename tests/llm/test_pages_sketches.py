@@ -142,6 +142,13 @@ def test_fingerprint_awkward_rows_and_merge(spark):
     assert t.select(fingerprint.containment(F.col("sp"), fingerprint.merge(F.col("sp"), F.col("sq")))).first()[0] in (0.0, 1.0)
 
 
+def test_pipeline_ends_in_tokens(spark):
+    docs = H.docs(spark)
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+    assert sorted(r.decoded for r in got) == sorted(r[1] or "" for r in H.DOCS)
+    assert all(len(r.ids) == r.n_tokens for r in got)
+
+
 def test_pipeline_stages(spark, tmp_path):
     H.docs(spark).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(H.BIG, 1, 0), (5, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
