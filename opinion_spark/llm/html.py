@@ -3,8 +3,13 @@
 Blocks of text pass points for length and commas to their ancestors, halved
 and thirded on the way up and discounted by link density; article-like elements
 get a bonus. The best container is taken (widened to the article around it) and
-so are its siblings with enough points. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are never read.
+so are its siblings with enough points. Menus, page headers, footers, sidebars,
+forms, scripts, styles and reader comments are never read.
+
+Names (class, id, role) mark containers only, never headings, paragraphs or
+inline elements. Outside what is taken a marked container is not read; inside, it goes
+only if it is short or mostly links, as adverts, notices and share bars are. An
+article's own header keeps its headings, and its lists of links (references) stay.
 
 Parsing is tolerant: unclosed and stray tags, broken attributes and a page that
 ends inside a tag or a reference are all read to the end. Inline elements make
@@ -30,7 +35,8 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]+))?""")
 
 # HTML element names by their part in a page.
-RAW = {"script", "style", "template", "textarea", "title", "iframe", "noembed", "noframes", "svg", "math", "noscript", "select", "object", "canvas", "video", "audio"}
+RAW = {"script", "style", "template", "textarea", "title", "iframe", "noembed", "noframes"}
+SKIPPED = {"svg", "select", "canvas", "video", "audio"}  # elements whose markup is read, their text not
 VOID = {"area", "base", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 DROPPED = {"head", "nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "fieldset", "label"}
 BLOCKS = {"html", "body", "head", "address", "article", "aside", "blockquote", "button", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
@@ -45,6 +51,10 @@ NOT_MAIN = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "a
             "cookie", "cookies", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "dialog", "newsletter", "subscribe", "subscription", "signup",
             "login", "search", "share", "sharing", "social", "comment", "comments", "commentlist", "reply", "replies", "respond", "disqus", "discussion", "related",
             "recommended", "recommendations", "widget", "toolbar", "pagination", "pager", "copyright", "hidden"}
+COMMENTS = {"comment", "comments", "commentlist", "replies", "respond", "disqus"}  # of these also long containers
+CONTAINERS = {"div", "section", "ul", "ol", "dl", "table", "center", "search"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+SHORT = 100  # characters outside links
 MAIN = {"article", "main", "content", "post", "entry", "story", "body", "text"}
 
 
@@ -53,6 +63,7 @@ class Page:
 
     def __init__(self, html: str, by_name: bool = True):
         self.parent, self.tag, self.dropped, self.bonus = [-1], ["#"], [False], [0.0]
+        self.marked, self.loose, self.article = [False], [False], [False]  # by its name not the article, a section by its id only; inside article or main
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters inside links
         self._by_name, self._open, self._pieces, self._link = by_name, [0], [], 0
         self._linked: list[str] = []
@@ -100,18 +111,19 @@ class Page:
             elif name == "br":
                 self._text(" ")
             return
-        words, hidden = set(), False
+        words, ids, hidden = set(), set(), False
         if attributes.strip(" /\t\n\r\f"):
             for m in ATTRIBUTE.finditer(attributes):
                 k, v = m[1].lower(), (m[2] or "").strip("\"'").lower()
                 if k in ("class", "id", "role"):
-                    words.update(re.split(r"[^a-z]+", v))
+                    (ids if k == "id" else words).update(re.split(r"[^a-z]+", v))
                 hidden |= k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and bool(re.search(r"display\s*:\s*none", v))
         if name == "a":
             self._link += 1
-        whole = name in ("html", "body", "article", "main")
-        marked = hidden or self._by_name and not whole and bool(words & NOT_MAIN)
-        if name not in BLOCKS and not marked:
+        loose, words = name == "section" and not words & NOT_MAIN, words | ids
+        named = self._by_name and name in CONTAINERS and bool(words & NOT_MAIN)
+        dropped = hidden or name in SKIPPED or named and bool(words & COMMENTS)
+        if name in SKIPPED and attributes.rstrip().endswith("/") or name not in BLOCKS and not dropped:
             return
         if name in BLOCKS:
             self._flush()
@@ -119,7 +131,11 @@ class Page:
                 self._pop_to({"p"})
             self._pop_to(CLOSES.get(name, ()))
         self.parent.append(self._open[-1])
-        self.dropped.append(self.dropped[self._open[-1]] or name in DROPPED or marked)
+        own = name == "header" and self.article[self._open[-1]]
+        self.dropped.append(self.dropped[self._open[-1]] or name in DROPPED and not own or dropped)
+        self.marked.append(named or own)
+        self.loose.append(loose)
+        self.article.append(self.article[self._open[-1]] or name in ("article", "main"))
         self.tag.append(name)
         self.bonus.append(25.0 if name in ("article", "main") else 10.0 if words & MAIN and name in ("div", "section", "td") else 0.0)
         self._open.append(len(self.parent) - 1)
@@ -141,16 +157,17 @@ class Page:
             self._link = 0
         for k in range(len(self._open) - 1, 0, -1):
             if self.tag[self._open[k]] == name:
-                self._flush()
+                if any(self.tag[j] in BLOCKS for j in self._open[k:]):  # an inline element splits no block
+                    self._flush()
                 del self._open[k:]
                 return
             if name not in BARRIER and self.tag[self._open[k]] in BARRIER:
                 return
 
 
-def _density(page: Page) -> tuple[list[int], list[int]]:
+def _density(page: Page, blocks: list) -> tuple[list[int], list[int]]:
     size, linked = [0] * len(page.parent), [0] * len(page.parent)
-    for node, text, in_links in page.blocks:
+    for node, text, in_links in blocks:
         size[node] += len(text)
         linked[node] += in_links
     for k in range(len(page.parent) - 1, 0, -1):
@@ -160,12 +177,16 @@ def _density(page: Page) -> tuple[list[int], list[int]]:
 
 
 def _kept(page: Page) -> list[str]:
-    if not page.blocks:
+    under = page.marked[:]  # inside a marked container, which scores nothing
+    for k in range(1, len(under)):
+        under[k] = under[k] or under[page.parent[k]]
+    scored = [x for x in page.blocks if not under[x[0]]]
+    if not scored:
         return []
-    size, linked = _density(page)
+    size, linked = _density(page, scored)
     plain = lambda k: 1 - linked[k] / size[k] if size[k] else 0.0
     points = [0.0] * len(page.parent)
-    for node, text, in_links in page.blocks:
+    for node, text, in_links in scored:
         worth = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - in_links / len(text))
         k = page.parent[node] if page.tag[node] in TEXT_BLOCKS else node
         for share in (1, 1 / 2, 1 / 3):
@@ -184,19 +205,35 @@ def _kept(page: Page) -> list[str]:
     enough = max(10.0, 0.2 * score[top])
     keep = {top}
     if top:
-        direct: dict[int, list] = {}
-        for node, text, in_links in page.blocks:
-            direct.setdefault(node, []).append(text)
         for k in range(1, len(page.parent)):
             if page.parent[k] == page.parent[top] and k != top:
                 para = page.tag[k] == "p" and size[k] > 80 and plain(k) > 0.75
                 if score[k] >= enough or para:
                     keep.add(k)
-    inside = [k in keep for k in range(len(page.parent))]
+    all_size, all_linked = _density(page, page.blocks)
+    titles = [0] * len(under)
+    for node, text, _ in page.blocks:
+        if page.tag[node] in HEADINGS:
+            k = node
+            while k > 0 and page.tag[k] != "header":
+                k = page.parent[k]
+            titles[k] += len(text)
+    inside, cut = [k in keep for k in range(len(page.parent))], [False] * len(page.parent)
+    # a page without a container of its own for the article: its marked containers are not read, sections named by id may be parts of the text
+    bare = page.tag[top] in ("#", "html", "body")
     for k in range(1, len(inside)):
-        menu = page.tag[k] in ("ul", "ol") and k not in keep and size[k] and plain(k) < 0.4
-        inside[k] = inside[k] or inside[page.parent[k]] and not menu
-    return [text for node, text, _ in page.blocks if inside[node]]
+        parent, tag = page.parent[k], page.tag[k]
+        body = all_size[k] - (titles[k] if tag == "header" else 0)
+        weak = page.marked[k] and (bare and not page.loose[k] or body - all_linked[k] < SHORT or 2 * all_linked[k] > body)
+        if weak and tag == "header":  # its headings stay
+            cut[k], weak = True, False
+        elif tag in HEADINGS:
+            cut[k] = False
+        else:
+            cut[k] = cut[parent]
+        menu = tag in ("ul", "ol") and k not in keep and not page.article[k] and all_size[k] and all_linked[k] > 0.6 * all_size[k]
+        inside[k] = inside[k] or inside[parent] and not menu and not weak
+    return [text for node, text, _ in page.blocks if inside[node] and not cut[node]]
 
 
 def main_text(html: str | None) -> str:

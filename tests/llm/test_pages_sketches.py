@@ -39,6 +39,26 @@ def test_container_by_score_without_an_article_element():
     assert len(got) == 3 and "one two" not in got[0]
 
 
+def test_names_drop_only_weak_containers():
+    long = "the prices fell, then rose, and nobody knew why that was so in the end, " * 3
+    page = f"""<body><div class="ad">{long}</div><article><header><h1>Own title</h1><p>By X</p></header>
+    <p id="share-prices">Share prices <span class="social">and social</span> life <math><mi>x</mi></math> <noscript>plain</noscript> <svg><text>no</text></svg>end</p>
+    <h2 id="search-algorithms">Search</h2><section id="discussion"><h3>Discussion</h3><p>{long}</p></section><h2 id="related-work">Related</h2>
+    <ul class="share"><li><a href=1>Tweet</a><li><a href=2>Mail</a></ul><div class="promo"><p>Buy now</p></div><div id="comments"><p>{long}</p></div>
+    <p>{long}<object>fallback</object></p><ol><li><a href=3>Reference one</a><li><a href=4>Reference two</a></ol></article>
+    <div class="sidebar"><p>{long}</p></div></body>"""
+    want = ["Own title", "Share prices and social life x plain end", "Search", "Discussion", long.strip(), "Related", long + "fallback", "Reference one", "Reference two"]
+    assert html.main_text(page).split("\n\n") == want
+    bare = f"<body><h1>T</h1><p>{long}</p><section id='discussion'><p>{long}</p></section><div class=sidebar><p>{long}</p></div></body>"
+    assert html.main_text(bare).split("\n\n") == ["T", long.strip(), long.strip()]
+
+
+def test_unclosed_elements_do_not_swallow_the_page():
+    for name in ("math", "noscript", "object", "svg", "select", "video"):
+        page = f"<body><div><p>first, of all, a paragraph</p><div><{name}></div><p>second, and last, paragraph</p></div></body>"
+        assert html.main_text(page) == "first, of all, a paragraph\n\nsecond, and last, paragraph", name
+
+
 def test_broken_pages_end():
     for page in ("<p>a", "<p", "<!-- x", "<script>x", "<p title='a>b</p>", "<" * 3000, "</p></div>text", "<a href=" + "'\"" * 2000):
         html.main_text(page)
