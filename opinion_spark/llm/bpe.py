@@ -166,7 +166,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", te
     """``key, n_tokens, ids_sha256, decoded_sha256`` of every row and, on request, ``ids`` and ``decoded`` themselves."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(load(vocabulary_path)))
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
-    return map_text(docs, [key], F.coalesce(F.col(text), F.lit("")), _codec(shared, keep_ids), schema)
+    return map_text(docs, [key], F.coalesce(F.col(text), F.lit("")), _codec(shared, keep_ids), schema, 256 if keep_ids else None)
 
 
 def vocabulary() -> str:

@@ -37,11 +37,12 @@ def crc_mod(key: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def map_text(rows: DataFrame, keep: list[str], text: Column, make, schema: str) -> DataFrame:
+def map_text(rows: DataFrame, keep: list[str], text: Column, make, schema: str, at_once: int | None = None) -> DataFrame:
     """Columns ``keep`` of every row, unchanged, and what a function of its text returns.
 
     ``make()`` runs once a task and gives that function, which returns a tuple in
     the order of ``schema``. Kept columns pass through as Arrow data of any type.
+    ``at_once``: rows held as Python objects at a time, where results are large (all of a batch by default).
     """
     packed = rows.select(*keep, text.alias("_text"))
     new = StructType.fromDDL(schema)
@@ -51,7 +52,8 @@ def map_text(rows: DataFrame, keep: list[str], text: Column, make, schema: str)
         import pyarrow as pa
 
         of = make()
-        for b in batches:
+        parts = (b.slice(k, at_once or b.num_rows) for b in batches for k in range(0, b.num_rows, at_once or b.num_rows))
+        for b in parts:
             got = [of(x) for x in b.column(b.num_columns - 1).to_pylist()]
             made = [pa.array([g[k] for g in got], kind) for k, (_, kind) in enumerate(types)]
             yield pa.RecordBatch.from_arrays(b.columns[:-1] + made, names=b.schema.names[:-1] + [n for n, _ in types])
