@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinion_spark.llm import bpe, exact, fingerprint, html, language, mining, mixing, near, topk, toxicity, urls, warc
+from opinion_spark.llm import bpe, exact, fingerprint, html, language, mining, mixing, near, topk, toxicity, urls, warc, whitening
 
 REGISTRY = {
     "op1_language_id": language.query,
@@ -15,6 +15,7 @@ REGISTRY = {
     "op8_fingerprints": fingerprint.query,
     "op9_warc": warc.query,
     "op10_url_filter": urls.query,
+    "op11_whitening": whitening.query,
     "op12_exact_dedup": exact.query,
     "op13_hard_negatives": mining.query,
 }
