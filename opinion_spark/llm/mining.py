@@ -183,9 +183,9 @@ def meet(anchors: DataFrame, candidates: DataFrame, blocks: int, parts: int, run
 
 
 def floor_percent(score: Column, percent: int) -> Column:
-    """floor(percent / 100 * score) of a whole score, in whole numbers."""
-    x = score * F.lit(percent)
-    return F.call_function("div", x - F.pmod(x, F.lit(100).cast("long")), F.lit(100).cast("long"))
+    """floor(percent / 100 * score) of a whole score, in whole numbers of no more bits than the score's."""
+    hundred, rest = F.lit(100).cast("long"), F.pmod(score, F.lit(100).cast("long"))
+    return F.call_function("div", score - rest, hundred) * percent + F.call_function("div", rest * percent, hundred)
 
 
 def mine(rows: DataFrame, is_anchor: Column, positives: int = 5, negatives: int = 3, low: int = 50, high: int = 95,
