@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import heapq
 import json
-from dataclasses import dataclass
+import sys
+from array import array
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +28,9 @@ from opinion_spark.llm.common import map_text, table
 
 #: Fixed value: the published byte-level pre-tokenisation pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Encoded words that a task remembers at once; then it starts afresh.
+#: Encoded words that a task remembers: a generation of the words met lately, and the one before it.
 CACHE_WORDS, CACHE_CHARS = 200_000, 64
 
-
 @dataclass
 class Vocabulary:
     """ids: token bytes to id; ranks: pair of ids to (rank, merged id); special: whole strings kept as one id."""
@@ -38,6 +39,16 @@ class Vocabulary:
     ranks: dict
     special: dict
 
+    def __post_init__(self):
+        #: the id of each byte, the rank of a right-hand id for each left-hand one, and the merged id of each rank
+        self.byte_ids = [self.ids.get(bytes([b])) for b in range(256)]
+        after = [{} for _ in range(1 + max(self.ids.values(), default=0))]
+        self.made = {}
+        for (left, right), (rank, merged) in self.ranks.items():
+            after[left][right] = rank
+            self.made[rank] = merged
+        self.rank_after = [x.get for x in after]
+
 
 def byte_alphabet() -> dict[str, int]:
     """The printable stand-in of each byte in vocabulary files: itself where printable, else the next code point from 256."""
@@ -62,40 +73,44 @@ def load(path: str) -> Vocabulary:
 
 def merge_word(word: bytes, vocab: Vocabulary) -> list[int]:
     """Ids of one pre-token."""
-    if word in vocab.ids and len(word) == 1:
-        return [vocab.ids[word]]
-    ranks = vocab.ranks
-    sym = [vocab.ids[word[i:i + 1]] for i in range(len(word))]
+    byte_ids, rank_after, made = vocab.byte_ids, vocab.rank_after, vocab.made
+    sym = [byte_ids[b] for b in word]
     n = len(sym)
+    if n == 1:
+        return sym
+    # the rank that the pair starting at each place has now, or -1: a queue entry of another rank is stale
+    now = [rank_after[a](b, -1) for a, b in zip(sym, sym[1:])]
+    # an entry is one integer, rank and place
+    bits = n.bit_length()
+    place = (1 << bits) - 1
+    queue = [r << bits | i for i, r in enumerate(now) if r >= 0]
+    now.append(-1)
+    heapq.heapify(queue)
+    push, pop = heapq.heappush, heapq.heappop
     before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-    queue = []
-
-    def offer(i: int, j: int) -> None:
-        if (found := ranks.get((sym[i], sym[j]))) is not None:
-            heapq.heappush(queue, (found[0], i, sym[i], sym[j], found[1]))
-
-    for i in range(n - 1):
-        offer(i, i + 1)
     while queue:
-        _, i, left, right, made = heapq.heappop(queue)
-        j = after[i]
-        if sym[i] != left or j >= n or sym[j] != right:  # stale: one of the two was merged meanwhile
+        entry = pop(queue)
+        i, rank = entry & place, entry >> bits
+        if now[i] != rank:
             continue
-        sym[i], sym[j] = made, -1
-        after[i] = after[j]
-        if after[i] < n:
-            before[after[i]] = i
-            offer(i, after[i])
-        if before[i] >= 0:
-            offer(before[i], i)
-    out, i = [], 0
-    while i < n:
-        out.append(sym[i])
-        i = after[i]
-    return out
-
-
-def encoder(vocab: Vocabulary):
+        j = after[i]
+        symbol = sym[i] = made[rank]
+        sym[j] = now[j] = now[i] = -1
+        k = after[i] = after[j]
+        if k < n:
+            before[k] = i
+            r = now[i] = rank_after[symbol](sym[k], -1)
+            if r >= 0:
+                push(queue, r << bits | i)
+        h = before[i]
+        if h >= 0:
+            r = now[h] = rank_after[sym[h]](symbol, -1)
+            if r >= 0:
+                push(queue, r << bits | h)
+    return [x for x in sym if x >= 0]
+
+
+def encoder(vocab: Vocabulary, cache_words: int = CACHE_WORDS):
     """A function from a text to its ids as little-endian unsigned 32-bit integers."""
     import struct
 
@@ -103,19 +118,25 @@ def encoder(vocab: Vocabulary):
 
     find = regex.compile(PATTERN).findall
     specials = regex.compile("(" + "|".join(map(regex.escape, sorted(vocab.special, key=len, reverse=True))) + ")") if vocab.special else None
-    cache: dict[str, bytes] = {}
+    recent: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
 
     def miss(word: str) -> bytes:
-        ids = merge_word(word.encode("utf-8", "surrogatepass"), vocab)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        nonlocal older
+        if (packed := older.get(word)) is None:
+            ids = array("I", merge_word(word.encode("utf-8", "surrogatepass"), vocab))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            packed = ids.tobytes()
         if len(word) <= CACHE_CHARS:
-            if len(cache) >= CACHE_WORDS:
-                cache.clear()
-            cache[word] = packed
+            if len(recent) >= cache_words:  # words not met since the last turn are forgotten
+                older = recent.copy()
+                recent.clear()
+            recent[word] = packed
         return packed
 
     def plain(text: str) -> bytes:
-        get = cache.get
+        get = recent.get
         return b"".join([get(w) or miss(w) for w in find(text)])
 
     def encode(text: str) -> bytes:
@@ -164,7 +185,7 @@ def _codec(shared, keep_ids: bool):
 
 def encode_decode(docs: DataFrame, vocabulary_path: str, key: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
     """``key, n_tokens, ids_sha256, decoded_sha256`` of every row and, on request, ``ids`` and ``decoded`` themselves."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(load(vocabulary_path)))
+    shared = docs.sparkSession.sparkContext.broadcast(asdict(load(vocabulary_path)))
     schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
     return map_text(docs, [key], F.coalesce(F.col(text), F.lit("")), _codec(shared, keep_ids), schema, 256 if keep_ids else None)
 

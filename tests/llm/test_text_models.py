@@ -79,6 +79,17 @@ def test_bpe_merges_like_the_plain_rule():
     assert bpe.merge_word(b"a" * 5000, vocab) == naive_bpe(b"a" * 5000, vocab)
 
 
+def test_bpe_remembers_two_generations():
+    """The same ids whatever the cache forgets."""
+    vocab = bpe.load(bpe.vocabulary())
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 3))) for _ in range(500)]
+    texts = [" ".join(rng.choices(words, k=80)) for _ in range(20)]
+    for size in (1, 7, 100):
+        encode = bpe.encoder(vocab, cache_words=size)
+        assert [encode(t) for t in texts] == [bpe.encoder(vocab)(t) for t in texts]
+
+
 def test_bpe_equals_the_library(spark):
     from tokenizers import Tokenizer
 
