@@ -4,40 +4,36 @@
 into the sequence of words with the least total cost under a unigram model
 where the word of frequency rank i (0-based) of N costs ln((i+1) ln N).
 
-Distinct letter runs of tags are segmented once each: their substrings up to the
-longest word are inner-joined with the cost table, the dynamic programme runs
-as an ``aggregate()`` fold over the run's positions (the candidates of each end
-beside it), and the result is joined back into the texts, which are rebuilt
-from their ordered runs. A tag without letters or digits stays as it is.
+Distinct letter runs of tags are segmented once each. A table of word beginnings tells, for
+each place of a run, how long a word that starts there can be; only the substrings up to that
+length are joined with the cost table. The dynamic programme runs as an
+``aggregate()`` fold over the run's positions (the candidates of each end
+beside it). Texts are rebuilt inside their rows, from a map of the text's own tags that is
+attached by a digest of the text, so ids play no part and copies of a text are
+split once. A tag without letters or digits stays as it is.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinion_spark.tables import Scratch, attach, ranked
+
 WORD = r"[\p{L}\p{N}']+"
 TAG = r"#[\p{L}\p{N}_]+"
 RUNS = r"#[\p{L}\p{N}_]+|[^#]+|#"
 PART = r"\p{L}+|[^\p{L}_]+"  # letter and digit runs of a tag body
 UNITS = 1_000_000  # costs are summed as whole millionths
+STEPS = (1, 2, 3, 4, 5, 6, 8, 11, 15, 20, 30, 50, 100)  # lengths at which beginnings of words are looked up
 
 
 def word_costs(words: DataFrame, word: str = "word", count: str = "count") -> DataFrame:
-    """``(word, cost)`` from a frequency table (most frequent first)."""
-    # words of one count and one beginning are ranked among themselves; what
-    # comes before them is a running sum over the far smaller table of such groups
-    words = words.withColumn("_start", F.substring(word, 1, 3))
-    group = [F.col(count).alias("_c"), "_start"]
-    before = (words.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-              .withColumn("_before", F.sum("_n").over(Window.orderBy(F.col("_c").desc(), "_start")) - F.col("_n"))
-              .withColumn("_all", F.sum("_n").over(Window.partitionBy(F.lit(0)))))
-    place = F.row_number().over(Window.partitionBy(count, "_start").orderBy(word)) - 1
-    ranked = (words.withColumn("_place", place)
-              .join(before.select("_c", F.col("_start").alias("_s"), "_before", "_all"),
-                    (F.col(count) == F.col("_c")) & (F.col("_start") == F.col("_s")))
-              .withColumn("_rank", F.col("_before") + F.col("_place")))
-    return ranked.select(word, F.log((F.col("_rank") + 1.0) * F.log(F.col("_all").cast("double"))).alias("cost"))
+    """``(word, cost)`` from a frequency table (most frequent first, then by word)."""
+    s = Scratch(words.sparkSession, "costs")
+    places = ranked(words.select(F.col(word), F.col(count).alias("_c")), [F.col("_c").desc(), F.col(word).asc()], "_rank", s)
+    total = places.count()
+    return places.select(word, F.log((F.col("_rank") + 1.0) * F.log(F.lit(float(total)))).alias("cost"))
 
 
 def corpus_word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -53,6 +49,32 @@ def ranked_word_list(lines: DataFrame) -> DataFrame:
     return w.select("word", (-F.col("_o")).alias("count"))
 
 
+def beginnings(costs: DataFrame) -> DataFrame:
+    """``(start, n)``: the beginnings of all words at the lengths of ``STEPS`` (a word's own ones only)."""
+    at = F.filter(F.array(*[F.lit(n) for n in STEPS]), lambda n: n <= F.length("word"))
+    each = costs.select("word", F.explode(at).alias("n"))
+    return each.select(F.expr("substring(word, 1, n)").alias("start"), "n").distinct()
+
+
+def candidates(runs: DataFrame, costs: DataFrame, max_word: int) -> DataFrame:
+    """``(part, end, len, word)`` of the substrings of ``part, low, n`` that may be words, and of all single characters.
+
+    A place whose first STEPS[i] characters begin a word, but whose first STEPS[i + 1] do not, starts no word
+    of STEPS[i + 1] characters or more. Beginnings of beginnings are beginnings, so the longest match tells all.
+    """
+    places = runs.select("part", "low", "n", F.explode(F.sequence(F.lit(1), "n")).alias("from"))
+    left = F.col("n") - F.col("from") + 1
+    tried = places.select("part", "from", F.explode(F.filter(F.array(*[F.lit(n) for n in STEPS]), lambda n: n <= left)).alias("n"), "low")
+    tried = tried.select("part", "from", "n", F.expr("substring(low, from, n)").alias("start"))
+    longest = tried.join(beginnings(costs), ["start", "n"]).groupBy("part", "from").agg(F.max("n").alias("found"))
+    upper = [*STEPS[1:], 1 << 30]
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in zip(STEPS, upper) for x in pair]), F.col("found")) - 1
+    known = places.join(longest, ["part", "from"], "left")
+    reach = F.greatest(F.lit(1), F.least(left, F.coalesce(limit, F.lit(1)), F.lit(max_word)))
+    each = known.select("part", "low", "from", F.explode(F.sequence(F.lit(1), reach)).alias("len"))
+    return each.select("part", (F.col("from") + F.col("len") - 1).alias("end"), "len", F.expr("substring(low, from, len)").alias("word"))
+
+
 def segment_tags(tags: DataFrame, costs: DataFrame, max_word: int | None = None, tag: str = "tag") -> DataFrame:
     """C17: ``(tag, words, unknown, cost)`` for every distinct tag body.
 
@@ -70,9 +92,7 @@ def segment_tags(tags: DataFrame, costs: DataFrame, max_word: int | None = None,
     runs = parts.where("letters").select("part").distinct().withColumn("n", F.length("part"))
     low = F.lower("part")  # of equal length but for a few characters, which then stay as they are
     runs = runs.withColumn("low", F.when(F.length(low) == F.col("n"), low).otherwise(F.col("part")))
-    ends = runs.select("part", "low", F.explode(F.sequence(F.lit(1), "n")).alias("end"))
-    cand = ends.select("part", "low", "end", F.explode(F.sequence(F.lit(1), F.least("end", F.lit(max_word)))).alias("len"))
-    cand = cand.select("part", "end", "len", F.substring("low", F.col("end") - F.col("len") + 1, F.col("len")).alias("word"))
+    cand = candidates(runs, costs, max_word)
     known = costs.select("word", F.round(F.col("cost") * UNITS).cast("long").alias("cost"))
     cand = cand.join(known, "word", "left").where(F.col("cost").isNotNull() | (F.col("len") == 1))
     option = F.struct(F.col("cost").isNull().cast("int").alias("unknown"), F.coalesce("cost", F.lit(0)).alias("cost"), "len")
@@ -105,25 +125,25 @@ def segment_tags(tags: DataFrame, costs: DataFrame, max_word: int | None = None,
                                    (F.coalesce(F.sum("cost"), F.lit(0)) / UNITS).alias("cost"))
 
 
-def replace_hashtags(docs: DataFrame, costs: DataFrame, text: str = "text", key: str = "doc_id",
-                     max_word: int | None = None) -> DataFrame:
+def replace_hashtags(docs: DataFrame, costs: DataFrame, text: str = "text", max_word: int | None = None) -> DataFrame:
     """C14 + C18: every ``#tag`` replaced by its words joined by spaces.
 
-    Texts are cut into ordered runs (tag / non-tag); tag runs are joined with
-    the distinct-tag segmentation and the text is rebuilt per document (the
-    group is one document's own runs). Texts without ``#`` skip all of it.
+    A text's result depends on the text alone: the segmentations of its tags go back to every
+    row with that text as a map, by a 256-bit digest of the text, and the row puts its own runs together again.
+    Rows with repeated or null ids and repeated texts are rows like all others. Texts without ``#`` skip all of it.
     """
-    has = docs.where(F.col(text).contains("#"))
+    s = Scratch(docs.sparkSession, "hashtags")
+    digest = F.unhex(F.sha2(F.col(text).cast("binary"), 256))
+    has = docs.where(F.col(text).contains("#")).withColumn("_digest", digest)
     rest = docs.where(~F.col(text).contains("#") | F.col(text).isNull())
-    runs = has.select(key, F.posexplode(F.regexp_extract_all(text, F.lit(RUNS), 0)).alias("i", "run"))
-    runs = runs.withColumn("is_tag", F.col("run").rlike("^" + TAG + "$"))
-    tags = runs.where("is_tag").select(F.substring("run", 2, 1 << 20).alias("tag"))
-    seg = segment_tags(tags, costs, max_word)
-    body = F.concat(F.lit("#"), F.col("tag"))  # of a tag that holds only "_"
-    j = (runs.withColumn("tag", F.when(F.col("is_tag"), F.substring("run", 2, 1 << 20)))
-         .join(seg.select("tag", F.array_join("words", " ").alias("seg")), "tag", "left")
-         .select(key, "i", F.when(F.col("is_tag"), F.coalesce("seg", body)).otherwise(F.col("run")).alias("piece")))
-    rebuilt = j.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "piece"))),
-                                                          lambda s: s["piece"]), "").alias("_new"))
-    out = has.join(rebuilt, key, "left").withColumn(text, F.coalesce("_new", F.col(text))).drop("_new")
+    tags = has.select("_digest", F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(TAG), 0))).alias("run"))
+    tags = s.written(tags.groupBy("_digest", "run").agg(F.count(F.lit(1)).alias("rows")).withColumn("tag", F.expr("substring(run, 2)")), "tags")
+    seg = segment_tags(tags, costs, max_word).select("tag", F.array_join("words", " ").alias("seg"))
+    seg = s.written(seg.join(tags.groupBy("tag").agg(F.count(F.lit(1)).alias("texts")), "tag"), "segments")
+    entry = F.struct("run", "seg")
+    maps = attach(tags, seg, ["tag"], "texts").groupBy("_digest").agg(F.map_from_entries(F.collect_list(entry)).alias("_map"), F.max("rows").alias("_rows"))
+    out = attach(has, s.written(maps, "maps"), ["_digest"], "_rows", "left")
+    runs = F.regexp_extract_all(text, F.lit(RUNS), 0)
+    new = F.array_join(F.transform(runs, lambda run: F.coalesce(F.try_element_at("_map", run), run)), "")
+    out = out.withColumn(text, new).select(*docs.columns)
     return out.unionByName(rest)

@@ -8,9 +8,14 @@ the smoothed form idf = ln((1+n)/(1+df)) + 1 with L2-normalised rows.
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opinion_spark.tables import Scratch, attach, ranked
+
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
@@ -59,6 +64,28 @@ def top_terms(scores: DataFrame, n: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
+def most_frequent(stats: DataFrame, most: int, shards: int = 64) -> DataFrame:
+    """The ``most`` rows of each cluster with the highest ``cf``, ties by term, without sorting a cluster's rows.
+
+    A histogram of counts per cluster gives the count at the cut: what lies above it is kept whole, and of the terms at
+    the cut itself the first remaining ones are taken, first inside each of ``shards`` hash shards, then of those.
+    """
+    s = Scratch(stats.sparkSession, "features")
+    stats = s.written(stats, "stats")
+    bins = stats.groupBy("cluster", "cf").agg(F.count(F.lit(1)).alias("_n"))  # a row for each different count
+    upto = F.sum("_n").over(Window.partitionBy("cluster").orderBy(F.col("cf").desc()))
+    cut = (bins.withColumn("_upto", upto).where(F.col("_upto") - F.col("_n") < most)
+           .groupBy("cluster").agg(F.min("cf").alias("_cut"), F.max_by(F.col("_upto") - F.col("_n"), -F.col("cf")).alias("_above"), F.max("_upto").alias("_size")))
+    both = attach(stats, s.written(cut, "cuts"), ["cluster"], "_size")
+    above = both.where(F.col("cf") > F.col("_cut"))
+    shard = F.pmod(F.xxhash64("term"), F.lit(shards))
+    room = F.lit(most) - F.col("_above")
+    ties = both.where(F.col("cf") == F.col("_cut")).withColumn("_shard", shard)
+    ties = ties.withColumn("_r", F.row_number().over(Window.partitionBy("cluster", "_shard").orderBy("term"))).where(F.col("_r") <= room)
+    ties = ties.withColumn("_r", F.row_number().over(Window.partitionBy("cluster").orderBy("term"))).where(F.col("_r") <= room)
+    return above.select(*stats.columns).unionByName(ties.select(*stats.columns))
+
+
 def top_terms_per_group(docs: DataFrame, groups: DataFrame, n: int, stop_words: list[str],
                         min_df: int = 7, max_df: float = 0.7, max_features: int | None = 3000,
                         key: str = "doc_id") -> DataFrame:
@@ -71,8 +98,7 @@ def top_terms_per_group(docs: DataFrame, groups: DataFrame, n: int, stop_words:
              .join(nd, "cluster")
              .where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("n_docs"))))
     if max_features is not None:
-        wv = Window.partitionBy("cluster").orderBy(F.col("cf").desc(), F.col("term"))
-        stats = stats.withColumn("_r", F.row_number().over(wv)).where(F.col("_r") <= max_features)
+        stats = most_frequent(stats, max_features)
     idf = stats.select("cluster", "term", "n_docs",
                        (F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
     x = tf.join(idf, ["cluster", "term"]).select("cluster", key, "term", "n_docs",
@@ -113,40 +139,98 @@ def cluster_cosine(counts: DataFrame, block: int = 512) -> DataFrame:
     return prod.groupBy("c1", "c2").agg(F.sum("p").alias("cosine"))
 
 
+class PairState:
+    """T8's state: the holders of every term, and each pair of clusters' count products by document frequency.
+
+    ``postings`` has a row for each term: ``h``, an array of ``(c, tf)`` by cluster number, so df is its size and a merge
+    changes rows in place, without a join. ``sums`` is ``(c1, c2, df, s)``, c1 <= c2: the sum of tf1 * tf2 over the
+    common terms of that df. All are whole numbers, so an updated state equals one computed anew. With n clusters
+    idf = c - l, c = ln(1 + n) + 1 and l = ln(1 + df), so a pair's product of TF-IDF vectors is the sum of s * (c - l)**2 over
+    df, its own row gives the squared norm, and a change of n touches no row.
+    """
+
+    def __init__(self, counts: DataFrame, s: Scratch):
+        """``counts``: ``(c, term, tf)``."""
+        self.s = s
+        holders = F.array_sort(F.collect_list(F.struct("c", "tf"))).alias("h")  # at most one entry a cluster
+        self.postings = s.written(counts.groupBy("term").agg(holders).select("h"), "postings")
+        self.sums = s.written(products(self.postings.withColumn("sign", F.lit(1))), "sums", slim=True)
+
+    def best(self, n: int):
+        """``(c1, c2, cosine)`` of the most similar pair (ties to the smallest), or None where no two clusters share a term."""
+        idf = F.lit(math.log(1 + n) + 1) - F.log(F.col("df") + 1.0)
+        dots = self.sums.groupBy("c1", "c2").agg(F.sum(F.col("s") * idf * idf).alias("dot"))
+        norms = dots.where("c1 = c2")
+        pairs = (dots.where("c1 < c2").join(norms.select("c1", F.col("dot").alias("d1")), "c1")
+                 .join(norms.select("c2", F.col("dot").alias("d2")), "c2"))
+        cosine = F.col("dot") / F.sqrt(F.col("d1") * F.col("d2"))
+        # rounded, so that the order of summation cannot decide a tie
+        return pairs.select("c1", "c2", cosine.alias("cosine")).orderBy(F.round("cosine", 12).desc(), "c1", "c2").limit(1).first()
+
+    def merge(self, a: int, b: int) -> None:
+        """Fold cluster b into a: only terms of b are read apart, and only their pairs change."""
+        s, ours = self.s, lambda x: x["c"].isin(a, b)
+        has = F.exists("h", lambda x: x["c"] == b)
+        mine = F.aggregate(F.filter("h", ours), F.lit(0).cast("long"), lambda total, x: total + x["tf"])
+        one = F.struct(F.lit(a).alias("c"), mine.alias("tf"))
+        new = F.array_sort(F.concat(F.filter("h", lambda x: ~ours(x)), F.array(one)))
+        both = F.array(F.struct("h", F.lit(-1).alias("sign")), F.struct(new.alias("h"), F.lit(1).alias("sign")))
+        change = products(self.postings.where(has).select(F.explode(both).alias("x")).select("x.*"))
+        every = self.sums.unionByName(change).groupBy("c1", "c2", "df").agg(F.sum("s").alias("s"))
+        self.sums = s.written(every.where("s <> 0"), "sums", slim=True)
+        self.postings = s.written(self.postings.select(F.when(has, new).otherwise(F.col("h")).alias("h")), "postings")
+        s.drop("sums", "postings", but_last=True, collect=False)
+
+
+def products(postings: DataFrame) -> DataFrame:
+    """``(c1, c2, df, s)``, c1 <= c2: signed sums of tf1 * tf2 over terms, from ``(h, sign)``."""
+    left = postings.select("sign", "h", F.size("h").alias("df"), F.posexplode("h").alias("i", "x"))
+    pairs = left.select("sign", "df", "x", F.explode(F.expr("slice(h, i + 1, df - i)")).alias("y"))
+    return pairs.groupBy(F.col("x.c").alias("c1"), F.col("y.c").alias("c2"), "df").agg(F.sum(F.col("sign") * F.col("x.tf") * F.col("y.tf")).alias("s"))
+
+
 def merge_clusters(spark, membership: DataFrame, tf: DataFrame, target: int, key: str = "doc_id",
                    max_rounds: int | None = None):
     """Greedy merges of the most similar cluster pair until ``target`` remain.
 
-    ``membership`` is ``(doc_id, cluster)``; ``tf`` is ``(doc_id, term, tf)``
-    over stop-word-filtered tokens. Counts are additive, so each round only
-    relabels clusters and re-sums the small cluster-term table (never
-    re-tokenises); idf is refitted every round. The pair with the highest
-    cosine wins, ties to the smallest (c1, c2); c2 is folded into c1. Without
-    a common term the first two clusters merge. The cluster mapping is a table;
-    only the winning pair (one row) reaches the driver per round. Returns the final
-    ``(doc_id, cluster)`` membership and the merge log.
+    ``membership`` is ``(doc_id, cluster)``; ``tf`` is ``(doc_id, term, tf)`` over stop-word-filtered tokens. Idf is that
+    of the current clusters in every round (``PairState``), yet a round only reads what the merged pair touches. The pair
+    with the highest cosine wins, ties to the smallest (c1, c2); c2 is folded into c1. Without a common term the
+    first two clusters merge. One row (the winning pair) reaches the driver per round, and the log, a row a merge, is
+    joined back as a table. Returns the final ``(doc_id, cluster)`` membership and the merge log.
     """
-    from opinion_spark.operators.graph import _checkpoint
-
-    base = _checkpoint(tf.join(membership, key).groupBy("cluster", "term").agg(F.sum("tf").alias("tf")))
-    owner = _checkpoint(membership.select("cluster", F.col("cluster").alias("cur")).distinct())  # base -> current cluster
-    left = owner.count()
-    log = []
-    while left > target and (max_rounds is None or len(log) < max_rounds):
-        cur = (base.join(owner, "cluster").groupBy("cur", "term").agg(F.sum("tf").alias("tf"))
-               .withColumnRenamed("cur", "cluster"))
-        # rounded, so that the order of summation cannot decide a tie
-        best = cluster_cosine(cur).orderBy(F.round("cosine", 12).desc(), "c1", "c2").limit(1).collect()
-        if best:
-            c1, c2, cos = best[0]
+    s = Scratch(spark, "merge")
+    known = membership.where("cluster is not null")
+    names = ranked(known.select("cluster").distinct(), [F.col("cluster").asc()], "c", s)
+    names = s.written(names.select("cluster", F.col("c").cast("int").alias("c")), "names", slim=True)
+    left = names.count()
+    merges: list = []
+    gone: set = set()
+    state = None
+    while left > target and (max_rounds is None or len(merges) < max_rounds):
+        if state is None:
+            counts = tf.join(known.join(names, "cluster").select(key, "c"), key).groupBy("c", "term").agg(F.sum("tf").alias("tf"))
+            state = PairState(counts, s)
+        best = state.best(left)
+        if best is not None:
+            c1, c2, cos = best
         else:  # no two clusters share a term: all similarities are 0, the first pair wins
-            (c1,), (c2,) = owner.select("cur").distinct().orderBy("cur").limit(2).collect()
+            c1, c2 = (c for c, _ in zip((c for c in itertools.count() if c not in gone), range(2)))
             cos = 0.0
-        owner = _checkpoint(owner.select("cluster", F.when(F.col("cur") == c2, F.lit(c1).cast("long")).otherwise(F.col("cur")).alias("cur")))
-        log.append((len(log), c1, c2, float(cos)))
+        state.merge(c1, c2)
+        merges.append((c1, c2, float(cos)))
+        gone.add(c2)
         left -= 1
-    final = membership.join(owner, "cluster").select(key, F.col("cur").alias("cluster"))
-    return final, log
+    final: dict = {}
+    for c1, c2, _ in reversed(merges):
+        final[c2] = final.get(c1, c1)
+    touched = sorted({c for m in merges for c in m[:2]})
+    name = {r["c"]: r["cluster"] for r in names.where(F.col("c").isin(touched)).collect()}  # two a merge at most
+    kind = dict(membership.dtypes)["cluster"]
+    moved = spark.createDataFrame([(name[c], name[to]) for c, to in final.items()], f"cluster {kind}, _to {kind}")
+    s.drop("postings", "sums", "names", "ranked")
+    out = known.join(F.broadcast(moved), "cluster", "left")  # as large as the log, which the driver holds
+    return out.select(key, F.coalesce("_to", "cluster").alias("cluster")), [(k, name[c1], name[c2], cos) for k, (c1, c2, cos) in enumerate(merges)]
 
 
 def term_weights(top: DataFrame, max_terms: int) -> DataFrame:
@@ -161,8 +245,8 @@ def term_weights(top: DataFrame, max_terms: int) -> DataFrame:
 
 def cluster_labels(sizes: DataFrame) -> DataFrame:
     """Ordinal title and element count per cluster."""
-    w = Window.orderBy("cluster")
-    return sizes.withColumn("ordinal", F.row_number().over(w)).select(
+    places = ranked(sizes.select("cluster", "size"), [F.col("cluster").asc()], "_place", Scratch(sizes.sparkSession, "labels"))
+    return places.withColumn("ordinal", (F.col("_place") + 1).cast("int")).select(
         "cluster", "ordinal", "size",
         F.format_string("Cluster %d (%d elements)", F.col("ordinal"), F.col("size")).alias("label"))
 
