@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import gc
 import uuid
 from collections.abc import Iterator
 
@@ -14,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from opinion_spark.session import checkpoint_dir
+from opinion_spark.tables import Scratch, attach  # noqa: F401
 
 #: ASCII white space; everything between it is a word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -35,50 +33,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder by the file system that holds it."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+def crc_mod(key: str, n: int) -> Column:
+    """Remainder of crc32 of the id's decimal text (null id: remainder of the empty text)."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
 
 
-class Scratch:
-    """The tables that one run of an operator writes in the shared folder.
+#: Bits of the hash by which rows are sampled.
+SAMPLE_BITS = 62
 
-    ``drop`` deletes tables after their last reader, and lets Spark's cleaner free the shuffle
-    files of plans that are gone. What a lazy result still reads goes when the driver ends.
-    """
 
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark, self.label, self.paths = spark, label, {}
-        atexit.register(self._end)
-
-    def written(self, df: DataFrame, label: str) -> DataFrame:
-        path = scratch(self.spark, f"{self.label}-{label}")
-        self.paths.setdefault(label, []).append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *labels: str, but_last: bool = False) -> None:
-        for label in labels:
-            paths = self.paths.pop(label, [])
-            keep = paths[-1:] if but_last else []
-            for path in paths[:len(paths) - len(keep)]:
-                remove(self.spark, path)
-            if keep:
-                self.paths[label] = keep
-        gc.collect()
-        self.spark._jvm.System.gc()
-
-    def _end(self) -> None:
-        with contextlib.suppress(Exception):  # the session may be gone
-            for paths in self.paths.values():
-                for path in paths:
-                    remove(self.spark, path)
+def sample_hash(*columns: str) -> Column:
+    """A whole number under 2**SAMPLE_BITS from a row's columns."""
+    return F.shiftrightunsigned(F.xxhash64(*columns), 64 - SAMPLE_BITS)
 
 
-def crc_mod(key: str, n: int) -> Column:
-    """Remainder of crc32 of the id's decimal text (null id: remainder of the empty text)."""
-    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
+def sample_cut(sample: int, n: int) -> int:
+    """The bound under which about ``sample`` of ``n`` evenly spread hashes lie (all, if there are fewer)."""
+    return (1 << SAMPLE_BITS) if n <= sample else max(1, (sample << SAMPLE_BITS) // n)
 
 
 def map_text(rows: DataFrame, keep: list[str], text: Column, make, schema: str, at_once: int | None = None) -> DataFrame:
@@ -88,7 +59,10 @@ def map_text(rows: DataFrame, keep: list[str], text: Column, make, schema: str,
     the order of ``schema``. Kept columns pass through as Arrow data of any type.
     ``at_once``: rows held as Python objects at a time, where results are large (all of a batch by default).
     """
-    packed = rows.select(*keep, text.alias("_text"))
+    body = "_text"
+    while body in keep:
+        body += "_"
+    packed = rows.select(*keep, text.alias(body))
     new = StructType.fromDDL(schema)
     types = [(f.name, f.type) for f in to_arrow_schema(new)]
 

@@ -7,7 +7,8 @@ likelihood gradient, while twice the gain in log-likelihood exceeds the
 penalty of one more proportion (BIC, on the number of independent trigrams).
 
 Trigram counts are learned from a sample of labelled rows of at most about
-``sample`` documents for each language, chosen by a hash of the id; trigrams
+``sample`` documents for each language, chosen by a 62-bit hash of id and text
+(so ``sample`` of any number of rows; equal rows count once); trigrams
 are hashed to ``BUCKETS`` so the broadcast model has BUCKETS floats a language.
 Labels are a closed set: the model is as large as that set.
 
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinion_spark.llm.common import crc_mod, map_text, table
+from opinion_spark.llm.common import crc_mod, map_text, sample_cut, sample_hash, table
 
 BUCKETS, SAMPLE = 1 << 16, 1000
 UNKNOWN = "und"
@@ -95,8 +96,10 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     langs = sorted(sizes)
     if not langs:
         return [], np.zeros((BUCKETS, 0), "float32")
-    rate = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(int(min(1.0, sample / sizes[k]) * (1 << 20))))])
-    picked = rows.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < F.element_at(rate, F.col("lang")))
+    cut = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(sample_cut(sample, sizes[k])))])
+    # rows equal in id and text have one hash and count once, so copies cannot swell the sample
+    picked = (rows.withColumn("hash", sample_hash("key", "text")).where(F.col("hash") < F.element_at(cut, F.col("lang")))
+              .dropDuplicates(["lang", "hash"]))
     found = (picked.select("lang", "text").mapInPandas(_count, "lang string, bucket int, n long")
              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())
     counts = np.zeros((BUCKETS, len(langs)))

@@ -10,13 +10,13 @@
 * Karlin-Altschul extreme-value statistics of clean text turn a segment's score
   S in a text of n words into an expected count E = K n exp(-lambda S). The
   significant segments' -ln E are added up, and a logistic curve fitted to the
-  learning rows turns the sum (its logarithm) into a probability.
+  learning rows turns the sum (its logarithm) into a probability. Without a significant segment the
+  probability stays under one half and falls with the best segment's E.
 
 Learning uses at most about ``sample`` labelled documents of each class, chosen
-by a hash of the id, read whole; what is broadcast is bounded by that sample.
+by a 62-bit hash of the id, read whole; what is broadcast is bounded by that sample.
 
-Defined results: null or wordless text has no segment and gets the lowest
-score; without learning rows of both classes every score is 0; several labels
+Defined results: null or wordless text has no segment and gets score 0; without learning rows of both classes every score is 0; several labels
 for one id count as their maximum; repeated rows get equal scores.
 """
 
@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinion_spark.llm.common import crc_mod, map_text, table
+from opinion_spark.llm.common import Scratch, crc_mod, map_text, sample_cut, sample_hash, table
 from opinion_spark.llm.near import shingle_set
 
 SAMPLE = 3000
@@ -116,6 +116,12 @@ def evidence(n: int, segments: list, m: Model) -> tuple[float, list]:
     return total, kept
 
 
+def doubt(n: int, segments: list, m: Model) -> float:
+    """1 / (2 E) of the best segment, none of them significant: from 0 (no segment at all) to 1."""
+    best = max((x for _, _, x in segments), default=None)
+    return 0.0 if best is None else min(1.0, math.exp(min(0.0, m.lam * best - m.log_k - math.log(max(n, 1)) - math.log(2))))
+
+
 def _smallest(batches: Iterator) -> Iterator:
     for b in batches:
         sets = [shingle_set(x) for x in b.text]
@@ -185,10 +191,12 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     if len(sizes) < 2:
         return Model({}, a=-math.inf)
     rate = {c: min(1.0, sample / n) for c, n in sizes.items()}
-    cut = F.when(F.col("toxic") == 1, int(rate[1] * (1 << 20))).otherwise(int(rate[0] * (1 << 20)))
-    few = marks.where(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < cut)  # about 2 * sample rows: broadcast
+    cut = F.when(F.col("toxic") == 1, sample_cut(sample, sizes[1])).otherwise(sample_cut(sample, sizes[0]))
+    few = marks.where(sample_hash("key") < cut)  # about 2 * sample rows: broadcast
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(few), "key").select("toxic", "text")
     rows = rows.mapInPandas(_smallest, "toxic int, text string, least long").dropDuplicates(["toxic", "least"]).select("toxic", "text")
+    s = Scratch(spark, "toxicity")
+    rows = s.written(rows, "sample")  # the sample's texts, read twice more
     found = (rows.mapInPandas(_count, "toxic int, word string, n long").groupBy("word")
              .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("y1"),
                   F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("y0"))
@@ -202,7 +210,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     prior = strength * t["all"].to_numpy() / (n1 + n0)
     y1, y0 = t.y1.to_numpy() + prior, t.y0.to_numpy() + prior
     odds = np.log(y1 / (n1 + strength - y1)) - np.log(y0 / (n0 + strength - y0))
-    score = np.sign(odds) * np.maximum(0.0, np.abs(odds) - ERRORS * np.sqrt(1 / y1 + 1 / y0))
+    scores = np.sign(odds) * np.maximum(0.0, np.abs(odds) - ERRORS * np.sqrt(1 / y1 + 1 / y0))
     seen1, seen0 = t.y1.to_numpy(dtype=float), t.y0.to_numpy(dtype=float)
     rest = seen1 + seen0
     ratio = 2 * (seen1 * np.log(np.maximum(seen1, 1e-9) * (n1 + n0) / (rest * n1)) + seen0 * np.log(np.maximum(seen0, 1e-9) * (n1 + n0) / (rest * n0)))
@@ -213,14 +221,15 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             for k in keys_of(w)[1:]:
                 main[k] = max(main.get(k, 0.0), y)
     alone = np.array([main.get(w, 0.0) > ONE_WORD * y for w, y in zip(t.word, seen1)], dtype=bool)
-    score = np.where((ratio >= LEAST_Z ** 2) & ~alone, score, 0.0)
-    score = np.where((score > 0) & (score < DOUBLED), 0.0, score)
-    m = Model({w: float(s) for w, s in zip(t.word, score)})
+    scores = np.where((ratio >= LEAST_Z ** 2) & ~alone, scores, 0.0)
+    scores = np.where((scores > 0) & (scores < DOUBLED), 0.0, scores)
+    m = Model({w: float(x) for w, x in zip(t.word, scores)})
 
     seen = rows.mapInPandas(_evidence_of(spark.sparkContext.broadcast(vars(m))), "toxic int, n int, top double, segments array<double>").toPandas()
+    s.drop("sample", collect=False)
     clean = seen[seen.toxic == 0]
     # lambda: a clean word's score has E[exp(lambda s)] = 1; one more word of the top score keeps it finite
-    s0 = {w: s - DRIFT for w, s in m.scores.items() if s > 0 and not w.endswith("*")}
+    s0 = {w: x - DRIFT for w, x in m.scores.items() if x > 0 and not w.endswith("*")}
     y = dict(zip(t.word, t.y0))
     values = np.array([*s0.values(), max(s0.values(), default=1.0), -DRIFT])
     mass = np.array([*(y[w] for w in s0), 1.0, 0.0], dtype=float)
@@ -233,7 +242,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     m.lam = lo
     if len(clean):
         m.log_k = float((m.lam * clean.top - np.log(np.maximum(clean.n, 1))).mean() - 0.5772156649)
-    x = np.array([math.log1p(evidence(n, [(0, 0, s) for s in seg], m)[0]) for n, seg in zip(seen.n, seen.segments)])
+    x = np.array([math.log1p(evidence(n, [(0, 0, x) for x in seg], m)[0]) for n, seg in zip(seen.n, seen.segments)])
     label_of = seen.toxic.to_numpy()
     m.a, m.b = _logistic(x, label_of, np.where(label_of == 1, 1 / rate[1], 1 / rate[0]))
     return m
@@ -245,13 +254,15 @@ def _scorer(shared):
 
         def of(text):
             s = _scored_words(text, m.scores, memo)
-            total, kept = evidence(len(s), maximal_segments(s), m)
+            segments = maximal_segments(s)
+            total, kept = evidence(len(s), segments, m)
             spans = []
             if kept:
                 at = [x.span() for x in WORDS.finditer(text.lower())]
                 spans = [{"start": at[i][0], "end": at[j - 1][1], "surprise": v} for i, j, v in kept]
             p = 1 / (1 + math.exp(-max(-30.0, min(30.0, m.a + m.b * math.log1p(total))))) if math.isfinite(m.a) else 0.0
-            p = p if total else min(p, NO_EVIDENCE)
+            if not total:  # lower the more such segments clean texts of that length have by chance
+                p = min(p, NO_EVIDENCE) * doubt(len(s), segments, m)
             return p, int(p >= 0.5), spans
 
         return of

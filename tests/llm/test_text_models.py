@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -54,6 +55,60 @@ def test_language_awkward_rows(spark):
     assert {r.lang_pred for r in language.identify(d, language.learn_from(empty), ["doc_id"]).collect()} == {"und"}
 
 
+def test_language_sets_against_all_sets():
+    """The chosen set's penalised likelihood is that of the best of all sets, its shares the most likely ones."""
+    import itertools
+
+    rng = np.random.default_rng(1)
+    hit = 0
+    for _ in range(12):
+        prob = rng.dirichlet(np.full(300, 0.05), size=4).T + 1e-6
+        prob /= prob.sum(axis=0)
+        true = rng.choice(4, rng.integers(1, 4), replace=False)
+        counts = rng.multinomial(900, prob[:, true] @ rng.dirichlet(np.full(len(true), 5.0))).astype(float)
+
+        def likelihood(langs, counts=counts, prob=prob):
+            w = np.full(len(langs), 1 / len(langs))
+            for _ in range(500):
+                m = prob[:, langs] @ w
+                w = w * (prob[:, langs].T @ (counts / m)) / counts.sum()
+            return counts @ np.log(prob[:, langs] @ w), w
+
+        def worth(langs):
+            return 2 * likelihood(langs)[0] / 3 - (len(langs) - 1) * np.log(300)
+
+        best = max((list(c) for n in range(1, 5) for c in itertools.combinations(range(4), n)), key=worth)
+        chosen, share = language.proportions(counts, prob)
+        assert worth(chosen) >= worth(best) - 3 and abs(share.sum() - 1) < 1e-9
+        assert np.abs(share - likelihood(chosen)[1]).max() < 0.02
+        hit += set(chosen) == set(best)
+    assert hit >= 11
+
+
+def test_learning_from_a_billionth_of_the_rows(spark, monkeypatch):
+    """The sample's bound counts hashes of 62 bits, so a sample of any share learns; rows without an id and copies are sampled like others."""
+    from opinion_spark.llm import common
+
+    assert common.sample_cut(1000, 10 ** 12) == (1000 << 62) // 10 ** 12 > 0 and common.sample_cut(5, 5) == 1 << 62
+    words = {"en": "the and of house water", "fr": "le et de maison eau"}
+    data = [(None if i % 4 == 0 else i, f"{words[x]} {chr(97 + i % 26)}{chr(97 + i // 26)}", x, "s", 1) for i in range(400) for x in words]
+    data += [(None, "the and of house water", "en", "s", 1)] * 300
+    d = spark.createDataFrame(data, H.DOC_SCHEMA)
+    seen = []
+    whole = common.sample_cut
+    monkeypatch.setattr(language, "sample_cut", lambda sample, n: seen.append(n) or whole(sample, n * 10 ** 9) * 10 ** 8)
+    langs, prob = language.learn(d, sample=100)
+    assert langs == ["en", "fr"] and sorted(seen) == [400, 700]
+    got = {r.text: r.lang_pred for r in language.identify(d, (langs, prob), ["text"]).collect()}
+    assert {got["the and of house water"], got["le et de maison eau ab"]} == {"en", "fr"}
+
+
+def test_kept_columns_may_have_any_name(spark):
+    d = spark.createDataFrame([(1, "the house", "kept")], "doc_id long, text string, _text string")
+    got = language.identify(d, (["en"], np.full((language.BUCKETS, 1), 1.0 / language.BUCKETS)), ["doc_id", "_text"]).first()
+    assert (got.doc_id, got._text, got.lang_pred) == (1, "kept", "en")
+
+
 def test_language_is_learned_outside_the_fold(spark):
     d = spark.createDataFrame([(i, "alpha beta", "xx", "s", 1) for i in range(50)], H.DOC_SCHEMA)
     held = d.where(language.held_out())
@@ -108,6 +163,19 @@ def test_bpe_equals_the_library(spark):
     assert bpe.encode_decode(d.limit(0), bpe.vocabulary()).count() == 0
 
 
+def test_scores_under_one_half_fall_with_the_best_segment():
+    m = toxicity.Model({"bad": 1.2, "odd": 0.4}, lam=1.0, log_k=0.0, a=-1.0, b=2.0)
+
+    class Shared:
+        value = vars(m)
+
+    of = toxicity._scorer(Shared)()
+    some = ["bad bad bad bad bad bad", "bad " + "fine " * 30, "odd " + "fine " * 30, "fine " * 30, "", None]
+    got = [of(t)[0] for t in some]
+    assert got[0] >= 0.5 > got[1] > got[2] > got[3] == got[4] == got[5] == 0.0
+    assert [of(t)[1] for t in some] == [1, 0, 0, 0, 0, 0]
+
+
 def test_maximal_segments_against_the_definition():
     def brute(x):
         """The best segment, then left and right of it (Ruzzo and Tompa's recursive definition)."""
