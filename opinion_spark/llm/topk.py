@@ -13,8 +13,8 @@ matrix product. Integer arithmetic is exact: float products are used only
 where every sum stays below 2**53, else 64-bit integers or, beyond them, Python's.
 
 Defined results: vectors that are null, or hold a null or non-finite component,
-take no part; nor do rows without an id, or whose length differs from the
-others of the table's first length; rows equal in id and vector count once; a
+take no part; nor do rows without an id; vectors meet only vectors of their own length;
+rows equal in id and vector count once; a
 row never is a candidate of a query with its own id; with fewer candidates than
 k all are returned; an empty table gives an empty table. Scores beyond 64 bits
 raise an error.
@@ -124,21 +124,19 @@ def quantised(vectors: DataFrame, scale: int = 64, key: str = "vec_id", vector:
     x = F.col(vector)
     ok = F.coalesce(F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e.cast("double")) & (F.abs(e.cast("double")) != F.lit(float("inf")))), F.lit(False))
     v = F.transform(x, lambda e: F.floor(e.cast("double") * F.lit(float(scale))).cast("long"))
-    return vectors.where(ok & F.col(key).isNotNull() & (F.size(x) > 0)).select(F.col(key).cast("long").alias("vec_id"), v.alias("v"))
+    return vectors.where(ok & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("vec_id"), v.alias("v"))
 
 
 def top_k(rows: DataFrame, is_query, k: int = 20, candidates: int = CANDIDATES, queries: int = QUERIES) -> DataFrame:
     """``query_id, rank, vec_id, score`` from ``vec_id, v``; ``is_query``: a condition on vec_id."""
-    base = written(rows.dropDuplicates(["vec_id", "v"]), "topk-vectors")
-    width = base.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    base = base.where(F.size("v") == (width["d"] if width else 0))
+    base = written(rows.dropDuplicates(["vec_id", "v"]).withColumn("d", F.size("v")), "topk-vectors")
     asked = base.where(is_query)
     n, m = base.count(), asked.count()
     n_cand, n_query = max(1, math.ceil(n / candidates)), max(1, math.ceil(m / queries))
     block = lambda parts, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(parts)).cast("int")
     c = (base.withColumn("cb", block(n_cand, 1)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1)))))
     q = (asked.withColumn("qb", block(n_query, 2)).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_cand - 1)))))
-    found = c.groupBy("cb", "qb").cogroup(q.groupBy("cb", "qb")).applyInPandas(_search(k), "query_id long, vec_id long, score long")
+    found = c.groupBy("d", "cb", "qb").cogroup(q.groupBy("d", "cb", "qb")).applyInPandas(_search(k), "query_id long, vec_id long, score long")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -152,11 +150,12 @@ def query(spark, sf_dir):
 
 SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-e AS (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM v),
+  SELECT row_number() OVER () AS r, * FROM (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+e AS (SELECT r, vec_id, len(v) AS n, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM v),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
-      FROM e q JOIN e c ON q.d = c.d AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 GROUP BY 1, 2),
+      FROM e q JOIN e c ON q.d = c.d AND q.n = c.n AND q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0 GROUP BY q.r, c.r, 1, 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
