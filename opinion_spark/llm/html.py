@@ -8,8 +8,10 @@ forms, scripts, styles and reader comments are never read.
 
 Names (class, id, role) mark containers only, never headings, paragraphs or
 inline elements. Outside what is taken a marked container is not read; inside, it goes
-only if it is short or mostly links, as adverts, notices and share bars are. An
-article's own header keeps its headings, and its lists of links (references) stay.
+if it is short or mostly links, as share bars and the like are, and whatever its length if it is named as an
+advert, a notice, a newsletter box or reader comments; paragraphs and list items go only with such a word as
+a whole class. The header of an article, or of a container named like one, keeps its headings, and an
+article's lists of links (references) stay. A form goes unless it is wrapped around an article or long paragraphs.
 
 Parsing is tolerant: unclosed and stray tags, broken attributes and a page that
 ends inside a tag or a reference are all read to the end. Inline elements make
@@ -31,14 +33,16 @@ from opinion_spark.llm.common import map_text, table
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+[^>]*+)(?:>|\Z)""", re.S)
+    # a quote opens a value after = only; anywhere else, and where it is never closed, the tag ends at the next >
+    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))*+)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]+))?""")
 
 # HTML element names by their part in a page.
 RAW = {"script", "style", "template", "textarea", "title", "iframe", "noembed", "noframes"}
 SKIPPED = {"svg", "select", "canvas", "video", "audio"}  # elements whose markup is read, their text not
 VOID = {"area", "base", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-DROPPED = {"head", "nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "fieldset", "label"}
+DROPPED = {"head", "nav", "footer", "aside", "button", "dialog", "menu", "label"}
+FORMS = {"form", "fieldset"}  # not read unless they are wrapped around the text
 BLOCKS = {"html", "body", "head", "address", "article", "aside", "blockquote", "button", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
           "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "label", "legend", "li", "main", "menu", "nav",
           "ol", "option", "p", "pre", "search", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
@@ -51,10 +55,13 @@ NOT_MAIN = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "a
             "cookie", "cookies", "consent", "gdpr", "notice", "alert", "popup", "modal", "overlay", "dialog", "newsletter", "subscribe", "subscription", "signup",
             "login", "search", "share", "sharing", "social", "comment", "comments", "commentlist", "reply", "replies", "respond", "disqus", "discussion", "related",
             "recommended", "recommendations", "widget", "toolbar", "pagination", "pager", "copyright", "hidden"}
-COMMENTS = {"comment", "comments", "commentlist", "replies", "respond", "disqus"}  # of these also long containers
+# Of these also long containers, and paragraphs, list items and the like with such a class.
+NEVER = {"comment", "comments", "commentlist", "replies", "respond", "disqus", "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor",
+         "sponsored", "promo", "promotion", "cookie", "cookies", "consent", "gdpr", "notice", "popup", "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login"}
+OF_SITE = {"site", "page", "global", "top", "masthead", "banner", "nav", "navbar", "menu"}  # of a header that is not an article's
 CONTAINERS = {"div", "section", "ul", "ol", "dl", "table", "center", "search"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-SHORT = 100  # characters outside links
+SHORT, WRAPPED = 100, 250  # characters outside links: of a marked container that goes, and in paragraphs of a form that stays
 MAIN = {"article", "main", "content", "post", "entry", "story", "body", "text"}
 
 
@@ -90,6 +97,24 @@ class Page:
             else:
                 self._start(name, m[3])
         self._flush()
+        self._drop_forms()
+
+    def _drop_forms(self) -> None:
+        """Blocks inside forms go, but for forms around an article or around WRAPPED characters of paragraphs."""
+        forms = [k for k, tag in enumerate(self.tag) if tag in FORMS]
+        if not forms:
+            return
+        plain, whole = [0] * len(self.tag), [tag in ("article", "main") for tag in self.tag]
+        for node, text, linked in self.blocks:
+            if self.tag[node] == "p" and not self.marked[node]:
+                plain[node] += len(text) - linked
+        for k in range(len(self.tag) - 1, 0, -1):
+            plain[self.parent[k]] += plain[k]
+            whole[self.parent[k]] |= whole[k]
+        gone = [False] * len(self.tag)
+        for k in range(1, len(self.tag)):
+            gone[k] = gone[self.parent[k]] or self.tag[k] in FORMS and not whole[k] and plain[k] < WRAPPED
+        self.blocks = [b for b in self.blocks if not gone[b[0]]]
 
     def _text(self, raw: str) -> None:
         if not self.dropped[self._open[-1]]:
@@ -111,18 +136,20 @@ class Page:
             elif name == "br":
                 self._text(" ")
             return
-        words, ids, hidden = set(), set(), False
+        words, ids, classes, hidden = set(), set(), set(), False
         if attributes.strip(" /\t\n\r\f"):
             for m in ATTRIBUTE.finditer(attributes):
                 k, v = m[1].lower(), (m[2] or "").strip("\"'").lower()
                 if k in ("class", "id", "role"):
                     (ids if k == "id" else words).update(re.split(r"[^a-z]+", v))
+                    classes.update(v.split() if k == "class" else ())
                 hidden |= k == "hidden" or k == "aria-hidden" and v == "true" or k == "style" and bool(re.search(r"display\s*:\s*none", v))
         if name == "a":
             self._link += 1
+        never = (words if name == "section" else words | ids) & NEVER if name in CONTAINERS else classes & NEVER if name in TEXT_BLOCKS - HEADINGS else None
         loose, words = name == "section" and not words & NOT_MAIN, words | ids
         named = self._by_name and name in CONTAINERS and bool(words & NOT_MAIN)
-        dropped = hidden or name in SKIPPED or named and bool(words & COMMENTS)
+        dropped = hidden or name in SKIPPED or self._by_name and bool(never)
         if name in SKIPPED and attributes.rstrip().endswith("/") or name not in BLOCKS and not dropped:
             return
         if name in BLOCKS:
@@ -131,8 +158,9 @@ class Page:
                 self._pop_to({"p"})
             self._pop_to(CLOSES.get(name, ()))
         self.parent.append(self._open[-1])
-        own = name == "header" and self.article[self._open[-1]]
-        self.dropped.append(self.dropped[self._open[-1]] or name in DROPPED and not own or dropped)
+        # an article's header, or that of a container named like one, keeps its headings
+        own = name == "header" and (self.article[self._open[-1]] or self.bonus[self._open[-1]] > 0 and not words & OF_SITE)
+        self.dropped.append(self.dropped[self._open[-1]] or name in DROPPED or name == "header" and not own or dropped)
         self.marked.append(named or own)
         self.loose.append(loose)
         self.article.append(self.article[self._open[-1]] or name in ("article", "main"))
@@ -224,7 +252,7 @@ def _kept(page: Page) -> list[str]:
     for k in range(1, len(inside)):
         parent, tag = page.parent[k], page.tag[k]
         body = all_size[k] - (titles[k] if tag == "header" else 0)
-        weak = page.marked[k] and (bare and not page.loose[k] or body - all_linked[k] < SHORT or 2 * all_linked[k] > body)
+        weak = page.marked[k] and (not page.loose[k] and (bare or body - all_linked[k] < SHORT) or 2 * all_linked[k] > body)
         if weak and tag == "header":  # its headings stay
             cut[k], weak = True, False
         elif tag in HEADINGS:

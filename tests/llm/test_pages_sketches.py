@@ -59,6 +59,35 @@ def test_unclosed_elements_do_not_swallow_the_page():
         assert html.main_text(page) == "first, of all, a paragraph\n\nsecond, and last, paragraph", name
 
 
+LONG_P = "<p>" + "word, and more of it. " * 20 + "</p>"
+LONG = " ".join(["word, and more of it."] * 20)
+
+
+def test_quotes_open_values_only():
+    page = '<article><p>Start <a href="x"">the linked words</a> and "quoted text" here, it goes on.</p><p data-x=Bob\'s>It\'s fine, all of it.</p><p title = \'a > b\' x="c > d">End</p><p a="b>never closed</p></article>'
+    assert html.main_text(page) == 'Start the linked words and "quoted text" here, it goes on.\n\nIt\'s fine, all of it.\n\nEnd\n\nnever closed'
+
+
+def test_forms_around_the_page_stay():
+    wrapped = f'<body><form action=x><div class="nav"><a href=y>menu</a></div><div class="post"><h1>Title</h1>{LONG_P}</div><input name=q><label>Search</label><button>go</button></form></body>'
+    assert html.main_text(wrapped) == f"Title\n\n{LONG}"
+    inside = f'<article>{LONG_P}<form><p>Sign up for our letter.</p><input><fieldset><legend>Your name</legend></fieldset></form></article>'
+    assert html.main_text(inside) == LONG
+
+
+def test_headers_keep_the_title():
+    assert html.main_text(f'<div class="post"><header><h1>Title</h1><p>by someone, in May</p></header>{LONG_P}</div>') == f"Title\n\n{LONG}"
+    site = f'<div class="content"><header class="site-header"><h1>The Daily</h1></header>{LONG_P}</div>'
+    assert html.main_text(site) == LONG
+
+
+def test_adverts_notices_and_comments_go_whatever_their_length():
+    extra = "".join(f'<div class="{c}">{"buy it now, " * 30}</div>' for c in ("advert", "ad", "newsletter-box", "cookie notice", "comments"))
+    extra += "".join(f'<p class="{c}">{"buy it now, " * 30}</p>' for c in ("advert", "notice", "comment", "big promo"))
+    stays = '<h2 id="search-algorithms">Search</h2><section id="discussion"><p>Talk</p></section><p id="share-prices">Prices</p><p class="ad-hoc">Rules</p><p>a <span class="notice">b</span></p>'
+    assert html.main_text(f"<article>{LONG_P}{extra}{stays}</article>") == "\n\n".join([LONG, "Search", "Talk", "Prices", "Rules", "a b"])
+
+
 def test_broken_pages_end():
     for page in ("<p>a", "<p", "<!-- x", "<script>x", "<p title='a>b</p>", "<" * 3000, "</p></div>text", "<a href=" + "'\"" * 2000):
         html.main_text(page)
@@ -135,18 +164,18 @@ def test_fingerprints_against_plain_python(spark):
     for n in (1, 3, 50):
         spark.conf.set("spark.sql.shuffle.partitions", str(n))
         got = {r.doc_id: r for r in fingerprint.fingerprints(H.docs(spark, data)).collect()}
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-    texts = [r[1] or "" for r in data]
-    assert len(got) == len(data)
-    for k, row in enumerate(data):
-        nxt = texts[(k + 1) % len(data)]
-        r = got[row[0]]
-        assert (r.n_chars, r.edited_sha256) == (len(texts[k]), H.sha(H.edited(texts[k], nxt)))
-        a, b = H.shingles(texts[k], False), H.shingles(nxt, False)
-        true = len(a & b) / max(1, min(len(a), len(b)))
-        assert 0 <= r.near_edited <= 1 and (abs(r.near_next - true) < 0.25 or not a or not b)
-    assert got[0].fingerprint == got[200].fingerprint == got[201].fingerprint != got[3].fingerprint
-    assert got[200].near_next == 1.0 and got[202].fingerprint == ""
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        texts = [r[1] or "" for r in data]
+        assert len(got) == len(data)
+        for k, row in enumerate(data):
+            nxt = texts[(k + 1) % len(data)]
+            r = got[row[0]]
+            assert (r.n_chars, r.edited_sha256) == (len(texts[k]), H.sha(H.edited(texts[k], nxt)))
+            a, b = H.shingles(texts[k], False), H.shingles(nxt, False)
+            true = len(a & b) / max(1, min(len(a), len(b)))
+            assert 0 <= r.near_edited <= 1 and (abs(r.near_next - true) < 0.25 or not a or not b)
+        assert got[0].fingerprint == got[200].fingerprint == got[201].fingerprint != got[3].fingerprint
+        assert got[200].near_next == 1.0 and got[202].fingerprint == ""
 
 
 def test_fingerprint_awkward_rows_and_merge(spark):
