@@ -24,6 +24,19 @@ tremendous tremendously uber unbelievably unusually utter utterly very""".split(
 DECREASING = """almost barely hardly kinda kindof less little marginal marginally occasional occasionally partly scarce
 scarcely slight slightly somewhat sorta sortof""".split()
 
+# --- fixed values: Spark ML's English stop words and the domain words, spelt here once more ---
+STOP_WORDS = """i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it
+its itself they them their theirs themselves what which who whom this that these those am is are was were be been
+being have has had having do does did doing a an the and but if or because as until while of at by for with about
+against between into through during before after above below to from up down in out on off over under again further
+then once here there when where why how all any both each few more most other some such no nor not only own same so
+than too very s t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd
+they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't
+hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's
+ought that's there's what's when's where's who's why's would
+trump biden donald joe potus 2020 trumps realdonaldtrump harris save yep yes nope no fa oh nytimes wow tells omg wait
+look abcabcnews cnn fox foxnews msnbc nbc nbcnews cbs cbsnews news joebiden did won wins 19 kamala wouldn rawstory""".split()
+
 NS = r"[^ \t\n\r\f\x0b]"
 WS = r"[ \t\n\r\f\x0b]"
 
@@ -463,9 +476,8 @@ SELECT doc_id, length(text) AS n_chars, md5(text) AS text_md5 FROM done""",
 
 def topics_sql() -> dict[str, str]:
     from opinion_spark.plans.queries import MAX_DF, MAX_FEATURES, MIN_DF
-    from opinion_spark.sources.dims import topic_stop_words
 
-    stops = ", ".join(f"({q(w)})" for w in topic_stop_words())
+    stops = ", ".join(f"({q(w)})" for w in sorted(set(STOP_WORDS)))
     tok = r"[\p{L}\p{N}_]{2,}"
     base = f"""stops AS (SELECT * FROM (VALUES {stops}) AS s(term)),
 dtok AS MATERIALIZED (SELECT doc_id, regexp_extract_all(lower(text), {q(tok)}) AS toks FROM documents),
@@ -581,7 +593,7 @@ def sig_ctes(k: int, q: int, char_xor: bool = False, name: str = "sig", texts: s
 
 
 def pairs_ctes(bands: int, rows: int, lo: float, hi: float | None, index_block: int | None = None) -> str:
-    blk = f"[CAST(floor(doc_id / {index_block}) AS INTEGER)] || " if index_block else ""
+    blk = f"[CAST(floor((dense_rank() OVER (ORDER BY doc_id) - 1) / {index_block}) AS INTEGER)] || " if index_block else ""
     return f"""bands AS (SELECT doc_id, b.band, {blk}sig[b.band * {rows} + 1 : b.band * {rows} + {rows}] AS bkey
   FROM sig, range(0, {bands}) AS b(band)),
 cand AS (SELECT DISTINCT x.doc_id AS src, y.doc_id AS dst FROM bands x JOIN bands y
@@ -606,7 +618,7 @@ FROM (SELECT doc_id, list_distinct(list_transform(generate_series(1, length(text
     out["l4_bands"] = W(S, "SELECT doc_id, b.band, sig[b.band * 2 + 1 : b.band * 2 + 2] AS bkey FROM sig, range(0, 28) AS b(band)")
     P = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"])
     out["l7_similar_pairs"] = W(P, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
-    PB = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"], index_block=20000000)
+    PB = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], t["hi"], index_block=60)
     PA = S + ",\n" + pairs_ctes(t["bands"], t["rows"], t["lo"], None)
     out["l11_pairs_above"] = W(PA, "SELECT src, dst, round(similarity, 9) AS similarity FROM edges")
     out["l13_louvain_quality"] = """SELECT count(*) AS n_rows, count(DISTINCT conv_id * 1000000 + turn) AS n_vertices,

@@ -372,7 +372,7 @@ def v12_drill_down(spark, sf):
 
 # --- fixed values: the topic run's LSH parameters and the own-LSH run's ---
 TOPIC_LSH = dict(k=120, q=4, bands=28, rows=2, lo=0.2, hi=0.4)
-INDEX_BLOCK = 20 * B.CONVERSATION_IDS
+INDEX_BLOCK = 60
 OWN_LSH = dict(k=120, q=5, bands=12, rows=10, lo=0.05, hi=0.5)
 
 
@@ -415,7 +415,7 @@ def l7_similar_pairs(spark, sf):
 
 
 def l6_blocked_pairs(spark, sf):
-    """L6 with a fresh index per 20 conversations (quirk Q7 parity)."""
+    """L6 with a fresh index per 60 posts in the order of ids (quirk Q7 parity)."""
     t = TOPIC_LSH
     out = similarity.similar_pairs(_sigs(spark, sf), t["bands"], t["rows"], t["lo"], t["hi"],
                                    index_block=INDEX_BLOCK)
@@ -616,7 +616,7 @@ def b_topic_clusters(spark, sf):
 
     t = TOPIC_LSH
     mem, top, _ = tplan.topic_clusters(B.short_docs(spark, sf), _stops(), threshold=t["lo"], num_perm=t["k"], q=t["q"],
-                                       bands=t["bands"], rows=t["rows"], hi=t["hi"], **TOPIC_RUN)
+                                       bands=t["bands"], rows=t["rows"], hi=t["hi"], costs=_word_costs(spark, sf), **TOPIC_RUN)
     sizes = mem.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     terms = top.groupBy("cluster").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))),
                                                                 lambda x: x["term"]), ", ").alias("top_terms"))

@@ -5,24 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinion_spark.operators import graph, similarity, topics
+from opinion_spark.operators import cleaning, graph, hashtags, similarity, topics
+from opinion_spark.tables import Scratch
 
 
 def topic_clusters(docs: DataFrame, stop_words: list[str], threshold: float = 0.05, num_perm: int = 120,
                    q: int = 4, min_cluster_size: int = 5, n_terms: int = 5, n_clusters: int = 10,
                    bands: int | None = None, rows: int | None = None, hi: float = 0.40,
-                   key: str = "doc_id", text: str = "text"):
+                   key: str = "doc_id", text: str = "text", costs: DataFrame | None = None):
     """Returns ``(membership, top, merge_log)``.
 
     ``membership`` = ``(doc_id, cluster)`` of the kept clusters after merging;
     ``top`` = ``(cluster, rank, term, score)``. Clusters that were never merged
     keep the terms of the joint fit; merged ones are refitted on their own
-    documents (quirk Q15).
+    documents (quirk Q15). With ``costs`` (C16) URLs are stripped and hashtags become their words before
+    anything is signed or counted (C13, C14).
     """
     spark = docs.sparkSession
     if bands is None or rows is None:
         bands, rows = similarity.optimal_bands(threshold, num_perm)
     d = docs.select(key, text)
+    if costs is not None:
+        d = hashtags.replace_hashtags(d.withColumn(text, cleaning.strip_urls(F.col(text))), costs, text)
+        d = Scratch(spark, "topics").written(d, "posts")
     sigs = similarity.minhash(d, num_perm, q, text=text, key=key)
     edges = similarity.similar_pairs(sigs, bands, rows, threshold, hi, key=key)
     part = graph.louvain(d.select(F.col(key).alias("id")), edges)
@@ -39,9 +44,8 @@ def topic_clusters(docs: DataFrame, stop_words: list[str], threshold: float = 0.
     log: list = []
     if n_found > n_clusters:
         membership, log = topics.merge_clusters(spark, membership, tf, n_clusters, key)
-        merged = {c1 for _, c1, _, _ in log}
-        gone = {c2 for _, _, c2, _ in log}
-        mem_merged = membership.where(F.col("cluster").isin(list(merged)))
-        refit = topics.top_terms_per_group(d, mem_merged, n_terms, stop_words, key=key)
-        top = top.where(~F.col("cluster").isin(list(merged | gone))).unionByName(refit.select(top.columns))
+        kind = dict(membership.dtypes)["cluster"]
+        ids = lambda col: spark.createDataFrame(sorted({(x[k],) for x in log for k in col}), f"cluster {kind}")
+        refit = topics.top_terms_per_group(d, membership.join(F.broadcast(ids([1])), "cluster", "left_semi").select(membership.columns), n_terms, stop_words, key=key)
+        top = top.join(F.broadcast(ids([1, 2])), "cluster", "left_anti").select(top.columns).unionByName(refit.select(top.columns))
     return membership, top, log

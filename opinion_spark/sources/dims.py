@@ -87,20 +87,7 @@ ACTIVITY_WEIGHTS = (0.31, 0.69)
 
 
 def english_stop_words() -> list[str]:
-    """The English stop-word list shipped with Spark ML (a public parameter).
-
-    Read from the Spark ML jar's resource so no JVM is needed; falls back to
-    ``StopWordsRemover``. Callers that need another list pass it explicitly.
-    """
-    import glob
-    import os
-    import zipfile
-
-    import pyspark
-
-    for jar in glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")):
-        with zipfile.ZipFile(jar) as z:
-            return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
+    """The English stop-word list of Spark ML (a public parameter; needs a running session)."""
     from pyspark.ml.feature import StopWordsRemover
 
     return list(StopWordsRemover.loadDefaultStopWords("english"))

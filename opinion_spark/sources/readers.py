@@ -28,6 +28,42 @@ def read_csv(spark: SparkSession, path: str, schema: str, multiline: bool = Fals
     return reader.csv(path)
 
 
+def read_quoted_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A CSV whose quoted fields may hold line breaks, read in parallel: ``schema`` and ``_row``, the place in the input.
+
+    Lines are read split by split. A line break ends a record if the quote characters before it, from the file's start, are
+    even in number. Each split's count is summed in one pass, a window over the small table of splits gives every
+    split the parity it begins with, and lines that belong to one record, also across splits, are glued before they are
+    parsed. Fields with quotes must be quoted (as CSV writers do); for others use ``read_csv(multiline=True)``, one task a file.
+    The first record of each file is its header, and empty lines are no records, there too.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        "value", F.input_file_name().alias("file"), F.input_file_block_start().alias("start"), F.monotonically_increasing_id().alias("id"),
+        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"))
+    splits = lines.groupBy("file", "start").agg(F.sum("quotes").alias("quotes"))  # a row for each split
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("odd", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2).select("file", "start", "odd")
+    upto = Window.partitionBy("file", "start").orderBy("id")
+    lines = lines.join(splits, ["file", "start"])
+    before = F.col("odd") + F.sum("quotes").over(upto) - F.col("quotes")
+    lines = lines.withColumn("first", before % 2 == 0).withColumn("last", (before + F.col("quotes")) % 2 == 0)
+    # the record of a line is named by its first line; a split that begins inside a record looks for it in earlier ones
+    lines = lines.withColumn("head", F.max(F.when(F.col("first"), F.struct("start", "id"))).over(upto))
+    heads = lines.groupBy("file", "start").agg(F.max("head").alias("own"))
+    heads = heads.withColumn("inherited", F.max("own").over(earlier)).select("file", "start", "inherited")
+    one = lines.where("first and last").select("file", "head", "value")
+    more = lines.where("not (first and last)").join(heads, ["file", "start"]).withColumn("head", F.coalesce("head", "inherited"))
+    piece = F.array_sort(F.collect_list(F.struct("start", "id", "value")))
+    glued = more.groupBy("file", "head").agg(F.array_join(F.transform(piece, lambda x: x["value"]), "\n").alias("value"))
+    records = one.unionByName(glued)
+    header = records.where("head.start = 0").groupBy("file").agg(F.min("head").alias("header"))  # a row for each file
+    records = records.join(header, "file", "left").where("header is null or head <> header").where(F.trim("value") != "")
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    parsed = records.select(F.struct("file", F.col("head.start").alias("start"), F.col("head.id").alias("id")).alias("_row"),
+                            F.from_csv("value", schema, options).alias("r"))
+    return parsed.select("r.*", "_row")
+
+
 def read_tweets(spark: SparkSession, sources: dict[str, str], schema: str = TWEET_SCHEMA,
                 source_col: str = "source") -> DataFrame:
     """S1 + C1 + C2: one CSV per source, tagged, unioned with an input ordinal.
@@ -38,8 +74,8 @@ def read_tweets(spark: SparkSession, sources: dict[str, str], schema: str = TWEE
     """
     frames = []
     for i, (tag, path) in enumerate(sources.items()):
-        df = read_csv(spark, path, schema, multiline=True).withColumn(source_col, F.lit(tag))
-        frames.append(with_ordinal(df, i))
+        df = read_quoted_csv(spark, path, schema).withColumn(source_col, F.lit(tag))
+        frames.append(with_ordinal(df, i, F.col("_row")).drop("_row"))
     return union_sources(frames)
 
 
