@@ -1,13 +1,15 @@
 """Near-duplicate classes by HyperMinHash: links of Jaccard similarity ``percent`` or more (op5: 85 %).
 
 1. A document's set of 5-word shingles gives a sketch in one pass: the hash space
-   is cut into ``REGISTERS`` buckets, and each keeps the leading-zero count and
-   ``MANTISSA`` further bits of its smallest hash, 16 bits in all. Documents with equal
-   sets (a 128-bit digest of the set) become one node.
+   is cut into buckets, and each keeps the leading-zero count and ``MANTISSA`` further
+   bits of its smallest hash, 16 bits in all, ``REGISTERS`` in all. So that hardly a register is
+   empty (empty ones agree in texts that share a single line), a small set is hashed 2, 4, ... 64 times
+   into so many fewer buckets, ``FILL`` shingles or more each; a set that may link with one of
+   another such level has both levels' registers. Documents with equal sets (a 128-bit digest of
+   the set) become one node.
 2. Neighbouring registers form a band, as many (8 at most) as let a pair at the threshold
    miss all bands with a probability of ``MISS`` or less (``band_rows``: 8 in 40 bands at 85 %,
-   6 in 54 at 80 %); equal bands make a candidate group. A difference of d shingles
-   spoils at most d bands (one more where the last two overlap), so short texts hardly ever miss.
+   6 in 54 at 80 %); equal bands make a candidate group.
 3. A group is compared with one leader, not pair by pair: what the leader links
    is one component already. A second round with more central leaders follows.
 4. Documents of groups that still hold several components meet exactly: texts
@@ -23,7 +25,8 @@
 6. Connected components by repeated smallest labels with pointer jumping.
 
 Nothing is capped: a group of copies costs its size for each leader. Lineage is
-cut by tables in the shared folder.
+cut by tables in the shared folder, each deleted after its last reader. Groups that may hold more than a
+10000th of all rows are joined by broadcast (there are fewer than 10000 of them).
 
 Defined results: null, empty or wordless texts have an empty set and are linked
 with nothing; a null doc_id is linked with nothing and has no component, and is
@@ -40,11 +43,12 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinion_spark.llm.common import table, written
+from opinion_spark.llm.common import Scratch, attach, table
 
 REGISTERS, MANTISSA = 320, 10
 MISS, ERRORS = 3e-6, 6.0
 EMPTY = 0xFFFF
+FILL, LEVELS = 4, 6
 
 
 def band_rows(percent: int) -> int:
@@ -90,24 +94,44 @@ def mixed(x):
     return x ^ (x >> np.uint64(31))
 
 
-def registers(hashes):
-    """HyperMinHash registers of a sorted hash set: zeros << MANTISSA | mantissa, or EMPTY."""
+def level_of(n: int) -> int:
+    """How often a set of n shingles is hashed anew: 2**level times into REGISTERS >> level buckets, ``FILL`` shingles or more each."""
+    return min(LEVELS, max(0, (-(-FILL * REGISTERS // max(n, 1)) - 1).bit_length()))
+
+
+def levels(n: int, percent: int) -> list[int]:
+    """The levels of a set of n shingles: its own, and that of the largest set that can link with it."""
+    return sorted({level_of(n), level_of(100 * n // percent)}, reverse=True)
+
+
+def registers(hashes, level: int = 0):
+    """HyperMinHash registers of a sorted hash set: zeros << MANTISSA | mantissa, or EMPTY; 2**level hashes' buckets in turn."""
     import numpy as np
 
-    edges = np.array([-(-(k << 64) // REGISTERS) for k in range(REGISTERS)], "uint64")
-    first = np.searchsorted(hashes, edges)
-    last = np.append(first[1:], len(hashes))
+    buckets, times = REGISTERS >> level, 1 << level
     out = np.full(REGISTERS, EMPTY, "uint16")
-    full = first < last
+    if not len(hashes):
+        return out
     with np.errstate(over="ignore"):
-        rest = hashes[first[full]] * np.uint64(REGISTERS)  # place inside the bucket, as a 64-bit fraction
+        x = hashes[None, :]
+        if times > 1:  # the first hash is the set's own
+            seeds = np.arange(times, dtype="uint64") * np.uint64(0xD1B54A32D192ED03)
+            x = np.where(seeds[:, None] == 0, x, mixed(x ^ mixed(seeds)[:, None]))
+            x.sort(axis=1)
+        x = x.ravel()
+        # bucket: whole part of x * buckets / 2**64; place inside it: the fraction, of 64 bits
+        low, half = x & np.uint64(0xFFFFFFFF), np.uint64(32)
+        bucket = ((x >> half) * np.uint64(buckets) + ((low * np.uint64(buckets)) >> half)) >> half
+        at = bucket.astype("int64") + np.repeat(np.arange(times), len(hashes)) * buckets
+        first = np.r_[True, at[1:] != at[:-1]]
+        at, rest = at[first], x[first] * np.uint64(buckets)
     zeros = np.zeros(len(rest), "uint64")
     for step in (32, 16, 8, 4, 2, 1):
         low = rest < np.uint64(1 << (64 - step))
         rest = np.where(low, rest << np.uint64(step), rest)
         zeros += low.astype("uint64") * np.uint64(step)
     mantissa = (rest << np.uint64(1)) >> np.uint64(64 - MANTISSA)
-    out[full] = np.minimum((zeros << np.uint64(MANTISSA)) | mantissa, np.uint64(EMPTY - 1))
+    out[at] = np.minimum((zeros << np.uint64(MANTISSA)) | mantissa, np.uint64(EMPTY - 1))
     return out
 
 
@@ -146,28 +170,31 @@ def estimate(a, b) -> float:
 
 def _sketch(percent: int):
     rows_each = band_rows(percent)
-    starts = [min(k, REGISTERS - rows_each) for k in range(0, REGISTERS, rows_each)]
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pandas as pd
-        import xxhash
 
+        starts = np.array([min(k, REGISTERS - rows_each) for k in range(0, REGISTERS, rows_each)])
+        places = starts[:, None] + np.arange(rows_each)
+        odd = mixed(np.arange(1, rows_each + 1, dtype="uint64")) | np.uint64(1)
         signed = lambda x: int(np.uint64(x).astype("int64"))
         for b in batches:
             rows = []
             for key, text in zip(b.key, b.text):
                 h = shingle_set(text)
-                regs = registers(h)
-                bands = []
-                for k in starts:
-                    part = regs[k:k + rows_each]
-                    if (part != EMPTY).any():
-                        bands.append(signed(xxhash.xxh3_64_intdigest(part.tobytes(), seed=k + 1)))
+                kept, bands = [], []
+                for level in levels(len(h), percent):
+                    regs = registers(h, level)
+                    kept.append(regs.astype("<u2").tobytes())
+                    parts = regs[places]
+                    with np.errstate(over="ignore"):
+                        hashed = mixed((parts.astype("uint64") * odd).sum(axis=1, dtype="uint64") + mixed(starts.astype("uint64") + np.uint64((level + 1) << 32)))
+                    bands += hashed[(parts != EMPTY).any(axis=1)].astype("int64").tolist()
                 with np.errstate(over="ignore"):
                     set0, set1 = (signed(mixed(h ^ np.uint64(s)).sum(dtype="uint64")) for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F))
-                rows.append((None if key is None else int(key), len(h), set0, set1, regs.astype("<u2").tobytes(), bands, digest(regs)))
-            out = pd.DataFrame(rows, columns=["id", "n", "set0", "set1", "regs", "bands", "code"], dtype=object)
+                rows.append((None if key is None else int(key), len(h), set0, set1, b"".join(kept), bands))
+            out = pd.DataFrame(rows, columns=["id", "n", "set0", "set1", "regs", "bands"], dtype=object)
             out["id"] = pd.array(out["id"].tolist(), dtype="Int64")
             yield out.astype({"n": "int64", "set0": "int64", "set1": "int64"})
 
@@ -180,8 +207,16 @@ def _likely(percent: int):
     def run(batches: Iterator) -> Iterator:
         import numpy as np
 
+        def at(regs, n, level):
+            place = levels(n, percent).index(level)
+            return np.frombuffer(regs, "<u2")[place * REGISTERS:(place + 1) * REGISTERS]
+
         for b in batches:
-            ok = [estimate(np.frombuffer(x, "<u2"), np.frombuffer(y, "<u2")) >= least for x, y in zip(b.regs_a, b.regs_b)]
+            ok = []
+            for x, y, n, m in zip(b.regs_a, b.regs_b, b.n_a, b.n_b):
+                fits = 100 * min(n, m) >= percent * max(n, m)
+                level = level_of(max(n, m))  # the smaller set has this level too
+                ok.append(fits and estimate(at(x, n, level), at(y, m, level)) >= least)
             yield b.loc[ok, ["a", "b"]]
 
     return run
@@ -212,103 +247,126 @@ def _shingles(batches: Iterator) -> Iterator:
     import pandas as pd
 
     for b in batches:
-        sets = [shingle_set(x).astype("int64") for x in b.text]
-        yield pd.DataFrame({"id": b.id, "comp": b.comp, "n": [len(x) for x in sets], "set": sets})
+        sets = [shingle_set(x) for x in b.text]
+        codes = [digest(registers(x)) for x in sets]
+        yield pd.DataFrame({"id": b.id, "comp": b.comp, "n": [len(x) for x in sets], "set": [x.astype("int64") for x in sets], "code": codes})
 
 
-def meeting(docs: DataFrame, codes: DataFrame, percent: int) -> DataFrame:
+def meeting(docs: DataFrame, percent: int, s: Scratch) -> DataFrame:
     """Pairs ``a < b`` of different components that may reach the similarity, from ``id, comp, text``.
 
-    Exact: the order of the shingles is by frequency, then hash, for all alike.
+    Exact: the order of the shingles is the same for all, those of one component first, then by frequency and hash.
     """
-    sets = written(docs.mapInPandas(_shingles, "id long, comp long, n int, set array<long>"), "near-sets")
-    each = sets.select("id", "comp", "n", F.explode("set").alias("s"))
-    common = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("df > 1")
-    # shingles of one document come first in its order; they are counted, not carried
+    sets = s.written(docs.mapInPandas(_shingles, "id long, comp long, n int, set array<long>, code array<long>"), "sets")
+    each = sets.select("id", "comp", F.explode("set").alias("s"))
+    seen = each.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    across = s.written(seen.where("lo < hi").select("s", "df"), "across", slim=True)
+    # shingles of one component come first in the order; no pair meets there, so they are counted, not carried
     size = F.floor(F.col("n") * (100 - percent) / 100).cast("int") + 1
-    prefix = (each.join(common, "s").groupBy("id", "comp", "n")
-              .agg(F.array_sort(F.collect_list(F.struct("df", "s", (F.col("lo") < F.col("hi")).alias("across")))).alias("c"))
-              .withColumn("own", F.col("n") - F.size("c")).where(size > F.col("own"))
-              .select("id", "comp", "n", F.slice("c", F.lit(1), size - F.col("own")).alias("c"))
-              .select("id", "comp", "n", F.col("c.s").alias("prefix"), F.explode(F.filter("c", lambda x: x["across"])).alias("x"))
-              .select("id", "comp", "n", "prefix", F.col("x.s").alias("s")))
-    prefix = written(prefix.join(codes, "id"), "near-prefix")
+    found = attach(each.select("id", "s"), across, ["s"], "df").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("c"))
+    own = F.col("n") - F.size("c")
+    prefix = (sets.select("id", "comp", "n", "code").join(found, "id").where(size > own)
+              .select("id", "comp", "n", "code", own.alias("own"), F.posexplode(F.slice("c.s", F.lit(1), size - own)).alias("at", "s"))
+              .select("id", "comp", "n", "code", (F.col("own") + F.col("at")).alias("at"), "s"))
+    prefix = s.written(prefix, "prefix")
+    s.drop("sets", "across")
     x, y = prefix.alias("x"), prefix.alias("y")
+    n, rest = F.col("x.n") + F.col("y.n"), F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     fits = (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") < F.col("y.id"))
     fits &= (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-    fits &= digests_agree(F.col("x.code"), F.col("y.code"), F.col("x.n") + F.col("y.n"), percent)
-    # both prefixes are in the same order, so the first common shingle of x is the pair's meeting place
-    fits &= F.get(F.array_intersect("x.prefix", "y.prefix"), F.lit(0)) == F.col("x.s")
-    return x.join(y, (F.col("x.s") == F.col("y.s")) & fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    # where a pair meets first, all its common shingles are still to come
+    fits &= rest * (100 + percent) >= n * percent
+    fits &= digests_agree(F.col("x.code"), F.col("y.code"), n, percent)
+    pairs = x.join(y, (F.col("x.s") == F.col("y.s")) & fits).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    pairs = s.written(pairs, "met", slim=True)
+    s.drop("prefix")
+    return pairs
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, s: Scratch) -> DataFrame:
     """``id, comp`` (smallest id reachable) of every id in ``edges`` (``a, b``)."""
-    both = written(edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
-                                                  F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e"))
-                   .select("e.u", "e.v").distinct(), "near-edges")
-    labels = written(both.groupBy(F.col("u").alias("id")).agg(F.least(F.min("v"), F.first("u")).alias("comp")), "near-labels")
+    s.drop("labels")
+    both = s.written(edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
+                                                    F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e"))
+                     .select("e.u", "e.v").distinct(), "edges", slim=True)
+    labels = s.written(both.groupBy(F.col("u").alias("id")).agg(F.least(F.min("v"), F.first("u")).alias("comp")), "labels", slim=True)
     while True:
         near = both.join(labels.select(F.col("id").alias("v"), "comp"), "v").groupBy(F.col("u").alias("id")).agg(F.min("comp").alias("m"))
         low = labels.join(near, "id").select("id", "comp", F.least("comp", "m").alias("low"))
         up = labels.select(F.col("id").alias("low"), F.col("comp").alias("jump"))
         # a label is itself an id, so its own label is a shortcut
-        new = written(low.join(up, "low").select("id", F.least("low", "jump").alias("comp"), (F.least("low", "jump") < F.col("comp")).alias("moved")), "near-labels")
+        new = s.written(low.join(up, "low").select("id", F.least("low", "jump").alias("comp"), (F.least("low", "jump") < F.col("comp")).alias("moved")), "labels", slim=True)
+        s.drop("labels", but_last=True)
         labels = new.select("id", "comp")
         if new.where("moved").isEmpty():
+            s.drop("edges")
             return labels
 
 
 def components(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id, kept`` of every row."""
+    s = Scratch(docs.sparkSession, "near")
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    base = written(rows.withColumn("key", F.col("key").cast("string")).mapInPandas(_sketch(percent), "id long, n long, set0 long, set1 long, regs binary, bands array<long>, code array<long>"), "near-sketch")
+    sketch = s.written(rows.withColumn("key", F.col("key").cast("string")).mapInPandas(_sketch(percent), "id long, n long, set0 long, set1 long, regs binary, bands array<long>"), "sketch")
+    base = s.written(sketch.select("id", "n", "set0", "set1"), "base")
     known = base.where("id is not null and n > 0")
-    classes = known.groupBy("set0", "set1", "n").agg(F.min("id").alias("rep"))
-    member = written(known.select("id", "set0", "set1", "n").join(classes, ["set0", "set1", "n"]).select("id", "n", "set0", "set1", "rep"), "near-class")
-    reps = written(known.join(member.where("id = rep").select("id", "set0", "set1").distinct(), ["id", "set0", "set1"])
-                   .dropDuplicates(["id", "set0", "set1"]).select("id", "n", "regs", "bands", "code"), "near-reps")
+    a_set = ["set0", "set1", "n"]
+    classes = s.written(known.groupBy(*a_set).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size")), "classes", slim=True)
+    member = s.written(attach(known, classes, a_set, "size").distinct(), "member", slim=True)
+    own = classes.select(F.col("rep").alias("id"), *a_set)
+    reps = s.written(sketch.join(own, ["id", *a_set], "left_semi").dropDuplicates(["id", *a_set]).select("id", "n", "regs", "bands"), "reps")
+    s.drop("sketch", "classes")
     bands = reps.select("id", F.explode("bands").alias("band"))
-    groups = bands.groupBy("band").agg(F.min("id").alias("lead"), F.max("id").alias("other")).where("lead < other")
-    hits = written(bands.join(groups, "band").select("band", "id", "lead"), "near-hits")
+    groups = bands.groupBy("band").agg(F.min("id").alias("lead"), F.max("id").alias("other"), F.count(F.lit(1)).alias("size")).where("lead < other")
+    hits = s.written(attach(bands, s.written(groups.select("band", "lead", "size"), "groups", slim=True), ["band"], "size").select("band", "id", "lead"), "hits", slim=True)
     needed = hits.select(F.col("id").alias("key")).distinct()
-    texts = written(rows.join(needed, "key", "left_semi").select(F.col("key").alias("id"), "text"), "near-texts")
-    regs = reps.select("id", "regs")
+    texts = s.written(rows.join(needed, "key", "left_semi").select(F.col("key").alias("id"), "text"), "texts")
+    regs = reps.select("id", "n", "regs")
+    s.drop("groups")
 
     def links(pairs: DataFrame) -> DataFrame:
         """The verified ones of the pairs ``a < b``."""
-        x, y = (regs.select(F.col("id").alias(s), F.col("regs").alias(f"regs_{s}")) for s in "ab")
-        likely = pairs.join(y, "b").join(x, "a").select("a", "b", "regs_a", "regs_b").mapInPandas(_likely(percent), "a long, b long")
-        likely = written(likely, "near-likely")
-        p, q = (texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab")
+        x, y = (regs.select(F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("regs").alias(f"regs_{k}")) for k in "ab")
+        likely = pairs.join(y, "b").join(x, "a").select("a", "b", "regs_a", "regs_b", "n_a", "n_b").mapInPandas(_likely(percent), "a long, b long")
+        likely = s.written(likely, "likely")
+        p, q = (texts.select(F.col("id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
         # the leader's side, which may be hot, comes last: its rows are split, not moved again
         return likely.join(q, "b").join(p, "a").select("a", "b", "text_a", "text_b").mapInPandas(_verify(percent), "a long, b long").distinct()
 
     def ordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
         return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a < b").distinct()
 
-    edges = written(links(ordered(hits, "lead", "id")), "near-links")
+    def added(pairs: DataFrame, edges: DataFrame | None) -> DataFrame:
+        new = links(pairs)
+        out = s.written(new if edges is None else edges.unionByName(new), "links", slim=True)
+        s.drop("likely", "met", "open")
+        s.drop("links", but_last=True)
+        return out
+
+    edges = added(ordered(hits, "lead", "id"), None)
+    comp = connected(edges, s)
     for last in (False, True):
-        comp = connected(edges)
-        at = written(hits.select("band", "id").join(comp, "id", "left").select("band", "id", F.coalesce("comp", "id").alias("comp")), "near-at")
-        open_bands = at.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("band")
-        left = written(at.join(open_bands, "band"), "near-open")
+        at = s.written(hits.select("band", "id").join(comp, "id", "left").select("band", "id", F.coalesce("comp", "id").alias("comp")), "at", slim=True)
+        open_bands = at.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo < hi").select("band", "size")
+        left = s.written(attach(at, s.written(open_bands, "bands", slim=True), ["band"], "size"), "open", slim=True)
+        s.drop("at", "bands")
         if left.isEmpty():
             break
         if not last:  # another leader for each group: the member that shares most with other members
-            size = left.groupBy("band").agg(F.count(F.lit(1)).alias("size"))
-            shared = left.join(size, "band").groupBy("id").agg(F.sum("size").alias("shared"))
-            lead = left.join(shared, "id").groupBy("band").agg(F.max(F.struct("shared", "id", "comp")).alias("l"))
-            pairs = ordered(left.join(lead, "band").where("comp <> l.comp").select("id", F.col("l.id").alias("lead")), "lead", "id")
+            shared = left.groupBy("id").agg(F.sum("size").alias("shared"))
+            lead = left.join(shared, "id").groupBy("band").agg(F.max(F.struct("shared", "id", "comp")).alias("l"), F.count(F.lit(1)).alias("size"))
+            pairs = attach(left.drop("size"), s.written(lead, "lead", slim=True), ["band"], "size").where("comp <> l.comp").select("id", F.col("l.id").alias("lead"))
+            pairs = s.written(ordered(pairs, "lead", "id"), "met", slim=True)
+            s.drop("lead")
         else:
-            pairs = meeting(left.select("id", "comp").distinct().join(texts, "id"), reps.select("id", "code"), percent)
-        edges = written(edges.unionByName(links(pairs)), "near-links")
-        if last:
-            comp = connected(edges)
-
-    per_class = member.select("id", "n", "set0", "set1", "rep").distinct().join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left")
-    owner = per_class.select("id", "n", "set0", "set1", F.coalesce("comp", "rep").alias("comp"))
-    out = base.select("id", "n", "set0", "set1").join(owner, ["id", "n", "set0", "set1"], "left")
+            pairs = meeting(left.select("id", "comp").distinct().join(texts, "id"), percent, s)
+        edges = added(pairs, edges)
+        comp = connected(edges, s)
+    s.drop("reps", "hits", "texts", "open", "links")
+
+    per_class = member.select("id", *a_set, "rep").distinct().join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left")
+    owner = per_class.select("id", *a_set, F.coalesce("comp", "rep").alias("comp"))
+    out = base.join(owner, ["id", *a_set], "left")
     component = F.coalesce("comp", "id")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -226,3 +226,17 @@ def test_top_k_of_vectors_of_several_lengths(spark):
     got = H.rows(topk.top_k(topk.quantised(df), F.col("vec_id") % 20 == 0, 5, 10, 2))
     want = [r for n in (0, 2, 4, 9) for r in brute_top([d for d in data if len(d[1]) == n], 5)]
     assert sorted(got) == sorted(want) and (220, 1, 221, 0) in got
+
+
+def test_pipeline_keeps_rows_apart_by_text(spark, tmp_path):
+    """Rows that repeat an id but not the text stay; copies without an id go; of a group the smallest id stays."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    data = [(7, a, "en", "s", 1), (3, a + " x", "en", "s", 1), (None, a, "en", "s", 1), (None, b, "en", "t", 1), (None, b, "en", "t", 1), (7, "other words in this text here", "en", "s", 1),
+            (9, None, "en", "s", 1), (9, "", "en", "s", 1), (None, None, None, None, None)]
+    H.docs(spark, data).withColumn("_row", F.lit("clash")).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    out = corpus_pipeline.distinct_documents(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted([(r.doc_id, r.text) for r in out.collect()], key=str)
+    assert got == sorted([(3, a + " x"), (None, b), (7, "other words in this text here"), (9, None), (9, ""), (None, None)], key=str)
+    assert corpus_pipeline.distinct_documents(spark, docs.limit(0), "").count() == 0
