@@ -34,16 +34,27 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that are not predicted toxic."""
+    """Keeps documents that are not predicted toxic; texts that are null or without words are not."""
     model = toxicity.learn_from(docs, table(spark, sf_dir, "labels"))
     return _where(docs, toxicity.score(_packed(docs), model, ["_row"], text="_body"), F.col("predicted") == 0)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (and one row of each id); rows without an id stay."""
-    kept = near.components(docs, NEAR_PERCENT).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null"))
+    """Keeps one row of each group of near copies: that with the smallest id (rows without an id last).
+
+    Groups are of rows, so rows that share an id but not their text both stay, and rows without an id are compared
+    like all others. Rows are numbered by the scan of ``docs``, a written table, which numbers them alike every time.
+    Null, empty and wordless texts are copies of nothing and stay; an empty table gives an empty table.
+    """
+    row = "_row"
+    while row in docs.columns:
+        row += "_"
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    found = near.components(rows, NEAR_PERCENT, key=row).select(row, "component_id")
+    ids = rows.select(row, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row")).alias("_first"))
+    groups = found.join(ids, row).groupBy("component_id").agg(F.min("_first").alias("_first"))
+    kept = groups.select(F.col("_first.row").alias(row))
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +70,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of every document: counts and digests, the ids themselves and the decoded text."""
+    """The tokens of every document: counts and digests, the ids themselves and the decoded text (null text: as empty, no ids)."""
     return bpe.encode_decode(docs, bpe.vocabulary(), keep_ids=True)
 
 
