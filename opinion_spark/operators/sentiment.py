@@ -2,10 +2,10 @@
 
 ``lexicon_sentiment`` follows the published rule-based scoring of Hutto &
 Gilbert (2014): per-token valence from a lexicon, emphasis by capitals, booster
-words, negation ("never so", "without doubt" and "least" included) in the three
-tokens before, the contrastive "but" rule, exclamation / question emphasis, and
-the normalisation ``s / sqrt(s^2 + alpha)``. The lexicon is the caller's; the
-library's idioms and emoticons belong to its word list and are not built in.
+words, negation ("never so", "without doubt", "no" and "least" included) in the three
+tokens before, idioms and two-word boosters around a word, the contrastive "but" rule,
+exclamation / question emphasis, and the normalisation ``s / sqrt(s^2 + alpha)``. The
+lexicon is the caller's, as are further idioms; emoticons are no word tokens and do not count.
 
 Scoring is a pure per-row expression over the token array (higher-order
 functions), so it needs no explode, no join and no shuffle: the lexicon is a
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 EXCLAMATION_MAX = 4
 ALPHA = 15.0
 NEGATIONS = [
-    "not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "nowhere", "nope", "cannot",
+    "not", "never", "none", "nothing", "neither", "nor", "nowhere", "nope", "cannot",
     "without", "rarely", "seldom", "despite", "uhuh", "aint", "isnt", "arent", "wasnt", "werent", "dont",
     "doesnt", "didnt", "wont", "wouldnt", "cant", "couldnt", "shouldnt", "hasnt", "havent", "hadnt",
     "darent", "mightnt", "mustnt", "neednt", "oughtnt", "shant",
@@ -41,19 +41,24 @@ DECREASING = [
     "occasionally", "partly", "scarce", "scarcely", "slight", "slightly", "somewhat", "sorta", "sortof",
 ]
 
+#: Word sequences with a valence of their own, and those that soften what follows.
+IDIOMS = {"the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5, "to die for": 3.0,
+          "beating heart": 3.1, "broken heart": -2.9}
+SOFTENING = ["kind of", "sort of", "just enough"]
+
 TOKEN_PATTERN = r"[\p{L}\p{N}_']+"
 MAX_INLINE_LEXICON = 64  # entries inlined as a map literal; larger lexicons are joined
 
-# Exact whole-unit arithmetic. Lexicon valences (four decimals), boosters and
-# capitals are whole 1e-5 units; each of the four factors (1, -0.74, 1.25) is in
-# hundredths, so a token's valence is a whole number of 1e-13 units. It is
+# Exact whole-unit arithmetic. Lexicon valences (four decimals, times -0.74 after
+# "no"), boosters and capitals are whole 1e-6 units; each of the four factors (1, -0.74, 1.25) is in
+# hundredths, so a token's valence is a whole number of 1e-14 units. It is
 # rounded to 1e-7, half away from zero, and the "but" factors (5, 10 or 15
 # tenths) bring sums to 1e-8 units. They stay far below 2^53, so the final
 # division gives the same double in any order of summation.
 _VAL_SCALE = 10_000
-_BOOST, _CAPS = (29_300, 27_835, 26_370), (73_300, 69_635, 65_970)  # 0.293 and 0.733, by distance 100, 95, 90 %
+_BOOST, _CAPS = (293_000, 278_350, 263_700), (733_000, 696_350, 659_700)  # 0.293 and 0.733, by distance 100, 95, 90 %
 _SAME, _NEGATED, _NEVER_SO = 100, -74, 125
-_ROUND = 1_000_000
+_ROUND = 10_000_000
 _UNIT = 100_000_000  # 1e8
 _EXCL_UNITS = 29_200_000  # 0.292
 _Q_UNITS = 18_000_000  # 0.18
@@ -77,13 +82,40 @@ def _mixed_case(toks: Column) -> Column:
     return (caps > 0) & (caps < F.size(toks))
 
 
-def _valence(units: Column, cap: Column, before: list[Column], mixed: Column, taken: list[str]) -> Column:
+def _idiom(word: Column, before: list[Column], after: list[Column], idioms: dict[str, float]) -> tuple[Column, Column]:
+    """The valence (1e-4 units) of the idiom at a word or NULL, and how many softening pairs stand before it.
+
+    Of the sequences that end at the word or just before it the first known one counts; one that starts at
+    the word goes before those.
+    """
+    w1, w2, w3 = before
+    n1, n2 = after
+    text = lambda *w: F.concat_ws(" ", *w)
+    ends = [text(w1, word), text(w2, w1, word), text(w2, w1), text(w3, w2, w1), text(w3, w2)]
+    starts = [text(word, n1, n2), text(word, n1)]
+    by_size = {n: {k: int(round(v * _VAL_SCALE)) for k, v in idioms.items() if len(k.split()) == n} for n in (2, 3)}
+
+    def value(sequence: Column, n: int) -> Column:
+        out = F.lit(None).cast("long")
+        for k, v in by_size[n].items():
+            out = F.coalesce(F.when(sequence == k, F.lit(v).cast("long")), out)
+        return out
+
+    found = F.coalesce(value(starts[0], 3), value(starts[1], 2), value(ends[0], 2), value(ends[1], 3), value(ends[2], 2), value(ends[3], 3), value(ends[4], 2))
+    pairs = [w for w in SOFTENING if len(w.split()) == 2]
+    return found, ends[2].isin(pairs).cast("int") + ends[4].isin(pairs).cast("int")
+
+
+def _valence(units: Column, token: Column, before: list[Column], mixed: Column, taken: list[str],
+             after: list[Column], known3: Column, next_known: Column, idioms: dict[str, float]) -> Column:
     """A lexicon word's valence in 1e-7 units from its lexicon value (1e-4 units).
 
     ``before`` are the three tokens before it, nearest first, ``w`` empty
-    before the start. A word of the lexicon itself (``taken``: those that the rules
-    name) neither boosts nor negates.
+    before the start; ``after`` the two words after it. A word of the lexicon itself (``taken``: those that the rules
+    name) neither boosts nor negates. ``known3``: whether the third token before is one; then, and without
+    three tokens before, there is no idiom. ``next_known``: whether the next word is one, so that "no" counts there.
     """
+    word, cap = token["w"], token["cap"]
     rule = lambda words: [w for w in words if w not in taken]
     w1, w2, w3 = (t["w"] for t in before)
     so1, so2 = w1.isin("so", "this"), w2.isin("so", "this")
@@ -113,9 +145,19 @@ def _valence(units: Column, cap: Column, before: list[Column], mixed: Column, ta
         zero = F.lit(0).cast("long")
         return (v + F.coalesce(step, zero) + F.coalesce(loud.cast("long"), zero)) * factor[k]
 
-    own = F.when(cap & mixed, F.when(units > 0, F.lit(_CAPS[0])).otherwise(F.lit(-_CAPS[0]))).otherwise(F.lit(0))
-    first = units * 10 + own
-    last = _let(first, lambda a: _let(at(0, a), lambda b: _let(at(1, b), lambda c: at(2, c) * least)))
+    no = (w1 == "no") | (w2 == "no") | (w3 == "no") & w1.isin("or", "nor")
+    base = F.when((word == "no") & next_known, F.lit(0).cast("long")).otherwise(units)
+    base = F.when(no, units * _NEGATED).otherwise(base * 100)
+    own = lambda v: F.when(cap & mixed, F.when(v > 0, F.lit(_CAPS[0])).otherwise(F.lit(-_CAPS[0]))).otherwise(F.lit(0))
+    idiom, soft = _idiom(word, [w1, w2, w3], after, idioms)
+    fine = 100 ** 3  # of the valence after three tokens, in 1e-4 hundredths
+    open_ = (w3 != "") & ~known3
+
+    def phrased(v: Column) -> Column:
+        """The idiom's valence, if there is one, less the softening pairs."""
+        return F.when(open_, F.coalesce(idiom * 100 * fine, v) - soft * (_BOOST[0] * fine)).otherwise(v)
+
+    last = _let(base, lambda v: _let(v + own(v), lambda a: _let(at(0, a), lambda b: _let(at(1, b), lambda c: _let(at(2, c), lambda d: phrased(d) * least)))))
     return _let(last, lambda v: F.call_function("div", v + F.signum(v).cast("long") * (_ROUND // 2), F.lit(_ROUND)))
 
 
@@ -160,7 +202,7 @@ def lexicon_map(lexicon: dict[str, float]) -> Column:
     return F.map_from_arrays(F.lit(words), F.lit(units).cast("array<long>"))
 
 
-def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float], text: str, prefix: str) -> DataFrame:
+def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float], text: str, prefix: str, idioms: dict[str, float]) -> DataFrame:
     """N2 for small lexicons: ``positive, neutral, negative, compound`` for every row.
 
     One left fold over the token array carries the last three tokens and the
@@ -171,17 +213,19 @@ def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float], text: str,
     lex, taken = lexicon_map(lexicon), _named_by_rules(lexicon)
     zl = F.lit(0).cast("long")
     segs = "bma"  # before the first "but", the "but" itself, after it
-    none = F.struct(F.lit("").alias("w"), F.lit(False).alias("cap"))
+    none = F.struct(F.lit("").alias("w"), F.lit(False).alias("cap"), F.lit(False).alias("known"))
     sums, counts = [f"{k}{g}" for g in segs for k in ("s", "ps")], [f"{k}{g}" for g in segs for k in ("pc", "nc")]
     names = ["q1", "q2", "q3", "mixed", "seg", "n", *sums, *counts]
 
-    def step(acc, tok):
+    def step(acc, now):
+        tok, after = now["tok"], [F.coalesce(now["n1"], F.lit("")), F.coalesce(now["n2"], F.lit(""))]
         seg = F.when((acc["seg"] == 0) & (tok["w"] == "but"), F.lit(1)) \
                .when(acc["seg"] == 1, F.lit(2)).otherwise(acc["seg"])
         before = [acc["q1"], acc["q2"], acc["q3"]]
 
         def added(v):
-            f = {"q1": tok, "q2": acc["q1"], "q3": acc["q2"], "mixed": acc["mixed"], "seg": seg, "n": acc["n"] + 1}
+            mine = F.struct(tok["w"].alias("w"), tok["cap"].alias("cap"), F.try_element_at(lex, tok["w"]).isNotNull().alias("known"))
+            f = {"q1": mine, "q2": acc["q1"], "q3": acc["q2"], "mixed": acc["mixed"], "seg": seg, "n": acc["n"] + 1}
             for i, g in enumerate(segs):
                 here = seg == i
                 f[f"s{g}"] = acc[f"s{g}"] + F.when(here, v).otherwise(zl)
@@ -191,7 +235,7 @@ def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float], text: str,
             return F.struct(*[f[x].alias(x) for x in names])
 
         valence = _let(F.try_element_at(lex, tok["w"]), lambda u: F.when(u.isNull(), zl).otherwise(
-            _valence(u, tok["cap"], before, acc["mixed"], taken)))
+            _valence(u, tok, before, acc["mixed"], taken, after, acc["q3"]["known"], F.try_element_at(lex, after[0]).isNotNull(), idioms)))
         return _let(valence, added)
 
     def finish(f):
@@ -209,14 +253,16 @@ def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float], text: str,
         init = F.struct(*[none.alias(q) for q in ("q1", "q2", "q3")], _mixed_case(toks).alias("mixed"),
                         F.lit(0).alias("seg"), F.lit(0).alias("n"),
                         *[zl.alias(x) for x in sums], *[F.lit(0).alias(x) for x in counts])
-        return F.aggregate(toks, init, step, finish)
+        words = F.transform(toks, lambda t: t["w"])
+        later = lambda k: F.slice(words, k + 1, F.greatest(F.size(words) - k, F.lit(0)))
+        return F.aggregate(F.arrays_zip(toks.alias("tok"), later(1).alias("n1"), later(2).alias("n2")), init, step, finish)
 
     out = df.withColumn("_score", _let(tokens(F.col(text)), fold))
     return out.withColumns({prefix + k: F.col("_score")[k] for k in _KINDS}).drop("_score")
 
 
 def lexicon_sentiment(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str = "text",
-                      prefix: str = "", method: str = "auto") -> DataFrame:
+                      prefix: str = "", method: str = "auto", idioms: dict[str, float] = IDIOMS) -> DataFrame:
     """``positive, neutral, negative, compound`` for every row; a NULL text has NULL scores.
 
     ``method='fold'`` scores each row with one array fold and a map-literal
@@ -234,11 +280,11 @@ def lexicon_sentiment(df: DataFrame, lexicon: dict[str, float] | DataFrame, text
             if len(rows) > MAX_INLINE_LEXICON:
                 raise ValueError(f"lexicon has over {MAX_INLINE_LEXICON} entries, the most that can be inlined")
             lexicon = {r[0]: float(r[1]) for r in rows}
-        return _lexicon_sentiment_fold(df, lexicon, text, prefix)
-    return _lexicon_sentiment_join(df, lexicon, text, prefix)
+        return _lexicon_sentiment_fold(df, lexicon, text, prefix, idioms)
+    return _lexicon_sentiment_join(df, lexicon, text, prefix, idioms)
 
 
-def _lexicon_sentiment_join(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str, prefix: str) -> DataFrame:
+def _lexicon_sentiment_join(df: DataFrame, lexicon: dict[str, float] | DataFrame, text: str, prefix: str, idioms: dict[str, float]) -> DataFrame:
     spark = df.sparkSession
     if isinstance(lexicon, dict):
         lex = spark.createDataFrame([(w, float(v)) for w, v in lexicon.items()], "word string, valence double")
@@ -258,13 +304,21 @@ def _lexicon_sentiment_join(df: DataFrame, lexicon: dict[str, float] | DataFrame
     def shifted(k: int) -> Column:  # the token k places earlier
         return F.concat(F.array_repeat(none, k), F.slice(t, 1, F.greatest(n - k, F.lit(0))))
 
+    def later(k: int) -> Column:  # the word k places later
+        return F.transform(F.slice(t, k + 1, F.greatest(n - k, F.lit(0))), lambda x: x["w"])
+
     base = once.select("_k", tokens(F.col(text)).alias("_t")).select(
         "_k", n.alias("_n"), _mixed_case(t).alias("_mixed"), F.array_position(F.transform(t, lambda x: x["w"]), "but").alias("_but"),
-        F.arrays_zip(t.alias("tok"), shifted(1).alias("q1"), shifted(2).alias("q2"), shifted(3).alias("q3")).alias("_z"))
+        F.arrays_zip(t.alias("tok"), shifted(1).alias("q1"), shifted(2).alias("q2"), shifted(3).alias("q3"), later(1).alias("n1"), later(2).alias("n2")).alias("_z"))
     toks = base.select("_k", "_but", "_mixed", F.posexplode("_z").alias("_i", "z")).select(
-        "_k", "_but", "_mixed", (F.col("_i") + 1).alias("p"), "z.tok", "z.q1", "z.q2", "z.q3")
-    hits = toks.join(lex, toks.tok.w == lex.word, "inner")
-    v = _valence(F.col("vu"), F.col("tok.cap"), [F.col(c) for c in ("q1", "q2", "q3")], F.col("_mixed"), taken)
+        "_k", "_but", "_mixed", (F.col("_i") + 1).alias("p"), "z.tok", "z.q1", "z.q2", "z.q3", "z.n1", "z.n2")
+    hits = toks.join(lex, toks.tok.w == lex.word, "inner").withColumns({c: F.coalesce(c, F.lit("")) for c in ("n1", "n2")})
+    # of the neighbours, whether the third before and the next one are words of the lexicon
+    words = lex.select("word").distinct()
+    for c, near in (("known3", F.col("q3.w")), ("next_known", F.col("n1"))):
+        hits = hits.join(words.select(F.col("word").alias(f"_{c}")), near == F.col(f"_{c}"), "left").withColumn(c, F.col(f"_{c}").isNotNull()).drop(f"_{c}")
+    v = _valence(F.col("vu"), F.col("tok"), [F.col(c) for c in ("q1", "q2", "q3")], F.col("_mixed"), taken,
+                 [F.col("n1"), F.col("n2")], F.col("known3"), F.col("next_known"), idioms)
     tenths = (F.when((F.col("_but") > 0) & (F.col("p") < F.col("_but")), F.lit(5))
               .when((F.col("_but") > 0) & (F.col("p") > F.col("_but")), F.lit(15)).otherwise(F.lit(10))).cast("long")
     sums = hits.select("_k", (v * tenths).alias("s")).groupBy("_k").agg(

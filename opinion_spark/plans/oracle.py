@@ -13,7 +13,7 @@ from opinion_spark.sources import bindings as B
 
 # --- fixed values: the published scoring rule, spelt here once more so that errors in the engine's lists show ---
 TOKEN_PATTERN = r"[\p{L}\p{N}_']+"
-NEGATIONS = """not no never none nobody nothing neither nor nowhere nope cannot without rarely seldom despite uhuh
+NEGATIONS = """not never none nothing neither nor nowhere nope cannot without rarely seldom despite uhuh
 aint isnt arent wasnt werent dont doesnt didnt wont wouldnt cant couldnt shouldnt hasnt havent hadnt darent mightnt
 mustnt neednt oughtnt shant""".split()
 INCREASING = """absolutely amazingly awfully completely considerable considerably decidedly deeply effing enormous
@@ -101,6 +101,19 @@ def sentiment_ctes(src: str, text_col: str, prefix: str = "") -> str:
                 f" + CASE WHEN {way(k)} <> 0 AND cap{k} AND mixed THEN CASE WHEN {v} > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END AS DECIMAL(8,3))"
                 f" * CAST({part} AS DECIMAL(3,2))))")
 
+    def words(*at: str) -> str:
+        return " || ' ' || ".join(at)
+
+    def idiom() -> str:
+        """The first known sequence: from the word on, else up to it or to the word before."""
+        known = [words("tok", "n1", "n2"), words("tok", "n1"), words("w1", "tok"), words("w2", "w1", "tok"), words("w2", "w1"), words("w3", "w2", "w1"), words("w3", "w2")]
+        cases = " ".join(f"WHEN {q(k)} THEN {v!r}" for k, v in B.IDIOMS.items())
+        return "coalesce(" + ", ".join(f"CAST(CASE {k} {cases} END AS DECIMAL(18,13))" for k in known) + ")"
+
+    pairs = "('kind of', 'sort of')"
+    soft = f"(CASE WHEN {words('w2', 'w1')} IN {pairs} THEN 0.293 ELSE 0 END + CASE WHEN {words('w3', 'w2')} IN {pairs} THEN 0.293 ELSE 0 END)"
+    no = "w1 = 'no' OR w2 = 'no' OR (w3 = 'no' AND w1 IN ('or', 'nor'))"
+
     def negation(k: int) -> str:
         return f"WHEN NOT in{k} AND (w{k} IN ({in_list(NEGATIONS)}) OR suffix(w{k}, 'n''t')) THEN -0.74 ELSE 1 END AS DECIMAL(3,2))"
 
@@ -110,7 +123,7 @@ def sentiment_ctes(src: str, text_col: str, prefix: str = "") -> str:
               f"CAST(CASE WHEN NOT in3 AND w3 = 'never' AND (w2 IN ('so', 'this') OR w1 IN ('so', 'this')) THEN 1.25 "
               f"WHEN NOT in3 AND w3 = 'without' AND (w2 = 'doubt' OR w1 = 'doubt') THEN 1 {negation(3)}"]
     least = "CAST(CASE WHEN NOT in1 AND w1 = 'least' AND w2 NOT IN ('at', 'very') THEN -0.74 ELSE 1 END AS DECIMAL(3,2))"
-    steps = "".join(f"""{p}v{k} AS (SELECT *, CAST({boosted(f'v{k - 1}', k)} * {turned[k - 1]} AS DECIMAL(28,{(7, 9, 11)[k - 1]})) AS v{k} FROM {p}v{k - 1}),
+    steps = "".join(f"""{p}v{k} AS (SELECT *, CAST({boosted(f'v{k - 1}', k)} * {turned[k - 1]} AS DECIMAL(28,{(8, 10, 12)[k - 1]})) AS v{k} FROM {p}v{k - 1}),
 """ for k in (1, 2, 3))
     return f"""{p}tok AS MATERIALIZED (
   SELECT doc_id, {text_col} AS txt,
@@ -123,17 +136,21 @@ def sentiment_ctes(src: str, text_col: str, prefix: str = "") -> str:
   FROM {p}tok t, generate_series(1, len(t.toks)) AS g(p)),
 {p}lex AS (SELECT * FROM (VALUES {lexicon_values()}) AS l(w, v)),
 {p}tw AS (
-  SELECT doc_id, p, tok, cap, mixed, but_at, l.v AS value, {before(1)}, {before(2)}, {before(3)}
+  SELECT doc_id, p, tok, cap, mixed, but_at, l.v AS value, {before(1)}, {before(2)}, {before(3)},
+    lead(tok, 1, '') OVER w AS n1, lead(tok, 2, '') OVER w AS n2, lead(l.w IS NOT NULL, 1, false) OVER w AS in_next
   FROM {p}tp LEFT JOIN {p}lex l ON l.w = tok WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
 {p}v0 AS (
-  SELECT *, CAST(value + CASE WHEN cap AND mixed THEN CASE WHEN value > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END AS DECIMAL(18,5)) AS v0
-  FROM {p}tw WHERE value IS NOT NULL),
-{steps}{p}ts AS (
-  SELECT doc_id, CAST(round(CAST(v3 * {least} AS DECIMAL(34,13)), 7)
+  SELECT *, CAST(base + CASE WHEN cap AND mixed THEN CASE WHEN base > 0 THEN 0.733 ELSE -0.733 END ELSE 0 END AS DECIMAL(18,6)) AS v0
+  FROM (SELECT *, CAST(CASE WHEN {no} THEN value * -0.74 WHEN tok = 'no' AND in_next THEN 0 ELSE value END AS DECIMAL(18,6)) AS base
+        FROM {p}tw WHERE value IS NOT NULL)),
+{steps}{p}v4 AS (
+  SELECT *, CASE WHEN w3 <> '' AND NOT in3 THEN CAST(coalesce({idiom()}, v3) - {soft} AS DECIMAL(28,12)) ELSE v3 END AS v4 FROM {p}v3),
+{p}ts AS (
+  SELECT doc_id, CAST(round(CAST(v4 * {least} AS DECIMAL(34,14)), 7)
             * (CASE WHEN but_at > 0 AND p < but_at THEN CAST(0.5 AS DECIMAL(2,1))
                     WHEN but_at > 0 AND p > but_at THEN CAST(1.5 AS DECIMAL(2,1))
                     ELSE CAST(1.0 AS DECIMAL(2,1)) END) AS DECIMAL(38,12)) AS s
-  FROM {p}v3),
+  FROM {p}v4),
 {p}agg AS (
   SELECT doc_id, CAST(sum(s) AS DECIMAL(38,12)) AS ssum,
          CAST(sum(CASE WHEN s > 0 THEN s + 1 ELSE 0 END) AS DECIMAL(38,12)) AS pos_sum,

@@ -18,7 +18,8 @@ def labelled_posts(posts: DataFrame, regions: DataFrame, names: dict[str, list[s
 
 
 def scored_posts(labelled: DataFrame, labels: list[str], lexicon, neutral_band: float = 0.05,
-                 costs: DataFrame | None = None, parse: Callable[[Column], Column] | None = None) -> DataFrame:
+                 costs: DataFrame | None = None, parse: Callable[[Column], Column] | None = None,
+                 idioms: dict[str, float] = sentiment.IDIOMS) -> DataFrame:
     """Posts with exactly one side, scored and labelled.
 
     With ``costs`` (C16) hashtags become their words; the posts are then written
@@ -32,7 +33,7 @@ def scored_posts(labelled: DataFrame, labels: list[str], lexicon, neutral_band:
         one = hashtags.replace_hashtags(graph._checkpoint(one), costs, text="processed")
     if parse is not None:
         one = one.withColumn("processed", sentiment.context_of(parse(F.col("processed"))))
-    scored = sentiment.lexicon_sentiment(one, lexicon, text="processed").drop("processed")
+    scored = sentiment.lexicon_sentiment(one, lexicon, text="processed", idioms=idioms).drop("processed")
     return sentiment.party_label(scored, neutral_band=neutral_band,
                                  side_a=labels[1], side_b=labels[0])
 
@@ -52,9 +53,10 @@ def predicted_lead(shares: DataFrame) -> DataFrame:
 
 
 def run(posts: DataFrame, regions: DataFrame, codes: DataFrame, names, lexicon,
-        whole_word: bool = False, costs: DataFrame | None = None, parse=None) -> DataFrame:
+        whole_word: bool = False, costs: DataFrame | None = None, parse=None,
+        idioms: dict[str, float] = sentiment.IDIOMS) -> DataFrame:
     labelled = labelled_posts(posts, regions, names, whole_word)
-    scored = scored_posts(labelled, list(names), lexicon, costs=costs, parse=parse)
+    scored = scored_posts(labelled, list(names), lexicon, costs=costs, parse=parse, idioms=idioms)
     shares = state_shares(scored, codes)
     return predicted_lead(shares).select(
         "state", "state_code", "tweet_count", "n_unsure", "n_dem", "n_rep", "total",

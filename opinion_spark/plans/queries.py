@@ -24,7 +24,7 @@ def _labelled(spark, sf):
 
 
 def _scored(spark, sf):
-    return predicted.scored_posts(_labelled(spark, sf), LABELS, B.LEXICON)
+    return predicted.scored_posts(_labelled(spark, sf), LABELS, B.LEXICON, idioms=B.IDIOMS)
 
 
 def _shares(spark, sf):
@@ -41,13 +41,13 @@ def a_predicted_lead(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: C3-C6, C9-C14, N1-N3, R1-R5, J1, R7, R8, R10 on posts that end in a hashtag."""
     posts = B.posts(spark, sf).withColumn("tweet", _with_tag(F.col("tweet")))
     return predicted.run(posts, B.regions(spark, sf), B.state_codes(spark, sf), B.MENTION_NAMES, B.LEXICON,
-                         whole_word=True, costs=_word_costs(spark, sf), parse=_parse)
+                         whole_word=True, costs=_word_costs(spark, sf), parse=_parse, idioms=B.IDIOMS)
 
 
 def a_predicted_lead_full_text(spark: SparkSession, sf: str) -> DataFrame:
     """Entry A without hashtag splitting, scored on the full texts."""
     return predicted.run(B.posts(spark, sf), B.regions(spark, sf), B.state_codes(spark, sf),
-                         B.MENTION_NAMES, B.LEXICON, whole_word=True)
+                         B.MENTION_NAMES, B.LEXICON, whole_word=True, idioms=B.IDIOMS)
 
 
 def c5_clean_posts(spark, sf):
@@ -113,14 +113,14 @@ def c19_score_columns(spark, sf):
 def n2_lexicon_sentiment(spark, sf):
     """N2 on every document's whole text."""
     d = B.docs(spark, sf)
-    return sentiment.lexicon_sentiment(d, B.LEXICON, "text").select(
+    return sentiment.lexicon_sentiment(d, B.LEXICON, "text", idioms=B.IDIOMS).select(
         "doc_id", "positive", "neutral", "negative", "compound")
 
 
 def n2_lexicon_sentiment_joined(spark, sf):
     """N2 through the large-lexicon path (tokens exploded, lexicon joined)."""
     d = B.docs(spark, sf)
-    return sentiment.lexicon_sentiment(d, B.LEXICON, "text", method="join").select(
+    return sentiment.lexicon_sentiment(d, B.LEXICON, "text", method="join", idioms=B.IDIOMS).select(
         "doc_id", "positive", "neutral", "negative", "compound")
 
 
@@ -157,8 +157,8 @@ def n4_party_fallback(spark, sf):
     lab = mentions.exactly_one(_labelled(spark, sf), LABELS)
     ctx = sentiment.context_filter(_context_tokens(spark, sf), docs=lab.select("doc_id"))
     j = lab.join(ctx, "doc_id")
-    j = sentiment.lexicon_sentiment(j, B.LEXICON, "context", prefix="ctx_")
-    j = sentiment.lexicon_sentiment(j, B.LEXICON, "tweet", prefix="full_")
+    j = sentiment.lexicon_sentiment(j, B.LEXICON, "context", prefix="ctx_", idioms=B.IDIOMS)
+    j = sentiment.lexicon_sentiment(j, B.LEXICON, "tweet", prefix="full_", idioms=B.IDIOMS)
     out = sentiment.party_label_fallback(j, "ctx_compound", "full_compound")
     return out.select("doc_id", "ctx_compound", "full_compound", "likely_party")
 

@@ -29,6 +29,7 @@ from opinion_spark.operators.cleaning import ORD, with_ordinal
 MENTION_NAMES = {"trump": ["the", "and"], "biden": ["les", "des"]}
 LEXICON = {"the": 1.2, "and": -0.8, "of": 0.5, "to": -1.1, "is": 1.9, "in": -0.4,
            "de": 0.9, "la": -1.3, "der": 0.7, "die": -0.6}
+IDIOMS = {"attion to": 2.5, "in the": -2.0, "la de": 1.4, "of the": -1.7, "to thanedble the": 0.8, "a the": -0.9, "that the": 0.0, "de la": 1.1}
 KEPT_REGIONS = [0, 1, 2, 3]
 CANDIDATE_A = "F"  # plays the side-A candidate (democratic share)
 CANDIDATE_B = "O"

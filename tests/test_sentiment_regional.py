@@ -123,3 +123,46 @@ def test_context_of_a_parse(spark):
     df = spark.createDataFrame([([("he", "nsubj"), ("really", "advmod"), ("runs", "ROOT")],), ([],), (None,)],
                                "parse array<struct<token:string,dep:string>>")
     assert [r[0] for r in df.select(sentiment.context_of(df.parse)).collect()] == ["he runs", "", None]
+
+
+def compound(total):
+    return round(total / math.sqrt(total * total + 15), 4)
+
+
+PHRASES = [  # text, sum of valences with good 1.9, bad -2.5, no -1.2, bomb 0.5, ass -0.5, die -2.0, heart 0.9
+    ("he said this is the bomb", 3.0),  # an idiom up to the word
+    ("the bomb", 0.5),  # needs three words before
+    ("we all say it is bad ass there", 1.5 + 1.5),  # one from bad on, and the same up to ass
+    ("food that is to die for", -2.0),  # the word in the middle is not looked at
+    ("a good old bad ass there", 1.9 + 1.5 - 0.5),  # none with a word of the lexicon three places before: at ass
+    ("oh yes that is a broken heart", -2.9),
+    ("it is kind of good", 1.9 - 0.293),  # a softening pair
+    ("it is sort of bad", -2.5 - 0.293),  # also of what is bad already
+    ("kind of good", 1.9),
+    ("there is no good here", 1.9 * -0.74),  # no before a word of the lexicon is none itself
+    ("there is no really good", -1.2 + 1.9 * -0.74 + 0.293 * -1),
+    ("no more or good", None),
+    ("i say no", -1.2),
+    ("good", 1.9), ("not good", 1.9 * -0.74), ("nobody good", 1.9),
+]
+
+
+@pytest.mark.parametrize("method", ["fold", "join"])
+def test_phrases_and_no(spark, method):
+    lex = {"good": 1.9, "bad": -2.5, "no": -1.2, "bomb": 0.5, "ass": -0.5, "die": -2.0, "heart": 0.9}
+    df = spark.createDataFrame([(t,) for t, _ in PHRASES], "text string")
+    got = {r.text: r.compound for r in sentiment.lexicon_sentiment(df, lex, method=method).collect()}
+    for text, total in PHRASES:
+        if total is not None:
+            assert got[text] == pytest.approx(compound(total), abs=2e-4), text
+    own = sentiment.lexicon_sentiment(df, lex, method=method, idioms={"say it is": 9.0, "this is the bomb": 1.0, "is the": 9.0, "yes that": 1.0})
+    assert {r.text: r.compound for r in own.collect()}["he said this is the bomb"] == pytest.approx(compound(9.0), abs=2e-4)
+
+
+def test_neutral_band(spark):
+    """The band around 0 that counts as unsure is a parameter."""
+    df = spark.createDataFrame([(c, a) for c in (-0.3, -0.05, -0.04, 0.0, 0.04, 0.05, 0.3) for a in ("biden", "trump")], "compound double, tweet_about string")
+    for band in (0.05, 0.2, 0.0):
+        got = {(r.compound, r.tweet_about): r.likely_party for r in sentiment.party_label(df, neutral_band=band).collect()}
+        for (c, about), party in got.items():
+            assert party == (0 if abs(c) < band else 1 if (c > 0) == (about == "biden") else 2) or c == 0.0
