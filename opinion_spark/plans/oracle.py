@@ -320,6 +320,7 @@ FROM samp WHERE sample_rank <= 10""")
   round(CAST(p.n_dem AS DOUBLE) / nullif(p.n_dem + p.n_rep, 0), 9) AS democratic_proportion
 FROM (SELECT state, count(*) AS tweet_count FROM scored WHERE state IS NOT NULL GROUP BY state) f JOIN piv p USING (state)""")
     ordinals = "SELECT doc_id, source, row_number() OVER (ORDER BY doc_id) - 1 AS ordinal FROM documents"
+    out["s1_quoted_csv"] = "SELECT doc_id, length(coalesce(text, '')) AS n_chars, md5(coalesce(text, '')) AS text_md5, source FROM documents"
     out["s9_ordinals"] = ordinals
     out["s10_first_rows"] = f"SELECT * FROM ({ordinals}) WHERE ordinal < 100"
     out["r1_frequency"] = W(S, """SELECT f.state, f.tweet_count, c.state_code FROM (

@@ -289,6 +289,20 @@ def j1_attach_counts(spark, sf):
 
 # ---------------------------------------------------------------- sources ---
 
+def s1_quoted_csv(spark, sf):
+    """Every document written as CSV with quoted line breaks, and read back split by split."""
+    from opinion_spark.sources import readers
+    from opinion_spark.tables import Scratch
+
+    path = Scratch(spark, "csv").folder("documents")
+    d = B.table(spark, sf, "documents").select("doc_id", "text", "source")
+    (d.write.option("header", True).option("quoteAll", True).option("escape", '"').option("lineSep", "\n")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    text = F.coalesce("text", F.lit(""))
+    return readers.read_quoted_csv(spark, path, "doc_id long, text string, source string").select(
+        "doc_id", F.length(text).cast("long").alias("n_chars"), F.md5(text.cast("binary")).alias("text_md5"), "source")
+
+
 def s9_ordinals(spark, sf):
     """Dense ordinals of the documents in the order of their ids."""
     from opinion_spark.sources import readers
@@ -705,6 +719,7 @@ REGISTRY = {
     "r20_second_largest": r20_second_largest,
     "r21_activity_weighted": r21_activity_weighted,
     "j1_attach_counts": j1_attach_counts,
+    "s1_quoted_csv": s1_quoted_csv,
     "s9_ordinals": s9_ordinals,
     "s10_first_rows": s10_first_rows,
     "v4_state_votes": v4_state_votes,

@@ -38,11 +38,16 @@ class Scratch:
         """``df`` as a table. ``slim``: its rows are a few numbers, so four files a core (at most) will do."""
         if slim:
             df = df.coalesce(4 * self.spark.sparkContext.defaultParallelism)
-        path = f"{checkpoint_dir(self.spark).rstrip('/')}/{self.label}-{label}-{uuid.uuid4().hex}"
-        self.paths.setdefault(label, []).append(path)
+        path = self.folder(label)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def folder(self, label: str) -> str:
+        """A new folder's name, to be deleted like a table."""
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/{self.label}-{label}-{uuid.uuid4().hex}"
+        self.paths.setdefault(label, []).append(path)
+        return path
+
     def drop(self, *labels: str, but_last: bool = False, collect: bool = True) -> None:
         """Delete the tables of these labels, or all but each label's last one."""
         for label in labels:
