@@ -15,6 +15,9 @@ taken in whole units so they do not depend on evaluation order.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,20 +93,21 @@ def _idiom(word: Column, before: list[Column], after: list[Column], idioms: dict
     """
     w1, w2, w3 = before
     n1, n2 = after
-    text = lambda *w: F.concat_ws(" ", *w)
-    ends = [text(w1, word), text(w2, w1, word), text(w2, w1), text(w3, w2, w1), text(w3, w2)]
-    starts = [text(word, n1, n2), text(word, n1)]
-    by_size = {n: {k: int(round(v * _VAL_SCALE)) for k, v in idioms.items() if len(k.split()) == n} for n in (2, 3)}
 
-    def value(sequence: Column, n: int) -> Column:
+    def value(*places: Column) -> Column:
+        """Words are compared one by one: most places fail at the first, and no text is put together."""
         out = F.lit(None).cast("long")
-        for k, v in by_size[n].items():
-            out = F.coalesce(F.when(sequence == k, F.lit(v).cast("long")), out)
+        for k, v in idioms.items():
+            words = k.split()
+            if len(words) == len(places):
+                same = reduce(and_, [p == w for p, w in zip(places, words)])
+                out = F.when(same, F.lit(int(round(v * _VAL_SCALE))).cast("long")).otherwise(out)
         return out
 
-    found = F.coalesce(value(starts[0], 3), value(starts[1], 2), value(ends[0], 2), value(ends[1], 3), value(ends[2], 2), value(ends[3], 3), value(ends[4], 2))
-    pairs = [w for w in SOFTENING if len(w.split()) == 2]
-    return found, ends[2].isin(pairs).cast("int") + ends[4].isin(pairs).cast("int")
+    found = F.coalesce(value(word, n1, n2), value(word, n1), value(w1, word), value(w2, w1, word), value(w2, w1), value(w3, w2, w1), value(w3, w2))
+    pairs = [w.split() for w in SOFTENING if len(w.split()) == 2]
+    soft = lambda x, y: reduce(or_, [(x == p) & (y == q) for p, q in pairs]).cast("int")
+    return found, soft(w2, w1) + soft(w3, w2)
 
 
 def _valence(units: Column, token: Column, before: list[Column], mixed: Column, taken: list[str],
@@ -217,14 +221,14 @@ def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float], text: str,
     sums, counts = [f"{k}{g}" for g in segs for k in ("s", "ps")], [f"{k}{g}" for g in segs for k in ("pc", "nc")]
     names = ["q1", "q2", "q3", "mixed", "seg", "n", *sums, *counts]
 
-    def step(acc, now):
-        tok, after = now["tok"], [F.coalesce(now["n1"], F.lit("")), F.coalesce(now["n2"], F.lit(""))]
+    def step(acc, tok, toks):
+        after = [F.coalesce(F.get(toks, acc["n"] + k)["w"], F.lit("")) for k in (1, 2)]
         seg = F.when((acc["seg"] == 0) & (tok["w"] == "but"), F.lit(1)) \
                .when(acc["seg"] == 1, F.lit(2)).otherwise(acc["seg"])
         before = [acc["q1"], acc["q2"], acc["q3"]]
 
-        def added(v):
-            mine = F.struct(tok["w"].alias("w"), tok["cap"].alias("cap"), F.try_element_at(lex, tok["w"]).isNotNull().alias("known"))
+        def added(v, known):
+            mine = F.struct(tok["w"].alias("w"), tok["cap"].alias("cap"), known.alias("known"))
             f = {"q1": mine, "q2": acc["q1"], "q3": acc["q2"], "mixed": acc["mixed"], "seg": seg, "n": acc["n"] + 1}
             for i, g in enumerate(segs):
                 here = seg == i
@@ -234,9 +238,11 @@ def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float], text: str,
                 f[f"nc{g}"] = acc[f"nc{g}"] + F.when(here & (v < 0), 1).otherwise(0)
             return F.struct(*[f[x].alias(x) for x in names])
 
-        valence = _let(F.try_element_at(lex, tok["w"]), lambda u: F.when(u.isNull(), zl).otherwise(
-            _valence(u, tok, before, acc["mixed"], taken, after, acc["q3"]["known"], F.try_element_at(lex, after[0]).isNotNull(), idioms)))
-        return _let(valence, added)
+        def valued(u):
+            score = _valence(u, tok, before, acc["mixed"], taken, after, acc["q3"]["known"], F.try_element_at(lex, after[0]).isNotNull(), idioms)
+            return _let(F.when(u.isNull(), zl).otherwise(score), lambda v: added(v, u.isNotNull()))
+
+        return _let(F.try_element_at(lex, tok["w"]), valued)
 
     def finish(f):
         # Runs once per row on the final accumulator; every output is built
@@ -253,9 +259,7 @@ def _lexicon_sentiment_fold(df: DataFrame, lexicon: dict[str, float], text: str,
         init = F.struct(*[none.alias(q) for q in ("q1", "q2", "q3")], _mixed_case(toks).alias("mixed"),
                         F.lit(0).alias("seg"), F.lit(0).alias("n"),
                         *[zl.alias(x) for x in sums], *[F.lit(0).alias(x) for x in counts])
-        words = F.transform(toks, lambda t: t["w"])
-        later = lambda k: F.slice(words, k + 1, F.greatest(F.size(words) - k, F.lit(0)))
-        return F.aggregate(F.arrays_zip(toks.alias("tok"), later(1).alias("n1"), later(2).alias("n2")), init, step, finish)
+        return F.aggregate(toks, init, lambda acc, tok: step(acc, tok, toks), finish)
 
     out = df.withColumn("_score", _let(tokens(F.col(text)), fold))
     return out.withColumns({prefix + k: F.col("_score")[k] for k in _KINDS}).drop("_score")
