@@ -10,6 +10,9 @@ ranges are coalesced into one read, and the records are parsed and verified.
 Records of equal payload of at least ``min_bytes`` bytes are stored once, by
 the smallest page_id; the others are revisit records that name it.
 
+Every record has a WARC-Record-ID (rows that repeat both id and payload share one; a revisit and a row
+without an id have one of their place in the archive) and, with a URL, a WARC-Target-URI.
+
 Defined results: null html is the empty payload; a null page_id or URL stays
 null; rows that repeat the smallest page_id of a payload are responses too; a
 null page_id never is the one referred to unless no other row has the payload
@@ -47,20 +50,29 @@ def classify(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
             .withColumn("refers_to", F.when(revisit, F.col("_first"))).drop("_first"))
 
 
-def _member(page_id, url, html, digest, kind, first, n_bytes, date) -> bytes:
+def _urn(name: str) -> str:
+    """A record's name: of the page and its payload, or of its place in an archive."""
+    import uuid
+
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
+
+
+def _member(page_id, url, html, digest, kind, first, n_bytes, date, place: str) -> bytes:
     import zlib
     from urllib.parse import quote
 
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Date: {date}"]
+    named = kind == "response" and page_id is not None  # what a revisit can refer to
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Date: {date}", "WARC-Record-ID: " + _urn(f"{page_id}:{digest}" if named else place)]
     if page_id is not None:
-        head.append(f"WARC-Record-ID: <urn:x-page:{page_id}>")
-    if url is not None:  # any text survives the trip through the header
-        head.append("WARC-Target-URI: " + quote(url, safe=";/?:@&=+$,-_.!~*'()#[]%") if "%" not in url
-                    else "X-Target-Quoted: " + quote(url, safe=""))
+        head.append(f"X-Page-ID: {page_id}")
+    if url is not None:
+        head.append("WARC-Target-URI: " + quote(url, safe=";/?:@&=+$,-_.!~*'()#[]%"))
+        if "%" in url:  # any text survives the trip through the header
+            head.append("X-Target-Quoted: " + quote(url, safe=""))
     head += [f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {n_bytes}"]
     body = b""
     if kind == "revisit":
-        head += [f"WARC-Refers-To: <urn:x-page:{first}>",
+        head += ["WARC-Refers-To: " + _urn(f"{first}:{digest}"), f"X-Refers-To-Page: {first}",
                  "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     else:
         body = html.encode("utf-8", "surrogatepass")
@@ -90,7 +102,7 @@ def _writer(folder: str, date: str, file_bytes: int):
                     fs.create_dir(root, recursive=True)
                     name, at = f"{root}/{uuid.uuid4().hex}.warc.gz", 0
                     out = fs.open_output_stream(name, compression=None)
-                m = _member(none(pid), url, html, digest, kind, none(first), n, date)
+                m = _member(none(pid), url, html, digest, kind, none(first), n, date, f"{name}#{at}")
                 out.write(m)
                 rows.append((name, at, len(m), url, digest, none(pid), kind))
                 at += len(m)
@@ -118,14 +130,14 @@ def _parse(data: bytes) -> tuple:
     head, _, rest = raw.partition(b"\r\n\r\n")
     h = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
     body = rest[: int(h["Content-Length"])]
-    urn = lambda k: int(h[k][len("<urn:x-page:"):-1]) if k in h else None
-    url = h.get("WARC-Target-URI", h.get("X-Target-Quoted"))
+    page = lambda k: int(h[k]) if k in h else None
+    url = h.get("X-Target-Quoted", h.get("WARC-Target-URI"))
     digest, n = h["WARC-Payload-Digest"].removeprefix("sha256:"), int(h["X-Payload-Length"])
     if h["WARC-Type"] == "response":
         n = len(body)
         if hashlib.sha256(body).hexdigest() != digest:
             raise ValueError(f"payload of record {h.get('WARC-Record-ID')} does not match its digest")
-    return urn("WARC-Record-ID"), None if url is None else unquote(url), n, digest, h["WARC-Type"], urn("WARC-Refers-To")
+    return page("X-Page-ID"), None if url is None else unquote(url), n, digest, h["WARC-Type"], page("X-Refers-To-Page")
 
 
 def _reader(folder: str, gap: int, span: int):
