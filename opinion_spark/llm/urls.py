@@ -8,8 +8,8 @@ are looked up: first in the Bloom filter, and what passes in the list itself.
 Defined results: a null URL or one without ``://`` has an empty host and path,
 no rule and the default verdict; repeated rows are judged alike; of equally
 long entries the one with the longer host wins, then the greater text, then
-the greater verdict; an empty list or an empty table is no error. Only the
-named columns are read, so other columns may have any name.
+the greater verdict; an empty list or an empty table is no error. Other columns
+may have any name; those named like a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -64,10 +64,9 @@ def possible(rows: DataFrame, key: str, filter_table: DataFrame, blocks: int) ->
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
-    """``pages`` with ``host, path, rule, verdict``.
+    """``pages`` with ``host, path, rule, verdict``, in place of columns that have one of these names.
 
-    ``rules``: ``rule`` (``host/path``) and ``verdict``. ``pages`` must not
-    have columns of the four result names. The distinct (host, path) pairs
+    ``rules``: ``rule`` (``host/path``) and ``verdict``. The distinct (host, path) pairs
     are judged once, so a URL that fills a third of the table costs one row;
     joining the verdict back is an equi-join whose page side can be split.
     """
@@ -83,7 +82,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     blocks = min(MAX_BLOCKS, max(1, math.ceil(n * BITS_PER_ENTRY / (64 * WORDS))))
 
     host, path = host_and_path(F.col(url))
-    split = pages.withColumns({"host": host, "path": path})
+    keep = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    split = pages.select(*keep, host.alias("host"), path.alias("path"))
     todo = split.select("host", "path").where(F.col("host") != "").distinct()
     if shapes:
         want = F.array(*[F.struct(F.lit(n).alias("labels"), F.lit(c).alias("chars")) for n, c in shapes])
@@ -101,7 +101,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
             .agg(F.max(F.struct(F.length("rule").alias("a"), F.length("rule_host").alias("b"), "rule", "verdict")).alias("_best"))
             .select("host", "path", F.col("_best.rule").alias("rule"), F.col("_best.verdict").alias("verdict")))
     return (split.join(best, ["host", "path"], "left")
-            .select(*pages.columns, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")))
+            .select(*keep, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")))
 
 
 #: The rules that the registered query applies.

@@ -125,6 +125,12 @@ def test_warc_file_is_readable_on_its_own(spark):
     (name,) = os.listdir(folder.removeprefix("file:"))
     data = gzip.open(os.path.join(folder.removeprefix("file:"), name)).read()
     assert data.count(b"WARC/1.1\r\n") == len(PAGES) and data.startswith(b"WARC/1.1\r\nWARC-Type: ") and data.endswith(b"\r\n\r\n")
+    heads = [dict(x.split(": ", 1) for x in part.split("\r\n\r\n")[0].split("\r\n") if ": " in x) for part in data.decode().split("WARC/1.1\r\n")[1:]]
+    names = [h["WARC-Record-ID"] for h in heads]
+    assert all(n.startswith("<urn:uuid:") for n in names) and all(h["WARC-Refers-To"] in names for h in heads if h["WARC-Type"] == "revisit")
+    assert sum("WARC-Target-URI" in h for h in heads) == sum(u is not None for _, u, _ in PAGES)
+    rows = {(i, t) for i, _, t in PAGES if i is not None}
+    assert len(set(names)) >= len(rows)
 
 
 def brute_rule(host, path, rules):
@@ -150,6 +156,15 @@ def test_urls_against_every_rule(spark):
     assert {r.verdict for r in none.collect()} == {"allow"} and urls.judge_urls(df.limit(0), spark.createDataFrame(rules, "rule string, verdict string")).count() == 0
 
 
+def test_urls_among_clashing_columns(spark):
+    """Columns named like the results are replaced, also if one of them is the URL; others stay, whatever their names."""
+    rules = spark.createDataFrame([("b.com/", "block")], "rule string, verdict string")
+    page = spark.createDataFrame([(1, "http://a.b.com/x", "old", "kept", 7)], "page_id long, rule string, host string, bloom_block string, w0 int")
+    out = urls.judge_urls(page, rules, url="rule")
+    assert out.columns == ["page_id", "bloom_block", "w0", "host", "path", "rule", "verdict"]
+    assert tuple(out.first()) == (1, "kept", 7, "a.b.com", "/x", "b.com/", "block")
+
+
 def test_bloom_has_no_false_negatives_and_few_hits(spark):
     listed = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("k"))
     f = urls.bloom(listed, "k", 64)
