@@ -221,7 +221,8 @@ def test_pipeline_stages(spark, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns, name
     kept = [r.doc_id for r in corpus_pipeline.distinct_documents(spark, docs, str(tmp_path)).collect()]
-    assert sorted(x for x in kept if x is not None) == [2, 3, 4, 5, 7, 8, 9] and kept.count(None) == 1
+    # the row without an id is a copy of document 4, so it goes like any other copy
+    assert sorted(x for x in kept if x is not None) == [2, 3, 4, 5, 7, 8, 9] and kept.count(None) == 0
     assert [r.doc_id for r in corpus_pipeline.languages(spark, docs, str(tmp_path)).where("doc_id in (2, 3, 7)").collect()] == []
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
