@@ -13,6 +13,8 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinion_spark.tables import Scratch
+
 
 def _ends(edges: DataFrame, weight: str = "similarity") -> DataFrame:
     """Both endpoints of every edge: ``(id, other, w)``."""
@@ -61,7 +63,7 @@ def _debug(msg: str) -> None:
 
 def _checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage: write the table as Parquet under the shared checkpoint
-    folder (``spark.checkpoint.dir``) and read it back.
+    folder (``spark.checkpoint.dir``) and read it back. It is deleted when the driver ends.
 
     A lost executor then costs a re-read of finished files, never a replay of
     earlier sweeps. (``Dataset.checkpoint`` is not used here: its relation
@@ -69,14 +71,7 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     joins such relations again and again multiplies those estimates until the
     planner's arithmetic dominates the run.)
     """
-    import uuid
-
-    from opinion_spark.session import checkpoint_dir
-
-    spark = df.sparkSession
-    path = checkpoint_dir(spark).rstrip("/") + "/tables/" + uuid.uuid4().hex
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return Scratch(df.sparkSession, "tables").written(df, "table")
 
 
 def _modularity_parts(comm: DataFrame, edges: DataFrame, k: DataFrame) -> DataFrame:
