@@ -27,10 +27,8 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there."""
-    spark, path = df.sparkSession, scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there; the table goes when the driver ends."""
+    return Scratch(df.sparkSession, label).written(df, "table")
 
 
 def crc_mod(key: str, n: int) -> Column:
