@@ -25,7 +25,7 @@ TAG = r"#[\p{L}\p{N}_]+"
 RUNS = r"#[\p{L}\p{N}_]+|[^#]+|#"
 PART = r"\p{L}+|[^\p{L}_]+"  # letter and digit runs of a tag body
 UNITS = 1_000_000  # costs are summed as whole millionths
-STEPS = (1, 2, 3, 4, 5, 6, 8, 11, 15, 20, 30, 50, 100)  # lengths at which beginnings of words are looked up
+STEPS = (4, 6, 8, 11, 15, 20, 30, 50, 100)  # lengths at which beginnings of words are looked up
 
 
 def word_costs(words: DataFrame, word: str = "word", count: str = "count") -> DataFrame:
@@ -62,16 +62,17 @@ def candidates(runs: DataFrame, costs: DataFrame, max_word: int) -> DataFrame:
     A place whose first STEPS[i] characters begin a word, but whose first STEPS[i + 1] do not, starts no word
     of STEPS[i + 1] characters or more. Beginnings of beginnings are beginnings, so the longest match tells all.
     """
-    places = runs.select("part", "low", "n", F.explode(F.sequence(F.lit(1), "n")).alias("from"))
-    left = F.col("n") - F.col("from") + 1
-    tried = places.select("part", "from", F.explode(F.filter(F.array(*[F.lit(n) for n in STEPS]), lambda n: n <= left)).alias("n"), "low")
-    tried = tried.select("part", "from", "n", F.expr("substring(low, from, n)").alias("start"))
-    longest = tried.join(beginnings(costs), ["start", "n"]).groupBy("part", "from").agg(F.max("n").alias("found"))
+    places = runs.select("part", "low", F.col("n").alias("size"), F.explode(F.sequence(F.lit(1), "n")).alias("from"))
+    left = F.col("size") - F.col("from") + 1
+    tried = places.select("*", F.explode_outer(F.filter(F.array(*[F.lit(n) for n in STEPS]), lambda n: n <= left)).alias("n"))
+    # places too near the end look up nothing; they keep their run as key, so they do not all meet in one task
+    tried = tried.withColumn("start", F.coalesce(F.expr("substring(low, from, n)"), F.col("part"))).fillna(0, ["n"])
+    known = tried.join(beginnings(costs).withColumn("known", F.lit(True)), ["start", "n"], "left")
+    longest = known.groupBy("part", "low", "size", "from").agg(F.max(F.when(F.col("known"), F.col("n"))).alias("found"))
     upper = [*STEPS[1:], 1 << 30]
     limit = F.element_at(F.create_map(*[F.lit(x) for pair in zip(STEPS, upper) for x in pair]), F.col("found")) - 1
-    known = places.join(longest, ["part", "from"], "left")
-    reach = F.greatest(F.lit(1), F.least(left, F.coalesce(limit, F.lit(1)), F.lit(max_word)))
-    each = known.select("part", "low", "from", F.explode(F.sequence(F.lit(1), reach)).alias("len"))
+    reach = F.greatest(F.lit(1), F.least(left, F.coalesce(limit, F.lit(STEPS[0] - 1)), F.lit(max_word)))
+    each = longest.select("part", "low", "from", F.explode(F.sequence(F.lit(1), reach)).alias("len"))
     return each.select("part", (F.col("from") + F.col("len") - 1).alias("end"), "len", F.expr("substring(low, from, len)").alias("word"))
 
 
