@@ -19,14 +19,40 @@ from opinion_spark.tables import Scratch, attach, ranked
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
-def term_counts(docs: DataFrame, stop_words: list[str], key: str = "doc_id", text: str = "text") -> DataFrame:
+def _row_counts(docs: DataFrame, stops: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, term, tf)`` of each row alone: its sorted tokens are cut into runs, so nothing is shuffled."""
+    def runs(toks):
+        starts = F.filter(F.sequence(F.lit(1), F.size(toks)), lambda i: (i == 1) | (F.get(toks, i - 1) != F.get(toks, i - 2)))
+        return F.when(F.size(toks) > 0, _bound(starts, lambda at: F.transform(at, lambda i, k: F.struct(
+            F.get(toks, i - 1).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(toks) + 1) - i).cast("long").alias("tf")))))
+
+    toks = F.array_sort(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), 0))
+    each = docs.select(key, F.explode(_bound(toks, runs)).alias("_t")).select(key, "_t.term", "_t.tf")
+    return each.join(stops, "term", "left_anti").select(key, "term", "tf")
+
+
+def _bound(value, body):
+    """``body(value)`` with the value computed once a row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def term_counts(docs: DataFrame, stop_words: list[str], key: str = "doc_id", text: str = "text", together: bool = False) -> DataFrame:
     """T1 + J7: ``(doc_id, term, tf)``: lower-cased word tokens of 2+ chars,
-    stop words removed by a left-anti join on the (bounded) stop list."""
+    stop words removed by a left-anti join on the (bounded) stop list.
+
+    Terms are counted inside their rows; only rows whose key another row has too (a null key is a key) are then added up by a
+    shuffle. ``together``: the texts are dealt out by key first, so that what goes by key afterwards shuffles no term again.
+    """
     spark = docs.sparkSession
     stops = F.broadcast(spark.createDataFrame([(w,) for w in sorted(set(stop_words))], "term string"))
-    toks = docs.select(key, F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(TOKEN), 0)).alias("term"))
-    toks = toks.join(stops, "term", "left_anti")
-    return toks.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    many = docs.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_k")
+    many = Scratch(spark, "terms").written(many, "repeated", slim=True)
+    if many.isEmpty():
+        return _row_counts(docs.repartition(F.col(key)) if together else docs, stops, key, text)
+    same = docs[key].eqNullSafe(many["_k"])
+    alone = docs.join(many, same, "left_anti")
+    rest = _row_counts(docs.join(many, same, "left_semi"), stops, key, text).groupBy(key, "term").agg(F.sum("tf").alias("tf"))
+    return _row_counts(alone.repartition(F.col(key)) if together else alone, stops, key, text).unionByName(rest)
 
 
 def vocabulary(tf: DataFrame, n_docs, min_df: int = 7, max_df: float = 0.7,
@@ -92,7 +118,8 @@ def top_terms_per_group(docs: DataFrame, groups: DataFrame, n: int, stop_words:
     """T6 for many groups at once: each group's vocabulary, idf and means are
     fitted on that group's docs alone. ``groups`` is ``(doc_id, cluster)``.
     Groups whose vocabulary is empty get no rows."""
-    tf = term_counts(docs, stop_words, key).join(groups, key)
+    s = Scratch(docs.sparkSession, "groups")
+    tf = term_counts(docs, stop_words, key, together=True).join(groups, key)
     nd = groups.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_docs"))
     stats = (tf.groupBy("cluster", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
              .join(nd, "cluster")
@@ -101,10 +128,11 @@ def top_terms_per_group(docs: DataFrame, groups: DataFrame, n: int, stop_words:
         stats = most_frequent(stats, max_features)
     idf = stats.select("cluster", "term", "n_docs",
                        (F.log((F.col("n_docs") + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
+    idf = s.written(idf, "idf", slim=True)  # of known size, so Spark broadcasts it where it is small
     x = tf.join(idf, ["cluster", "term"]).select("cluster", key, "term", "n_docs",
                                                   (F.col("tf") * F.col("idf")).alias("x"))
-    norm = x.groupBy("cluster", key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("nrm"))
-    sc = (x.join(norm, ["cluster", key]).groupBy("cluster", "term")
+    norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy("cluster", key)))
+    sc = (x.withColumn("nrm", norm).groupBy("cluster", "term")
           .agg((F.sum(F.col("x") / F.col("nrm")) / F.first("n_docs")).alias("score")))
     return top_terms(sc, n)
 
@@ -119,6 +147,7 @@ def cluster_cosine(counts: DataFrame, block: int = 512) -> DataFrame:
     pair, so no task builds more than block^2 products. Pairs without a common
     term have similarity 0 and no row.
     """
+    counts = Scratch(counts.sparkSession, "cosine").written(counts, "counts")  # read for n, df, norms and both sides of the products
     n = counts.select(F.count_distinct("cluster")).scalar()
     df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     x = counts.join(df, "term").select(
