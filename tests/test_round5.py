@@ -1,4 +1,4 @@
-"""Links stored by vertex, blocks read from the shared folder, edges that are never shuffled."""
+"""Links stored by vertex, blocks read from the shared folder, edges that are never shuffled, posts scored once."""
 
 import random
 
@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinion_spark.operators import graph, links, similarity
+from opinion_spark.plans import queries
 
 
 def plan(df):
@@ -75,3 +76,15 @@ def test_blocks_are_written_once(spark, monkeypatch):
                   if None not in (a, b) and a != b and sum(p == q for p, q in zip(x, y)) >= 3 and any(x[k:k + 2] == y[k:k + 2] for k in (0, 2, 4, 6)))
     assert sorted(map(tuple, found.collect())) == want and len(want) > 90
     assert "Exchange" not in plan(found)
+
+
+def test_score_filters_score_a_post_once(spark, tmp_path):
+    texts = ["the cat is of the den", "les amis de la ville", "the the in la la", "la la les", "the cat is of the den", "the les", "nothing", None, "les", "the in in in in"]
+    spark.createDataFrame([(i, t, f"s-{i % 2}") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 3) for i in range(10)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(0, "A", 0), (1, "B", 1), (2, "C", 9)], "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    found = queries.n6_score_filters(spark, str(tmp_path))
+    scored = queries._scored(spark, str(tmp_path))
+    want = {r["doc_id"]: "positive" if r["compound"] > 0.05 else "negative" for r in scored.collect() if r["compound"] > 0.05 or r["compound"] < 0}
+    assert dict(map(tuple, found.collect())) == want and set(want.values()) == {"positive", "negative"}
+    assert "regexp_extract_all" not in plan(found) and "Window" not in plan(found)  # no filter scores what the dedup reads
